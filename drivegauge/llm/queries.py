@@ -7,15 +7,27 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing, simhash, token_counts
+from . import byte_bpe, flac, html_text, jaccard_join, line_crf, packing, simhash, token_counts, warc
 from .base import scratch_dir, table
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents through a cache that is new for this run."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), scratch_dir(spark, "token-cache"))
 
 
+def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_features(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.byte_bpe(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
 
@@ -24,12 +36,20 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op5_byte_bpe, op7_simhash, op10_packing)}
+    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
