@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, flac, html_text, jaccard_join, line_crf, packing, simhash, token_counts, warc
+from . import byte_bpe, flac, html_text, jaccard_join, line_crf, packing, simhash, suffix_dedup, token_counts, warc
 from .base import scratch_dir, table
 
 
@@ -32,6 +32,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.byte_bpe(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing)}
+    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

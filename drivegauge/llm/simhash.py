@@ -174,9 +174,8 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     out = materialize(ranged.mapInArrow(run, ROWS + ", part int, edge string, text string"), "simhash")
     firsts, lasts = (out.filter(F.col("edge") == e).select("doc_id", "part", "text") for e in ("first", "last"))
     order = firsts.select("part")  # one small row for each range
-    after = order.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"))
-    start = order.agg(F.min("part").alias("start"))
-    after = after.crossJoin(F.broadcast(start)).select("part", F.coalesce("next", "start").alias("next"))  # one row against each
+    by_part = Window.orderBy("part")
+    after = order.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part)).alias("next"))
     pairs = lasts.join(after, "part").join(firsts.select(F.col("part").alias("next"), F.col("text").alias("after")), "next").select("doc_id", "text", "after")
 
     def finish(batches):
