@@ -2,8 +2,8 @@
 
 Content is normalised (null becomes the empty text) and named by its SHA-256; the tokenizer's version is the SHA-256
 of its file. Counts already stored under both digests are joined; of the others each distinct content is encoded
-once, and its count is appended to the cache. Only digests are shuffled, never texts, unless the set of rows to
-encode is too large for Spark to broadcast by its measured size.
+once, and its count is appended to the cache. Where most content is known, only digests are shuffled; otherwise each
+text goes through one exchange, by the id and digest of its row, so that copies of one text never meet in a task.
 
 Cases: null text counts as empty (0 bytes, 0 tokens); empty table gives an empty result; repeated rows each get a row;
 equal texts have equal counts; other columns are ignored.
@@ -69,14 +69,11 @@ def token_counts(df: DataFrame, tokenizer_path: str, cache_path: str, limit: int
     stored = spark.read.schema(schema).parquet(cache_path).filter(F.col("tokenizer") == tag)
     misses = keys.join(stored.select("digest"), "digest", "left_anti")
     chosen = materialize(misses.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "token-misses")
-    # the smaller of "rows to encode" and "rows to leave out" is what Spark may broadcast; it knows either table's size
-    rest = keys.select("doc_id", "digest").join(chosen, ["doc_id", "digest"], "left_anti")
+    # few misses may be broadcast by their measured size; otherwise texts go to their keys, at any size in the same way
+    side = chosen if chosen.count() * 20 < keys.count() else chosen.hint("merge")
     keyed = docs.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    on = keyed["doc_id"].eqNullSafe(F.col("o.doc_id")) & (keyed["digest"] == F.col("o.digest"))
-    if chosen.count() * 2 > keys.count():
-        todo = keyed.join(materialize(rest, "token-rest").alias("o"), on, "left_anti")
-    else:
-        todo = keyed.join(chosen.alias("o"), on, "left_semi")
+    on = keyed["doc_id"].eqNullSafe(side["doc_id"]) & (keyed["digest"] == side["digest"])
+    todo = keyed.join(side, on, "left_semi")
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         counter = _STATE.get(tokenizer_path) or _STATE.setdefault(tokenizer_path, LibraryCounter(tokenizer_path))
