@@ -1 +1,211 @@
-"""Queries."""
+"""Queries over streams of stamps, intervals and recordings."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from drivegauge.functions import expressions as ex
+from drivegauge.operators import timeline as tl
+from drivegauge.sources import readers as rd
+
+from .fixtures import table
+from .registry import query
+
+c = F.col
+US = "epoch_us(ts)"
+EV = f"WITH e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us, epoch_us(ts) + (event_id % 5) * 1000 AS local_us FROM events) "
+
+
+def messages(spark, sf_dir) -> DataFrame:
+    """Events as messages: stamp and local clock in microseconds."""
+    us = F.unix_micros(c("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", us.alias("us"), (us + F.pmod("event_id", F.lit(5)) * 1000).alias("local_us"))
+
+
+@query(EV + "SELECT event_id, user_id FROM (SELECT *, lag(us // 60000000) OVER (PARTITION BY event_type ORDER BY us, event_id) AS p FROM e) WHERE p IS NULL OR p <> us // 60000000")
+def t00_suppress_repeats(spark, sf_dir):
+    m = messages(spark, sf_dir).withColumn("minute", F.floor(c("us") / 60000000))
+    return tl.suppress_repeats(m, ["event_type"], "minute", ["us", "event_id"]).select("event_id", "user_id")
+
+
+@query(EV + ", k AS (SELECT *, row_number() OVER (PARTITION BY user_id, us // 3600000000 ORDER BY local_us) AS r FROM e) SELECT user_id, event_id FROM k WHERE r = 1")
+def s03_frames(spark, sf_dir):
+    m = messages(spark, sf_dir).withColumn("hour", F.floor(c("us") / 3600000000))
+    return rd.frames(m, ["user_id"], "hour", "local_us").select("user_id", "event_id")
+
+
+@query(EV + """, a AS (SELECT user_id, us, value AS v, row_number() OVER (PARTITION BY user_id ORDER BY us) AS r FROM e WHERE event_type = 'view' AND user_id % 3 <> 0),
+b AS (SELECT user_id, us, value AS v, row_number() OVER (PARTITION BY user_id ORDER BY us) AS r FROM e WHERE event_type = 'click'),
+x AS (SELECT * FROM a WHERE r > 3) SELECT user_id, us, v AS ego_vx FROM x UNION ALL SELECT user_id, us, v FROM b WHERE r > 3 AND user_id NOT IN (SELECT user_id FROM x)""")
+def s04_ego_speed(spark, sf_dir):
+    m = messages(spark, sf_dir).withColumnRenamed("value", "ego_vx")
+    return rd.ego_speed(m.filter("event_type = 'view' AND user_id % 3 <> 0"), m.filter("event_type = 'click'"), ["user_id"], "us", 3)
+
+
+@query(EV + """, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type, us ORDER BY local_us) AS k FROM e) WHERE k = 1), n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY us, local_us) AS r, count(*) OVER (PARTITION BY event_type) AS al FROM f),
+s AS (SELECT event_type, count(*) AS m, (max(us) - min(us)) / 1e6 AS span, any_value(al) AS al FROM n WHERE al <= 20 OR r > 10 GROUP BY 1), t AS (SELECT event_type, count(*) AS messages, (max(local_us) - min(local_us)) / 1e6 AS ls FROM e GROUP BY 1)
+SELECT event_type, messages, al AS distinct_stamps, round(CASE WHEN al <= 20 THEN 0 WHEN span > 10 THEN (m - 1) / span ELSE (messages - 1) / ls END, 6) AS hz FROM s JOIN t USING (event_type)""")
+def q10_topic_rate(spark, sf_dir):
+    m = messages(spark, sf_dir).withColumns({"stamp": c("us") / 1e6, "local": c("local_us") / 1e6})
+    return tl.topic_rate(m, "event_type", "stamp", "local")
+
+
+@query(EV + """, g AS (SELECT user_id, us, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS gap FROM e), l AS (SELECT user_id, greatest(median(gap) + 5 * stddev_samp(gap), 2.5 * median(gap)) AS lim FROM g WHERE gap IS NOT NULL GROUP BY 1)
+SELECT user_id, us, gap FROM g JOIN l USING (user_id) WHERE gap > lim""")
+def q11_gap_outliers(spark, sf_dir):
+    return tl.gap_outliers(messages(spark, sf_dir), ["user_id"], "us").select("user_id", "us", "gap")
+
+
+@query(EV + """, d AS (SELECT user_id, us, local_us, local_us - lag(local_us) OVER (PARTITION BY user_id ORDER BY value, event_id) AS d, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS n, event_id FROM e),
+k AS (SELECT *, coalesce(max(CASE WHEN d <= 0 THEN n END) OVER (PARTITION BY user_id), 1) AS cut FROM d) SELECT user_id, event_id FROM k WHERE n >= cut""")
+def f14_last_monotone_run(spark, sf_dir):
+    m = messages(spark, sf_dir).withColumn("ord", F.struct("value", "event_id"))
+    return tl.last_monotone_run(m, ["user_id"], "local_us", "ord").select("user_id", "event_id")
+
+
+@query(EV + "SELECT event_id FROM e WHERE us > 1704500000000000 AND event_type IN ('view', 'click') AND us > 1704100000000000 AND us <= 1706000000000000")
+def f12_clip_filter(spark, sf_dir):
+    m = messages(spark, sf_dir)
+    return m.filter((c("us") > 1704500000000000) & c("event_type").isin("view", "click") & (c("us") > 1704100000000000) & (c("us") <= 1706000000000000)).select("event_id")
+
+
+@query(EV + """, p AS (SELECT user_id, us, max(CASE WHEN event_type = 'view' THEN value END) AS view, max(CASE WHEN event_type = 'click' THEN value END) AS click FROM e GROUP BY 1, 2)
+SELECT user_id, us, coalesce(last_value(view IGNORE NULLS) OVER w, 0) AS view, coalesce(last_value(click IGNORE NULLS) OVER w, 0) AS click FROM p WINDOW w AS (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING)""")
+def q13_forward_fill(spark, sf_dir):
+    wide = messages(spark, sf_dir).groupBy("user_id", "us").pivot("event_type", ["view", "click"]).agg(F.max("value"))
+    return tl.forward_fill(wide, ["user_id"], "us", ["view", "click"])
+
+
+@query(EV + """, r AS (SELECT user_id, min(us) AS o, max(us) AS z FROM e GROUP BY 1), g AS (SELECT user_id, unnest(generate_series(o, z, 3600000000)) AS grid FROM r)
+SELECT g.user_id, grid, value FROM g ASOF JOIN e ON g.user_id = e.user_id AND g.grid >= e.us""")
+def j15_resample(spark, sf_dir):
+    return tl.resample(messages(spark, sf_dir), ["user_id"], "us", "value", 3600000000)
+
+
+@query(EV + "SELECT event_id, us, event_type FROM e WHERE event_type IN ('view', 'error') AND us BETWEEN 1704200000000000 AND 1704900000000000")
+def q14_bag_merge(spark, sf_dir):
+    m = messages(spark, sf_dir).select("event_id", "us", "event_type")
+    return tl.merge_topics([m.filter("event_type = 'view'"), m.filter("event_type = 'error'")], "us", 1704200000000000, 1704900000000000)
+
+
+@query("SELECT event_type AS topic, count(DISTINCT event_id % 2) AS types FROM events WHERE event_type <> 'view' OR event_id % 2 = 0 GROUP BY 1 HAVING count(DISTINCT event_id % 2) > 1")
+def q14_type_conflicts(spark, sf_dir):
+    m = table(spark, sf_dir, "events").filter("event_type <> 'view' OR event_id % 2 = 0").select(c("event_type").alias("topic"), (c("event_id") % 2).alias("kind"))
+    return tl.type_conflicts(m, "topic", "kind")
+
+
+@query("""WITH RECURSIVE o AS (SELECT user_id, epoch_us(ts) / 1e6 AS e, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
+f(user_id, n, prev, s, e) AS (SELECT user_id, n, e, NULL::DOUBLE, NULL::DOUBLE FROM o WHERE n = 1 UNION ALL
+SELECT o.user_id, o.n, CASE WHEN o.e - f.prev >= 7200 THEN o.e ELSE f.prev END, CASE WHEN o.e - f.prev >= 7200 THEN f.prev END, CASE WHEN o.e - f.prev >= 7200 THEN o.e END FROM f JOIN o ON o.user_id = f.user_id AND o.n = f.n + 1)
+SELECT user_id, round(s, 6) AS start_time, round(e, 6) AS end_time FROM f WHERE s IS NOT NULL""")
+def q15_chain_segments(spark, sf_dir):
+    m = messages(spark, sf_dir).select("user_id", (c("us") / 1e6).alias("end"))
+    return tl.chain_segments(m, ["user_id"], "end", 7200.0).select("user_id", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"))
+
+
+SEG = EV + ", a AS (SELECT user_id AS id, us // 86400000000 AS d, min(us) AS s, max(us) AS e FROM e WHERE event_type IN ('view', 'click') GROUP BY 1, 2), b AS (SELECT user_id AS id, us // 86400000000 AS d, min(us) AS s, max(us) AS e FROM e WHERE event_type IN ('error', 'signup') AND user_id % 10 = 0 GROUP BY 1, 2) "
+
+
+def _segments(spark, sf_dir, types, where="true") -> DataFrame:
+    m = messages(spark, sf_dir).filter(c("event_type").isin(*types)).filter(where)
+    return m.groupBy(c("user_id").alias("id"), F.floor(c("us") / 86400000000).alias("d")).agg(F.min("us").alias("start_time"), F.max("us").alias("end_time"))
+
+
+@query(SEG + "SELECT a.id AS a_id, b.id AS b_id, greatest(a.s, b.s) AS start_time, least(a.e, b.e) AS end_time FROM a JOIN b ON a.s < b.e AND b.s < a.e WHERE least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000")
+def j12_overlaps(spark, sf_dir):
+    return tl.overlaps(_segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"], "user_id % 10 = 0"), 30000000000, 21600000000)
+
+
+@query(SEG + "SELECT DISTINCT id, s AS start_time FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.s < b.e AND b.s < a.e AND least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000 AND a.id = b.id)")
+def j12_without_overlap(spark, sf_dir):
+    a = _segments(spark, sf_dir, ["view", "click"])
+    b = _segments(spark, sf_dir, ["error", "signup"], "user_id % 10 = 0").select("id", c("start_time").alias("s2"), c("end_time").alias("e2"))
+    near = (F.least("end_time", "e2") - F.greatest("start_time", "s2") >= 30000000000) & (c("start_time") < c("e2")) & (c("s2") < c("end_time"))
+    hit = a.join(b, "id").filter(near).select("id", "start_time").distinct()
+    return a.select("id", "start_time").join(hit, ["id", "start_time"], "left_anti").distinct()
+
+
+@query(SEG + "SELECT a.id, e.event_id FROM a JOIN e ON a.id = e.user_id AND e.us > a.s AND e.us < a.e AND e.event_type = 'error'")
+def j14_frame_slice(spark, sf_dir):
+    a = _segments(spark, sf_dir, ["view", "click"])
+    e = messages(spark, sf_dir).filter("event_type = 'error'").select(c("user_id").alias("id"), "us", "event_id")
+    return a.join(e, "id").filter((c("us") > c("start_time")) & (c("us") < c("end_time"))).select("id", "event_id")
+
+
+@query(EV + "SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n FROM e) WHERE (n - 1) % 20 = 0")
+def q16_decimate(spark, sf_dir):
+    return tl.decimate(messages(spark, sf_dir), ["user_id"], ["us", "event_id"], 20).select("event_id")
+
+
+@query(EV + ", f AS (SELECT event_type, min(us) AS s FROM e GROUP BY 1) SELECT event_type, CAST(floor(((SELECT max(s) FROM f) - s) / 100000.0E0) AS BIGINT) AS skip FROM f")
+def q17_align_start(spark, sf_dir):
+    return tl.frames_to_skip(messages(spark, sf_dir), "event_type", "us", 100000.0)
+
+
+@query(EV + "SELECT user_id, round(coalesce(avg((local_us - us) / 1e6), 0), 6) AS clip_offset FROM e GROUP BY 1")
+def q18_clip_offset(spark, sf_dir):
+    return messages(spark, sf_dir).groupBy("user_id").agg(F.round(F.avg((c("local_us") - c("us")) / 1e6), 6).alias("clip_offset"))
+
+
+@query("""SELECT user_id, round(coalesce(avg(CASE WHEN event_type = 'view' AND user_id % 2 = 0 THEN value - 1 END), avg(CASE WHEN event_type = 'click' AND user_id % 3 = 0 THEN value END) - avg(CASE WHEN event_type = 'error' THEN value END), 0), 6) + 0.0E0 AS gap FROM events GROUP BY 1""")
+def q09_clock_gap(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    m = e.select("user_id", F.when((c("event_type") == "view") & (c("user_id") % 2 == 0), c("value")).alias("t0"), F.lit(1.0).alias("t1"), F.when((c("event_type") == "click") & (c("user_id") % 3 == 0), c("value")).alias("sync"), F.when(c("event_type") == "error", c("value")).alias("header"))
+    return tl.clock_gap(m, ["user_id"]).select("user_id", ex.r6(c("gap")).alias("gap"))
+
+
+_GRID = EV + ", s AS (SELECT user_id, us // 21600000000 AS k, avg(value) AS v FROM e WHERE user_id < 20 GROUP BY 1, 2)"
+
+
+@query(_GRID + """, x AS (SELECT a.user_id, sh AS shift, sqrt(avg((a.v - b.v) * (a.v - b.v))) AS rmse, count(*) AS n FROM s a JOIN s b USING (user_id) JOIN (SELECT unnest(generate_series(1, 8)) AS sh) ON a.k = b.k + sh GROUP BY 1, 2)
+SELECT user_id, shift, round(rmse, 6) AS rmse, n FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(rmse, 9), abs(shift), shift) AS r FROM x) WHERE r = 1""")
+def q08_time_gap(spark, sf_dir):
+    s = messages(spark, sf_dir).filter("user_id < 20").groupBy("user_id", F.floor(c("us") / 21600000000).alias("k")).agg(F.avg("value").alias("v"))
+    return tl.shift_search(s, s, ["user_id"], list(range(1, 9))).select("user_id", c("shift").cast("long").alias("shift"), F.round("rmse", 6).alias("rmse"), "n")
+
+
+@query(EV + ", d AS (SELECT user_id, us, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS g FROM e), m AS (SELECT user_id, min(g) AS least, max(g) AS most, round(avg(g), 3) AS mean FROM d WHERE g IS NOT NULL GROUP BY 1) SELECT user_id, least, most, mean FROM m")
+def q12_clock_steps(spark, sf_dir):
+    from pyspark.sql import Window
+
+    d = messages(spark, sf_dir).withColumn("g", c("us") - F.lag("us").over(Window.partitionBy("user_id").orderBy("us"))).filter("g IS NOT NULL")
+    return d.groupBy("user_id").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.round(F.avg("g"), 3).alias("mean"))
+
+
+@query(EV + "SELECT user_id, event_type, count(*) AS frames, round((max(us) - min(us)) / 1e6, 6) AS duration, CASE WHEN max(us) - min(us) <= 2500000000000 THEN 1 ELSE 0 END AS valid FROM e GROUP BY 1, 2")
+def a12_topic_statistics(spark, sf_dir):
+    g = messages(spark, sf_dir).groupBy("user_id", "event_type").agg(F.count("*").alias("frames"), (F.max("us") - F.min("us")).alias("d"))
+    return g.select("user_id", "event_type", "frames", F.round(c("d") / 1e6, 6).alias("duration"), F.when(c("d") <= 2500000000000, 1).otherwise(0).alias("valid"))
+
+
+@query("WITH t AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE user_id % 4 <> 0 OR event_type <> 'error' GROUP BY 1, 2), s AS (SELECT user_id, 5 - count(*) AS empty FROM t GROUP BY 1) SELECT user_id % 10 AS grp, sum(empty)::BIGINT AS empty_cells, count(*) FILTER (empty > 0) AS invalid FROM s GROUP BY 1")
+def a13_abnormality(spark, sf_dir):
+    t = table(spark, sf_dir, "events").filter("user_id % 4 <> 0 OR event_type <> 'error'").groupBy("user_id").agg((5 - F.countDistinct("event_type")).alias("empty"))
+    return t.groupBy((c("user_id") % 10).alias("grp")).agg(F.sum("empty").alias("empty_cells"), F.count(F.when(c("empty") > 0, 1)).alias("invalid"))
+
+
+@query(EV + ", x AS (SELECT user_id, (max(us) - min(us)) / 1e6 AS d, avg(value) AS v FROM e GROUP BY 1) SELECT user_id, CAST(round(d * 30 * 291 / 300) AS BIGINT) AS frames, CAST(ceil(d * v / 1000) AS BIGINT) AS distance FROM x")
+def a14_exposure(spark, sf_dir):
+    x = messages(spark, sf_dir).groupBy("user_id").agg(((F.max("us") - F.min("us")) / 1e6).alias("d"), F.avg("value").alias("v"))
+    return x.select("user_id", F.round(c("d") * 30 * 291 / 300).cast("long").alias("frames"), F.ceil(c("d") * c("v") / 1000).cast("long").alias("distance"))
+
+
+@query("WITH r AS (SELECT event_type AS camera, epoch_us(ts) // 86400000000 AS day, count(*) AS n FROM events GROUP BY 1, 2) SELECT camera, day, n FROM r WHERE abs(n - 66.0E0) > 15")
+def a21_rate_alert(spark, sf_dir):
+    r = messages(spark, sf_dir).groupBy(c("event_type").alias("camera"), F.floor(c("us") / 86400000000).alias("day")).agg(F.count("*").alias("n"))
+    return r.filter(F.abs(c("n") - 66.0) > 15)
+
+
+@query(EV + """, a AS (SELECT user_id, us // 86400000000 AS day, min(us) AS s FROM e WHERE event_type = 'view' GROUP BY 1, 2), b AS (SELECT user_id, us // 86400000000 AS day, min(us) AS s FROM e WHERE event_type = 'click' GROUP BY 1, 2),
+p AS (SELECT a.user_id, a.s AS a_s, b.s AS b_s, row_number() OVER (PARTITION BY a.user_id, a.s ORDER BY abs(a.s - b.s), b.s) AS k FROM a JOIN b ON a.user_id = b.user_id AND abs(a.s - b.s) < 7200000000) SELECT user_id, a_s, b_s FROM p WHERE k = 1""")
+def j11_clip_match(spark, sf_dir):
+    from pyspark.sql import Window
+
+    m = messages(spark, sf_dir)
+    first = lambda t: m.filter(c("event_type") == t).groupBy("user_id", F.floor(c("us") / 86400000000).alias("day")).agg(F.min("us").alias("s")).drop("day")
+    a = first("view").withColumnRenamed("s", "a_s").withColumn("_b", F.floor(c("a_s") / 7200000000))
+    b = first("click").withColumnRenamed("s", "b_s").withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(c("b_s") / 7200000000) + d)))
+    near = a.join(b, ["user_id", "_b"]).filter(F.abs(c("a_s") - c("b_s")) < 7200000000)
+    w = Window.partitionBy("user_id", "a_s").orderBy(F.abs(c("a_s") - c("b_s")), "b_s")
+    return near.withColumn("k", F.row_number().over(w)).filter("k = 1").select("user_id", "a_s", "b_s")
