@@ -9,8 +9,9 @@ at 7 % of all positions. Consecutive windows with the same sample are one run.
    hold, packed as differences, and learn which occur in other blocks: only those buckets are built at all.
 2. *Ranks.* A run's rank is the name of its whole string with the sample's place. A run whose rank an earlier document
    has is removed as a whole.
-3. *Ties.* Where a bucket has several ranks, the windows of the first run of each rank are named one by one, and those
-   that an earlier document's run shares are removed.
+3. *Ties.* Where a bucket has several ranks, the first run of each rank is sent to one task, which names its windows one
+   by one; those that an earlier document's run shares are removed. Runs of a bucket with more than ``SMALL`` ranks are
+   named where they are and sent window by window, so that no task gets an unbounded bucket.
 
 All four visits to the texts (samples, ranks, ties, result) read one exchange by block. A block settles what repeats
 inside it, so no key of the later exchanges has more rows than there are blocks. Names have 64 bits, ranks 128.
@@ -26,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ from .base import materialize, texts
 LENGTH, GRAM = 50, 25
 BLOCK_BYTES = 6 << 20
 CHUNK = 1 << 20
+SMALL = 64
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -86,9 +89,13 @@ class Runs:
         last = np.r_[first[1:] - 1, len(window) - 1][: len(first)]
         self.owner, at, self.end = owner[first], sample[first], window[last]
         self.begin = window[first]
-        self.bucket = grams[at]
-        shape = ((self.end - self.begin) * 64 + at - self.begin).astype(np.uint64)
-        self.rank = _mix(window_names(grams, self.begin) * ODD[3] + window_names(grams, self.end) + _mix(shape))
+        self.bucket, self.sample = grams[at], at
+
+    def ranks(self, use: np.ndarray) -> np.ndarray:
+        """Ranks of some of the runs."""
+        begin, end = self.begin[use], self.end[use]
+        shape = ((end - begin) * 64 + self.sample[use] - begin).astype(np.uint64)
+        return _mix(window_names(self.grams, begin) * ODD[3] + window_names(self.grams, end) + _mix(shape))
 
 
 def _rows(block: pa.Table) -> list[tuple[int, int, bytes]]:
@@ -132,31 +139,47 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.r_[np.frombuffer(data[1:9], np.uint64), steps], dtype=np.uint64)
 
 
-def _samples(rows, whole, shift: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """A block's distinct samples, cut to the exchanged bits, and which of them two of its documents hold."""
-    tokens, owners = [], []
-    for part in _chunks(rows, whole):
-        runs = Runs([r[2] for r in part])
-        tokens.append(runs.bucket >> shift << shift)
-        owners.append(np.array([r[0] for r in part], np.int64)[runs.owner])
-    if not tokens:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    token, owner = np.concatenate(tokens), np.concatenate(owners)
+def _distinct(token: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct samples, and which of them two of its documents hold."""
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
-    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
-    return token[first], several
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+    if not len(first):
+        return token, np.zeros(0, bool)
+    return token[first], np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+
+
+def place_of(begin: np.ndarray, end: np.ndarray, sub: np.ndarray) -> np.ndarray:
+    """First window, number of windows and the text's ordinal in one number."""
+    return begin.astype(np.int64) << 32 | np.minimum(end - begin, 0xFFFF).astype(np.int64) << 16 | sub.astype(np.int64)
+
+
+def unplace(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    begin = place >> 32
+    return begin, begin + (place >> 16 & 0xFFFF), place & 0xFFFF
+
+
+def ranges_of(doc: np.ndarray, at: np.ndarray, sub: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of documents joined to ranges of neighbours: the documents, and the places."""
+    order = np.lexsort((at, sub, doc))
+    doc, at, sub = doc[order], at[order], sub[order]
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1]) | (at[1:] - at[:-1] > 1)][: len(doc)])
+    last = np.r_[first[1:] - 1, len(doc) - 1][: len(first)]
+    pieces = (at[last] - at[first]) // 0xFFFF + 1
+    k = np.repeat(np.arange(len(first)), pieces)
+    begin = at[first][k] + 0xFFFF * (np.arange(len(k)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    return doc[first][k], place_of(begin, np.minimum(begin + 0xFFFE, at[last][k]), sub[first][k])
 
 
 def _table(columns: dict[str, np.ndarray], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-RUN = pa.schema([("bucket", pa.int64()), ("rank", pa.int64()), ("known", pa.bool_()), ("doc_id", pa.int64()), ("sub", pa.int32()), ("begin", pa.int32()), ("end", pa.int32()), ("block", pa.int64())])
-RUN_DDL = "bucket long, rank long, known boolean, doc_id long, sub int, begin int, end int, block long"
-TIE = pa.schema([("name", pa.int64()), ("known", pa.bool_()), ("doc_id", pa.int64()), ("sub", pa.int32()), ("begin", pa.int32()), ("end", pa.int32()), ("block", pa.int64())])
-TIE_DDL = "name long, known boolean, doc_id long, sub int, begin int, end int, block long"
+RUN = pa.schema([("bucket", pa.int64()), ("rank", pa.int64()), ("known", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int64())])
+RUN_DDL = "bucket long, rank long, known boolean, doc_id long, place long"
+TIE = pa.schema([("part", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("run", pa.binary())])
+TIE_DDL = "part long, key long, doc_id long, place long, run binary"
+COVER = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
 
 
 def _settle(key: list[np.ndarray], doc: np.ndarray, spare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,16 +219,17 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = keys.groupBy("digest", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).filter(f"rows > 1 and n >= {LENGTH}").select("digest", "first")
     copies = materialize(keys.join(firsts, "digest").filter("doc_id > first").select("doc_id", "n", block).distinct(), "suffix-copies")
     dealt = docs.select("doc_id", "text", block)
-    whole_rows = copies.select("block", "doc_id", F.lit(None).cast("binary").alias("flags"), F.lit(None).cast("long").alias("part"), F.lit(None).cast("int").alias("begin"), F.lit(None).cast("int").alias("end"), F.lit(None).cast("int").alias("sub"))
-
-    def whole_of(side: pa.Table) -> set[int]:
-        return {d for d, n in zip(side["doc_id"].to_pylist(), side["n"].to_pylist() if "n" in side.column_names else side["doc_id"].to_pylist(), strict=True) if d is not None}
 
     def offer(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens, _ = _samples(_rows(left), whole_of(right), shift)
-        ranges = _ranges(tokens, blocks)
-        cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]][: len(tokens)])
-        packed = [_pack(tokens[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(tokens)], strict=True)]
+        tokens, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for part in _chunks(_rows(left), set(right["doc_id"].to_pylist())):
+            runs = Runs([r[2] for r in part])
+            tokens.append(runs.bucket >> shift << shift)
+            owners.append(np.array([r[0] for r in part], np.int64)[runs.owner])
+        token, _ = _distinct(np.concatenate(tokens), np.concatenate(owners))
+        ranges = _ranges(token, blocks)
+        cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]][: len(token)])
+        packed = [_pack(token[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(token)][: len(cuts)], strict=True)]
         return pa.table({"part": pa.array(ranges[cuts]), "block": pa.array([key[0].as_py()] * len(cuts), pa.int64()), "tokens": pa.array(packed, pa.binary())})
 
     def count(group: pa.Table) -> pa.Table:
@@ -216,63 +240,97 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.table({"block": group["block"], "part": group["part"], "flags": pa.array(flags, pa.binary())})
 
     def rank(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = _rows(left)
-        flagged = right.filter(pa.compute.is_valid(right["flags"]))
         whole = {d for d in right["doc_id"].to_pylist() if d is not None}
-        tokens, several = _samples(rows, whole, shift)
+        found = []
+        for part in _chunks(_rows(left), whole):
+            runs = Runs([r[2] for r in part])
+            ids, subs = np.array([r[0] for r in part], np.int64), np.array([r[1] for r in part], np.int64)
+            found.append((runs.bucket, runs.ranks(np.arange(len(runs.bucket))), ids[runs.owner], subs[runs.owner], runs.begin - runs.starts[runs.owner], runs.end - runs.starts[runs.owner]))
+        if not found:
+            return RUN.empty_table()
+        bucket, name, doc, sub, begin, end = (np.concatenate(c) for c in zip(*found, strict=True))
+        token = bucket >> shift << shift
+        tokens, live = _distinct(token, doc)
         ranges = _ranges(tokens, blocks)
-        live = several.copy()
-        for part, flags in zip(flagged["part"].to_pylist(), flagged["flags"].to_pylist(), strict=True):
-            a, b = np.searchsorted(ranges, [part, part + 1])
-            live[a:b] |= np.unpackbits(np.frombuffer(flags, np.uint8), count=b - a).astype(bool)
+        for part, flags in zip(right["part"].to_pylist(), right["flags"].to_pylist(), strict=True):
+            if flags is not None:
+                a, b = np.searchsorted(ranges, [part, part + 1])
+                live[a:b] |= np.unpackbits(np.frombuffer(flags, np.uint8), count=b - a).astype(bool)
         tokens = tokens[live]
-        out: list[list[np.ndarray]] = []
-        for part in _chunks(rows, whole):
-            runs = Runs([r[2] for r in part])
-            token = runs.bucket >> shift << shift
-            at = np.minimum(np.searchsorted(tokens, token), max(0, len(tokens) - 1))
-            use = np.flatnonzero(tokens[at] == token) if len(tokens) else np.zeros(0, np.int64)
-            own = runs.owner[use]
-            base = runs.starts[own]
-            ids, subs = np.array([r[0] for r in part], np.int64), np.array([r[1] for r in part], np.int32)
-            out.append([runs.bucket[use].view(np.int64), runs.rank[use].view(np.int64), ids[own], subs[own], (runs.begin[use] - base).astype(np.int32), (runs.end[use] - base).astype(np.int32)])
-        if not out:
+        if not len(tokens):
             return RUN.empty_table()
-        bucket, name, doc, sub, begin, end = (np.concatenate(c) for c in zip(*out, strict=True))
-        spare = _mix(doc.view(np.uint64) * ODD[0] + begin.astype(np.uint64)).view(np.int64)
+        use = tokens[np.minimum(np.searchsorted(tokens, token), len(tokens) - 1)] == token
+        bucket, name, doc, place = bucket[use].view(np.int64), name[use].view(np.int64), doc[use], place_of(begin[use], end[use], sub[use])
+        spare = _mix(doc.view(np.uint64) * ODD[0] + place.view(np.uint64)).view(np.int64)
         known, name = _settle([bucket, name], doc, spare)
-        return _table({"bucket": np.where(known, spare, bucket), "rank": name, "known": known, "doc_id": doc, "sub": sub, "begin": begin, "end": end, "block": np.full(len(doc), key[0].as_py())}, RUN)
+        return _table({"bucket": np.where(known, spare, bucket), "rank": name, "known": known, "doc_id": doc, "place": place}, RUN)
 
     def ties(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        wanted: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for d, s, b, e in zip(*(right[c].to_pylist() for c in ("doc_id", "sub", "begin", "end")), strict=True):
-            wanted.setdefault((d, s), []).append((b, e))
-        out: list[list[np.ndarray]] = []
-        for part in _chunks([r for r in _rows(left) if (r[0], r[1]) in wanted], set()):
-            data = np.frombuffer(b"".join(r[2] for r in part) + bytes(LENGTH + 8), np.uint8)
-            grams, base = gram_names(data), 0
-            for d, s, t in part:
-                spans = np.array(wanted[(d, s)], np.int64)
-                sizes = spans[:, 1] - spans[:, 0] + 1
-                at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(spans[:, 0], sizes)
-                out.append([window_names(grams, at + base).view(np.int64), np.full(len(at), d), np.full(len(at), s, np.int32), at.astype(np.int32)])
-                base += len(t)
-        if not out:
-            return TIE.empty_table()
-        name, doc, sub, at = (np.concatenate(c) for c in zip(*out, strict=True))
-        known, name = _settle([name], doc, _mix(doc.view(np.uint64) * ODD[0] + at.astype(np.uint64)).view(np.int64))
-        return _table({"name": name, "known": known, "doc_id": doc, "sub": sub, "begin": at, "end": at, "block": np.full(len(doc), key[0].as_py())}, TIE)
+        wanted: dict[tuple[int, int], list[tuple[int, int, int, bool]]] = {}
+        b, e, s = unplace(right["place"].to_numpy())
+        for d, sub, begin, end, bucket, large in zip(right["doc_id"].to_pylist(), s.tolist(), b.tolist(), e.tolist(), right["bucket"].to_pylist(), right["large"].to_pylist(), strict=True):
+            wanted.setdefault((d, sub), []).append((begin, end, bucket, large))
+        small: list[tuple] = []
+        names, docs_, subs, ats = [], [], [], []
+        for d, sub, t in _rows(left):
+            runs = wanted.get((d, sub), ())
+            small += [(bucket, d, (begin << 32) | ((end - begin) << 16) | sub, t[begin : end + LENGTH]) for begin, end, bucket, large in runs if not large]
+            if big := [(begin, end) for begin, end, _, large in runs if large]:
+                at = np.concatenate([np.arange(begin, end + 1) for begin, end in big])
+                names.append(window_names(gram_names(np.frombuffer(t + bytes(LENGTH + 8), np.uint8)), at).view(np.int64))
+                docs_.append(np.full(len(at), d))
+                subs.append(np.full(len(at), sub))
+                ats.append(at)
+        out = [TIE.empty_table()]
+        if small:
+            keys, ids, places, data = zip(*small, strict=True)
+            keys = np.array(keys, np.int64)
+            out.append(pa.table([pa.array((_mix(keys.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)), pa.array(keys), pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(data, pa.binary())], schema=TIE))
+        if names:
+            name, doc, sub, at = (np.concatenate(x) for x in (names, docs_, subs, ats))
+            known, _ = _settle([name], doc, name)
+            done, places = ranges_of(doc[known], at[known], sub[known])  # settled in the block; they travel as ranges
+            keys = np.r_[name[~known], _mix(done.view(np.uint64) + places.view(np.uint64)).view(np.int64)]
+            ids, at_ = np.r_[doc[~known], done], np.r_[place_of(at[~known], at[~known], sub[~known]), places]
+            marks = pa.array([None] * int((~known).sum()) + [b""] * len(done), pa.binary())
+            out.append(pa.table([pa.array((_mix(keys.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)), pa.array(keys), pa.array(ids), pa.array(at_), marks], schema=TIE))
+        return pa.concat_tables(out)
+
+    def resolve(group: pa.Table) -> pa.Table:
+        doc, place = group["doc_id"].to_numpy(), group["place"].to_numpy()
+        key = group["key"].to_numpy()
+        data = group["run"].combine_chunks()
+        single = np.asarray(data.is_null())
+        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(data), 0)).astype(np.int64)
+        done = ~single & (sizes == 0)
+        runs = np.flatnonzero(sizes)
+        raw = np.frombuffer(b"".join(data.take(pa.array(runs)).to_pylist()) + bytes(LENGTH + 8), np.uint8)
+        grams, lengths = gram_names(raw), sizes[runs]
+        windows = lengths - LENGTH + 1
+        inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        own = np.repeat(runs, windows)
+        name = window_names(grams, np.repeat(np.cumsum(lengths) - lengths, windows) + inside) if len(runs) else np.zeros(0, np.uint64)
+        one = np.flatnonzero(single)
+        begin, _, sub = unplace(place)
+        every = np.r_[own, one]
+        name = np.r_[_mix(name + key[own].view(np.uint64)), key[one].view(np.uint64)]
+        at = np.r_[begin[own] + inside, begin[one]]
+        known, _ = _settle([name], doc[every], name)
+        docs_, places = ranges_of(doc[every][known], at[known], sub[every][known])
+        return _table({"doc_id": np.r_[docs_, doc[done]], "place": np.r_[places, place[done]]}, COVER)
 
     schema = RESULT if keep_text else RESULT.remove(5)
 
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         whole: set[int] = set()
-        for d, s, b, e in zip(*(right[c].to_pylist() for c in ("doc_id", "sub", "begin", "end")), strict=True):
-            if b is None:
-                whole.add(d)
+        places = right["place"]
+        b, e, s = (x.tolist() for x in unplace(np.asarray(pa.compute.fill_null(places, 0)).astype(np.int64)))
+        for d, given, sub, begin, end in zip(right["doc_id"].to_pylist(), pa.compute.is_valid(places).to_pylist(), s, b, e, strict=True):
+            if given:
+                spans.setdefault((d, sub), []).append((begin, end))
             else:
-                spans.setdefault((d, s), []).append((b, e))
+                whole.add(d)
         order = {(d, t): s for d, s, t in _rows(left)}
         out = []
         for d, text in zip(left["doc_id"].to_pylist(), left["text"].to_pylist(), strict=True):
@@ -288,17 +346,20 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema) if out else schema.empty_table()
 
     by_block = dealt.groupBy("block")
-    offers = by_block.cogroup(copies.groupBy("block")).applyInArrow(offer, "part long, block long, tokens binary")
+    offers = by_block.cogroup(copies.select("block", "doc_id").groupBy("block")).applyInArrow(offer, "part long, block long, tokens binary")
     flags = offers.groupBy("part").applyInArrow(count, "block long, part long, flags binary")
-    side = flags.select("block", F.lit(None).cast("long").alias("doc_id"), "flags", "part").unionByName(copies.select("block", "doc_id", F.lit(None).cast("binary").alias("flags"), F.lit(None).cast("long").alias("part")))
+    none = lambda t: F.lit(None).cast(t)
+    side = flags.select("block", none("long").alias("doc_id"), "flags", "part").unionByName(copies.select("block", "doc_id", none("binary").alias("flags"), none("long").alias("part")))
     runs = by_block.cogroup(side.groupBy("block")).applyInArrow(rank, RUN_DDL)
+    # the three uses of the ranks read the same columns, so that Spark builds and keeps their exchange once
     ranked = runs.withColumn("first", F.min("doc_id").over(Window.partitionBy("bucket", "rank")))
-    covered = ranked.filter("known or doc_id > first").select("block", "doc_id", "sub", "begin", "end")
-    leaders = ranked.filter("not known and doc_id = first")
-    mixed = leaders.groupBy("bucket").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).filter("a != b").select("bucket")
-    wanted = leaders.join(mixed, "bucket").select("block", "doc_id", "sub", "begin", "end")
+    covered = ranked.filter("known or doc_id > first").select("doc_id", "place")
+    leaders = ranked.filter("not known and doc_id = first and place >= 0")
+    ranks = leaders.groupBy("bucket").agg(F.min("rank").alias("a"), F.max("rank").alias("b"), F.count("*").alias("n"), F.max("place").alias("p"))
+    mixed = ranks.filter("a != b and p >= 0").select("bucket", (F.col("n") > SMALL).alias("large"))
+    wanted = leaders.join(mixed, "bucket").select(block, "doc_id", "place", "bucket", "large")
     tied = by_block.cogroup(wanted.groupBy("block")).applyInArrow(ties, TIE_DDL)
-    shared = tied.withColumn("first", F.min("doc_id").over(Window.partitionBy("name"))).filter("known or doc_id > first").select("block", "doc_id", "sub", "begin", "end")
-    found = covered.unionByName(shared).unionByName(whole_rows.select("block", "doc_id", "sub", "begin", "end"))
+    shared = tied.groupBy("part").applyInArrow(resolve, "doc_id long, place long")
+    found = covered.unionByName(shared).unionByName(copies.select("doc_id", none("long").alias("place"))).withColumn("block", block)
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     return by_block.cogroup(found.groupBy("block")).applyInArrow(finish, ddl)
