@@ -216,9 +216,9 @@ def match_lines(gt: DataFrame, pred: DataFrame, half: float = 1.0) -> DataFrame:
 
     def run(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
-        right = dict(list(p.groupby(["scenario_no", "frame_ts_us"])))
+        right = dict(list(p.groupby(["scenario_no", "frame_ts_us"]))) if len(p) else {}
         line = lambda ps: np.array(sorted((q["x"], q["y"]) for q in ps))
-        for key, a in g.groupby(["scenario_no", "frame_ts_us"]):
+        for key, a in g.groupby(["scenario_no", "frame_ts_us"]) if right and len(g) else ():
             if (b := right.get(key)) is not None:
                 overlap = np.array([[strip_iou(line(x), line(y), half) for y in b.points] for x in a.points])
                 same = a.type.to_numpy()[:, None] == b.type.to_numpy()[None]
@@ -229,4 +229,5 @@ def match_lines(gt: DataFrame, pred: DataFrame, half: float = 1.0) -> DataFrame:
 
     group = F.floor(F.col("frame_ts_us") / 25_600_000).alias("_g")
     need = ["scenario_no", "frame_ts_us", "id", "type", "points", group]
-    return gt.select(*need).groupBy("scenario_no", "_g").cogroup(pred.select(*need).groupBy("scenario_no", "_g")).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id string, pred_id string, iou double")
+    right = pred.select(*need).select(*[F.col(k).alias(k) for k in (*need[:-1], "_g")])  # new attributes, in case both sides stem from one table
+    return gt.select(*need).groupBy("scenario_no", "_g").cogroup(right.groupBy("scenario_no", "_g")).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id string, pred_id string, iou double")

@@ -152,9 +152,9 @@ def match_objects(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: flo
         return np.where(ok & ~clash, np.hypot(dx, dy) * np.where(gt_ == pt, 1.0, 1.5), 500.0)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        other = dict(list(right.groupby(["scenario_no", "frame_ts_us"])))
+        other = dict(list(right.groupby(["scenario_no", "frame_ts_us"]))) if len(right) else {}
         out = []
-        for key, g in left.groupby(["scenario_no", "frame_ts_us"]):
+        for key, g in left.groupby(["scenario_no", "frame_ts_us"]) if other and len(left) else ():
             if (p := other.get(key)) is not None:
                 g, p = g.sort_values("id"), p.sort_values("id")
                 cost = costs(g, p)
@@ -162,5 +162,5 @@ def match_objects(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: flo
         return pd.DataFrame(out, columns=["scenario_no", "frame_ts_us", "gt_id", "pred_id"]).astype("int64")
 
     group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
-    a, b = gt.select(*need, group).groupBy("scenario_no", "_g"), pred.select(*need, group).groupBy("scenario_no", "_g")
-    return a.cogroup(b).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id long, pred_id long")
+    right = pred.select(*need, group).select(*[F.col(k).alias(k) for k in (*need, "_g")])  # new attributes, in case both sides stem from one table
+    return gt.select(*need, group).groupBy("scenario_no", "_g").cogroup(right.groupBy("scenario_no", "_g")).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id long, pred_id long")

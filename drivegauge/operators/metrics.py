@@ -112,8 +112,11 @@ def lateral_error(df: DataFrame, bands: tuple[tuple[int, int], ...] = ((0, 30),
         return F.abs(q["y"] - (left["y"] + share * (right["y"] - left["y"])))
 
     inner = F.filter(p, lambda q: (q["x"] >= F.array_min(F.transform(g, lambda t: t["x"]))) & (q["x"] <= F.array_max(F.transform(g, lambda t: t["x"]))))
+    def within(low: int, high: int) -> Column:
+        return F.filter(inner, lambda q: (q["x"] >= low) & (q["x"] < high))
+
     for low, high in bands:
-        own = F.filter(inner, lambda q, a=low, b=high: (q["x"] >= a) & (q["x"] < b))
+        own = within(low, high)
         total = F.aggregate(F.transform(own, offset), F.lit(0.0), lambda a, v: a + v)
         df = df.withColumn(f"lateral_{low}_{high}", F.when(F.size(own) >= least, total / F.size(own)))
     return df

@@ -67,8 +67,8 @@ def match_slots(gt: DataFrame, pred: DataFrame, tol: float = 0.5) -> DataFrame:
 
     def run(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
-        right = dict(list(p.groupby("frame_ts_us")))
-        for stamp, a in g.groupby("frame_ts_us"):
+        right = dict(list(p.groupby("frame_ts_us"))) if len(p) else {}
+        for stamp, a in g.groupby("frame_ts_us") if right and len(g) else ():
             if (b := right.get(stamp)) is None:
                 continue
             dx, dy = np.abs(a.center_x.to_numpy()[:, None] - b.center_x.to_numpy()[None]), np.abs(a.center_y.to_numpy()[:, None] - b.center_y.to_numpy()[None])
@@ -82,4 +82,5 @@ def match_slots(gt: DataFrame, pred: DataFrame, tol: float = 0.5) -> DataFrame:
 
     need = ["frame_ts_us", "id", "center_x", "center_y", *corners]
     g = F.floor(c("frame_ts_us") / 25_600_000).alias("_g")
-    return gt.select(*need, g).groupBy("_g").cogroup(pred.select(*need, g).groupBy("_g")).applyInPandas(lambda x, y: run(x, y), "frame_ts_us long, gt_id long, pred_id long, corner_order string")
+    right = pred.select(*need, g).select(*[F.col(k).alias(k) for k in (*need, "_g")])  # new attributes, in case both sides stem from one table
+    return gt.select(*need, g).groupBy("_g").cogroup(right.groupBy("_g")).applyInPandas(lambda x, y: run(x, y), "frame_ts_us long, gt_id long, pred_id long, corner_order string")
