@@ -49,6 +49,18 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator
         yield batch.slice(start)
 
 
+_OWNER: list[tuple[str, Callable[[], None]]] = []
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Called in a Python worker by the operator that is at work: the memos of the one before it are emptied, since
+    workers outlive stages and would keep the memos of all operators they ever ran."""
+    if not _OWNER or _OWNER[0][0] != name:
+        for _, before in _OWNER:
+            before()
+        _OWNER[:] = [(name, clear)]
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: int = 1, limit: int = 4 << 20) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` slices of bounded text size."""
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .base import map_batches, texts
+from .base import claim, map_batches, texts
 from .chunks import SPLIT, Memo
 
 NONE = np.int64(1) << 60
@@ -143,6 +143,7 @@ class RankEncoder:
 
 def encoder(path: str, pattern: str) -> RankEncoder:
     """One encoder per Python worker."""
+    claim("byte_bpe", _STATE.clear)
     return _STATE.get(path) or _STATE.setdefault(path, RankEncoder(path, pattern))
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import map_batches, materialize, texts
+from .base import claim, map_batches, materialize, texts
 from .chunks import SEPARATORS, Memo
 
 _STATE: dict = {}
@@ -70,6 +70,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 4096, end_i
     width = 4 * capacity
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("packing", _STATE.clear)
         coder = _STATE.get(tokenizer_path) or _STATE.setdefault(tokenizer_path, WordTokenizer(tokenizer_path))
         end = end_id.to_bytes(4, "little")
         out: list[tuple] = []

@@ -7,6 +7,8 @@ import itertools
 
 import numpy as np
 
+from .base import claim
+
 WIDTH = 5
 #: A-Z to a-z on UTF-8 bytes, where no other character holds a byte below 128.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -20,7 +22,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes], limit: int = 800_000) -> np.ndarray:
+def word_hashes(words: list[bytes], limit: int = 500_000) -> np.ndarray:
     """Hashes of words, each distinct word being digested once per worker."""
     missing = set(words).difference(_WORDS)
     if len(_WORDS) + len(missing) > limit:
@@ -35,6 +37,7 @@ def shingle_sets(rows: list[bytes]) -> list[np.ndarray]:
 
     A text of fewer than five words has its whole sequence as one shingle, and one without words has none.
     """
+    claim("shingles", _WORDS.clear)
     split = [t.translate(LOWER).split() for t in rows]
     counts = np.array([len(w) for w in split], np.int64)
     if not counts.sum():

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import materialize, slices, texts
+from .base import claim, materialize, slices, texts
 
 #: Weights of the shingles by their number of words. A text of one word has that word as its term.
 WEIGHTS = {2: 1, 3: 1}
@@ -35,6 +35,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words, each distinct word being digested once per worker."""
+    claim("simhash", _WORDS.clear)
     missing = set(words).difference(_WORDS)
     if len(_WORDS) > 800_000:
         _WORDS.clear()

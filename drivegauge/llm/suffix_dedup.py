@@ -31,7 +31,7 @@ import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import materialize, texts
+from .base import claim, materialize, texts
 
 LENGTH, GRAM = 50, 25
 BLOCK_BYTES = 6 << 20
@@ -100,6 +100,7 @@ class Runs:
 
 def _rows(block: pa.Table) -> list[tuple[int, int, bytes]]:
     """``(id, ordinal among the id's texts, text)`` of a block's rows that have an id, repeated rows once."""
+    claim("suffix_dedup", lambda: None)
     found = sorted({(d, t) for d, t in zip(block["doc_id"].to_pylist(), block["text"].to_pylist(), strict=True) if d is not None})
     out: list[tuple[int, int, bytes]] = []
     for d, t in found:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_batches, materialize, texts
+from .base import claim, map_batches, materialize, texts
 from .chunks import SPLIT, Memo
 
 _STATE: dict = {}
@@ -76,10 +76,12 @@ def token_counts(df: DataFrame, tokenizer_path: str, cache_path: str, limit: int
     todo = keyed.join(side, on, "left_semi")
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("token_counts", _STATE.clear)
         counter = _STATE.get(tokenizer_path) or _STATE.setdefault(tokenizer_path, LibraryCounter(tokenizer_path))
         counts = counter.counts(batch.column(1).to_pylist())
         return pa.record_batch([pa.array([tag] * len(counts), pa.string()), batch.column(0).cast(pa.binary()), pa.array(counts, pa.int64())], ["tokenizer", "digest", "n_tokens"])
 
-    map_batches(todo.select("digest", "text"), encode, schema).write.mode("append").parquet(cache_path)
+    found = map_batches(todo.select("digest", "text"), encode, schema).groupBy("tokenizer", "digest").agg(F.max("n_tokens").alias("n_tokens"))  # rows repeated as a whole
+    found.write.mode("append").parquet(cache_path)
     counts = spark.read.schema(schema).parquet(cache_path).filter(F.col("tokenizer") == tag).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return keys.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
