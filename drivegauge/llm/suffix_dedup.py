@@ -36,7 +36,7 @@ from .base import claim, materialize, texts
 LENGTH, GRAM = 50, 25
 BLOCK_BYTES = 6 << 20
 CHUNK = 1 << 20
-SMALL = 64
+SMALL = 256
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -353,7 +353,7 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     side = flags.select("block", none("long").alias("doc_id"), "flags", "part").unionByName(copies.select("block", "doc_id", none("binary").alias("flags"), none("long").alias("part")))
     runs = by_block.cogroup(side.groupBy("block")).applyInArrow(rank, RUN_DDL)
     # the three uses of the ranks read the same columns, so that Spark builds and keeps their exchange once
-    ranked = runs.withColumn("first", F.min("doc_id").over(Window.partitionBy("bucket", "rank")))
+    ranked = runs.filter("bucket is not null").withColumn("first", F.min("doc_id").over(Window.partitionBy("bucket", "rank")))
     covered = ranked.filter("known or doc_id > first").select("doc_id", "place")
     leaders = ranked.filter("not known and doc_id = first and place >= 0")
     ranks = leaders.groupBy("bucket").agg(F.min("rank").alias("a"), F.max("rank").alias("b"), F.count("*").alias("n"), F.max("place").alias("p"))
