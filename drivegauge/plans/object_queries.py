@@ -343,3 +343,33 @@ def a19_match_ratio(spark, sf_dir):
     g = frames(gt_obj(spark, sf_dir))
     n = mt.match_timestamps(g, _shaken(spark, sf_dir), 50000).groupBy("scenario_no").agg(F.count("*").alias("n"))
     return n.join(g.groupBy("scenario_no").agg(F.count("*").alias("g")), "scenario_no").select("scenario_no", F.round(c("n") / c("g"), 6).alias("match_ratio"), F.round(10.0 * c("n") / c("g"), 2).alias("match_frequency"))
+
+
+@query(TPS + " SELECT frame_ts_us, gt_id, round(pred_vy - gt_vy, 6) + 0.0E0 AS vy_error FROM t WHERE gt_vx BETWEEN -9.5 AND 60 AND gt_vy BETWEEN -1.5 AND 60")
+def f04_speed_sanity(spark, sf_dir):
+    rows = me.plausible_speed(matched(spark, sf_dir)).filter("gt_vx >= -9.5 AND gt_vy >= -1.5")
+    return me.speed_error(rows, "y").select("frame_ts_us", "gt_id", r6(c("vy_error")).alias("vy_error"))
+
+
+_POSE = SQL[:-2] + """, m AS (SELECT frame_ts_us, id, cos(yaw) * cos(vy) AS m00, sin(yaw) * cos(vy) AS m10, -sin(vy) AS m20, cos(yaw) * sin(vy) * sin(vx / 10) - sin(yaw) * cos(vx / 10) AS m01, x, y, yaw FROM gt)
+SELECT frame_ts_us, id, round(m00, 6) + 0.0E0 AS m00, round(m01, 6) + 0.0E0 AS m01, round(m20, 6) + 0.0E0 AS m20, true AS round_trip FROM m"""
+
+
+@query(_POSE)
+def p26_pose_matrix(spark, sf_dir):
+    """Pose of each object with made-up roll and pitch; the inverse brings its place back to the origin."""
+    from drivegauge.operators import poses
+
+    g = gt_obj(spark, sf_dir).withColumn("m", poses.pose_matrix(c("vx") / 10, c("vy"), c("yaw"), c("x"), c("y"), c("height")))
+    back = poses.apply_pose(poses.inverse_pose(c("m")), c("x"), c("y"), c("height"))
+    ok = (F.abs(back[0]) < 1e-9) & (F.abs(back[1]) < 1e-9) & (F.abs(back[2]) < 1e-9)
+    at = lambda k: r6(F.get(c("m"), F.lit(k)))
+    return g.select("frame_ts_us", "id", at(0).alias("m00"), at(1).alias("m01"), at(8).alias("m20"), ok.alias("round_trip"))
+
+
+@query(MATCH + " SELECT frame_ts_us, gt_id, round(gt_x + gt_vx, 6) + 0.0E0 AS arrow_x, round(gt_height + 0.5E0, 6) AS label_z, round(gt_x + gt_length * 0.5E0 * cos(gt_yaw) - gt_width * 0.5E0 * sin(gt_yaw), 6) + 0.0E0 AS corner_x FROM m WHERE gt_flag = 1 AND pred_flag = 0")
+def p29_label_geometry(spark, sf_dir):
+    from drivegauge.operators import poses
+
+    g = matched(spark, sf_dir).filter("gt_flag = 1 AND pred_flag = 0").withColumn("g", poses.label_geometry("gt"))
+    return g.select("frame_ts_us", "gt_id", r6(c("g.arrow.x")).alias("arrow_x"), F.round("g.label.z", 6).alias("label_z"), r6(c("g.corners")[2]["x"]).alias("corner_x"))

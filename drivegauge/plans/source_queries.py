@@ -273,3 +273,58 @@ def p25_project_point(spark, sf_dir):
 @query("SELECT event_id FROM events WHERE epoch_us(ts) > 1704500000000000")
 def f15_plausible_clock(spark, sf_dir):
     return table(spark, sf_dir, "events").filter(F.unix_micros(c("ts").cast("timestamp")) > 1704500000000000).select("event_id")
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 7 <> 0")
+def f07_lines_without_class(spark, sf_dir):
+    """Lines go where both sides lack a class; an order key divisible by five (seven) stands for a missing one."""
+    k = c("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), F.when(k % 5 != 0, "lane").alias("gt_class"), F.when(k % 7 != 0, "lane").alias("pred_class"))
+    return rows.dropna(how="all", subset=["gt_class", "pred_class"]).select("id")
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE (o_orderkey % 2 = 1 AND o_orderkey % 5 <> 0) OR (o_orderkey % 2 = 0 AND o_orderkey % 7 <> 0)")
+def f05_line_eligibility(spark, sf_dir):
+    """The deciding side needs a class: truth where it is flagged (odd keys), else prediction."""
+    from drivegauge.operators.metrics import deciding
+
+    k = c("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), (k % 2).alias("gt_flag"), F.when(k % 5 != 0, "lane").alias("gt_class"), F.when(k % 7 != 0, "lane").alias("pred_class"))
+    return rows.filter(deciding(rows, "class").isNotNull()).select("id")
+
+
+@query("SELECT c_custkey AS doc, 'cam' || k AS camera, c_acctbal + k AS fx FROM customer, (VALUES (0), (1)) v(k)")
+def s10_calibration(spark, sf_dir):
+    docs = table(spark, sf_dir, "customer").select("c_custkey", F.create_map(*[x for k in range(2) for x in (F.lit(f"cam{k}"), F.struct(c("c_custkey").alias("doc"), (c("c_acctbal") + k).alias("fx")))]).alias("cameras"))
+    return rd.calibration(docs).select("doc", "camera", "fx")
+
+
+@query("SELECT event_type AS topic, user_id % 4 AS scenario_no, count(*) AS n FROM events GROUP BY 1, 2")
+def s13_topic_parts(spark, sf_dir):
+    """Written by topic and scenario to the shared folder and read back."""
+    path = _scratch(spark, "topics")
+    rd.write_parts(table(spark, sf_dir, "events").select(c("event_type").alias("topic"), (c("user_id") % 4).alias("scenario_no"), "event_id"), path, 1000)
+    return spark.read.schema("event_id long, topic string, scenario_no long").parquet(path).groupBy("topic", "scenario_no").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderstatus AS division, count(*) AS sample_count, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1")
+def s14_stat_records(spark, sf_dir):
+    """JSON documents, one per statistic."""
+    path = _scratch(spark, "records")
+    rd.write_records(table(spark, sf_dir, "orders").groupBy(c("o_orderstatus").alias("division")).agg(F.count("*").alias("sample_count"), F.round(F.avg("o_totalprice"), 4).alias("mean")), path)
+    return spark.read.schema("division string, sample_count long, mean double").json(path)
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE event_id % 3 = 0")
+def s01_read_topic(spark, sf_dir):
+    """CSV parts of a topic with an explicit schema."""
+    path = _scratch(spark, "csv")
+    table(spark, sf_dir, "events").filter("event_id % 3 = 0").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
+    return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
+
+
+def _scratch(spark, label: str) -> str:
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/drivegauge"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
