@@ -123,7 +123,7 @@ def token_rows(docs: DataFrame) -> DataFrame:
 def prefixes(docs: DataFrame) -> DataFrame:
     """``doc_id, n, alone, prefix``: the tokens of the prefix that other sets hold too, rare ones first, with positions.
 
-    ``shared`` counts the tokens before that other sets hold; ``alone`` tells that tokens of no other set come first.
+    ``alone`` tells that the prefix begins with tokens of no other set.
     """
     rows = token_rows(docs)
     frequency = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -131,21 +131,20 @@ def prefixes(docs: DataFrame) -> DataFrame:
     unique = F.col("n") - F.size("live")
     length = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
     kept = known.withColumn("unique", unique).withColumn("length", length.cast("int")).filter("unique < length")
-    numbered = F.transform(F.slice("live", F.lit(1), F.col("length") - F.col("unique")), lambda x, i: F.struct((i + F.col("unique")).cast("int").alias("pos"), i.cast("int").alias("shared"), x["token"].alias("token")))
+    numbered = F.transform(F.slice("live", F.lit(1), F.col("length") - F.col("unique")), lambda x, i: F.struct((i + F.col("unique")).cast("int").alias("pos"), x["token"].alias("token")))
     return kept.select("doc_id", "n", (F.col("unique") > 0).alias("alone"), numbered.alias("prefix"))
 
 
-def may_link(n1, p1, s1, n2, p2, s2):
-    """Length filter, and position filter for a shared token at positions ``p1`` and ``p2``: of the tokens before it only
-    those that other sets hold (``s1``, ``s2``) can be common."""
-    bound = F.least(s1, s2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
+def may_link(n1, p1, n2, p2):
+    """Length filter, and position filter for the *first* token that two sets share, at positions ``p1`` and ``p2``: none
+    before it is common. A link is found at its first shared token, so the others need not pass."""
+    bound = 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
     return (F.least(n1, n2) * DEN >= F.greatest(n1, n2) * NUM) & (bound * (NUM + DEN) >= (n1 + n2) * NUM)
 
 
 def sides_may_link() -> Column:
     """The filters for two components at a token, by the extremes of their members there; exact for single members."""
-    bound = F.least("s1", "s2") + 1 + F.least("r1", "r2")
-    return (F.least("x1", "x2") * DEN >= F.greatest("m1", "m2") * NUM) & (bound * (NUM + DEN) >= (F.col("m1") + F.col("m2")) * NUM)
+    return (F.least("x1", "x2") * DEN >= F.greatest("m1", "m2") * NUM) & ((1 + F.least("r1", "r2")) * (NUM + DEN) >= (F.col("m1") + F.col("m2")) * NUM)
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -175,26 +174,26 @@ def class_links(docs: DataFrame) -> DataFrame:
     key = F.struct("n", F.transform("prefix", lambda x: x["token"]), F.when(F.col("alone"), F.col("doc_id")))
     groups = found.groupBy(key.alias("key")).agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.collect_set("doc_id").alias("members"), F.count("*").alias("size"))
     groups = materialize(groups.drop("key"), "groups")
-    postings = groups.select("gid", "n", F.explode("prefix").alias("x")).select(F.col("x.token").alias("token"), "gid", "n", F.col("x.pos").alias("pos"), F.col("x.shared").alias("shared"))
+    postings = groups.select("gid", "n", F.explode("prefix").alias("x")).select(F.col("x.token").alias("token"), "gid", "n", F.col("x.pos").alias("pos"))
     inner = groups.filter("size > 1").select(F.col("gid").alias("a"), F.explode("members").alias("b")).filter("a != b")
-    pivots = postings.groupBy("token").agg(F.min(F.struct("pos", "n", "gid", "shared")).alias("p"), F.count("*").alias("df")).filter("df > 1")
-    star = postings.join(pivots, "token").filter(F.col("gid") != F.col("p.gid")).filter(may_link(F.col("n"), F.col("pos"), F.col("shared"), F.col("p.n"), F.col("p.pos"), F.col("p.shared")))
+    pivots = postings.groupBy("token").agg(F.min(F.struct("pos", "n", "gid")).alias("p"), F.count("*").alias("df")).filter("df > 1")
+    star = postings.join(pivots, "token").filter(F.col("gid") != F.col("p.gid")).filter(may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos")))
     first = materialize(star.select(F.col("p.gid").alias("a"), F.col("gid").alias("b")).union(inner).distinct(), "star")
     links = materialize(verify(first, docs), "links")
     part = materialize(components(links), "components")
 
     # across components: postings of members, and per token every pair of different components
     members = groups.select("gid", F.explode("members").alias("doc_id")).join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    named = materialize(postings.join(members, "gid").select("token", "component", "doc_id", "n", "pos", "shared"), "postings")
+    named = materialize(postings.join(members, "gid").select("token", "component", "doc_id", "n", "pos"), "postings")
     rest_after = F.col("n") - F.col("pos") - 1
-    sides = named.groupBy("token", "component").agg(F.min("n").alias("m"), F.max("n").alias("x"), F.max("shared").alias("s"), F.max(rest_after).alias("r"))
+    sides = named.groupBy("token", "component").agg(F.min("n").alias("m"), F.max("n").alias("x"), F.max(rest_after).alias("r"))
     several = sides.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     sides = materialize(sides.join(several, "token"), "sides")
-    side = lambda k: sides.select("token", F.col("component").alias(f"c{k}"), *[F.col(v).alias(f"{v}{k}") for v in "mxsr"])
+    side = lambda k: sides.select("token", F.col("component").alias(f"c{k}"), *[F.col(v).alias(f"{v}{k}") for v in "mxr"])
     same = (F.col("token") == F.col("token2")) & (F.col("c1") < F.col("c2")) & sides_may_link()
     crossing = side(1).join(side(2).withColumnRenamed("token", "token2"), same).select("token", "c1", "c2")
-    member = lambda k, name: named.select("token", F.col("component").alias(f"c{k}"), F.col("doc_id").alias(name), F.col("n").alias(f"n{k}"), F.col("pos").alias(f"p{k}"), F.col("shared").alias(f"s{k}"))
-    pairs = crossing.join(member(1, "a"), ["token", "c1"]).join(member(2, "b"), ["token", "c2"]).filter(may_link(*[F.col(v) for v in ("n1", "p1", "s1", "n2", "p2", "s2")]))
+    member = lambda k, name: named.select("token", F.col("component").alias(f"c{k}"), F.col("doc_id").alias(name), F.col("n").alias(f"n{k}"), F.col("pos").alias(f"p{k}"))
+    pairs = crossing.join(member(1, "a"), ["token", "c1"]).join(member(2, "b"), ["token", "c2"]).filter(may_link(*[F.col(v) for v in ("n1", "p1", "n2", "p2")]))
     pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
     tried = first.union(first.select("b", "a"))
     rest = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "crossing")
