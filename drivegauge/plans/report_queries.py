@@ -463,9 +463,10 @@ def u02_intersection(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(c("s_nationkey").alias("k")).intersect(table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select("c_nationkey"))
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 7 = 0")
 def u03_difference(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(c("c_custkey").alias("k")).join(table(spark, sf_dir, "orders").select(c("o_custkey").alias("k")), "k", "left_anti").distinct()
+    seen = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F' AND o_orderkey % 7 = 0").select(c("o_custkey").alias("k"))
+    return table(spark, sf_dir, "customer").select(c("c_custkey").alias("k")).join(seen, "k", "left_anti").distinct()
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
