@@ -210,12 +210,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = sig.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     classes = materialize(classes, "classes")
     k = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(1), F.floor(F.col("n") / EXTRA)) * NUM / DEN))
-    chosen = materialize(survivors(docs).join(classes.select(F.col("rep").alias("doc_id"), "n"), "doc_id").filter(F.col("live") >= k).select("doc_id", "live"), "survivors")
-    kept = docs.join(chosen.filter("live > 0").select("doc_id"), "doc_id", "left_semi")
-    if not sig.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    named = docs.filter("doc_id is not null")  # rows without id stay in ``sig`` and are classed by digest alone
+    chosen = materialize(survivors(named).join(classes.select(F.col("rep").alias("doc_id"), "n"), "doc_id").filter(F.col("live") >= k).select("doc_id", "live"), "survivors")
+    kept = named.join(chosen.filter("live > 0").select("doc_id"), "doc_id", "left_semi")
+    if not sig.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         kept = kept.groupBy("doc_id").agg(F.min("text").alias("text"))
     kept = materialize(kept, "kept")
     part = class_links(kept)
-    named = classes.join(part, classes["rep"] == part["node"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    placed = classes.join(part, classes["rep"] == part["node"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return sig.join(named, ["d1", "d2"], "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return sig.join(placed, ["d1", "d2"], "left").select("doc_id", "n_shingles", own.alias("component_id"))

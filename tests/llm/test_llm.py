@@ -162,6 +162,17 @@ def test_near_duplicates(docs, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_without_ids(spark):
+    rng = random.Random(8)
+    a, b, c = words(rng, 60), words(rng, 60), words(rng, 60)
+    near = " ".join(a.split(" ")[:-1] + ["other"])
+    rows = [(4, a), (7, near), (None, a), (None, a), (None, near), (None, b), (None, b), (9, c), (None, None)]
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(frame(spark, rows)).collect())
+    assert got == collections.Counter([(4, 56, 4), (7, 56, 4), (9, 56, 9)] + [(None, 56, 4)] * 3 + [(None, 56, None)] * 2 + [(None, 0, None)])
+    alone = frame(spark, [(None, a), (None, near)])
+    assert [r["component_id"] for r in jaccard_join.near_duplicates(alone).collect()] == [None, None]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 40)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
