@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .base import map_batches, texts
+from .base import map_batches, materialize, texts
 
 BLOCK, RATE, UNIT = 1024, 8000, 64
 PRECISION, SHIFT, LPC_ORDER = 12, 8, 4
@@ -508,14 +508,5 @@ def features(media: DataFrame) -> DataFrame:
 
 
 def media_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes each text's payload as a FLAC stream, decodes the stream's bytes and describes them.
-
-    The streams are as large as the texts, so they pass from encoder to decoder inside the task; ``store`` writes
-    them where a table of media is wanted, and ``features`` and ``pcm_blocks`` read such a table.
-    """
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = batch.column(1).to_pylist()
-        return describe(batch.column(0).to_pylist(), [len(t.encode()) for t in rows], encode([payload(t) for t in rows]))
-
-    return map_batches(texts(df, id_col, text_col), run, FEATURES)
+    """Stores each text's payload as a FLAC stream in the shared folder and describes what the stored bytes decode to."""
+    return features(materialize(store(df, id_col, text_col), "media"))

@@ -254,6 +254,21 @@ def test_flac(docs, none):
         assert b"".join(parts[k] for k in sorted(parts)) == flac.payload(TEXTS[i])
 
 
+def test_flac_reads_stored_streams(spark, docs, monkeypatch):
+    written = []
+
+    def watched(df, label):
+        written.append(base.materialize(df, label))
+        return written[-1]
+
+    monkeypatch.setattr(flac, "materialize", watched, raising=False)
+    got = collections.Counter((r["doc_id"], r["media_sha256"], r["n_blocks"]) for r in flac.media_features(docs).collect())
+    assert len(written) == 1 and written[0].count() == len(sample()) and written[0].inputFiles()
+    stored = [(r["doc_id"], bytes(r["media"])) for r in written[0].collect()]
+    assert got == collections.Counter((i, hashlib.sha256(m).hexdigest(), len(flac.decode([m])[0])) for i, m in stored)
+    assert all(b"".join(b for _, _, b in flac.decode([m])[0]) == flac.payload(TEXTS[i]) for i, m in stored)
+
+
 def test_flac_streams():
     rng = np.random.default_rng(1)
     t = np.arange(9000)
