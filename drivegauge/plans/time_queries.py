@@ -126,6 +126,22 @@ def j12_without_overlap(spark, sf_dir):
     return a.select("id", "start_time").join(hit, ["id", "start_time"], "left_anti").distinct()
 
 
+SEG_ALL = SEG.replace(" AND user_id % 10 = 0", "")
+
+
+@query(SEG_ALL + "SELECT a.id AS a_id, b.id AS b_id, greatest(a.s, b.s) AS start_time, least(a.e, b.e) AS end_time FROM a JOIN b ON a.s < b.e AND b.s < a.e WHERE least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000")
+def j12_overlaps_all(spark, sf_dir):
+    """``j12_overlaps`` with the segments of all users on both sides."""
+    return tl.overlaps(_segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"]), 30000000000, 21600000000)
+
+
+@query(SEG_ALL + "SELECT DISTINCT id, s AS start_time FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.s < b.e AND b.s < a.e AND least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000 AND a.id = b.id)")
+def j12_without_overlap_all(spark, sf_dir):
+    """``j12_without_overlap`` against the segments of all users."""
+    a, b = _segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"])
+    return tl.without_overlap(a, b, 30000000000).select("id", "start_time").distinct()
+
+
 @query(SEG + "SELECT a.id, e.event_id FROM a JOIN e ON a.id = e.user_id AND e.us > a.s AND e.us < a.e AND e.event_type = 'error'")
 def j14_frame_slice(spark, sf_dir):
     a = _segments(spark, sf_dir, ["view", "click"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from drivegauge.operators import lines, matching, obstacles, report, slots, timeline
 from drivegauge.functions import expressions as ex
+from drivegauge.plans import registry, time_queries
 from drivegauge.streaming import streams
 
 
@@ -159,3 +160,22 @@ def test_slot_corner_order(spark):
     schema = "frame_ts_us long, id long, center_x double, center_y double, " + ", ".join(f"pt_{i}_{a} double" for i in range(4) for a in "xy")
     got = slots.match_slots(spark.createDataFrame([row(1, pts[1:] + pts[:1])], schema), spark.createDataFrame([row(9, pts)], schema)).first()
     assert (got["gt_id"], got["pred_id"], got["corner_order"]) == (1, 9, "3012")
+
+
+def test_overlaps_of_all_users(spark):
+    """The queries against brute force over every pair of segments."""
+    sf = "/root/testdata/sf0.001"
+    seg = {}
+    for r in time_queries.messages(spark, sf).collect():
+        side = {"view": 0, "click": 0, "error": 1, "signup": 1}.get(r["event_type"])
+        if side is not None:
+            key = side, r["user_id"], r["us"] // 86400000000
+            s, e = seg.get(key, (r["us"], r["us"]))
+            seg[key] = min(s, r["us"]), max(e, r["us"])
+    a, b = ([(k[1], *v) for k, v in seg.items() if k[0] == side] for side in (0, 1))
+    long = lambda x, y: min(x[2], y[2]) - max(x[1], y[1]) >= 30000000000
+    want = sorted((x[0], y[0], max(x[1], y[1]), min(x[2], y[2])) for x in a for y in b if long(x, y))
+    assert sorted(tuple(r) for r in registry.queries()["j12_overlaps_all"](spark, sf).collect()) == want
+    assert any(y % 10 for _, y, _, _ in want)
+    free = sorted((x[0], x[1]) for x in a if not any(x[0] == y[0] and long(x, y) for y in b))
+    assert sorted(tuple(r) for r in registry.queries()["j12_without_overlap_all"](spark, sf).collect()) == free
