@@ -33,6 +33,12 @@ def t02_bev_detections(spark, sf_dir):
     return fl.synthetic_ids(messages(spark, sf_dir), [("obstacles", "n")], 3).select("frame_id", "id", c("o.x").alias("x"))
 
 
+@query(L + "SELECT l_orderkey AS frame_id, (l_orderkey * 64) % 200000 + pos - 1 AS id, l_extendedprice AS x FROM l")
+def t02_bev_detections_all(spark, sf_dir):
+    """``t02_bev_detections`` with all objects that the count field tells."""
+    return fl.synthetic_ids(messages(spark, sf_dir), [("obstacles", "n")]).select("frame_id", "id", c("o.x").alias("x"))
+
+
 @query(L + "SELECT l_orderkey AS frame_id, (l_orderkey * 64) % 200000 + pos - 1 AS id, l_discount AS y FROM l WHERE l_discount <> 0")
 def t03_image_detections(spark, sf_dir):
     return fl.synthetic_ids(messages(spark, sf_dir), [("obstacles", "n")]).filter("o.y != 0").select("frame_id", "id", c("o.y").alias("y"))
@@ -112,12 +118,26 @@ def t15_occupancy(spark, sf_dir):
     return o.select(c("scenario_no").alias("doc_id"), "cell", "class", F.aggregate("free", F.lit(0), lambda a, x: a + x).alias("free"))
 
 
+@query("WITH h AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS l FROM documents), b AS (SELECT doc_id, unnest(range(len(l))) AS cell, ('0x' || unnest(l))::INTEGER AS b FROM h) SELECT doc_id, CAST(cell AS INTEGER) AS cell, CAST(b // 16 AS INTEGER) AS class, CAST(23 - b % 16 AS INTEGER) AS free FROM b WHERE b >= 16")
+def t15_occupancy_all(spark, sf_dir):
+    """``t15_occupancy`` over all bytes of all documents."""
+    d = table(spark, sf_dir, "documents").select(c("doc_id").alias("scenario_no"), F.lit(0).alias("time_stamp"), c("text").cast("binary").alias("grid"))
+    return fl.occupancy(d).select(c("scenario_no").alias("doc_id"), "cell", "class", F.aggregate("free", F.lit(0), lambda a, x: a + x).alias("free"))
+
+
 @query("SELECT event_id AS time_stamp, user_id, event_type, value FROM events WHERE event_id % 2 = 0")
 def t16_status_tables(spark, sf_dir):
     e = table(spark, sf_dir, "events").filter("event_id % 2 = 0").select(F.lit(0).alias("scenario_no"), c("event_id").alias("time_stamp"), F.struct("user_id", "event_type", "value").alias("s"))
     return fl.scalars(e, {k: f"s.{k}" for k in ("user_id", "event_type", "value")}).drop("scenario_no")
 
 
+@query("SELECT event_id AS time_stamp, user_id, event_type, value FROM events")
+def t16_status_tables_all(spark, sf_dir):
+    """``t16_status_tables`` over all events."""
+    e = table(spark, sf_dir, "events").select(F.lit(0).alias("scenario_no"), c("event_id").alias("time_stamp"), F.struct("user_id", "event_type", "value").alias("s"))
+    return fl.scalars(e, {k: f"s.{k}" for k in ("user_id", "event_type", "value")}).drop("scenario_no")
+
+
 @query("SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM documents")
 def t17_image_info(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(c("doc_id").alias("scenario_no"), F.lit(0).alias("time_stamp"), c("text").cast("binary").alias("data"))
@@ -237,6 +257,13 @@ def p31_display_width(spark, sf_dir):
     return p.select(c("p_partkey").alias("id"), ex.display_width(c("p_name")).cast("long").alias("width"), ex.has_cjk(c("p_name")).alias("cjk"), ex.wrap_lines(c("p_name"), 4).alias("head"))
 
 
+@query("SELECT p_partkey AS id, length(p_name) AS width, false AS cjk, rtrim(regexp_replace(p_name, '(.{4})', '\\1' || chr(10), 'g'), chr(10)) AS head FROM part")
+def p31_display_width_all(spark, sf_dir):
+    """``p31_display_width`` over names of any length."""
+    p = table(spark, sf_dir, "part")
+    return p.select(c("p_partkey").alias("id"), ex.display_width(c("p_name")).cast("long").alias("width"), ex.has_cjk(c("p_name")).alias("cjk"), ex.wrap_lines(c("p_name"), 4).alias("head"))
+
+
 @query("SELECT p_partkey AS id, 'camera_' || p_size || '_focal_length' AS name FROM part")
 def p32_camel_to_snake(spark, sf_dir):
     return table(spark, sf_dir, "part").select(c("p_partkey").alias("id"), ex.camel_to_snake(F.concat(F.lit("camera_"), c("p_size"), F.lit("_FocalLength"))).alias("name"))
@@ -323,6 +350,14 @@ def s01_read_topic(spark, sf_dir):
     return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
 
 
+@query("SELECT event_id, user_id, value FROM events")
+def s01_read_topic_all(spark, sf_dir):
+    """``s01_read_topic`` over all events."""
+    path = _scratch(spark, "csv")
+    table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
+    return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
+
+
 def _scratch(spark, label: str) -> str:
     import uuid
 
