@@ -181,6 +181,14 @@ def q08_time_gap(spark, sf_dir):
     return tl.shift_search(s, s, ["user_id"], list(range(1, 9))).select("user_id", c("shift").cast("long").alias("shift"), F.round("rmse", 6).alias("rmse"), "n")
 
 
+@query()
+def q08_time_gap_all(spark, sf_dir):
+    """The clock offset between two signals of every user: interpolated, trimmed, over all shifts."""
+    m = messages(spark, sf_dir)
+    gap = tl.time_gap(m.filter("event_type = 'view'"), m.filter("event_type = 'click'"), ["user_id"], "us", "value", 21600000000, 20000000, 20)
+    return gap.withColumn("rmse", F.round("rmse", 6))
+
+
 @query(EV + ", d AS (SELECT user_id, us, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS g FROM e), m AS (SELECT user_id, min(g) AS least, max(g) AS most, round(avg(g), 3) AS mean FROM d WHERE g IS NOT NULL GROUP BY 1) SELECT user_id, least, most, mean FROM m")
 def q12_clock_steps(spark, sf_dir):
     from pyspark.sql import Window
@@ -189,6 +197,17 @@ def q12_clock_steps(spark, sf_dir):
     return d.groupBy("user_id").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.round(F.avg("g"), 3).alias("mean"))
 
 
+@query()
+def q12_repair_clock(spark, sf_dir):
+    """Purchases on their user's clock; two of three users' clocks fall back to zero in mid-month."""
+    back = (c("user_id") % 3 > 0) & (c("us") > 1705300000000000)
+    m = messages(spark, sf_dir).withColumn("time_stamp", c("us") / 1e6 - F.when(back, 1704500000.0).otherwise(0.0))
+    order = ["us", "event_id"]
+    offsets = tl.clock_offsets(m.filter("event_type != 'purchase'"), ["user_id"], ["event_type"], "time_stamp", order)
+    fixed = tl.repair_clock(m.filter("event_type = 'purchase'"), offsets, ["user_id"], [], "time_stamp", order)
+    return fixed.select("event_id", "user_id", F.round("time_stamp", 3).alias("time_stamp"))
+
+
 @query(EV + "SELECT user_id, event_type, count(*) AS frames, round((max(us) - min(us)) / 1e6, 6) AS duration, CASE WHEN max(us) - min(us) <= 2500000000000 THEN 1 ELSE 0 END AS valid FROM e GROUP BY 1, 2")
 def a12_topic_statistics(spark, sf_dir):
     g = messages(spark, sf_dir).groupBy("user_id", "event_type").agg(F.count("*").alias("frames"), (F.max("us") - F.min("us")).alias("d"))

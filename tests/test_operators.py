@@ -179,3 +179,53 @@ def test_overlaps_of_all_users(spark):
     assert any(y % 10 for _, y, _, _ in want)
     free = sorted((x[0], x[1]) for x in a if not any(x[0] == y[0] and long(x, y) for y in b))
     assert sorted(tuple(r) for r in registry.queries()["j12_without_overlap_all"](spark, sf).collect()) == free
+
+
+@pytest.mark.parametrize("lag", [-7, 0, 5])
+def test_time_gap_over_all_shifts(spark, lag):
+    """Shifts of either sign are found again, and equal a search point by point."""
+    rng = np.random.default_rng(lag + 10)
+    path = np.cumsum(rng.normal(size=80))
+    t = np.sort(rng.choice(np.arange(0, 800), 300, replace=False)) * 100_000
+    v = np.interp(t / 1e6, np.arange(80), path)
+    schema = "k string, t long, v double"
+    rows = lambda a, b: spark.createDataFrame([("x", int(p), float(q)) for p, q in zip(a, b, strict=True)], schema)
+    t2, v2 = t[20:260] - lag * 1_000_000, v[20:260]
+    few = spark.createDataFrame([("y", 0, 1.0)], schema)
+    args = ["k"], "t", "v", 250_000, 2_000_000, 40
+    got = {r["k"]: r for r in timeline.time_gap(rows(t, v).union(few), rows(t2, v2), *args).collect()}
+    assert got["y"]["gap"] is None and abs(got["x"]["gap"] - lag * 1_000_000) <= 250_000
+
+    def grid(s, w):
+        o, e = round((s[0] + 2_000_000) / 10_000) * 10_000, round((s[-1] - 2_000_000) / 10_000) * 10_000
+        return o, [float(np.interp(p, s, w)) for p in range(o, e, 250_000)]
+
+    (o1, a), (o2, b) = grid(t, v), grid(t2, v2)
+    every = []
+    for s in range(-len(b), len(a) + 1):
+        pairs = [(a[i] - b[i - s]) ** 2 for i in range(len(a)) if 0 <= i - s < len(b)]
+        if len(pairs) >= 40:
+            every.append((math.sqrt(sum(pairs) / len(pairs)), s, len(pairs)))
+    e, s, n = min(every)
+    assert (got["x"]["shift"], got["x"]["n"], got["x"]["gap"]) == (s, n, o1 - o2 + s * 250_000) and math.isclose(got["x"]["rmse"], e, abs_tol=1e-9)
+
+
+def test_time_gap_takes_all_users(spark):
+    sf = "/root/testdata/sf0.01"
+    users = {r[0] for r in time_queries.messages(spark, sf).select("user_id").distinct().collect()}
+    got = registry.queries()["q08_time_gap_all"](spark, sf).collect()
+    assert {r["user_id"] for r in got} == users and len(got) == len(users) and min(r["shift"] for r in got if r["shift"] is not None) < 0
+
+
+def test_clock_repair(spark):
+    base, back = 1.7e9 + 1000, 500.0
+    jump = [base, base + 0.1, base + 0.2, back, back + 0.1]  # falls back by 1.7e9 + 500.2
+    rows = [(i, f, n, x) for i, f, s in (("a", "p", jump), ("a", "q", [base, base + 1]), ("b", "p", [base, base + 2])) for n, x in enumerate(s)]
+    offsets = timeline.clock_offsets(spark.createDataFrame(rows, "i string, f string, n int, x double"), ["i"], ["f"], "x", ["n"])
+    want = round(0.1 + 1.7e9 + 500.2, 3)
+    assert {r["i"]: r["offset"] for r in offsets.collect()} == {"a": pytest.approx(want, abs=1e-6), "b": pytest.approx(want, abs=1e-6)}
+    ego = spark.createDataFrame([("b", n, float(n)) for n in range(7)], "i string, n int, x double")
+    fixed = timeline.repair_clock(ego, offsets, ["i"], [], "x", ["n"]).orderBy("n").collect()
+    assert [(r["n"], round(r["x"] - want, 3)) for r in fixed] == [(5, 5.0), (6, 6.0)]
+    calm = timeline.clock_offsets(spark.createDataFrame(rows[-2:], "i string, f string, n int, x double"), ["i"], ["f"], "x", ["n"])
+    assert [r["offset"] for r in calm.collect()] == [0.0]
