@@ -114,19 +114,17 @@ class LengthIndex:
             sums ^= 1 << b
         return ()
 
-    def exact(self, gap: int, used: dict[int, int], tries: int = 256) -> tuple[int, ...]:
-        """One, two or three available lengths of sum ``gap``, or none. ``tries`` bounds the first lengths of triples looked at."""
+    def exact(self, gap: int, used: dict[int, int]) -> tuple[int, ...]:
+        """One, two or three available lengths of sum ``gap``, or none. A triple's largest is at least a third of it."""
         if self._fits((gap,), used):
             return (gap,)
         if found := self._pair(gap, used):
             return found
         firsts = self.bits & ((1 << gap) - 1)
-        while firsts and tries:
-            a = firsts.bit_length() - 1
-            if gap > a > 0 and (found := self._pair(gap - a, used, (a,))):
+        while (a := firsts.bit_length() - 1) > 0 and 3 * a >= gap:
+            if (found := self._pair(gap - a, used, (a,))):
                 return found
             firsts ^= 1 << a
-            tries -= 1
         return ()
 
     def longest(self, gap: int, used: dict[int, int]) -> int:

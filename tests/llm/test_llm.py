@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -132,6 +133,19 @@ def test_packing_finds_exact_complements():
     assert sum(t for _, t in patterns) == 4 and all(sum(p) == 100 for p, _ in patterns)
 
 
+def test_packing_finds_short_triples():
+    """An exact triple behind 300 longer lengths, and triples of random lengths against enumeration."""
+    index = packing.LengthIndex(dict.fromkeys(range(700, 1000), 1) | {333: 2, 334: 1}, 4096)
+    assert sorted(index.exact(1000, {})) == [333, 333, 334]
+    rng = random.Random(4)
+    for _ in range(300):
+        counts = {rng.randrange(1, 60): rng.randrange(1, 3) for _ in range(6)}
+        gap, pool = rng.randrange(1, 120), [k for k, n in counts.items() for _ in range(n)]
+        some = any(sum(c) == gap for r in (1, 2, 3) for c in itertools.combinations(pool, r))
+        found = packing.LengthIndex(counts, 128).exact(gap, {})
+        assert bool(found) == some and (not found or sum(found) == gap and not collections.Counter(found) - collections.Counter(pool))
+
+
 def sets():
     tr = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = {}
