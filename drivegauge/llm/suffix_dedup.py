@@ -108,11 +108,17 @@ def _rows(block: pa.Table) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def _chunks(rows: list[tuple[int, int, bytes]], whole: set[int]):
+def _copied(doc: int | None, raw: bytes, whole: set[tuple[int, bytes]], ids: set[int]) -> bool:
+    """Whether this text of the id is a copy of an earlier document's; other texts of the id are not."""
+    return doc in ids and len(raw) >= LENGTH and (doc, hashlib.md5(raw).digest()) in whole
+
+
+def _chunks(rows: list[tuple[int, int, bytes]], whole: set[tuple[int, bytes]]):
     """Rows that may repeat in part, in chunks of bounded size."""
     part, size = [], 0
+    ids = {d for d, _ in whole}
     for row in rows:
-        if row[0] in whole or len(row[2]) < LENGTH:
+        if len(row[2]) < LENGTH or _copied(row[0], row[2], whole, ids):
             continue
         part.append(row)
         size += len(row[2])
@@ -205,11 +211,11 @@ def removed_spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nd
     return b[first], e[np.r_[first[1:] - 1, len(b) - 1]]
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("digest", pa.binary())])
 
 
 def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row, and ``kept`` (bytes) where ``keep_text``."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row, and ``kept`` (bytes) and the text's MD5 where ``keep_text``."""
     docs = texts(df, id_col, text_col)
     keys = materialize(docs.select("doc_id", F.unhex(F.md5("text")).alias("digest"), F.octet_length("text").alias("n")), "suffix-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
@@ -218,12 +224,12 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shift = np.uint64(64 - bits)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
     firsts = keys.groupBy("digest", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).filter(f"rows > 1 and n >= {LENGTH}").select("digest", "first")
-    copies = materialize(keys.join(firsts, "digest").filter("doc_id > first").select("doc_id", "n", block).distinct(), "suffix-copies")
+    copies = materialize(keys.join(firsts, "digest").filter("doc_id > first").select("doc_id", "digest", block).distinct(), "suffix-copies")
     dealt = docs.select("doc_id", "text", block)
 
     def offer(key, left: pa.Table, right: pa.Table) -> pa.Table:
         tokens, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for part in _chunks(_rows(left), set(right["doc_id"].to_pylist())):
+        for part in _chunks(_rows(left), set(zip(right["doc_id"].to_pylist(), right["digest"].to_pylist(), strict=True))):
             runs = Runs([r[2] for r in part])
             tokens.append(runs.bucket >> shift << shift)
             owners.append(np.array([r[0] for r in part], np.int64)[runs.owner])
@@ -241,7 +247,7 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.table({"block": group["block"], "part": group["part"], "flags": pa.array(flags, pa.binary())})
 
     def rank(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        whole = {d for d in right["doc_id"].to_pylist() if d is not None}
+        whole = {(d, x) for d, x in zip(right["doc_id"].to_pylist(), right["digest"].to_pylist(), strict=True) if d is not None}
         found = []
         for part in _chunks(_rows(left), whole):
             runs = Runs([r[2] for r in part])
@@ -320,37 +326,37 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         docs_, places = ranges_of(doc[every][known], at[known], sub[every][known])
         return _table({"doc_id": np.r_[docs_, doc[done]], "place": np.r_[places, place[done]]}, COVER)
 
-    schema = RESULT if keep_text else RESULT.remove(5)
+    schema = RESULT if keep_text else RESULT.remove(6).remove(5)
 
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        whole: set[int] = set()
+        whole: set[tuple[int, bytes]] = set()
         places = right["place"]
         b, e, s = (x.tolist() for x in unplace(np.asarray(pa.compute.fill_null(places, 0)).astype(np.int64)))
-        for d, given, sub, begin, end in zip(right["doc_id"].to_pylist(), pa.compute.is_valid(places).to_pylist(), s, b, e, strict=True):
+        for d, digest, given, sub, begin, end in zip(right["doc_id"].to_pylist(), right["digest"].to_pylist(), pa.compute.is_valid(places).to_pylist(), s, b, e, strict=True):
             if given:
                 spans.setdefault((d, sub), []).append((begin, end))
             else:
-                whole.add(d)
+                whole.add((d, digest))
         order = {(d, t): s for d, s, t in _rows(left)}
-        out = []
+        out, ids = [], {d for d, _ in whole}
         for d, text in zip(left["doc_id"].to_pylist(), left["text"].to_pylist(), strict=True):
             raw = text.encode()
             kept, n_spans = raw, 0
-            if d in whole and len(raw) >= LENGTH:
+            if _copied(d, raw, whole, ids):
                 kept, n_spans = b"", 1
             elif d is not None and (found := spans.get((d, order[(d, raw)]))):
                 begin, end = removed_spans(*np.array(found, np.int64).T)
                 edges = [0, *np.column_stack([begin, end]).ravel().tolist(), len(raw)]
                 kept, n_spans = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), len(begin)
-            out.append((d, len(raw), len(raw) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept)[: len(schema)])
+            out.append((d, len(raw), len(raw) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept, hashlib.md5(raw).digest())[: len(schema)])
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema) if out else schema.empty_table()
 
     by_block = dealt.groupBy("block")
-    offers = by_block.cogroup(copies.select("block", "doc_id").groupBy("block")).applyInArrow(offer, "part long, block long, tokens binary")
+    offers = by_block.cogroup(copies.select("block", "doc_id", "digest").groupBy("block")).applyInArrow(offer, "part long, block long, tokens binary")
     flags = offers.groupBy("part").applyInArrow(count, "block long, part long, flags binary")
     none = lambda t: F.lit(None).cast(t)
-    side = flags.select("block", none("long").alias("doc_id"), "flags", "part").unionByName(copies.select("block", "doc_id", none("binary").alias("flags"), none("long").alias("part")))
+    side = flags.select("block", none("long").alias("doc_id"), none("binary").alias("digest"), "flags", "part").unionByName(copies.select("block", "doc_id", "digest", none("binary").alias("flags"), none("long").alias("part")))
     runs = by_block.cogroup(side.groupBy("block")).applyInArrow(rank, RUN_DDL)
     # the three uses of the ranks read the same columns, so that Spark builds and keeps their exchange once
     ranked = runs.filter("bucket is not null").withColumn("first", F.min("doc_id").over(Window.partitionBy("bucket", "rank")))
@@ -361,6 +367,6 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = leaders.join(mixed, "bucket").select(block, "doc_id", "place", "bucket", "large")
     tied = by_block.cogroup(wanted.groupBy("block")).applyInArrow(ties, TIE_DDL)
     shared = tied.groupBy("part").applyInArrow(resolve, "doc_id long, place long")
-    found = covered.unionByName(shared).unionByName(copies.select("doc_id", none("long").alias("place"))).withColumn("block", block)
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
+    found = covered.unionByName(shared).withColumn("digest", none("binary")).unionByName(copies.select("doc_id", none("long").alias("place"), "digest")).withColumn("block", block)
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, digest binary" * keep_text
     return by_block.cogroup(found.groupBy("block")).applyInArrow(finish, ddl)

@@ -226,6 +226,17 @@ def test_suffix_dedup(docs, none, monkeypatch, small):
     assert suffix_dedup.dedup_suffixes(none).count() == 0
 
 
+def test_suffix_dedup_of_ids_with_two_texts(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    a, b = words(rng, 40), words(rng, 40)
+    df = spark.createDataFrame([(1, a, 0), (2, a, 0), (2, b, 0), (3, b, 0)], "doc_id long, text string, n_chars int")
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.dedup_suffixes(df).collect())
+    assert got == sorted([(1, len(a), 0), (2, len(a), len(a)), (2, len(b), 0), (3, len(b), len(b))])
+    assert sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.repeated_passages(spark, df, "").collect()) == [(1, a), (2, b)]
+
+
 def test_simhash(spark, docs, none):
     got = by_id(simhash.edited_fingerprints(docs, partitions=3))
     order = sorted(sample(), key=lambda r: (r[0], r[1] or ""))
