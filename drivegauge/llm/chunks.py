@@ -30,7 +30,14 @@ class Memo(dict):
     def prepare(self, keys: set[str]) -> None:
         if len(self) > self.limit:
             self.clear()
-        missing = list(keys.difference(self)) if self else list(keys)
+        missing = [k for k in keys if k not in self]
         if missing:
             self.update(zip(missing, self.fill(missing), strict=True))
 
+    def values_of(self, keys: list[str]) -> list:
+        """Value of each key, in order, with one look-up of those that are known."""
+        found = list(map(self.get, keys))
+        if None in found:
+            self.prepare({k for k, v in zip(keys, found, strict=True) if v is None})
+            found = [self[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+        return found

@@ -14,9 +14,13 @@ the last one may be shorter.
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
+import unicodedata
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,12 +29,18 @@ from .base import claim, map_batches, materialize, texts
 from .chunks import SEPARATORS, Memo
 
 _STATE: dict = {}
-STOPS = ".,!?;:"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordTokenizer:
-    """Ids by the ``tokenizers`` library for a vocabulary that drops white space; each distinct word is encoded once."""
+    """Ids as the ``tokenizers`` library gives them for a lower-casing BPE vocabulary with word ends that drops white space.
+
+    The library's own cost per distinct word is most of the time of a packing job, so words go through the same merges as
+    ``tiktoken`` ranks instead: a word end is a space behind the word, which no word holds, and a token's id is its rank.
+    That gives the library's ids wherever merges are listed by id, which ``_ranks`` checks. Normalization and splitting are
+    Python's and ``regex``'s; a text with a character that the library treats in another way, in white space or special
+    strings, or that is not in composed form, is the library's in whole or in part.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,29 +50,94 @@ class WordTokenizer:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        ranks = self._ranks(config)
+        self.coder = None
+        if ranks:
+            import regex
+            import tiktoken
+
+            self.pattern = regex.compile(config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+            self.coder = tiktoken.Encoding("words", pat_str=r"[^ \n]+ ", mergeable_ranks=ranks, special_tokens={})
+            self.ends = np.zeros(max(ranks.values()) + 1, bool)
+            self.ends[[i for b, i in ranks.items() if b.endswith(b" ")]] = True
+        self.known: set[str] = set()
+        self.odd: set[str] = set(SEPARATORS) | {"Σ"}  # lower() looks at the neighbours of the last
         self.memo = Memo(self._words)
-
-    def _library(self, words: list[str]) -> list[bytes]:
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        if self.coder:
+            self._look_at(set(map(chr, range(256))))
+        self.narrow = sorted(c for c in self.odd if ord(c) < 256)
+
+    @staticmethod
+    def _ranks(config: dict) -> dict[bytes, int]:
+        """The vocabulary as ranks, or none if the file's parts are not those that this class knows."""
+        model, normalizers = config["model"], (config["normalizer"] or {}).get("normalizers", [])
+        splits = (config["pre_tokenizer"] or {}).get("pretokenizers", [])
+        end, vocab, merges = model.get("end_of_word_suffix"), model["vocab"], model["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        first = len(vocab) - len(pairs)
+        known = (
+            [n["type"] for n in normalizers] == ["NFC", "Replace", "Lowercase"] and normalizers[1]["pattern"] == {"Regex": r"\s+"}
+            and [s["type"] for s in splits] == ["Split", "ByteLevel"] and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and not splits[1]["use_regex"] and not splits[1]["add_prefix_space"]
+            and config["post_processor"] is None and end and not model["dropout"] and not model["ignore_merges"] and not model["continuing_subword_prefix"]
+        )
+        shift = first - len([t for t in config["added_tokens"] if t["content"] in vocab])
+        if not known or any(vocab.get(a + b) != shift + k for k, (a, b) in enumerate(pairs)):
+            return {}
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet: these stand for themselves
+        byte = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in visible)}
+        special = {t["content"] for t in config["added_tokens"]}
+        return {bytes(map(byte.__getitem__, s.removesuffix(end))) + b" " * s.endswith(end): i for s, i in vocab.items() if s not in special}
+
+    def _library(self, rows: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """A stop behind a word of letters is a token of its own, so such words share their letters' ids."""
-        parts = [(w[:-1], w[-1]) if w[-1] in STOPS and w[:-1].isalpha() and w[:-1].lower().isalpha() else (w, "") for w in words]
-        known = {p: self.memo[p] for p, _ in parts if p in self.memo}
-        new = list({p for p, _ in parts} - known.keys())
-        known.update(zip(new, self._library(new), strict=True))
-        self.memo.update(known)
-        stops = dict(zip(STOPS, self._library(list(STOPS)), strict=True)) | {"": b""}
-        return [known[p] + stops[s] for p, s in parts]
+        """Ids of normalized words without white space: each match of the pattern is a piece that ends with a space."""
+        text = "\n".join([w if w.isalpha() else self.pattern.sub(r"\g<0> ", w)[:-1] for w in words])
+        ids = np.array(self.coder.encode_ordinary(text.replace("\n", " \n") + " "), "<u4")
+        pieces = np.cumsum([0, *(line.count(" ") + 1 for line in text.split("\n"))])
+        stops = np.r_[0, np.flatnonzero(self.ends[ids]) + 1][pieces].tolist()
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in itertools.pairwise(stops)]
+
+    def _look_at(self, chars: set[str]) -> None:
+        """Finds the characters that the library lowers or splits in another way than ``lower`` and the pattern do."""
+        for c in chars:
+            try:
+                low = self.tokenizer.normalizer.normalize_str(c)
+                probe = f"a{low}a1{low}1!{low}!{low}{low}"
+                pieces = [at for _, at in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
+                fine = low == (" " if c.isspace() else c.lower()) and (c.isspace() or pieces == [m.span() for m in self.pattern.finditer(probe)])
+            except UnicodeEncodeError:
+                fine = False
+            if not fine:
+                self.odd.add(c)
+        self.known |= chars
+
+    def _normal(self, text: str) -> str | None:
+        """The text in lower case and composed form, or none where the library has to take it whole."""
+        try:
+            text.encode("latin-1")
+            return None if self.narrow and any(c in text for c in self.narrow) else text.lower()
+        except UnicodeEncodeError:
+            pass
+        if not unicodedata.is_normalized("NFC", text):
+            text = self.tokenizer.normalizer.normalize_str(text)
+        chars = set(text)
+        if new := chars - self.known:
+            self._look_at(new)
+        return text.lower() if self.odd.isdisjoint(chars) else None
 
     def encode(self, rows: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        plain = [not any(s in t for s in SEPARATORS) and not any(s in t for s in self.special) and "<|" not in t for t in rows]
-        # of the two letters left out, lower() looks at the neighbours, or gives a mark that normalization may move
-        split = [(t if "Σ" in t or "İ" in t else t.lower()).split() if p else [] for t, p in zip(rows, plain, strict=True)]
-        self.memo.prepare(set().union(*split))
-        get = self.memo.__getitem__
-        return [b"".join(map(get, c)) if p else self._library([t])[0] for t, p, c in zip(rows, plain, split, strict=True)]
+        normal = [None if self.coder is None or "<|" in t or any(s in t for s in self.special) else self._normal(t) for t in rows]
+        whole = iter(self._library([t for t, n in zip(rows, normal, strict=True) if n is None]))
+        split = [n.split() if n else [] for n in normal]
+        ids = self.memo.values_of(list(itertools.chain.from_iterable(split)))
+        stops = np.cumsum([0, *map(len, split)]).tolist()
+        return [next(whole) if n is None else b"".join(ids[a:b]) for n, (a, b) in zip(normal, itertools.pairwise(stops), strict=True)]
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:

@@ -74,7 +74,7 @@ def test_byte_bpe(docs, none):
     assert byte_bpe.byte_bpe(none, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).count() == 0
 
 
-ODD = ["a", "é", "ß", " ", "  ", "\n", "\x1c", "\x85", "\xa0", chr(0x1680), "1", "²", "!", "'s", "'", "<|endoftext|>", "<|STARTOFTEXT|>", "世", chr(0x93C), chr(0x200B), ".", "A", "É", "Σ", "ΑΣ", "e" + chr(0x301), "İ", "the", "B.", ","]
+ODD = ["a", "é", "ß", " ", "  ", "\n", "\x1c", "\x85", "\xa0", chr(0x1680), "1", "²", "!", "'s", "'", "<|endoftext|>", "<|STARTOFTEXT|>", "世", chr(0x93C), chr(0x200B), ".", "A", "É", "Σ", "ΑΣ", "e" + chr(0x301), "İ", "the", "B.", ",", "Y", "W", chr(0x30A), chr(0xFB4B), chr(0xFB49), chr(0xFB2B), chr(0x1100), chr(0x1161), chr(0x2028), "ǅ", chr(0x1C89), chr(0x3000), "#", "ü", "œ"]
 
 
 def test_tokenizers_on_odd_characters():
@@ -92,6 +92,19 @@ def test_tokenizers_on_odd_characters():
         assert np.frombuffer(pair, "<u4").tolist() == own.encode_ordinary(t)
 
 
+def test_packing_ids_of_all_planes():
+    """Strings of random code points of every plane, and each letter before a stop and a ring, as the library gives them."""
+    rng = random.Random(7)
+    coder = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    assert coder.coder is not None
+    code = lambda: chr(rng.choice([rng.randrange(0x250), rng.randrange(0xD800), rng.randrange(0xE000, 0x30000)]))
+    rows = ["".join(code() for _ in range(rng.randint(1, 12))) for _ in range(6000)]
+    rows += [c + tail for c in ("Y", "W", chr(0xFB4B), chr(0xFB49), chr(0xFB2B)) for tail in (chr(0x30A), ",", "." + chr(0x30A))]
+    rows += [chr(c) + "a, " + chr(c) + "." for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    for t, ids in zip(rows, coder.encode(rows), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == coder.tokenizer.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 def test_token_cache(spark, docs, none):
     path, tokenizer = base.scratch_dir(spark, "cache"), P.path("byte_bpe_50k.json")
     got = token_counts.token_counts(docs, tokenizer, path, 40)
