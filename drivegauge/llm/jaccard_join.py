@@ -20,6 +20,7 @@ are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 
 import numpy as np
@@ -47,10 +48,21 @@ def filter_length(n: int) -> tuple[int, int]:
     return min(n, prefix_length(n) - 1 + k), max(1, NUM * k // DEN)
 
 
-def prune_joins(spark: SparkSession) -> None:
-    """Lets Spark filter the large side of a join by a bounded Bloom filter of the small side's keys, at any size."""
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+PRUNING = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+
+
+@contextlib.contextmanager
+def pruned_joins(spark: SparkSession):
+    """Lets Spark filter the large side of a join by a bounded Bloom filter of the small side's keys, at any size, and
+    gives the session its own settings back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in PRUNING}
+    try:
+        for k, v in PRUNING.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -203,9 +215,11 @@ def class_links(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row; the component's id is its least ``doc_id``."""
-    spark = df.sparkSession
-    prune_joins(spark)
-    docs = texts(df, id_col, text_col)
+    with pruned_joins(df.sparkSession):
+        return _classed(texts(df, id_col, text_col))
+
+
+def _classed(docs: DataFrame) -> DataFrame:
     sig = materialize(signatures(docs), "signatures")
     classes = sig.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     classes = materialize(classes, "classes")

@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 
 import numpy as np
 
-from .base import claim
+from .words import Words, mix
 
 WIDTH = 5
 #: A-Z to a-z on UTF-8 bytes, where no other character holds a byte below 128.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_WORDS: dict[bytes, int] = {}
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit mixer (xor-shift and odd multiplications)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(words: list[bytes], limit: int = 500_000) -> np.ndarray:
-    """Hashes of words, each distinct word being digested once per worker."""
-    missing = set(words).difference(_WORDS)
-    if len(_WORDS) + len(missing) > limit:
-        _WORDS.clear()
-        missing = set(words)
-    _WORDS.update((w, int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")) for w in missing)
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_sets(rows: list[bytes]) -> list[np.ndarray]:
@@ -37,20 +18,15 @@ def shingle_sets(rows: list[bytes]) -> list[np.ndarray]:
 
     A text of fewer than five words has its whole sequence as one shingle, and one without words has none.
     """
-    claim("shingles", _WORDS.clear)
-    split = [t.translate(LOWER).split() for t in rows]
-    counts = np.array([len(w) for w in split], np.int64)
-    if not counts.sum():
-        return [np.zeros(0, np.uint64)] * len(rows)
-    hashes = word_hashes(list(itertools.chain.from_iterable(split)))
+    words = Words([t.translate(LOWER) for t in rows])
+    hashes = words.hashes()
     n = len(hashes)
     term = hashes.copy()
     for k in range(1, WIDTH):
-        term[: n - k] = mix(term[: n - k] + np.uint64(k)) ^ hashes[k:]
+        term[: max(0, n - k)] = mix(term[: max(0, n - k)] + np.uint64(k)) ^ hashes[k:]
     term = mix(term)
-    stops = np.cumsum(counts)
     out = []
-    for a, b in zip((stops - counts).tolist(), stops.tolist(), strict=True):
+    for a, b in itertools.pairwise(words.edges.tolist()):
         if b - a >= WIDTH:
             own = np.sort(term[a : b - WIDTH + 1])
             out.append(own[np.r_[True, own[1:] != own[:-1]]])
