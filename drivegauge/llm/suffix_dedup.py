@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .base import claim, materialize, texts
 
@@ -211,12 +212,38 @@ def removed_spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nd
     return b[first], e[np.r_[first[1:] - 1, len(b) - 1]]
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("digest", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row, and ``kept`` (bytes) and the text's MD5 where ``keep_text``."""
-    docs = texts(df, id_col, text_col)
+def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row."""
+    return _dedup(texts(df, id_col, text_col))
+
+
+def shortened(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``df`` with the bytes removed from its texts, and what is left of a cut character with them.
+
+    All columns travel with their text, so that rows of one id never mix. Rows of which nothing is left go; texts that
+    were null or empty stay as they are. ``length_col`` is set to the code points left where a text was cut.
+    """
+    col = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    others = [c for c in df.columns if c != text_col]
+    docs = df.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"), col(text_col).isNotNull().alias("given"), F.struct(*[col(c) for c in others]).alias("row"))
+    found = _dedup(docs, carry=True).filter("n_removed = 0 or kept != ''")
+    text = F.col("kept").cast(df.schema[text_col].dataType)
+
+    def value(c: str):
+        if c == text_col:
+            return text
+        own = F.col("row").getField(c)
+        return F.when(F.col("n_removed") > 0, F.char_length("kept")).otherwise(own).cast(df.schema[c].dataType) if c == length_col else own
+
+    return found.select(*[value(c).alias(c) for c in df.columns])
+
+
+def _dedup(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Result rows; with ``carry`` also ``kept``, the text left (null if not ``given``), and the struct ``row`` as it came."""
     keys = materialize(docs.select("doc_id", F.unhex(F.md5("text")).alias("digest"), F.octet_length("text").alias("n")), "suffix-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
@@ -225,7 +252,7 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
     firsts = keys.groupBy("digest", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).filter(f"rows > 1 and n >= {LENGTH}").select("digest", "first")
     copies = materialize(keys.join(firsts, "digest").filter("doc_id > first").select("doc_id", "digest", block).distinct(), "suffix-copies")
-    dealt = docs.select("doc_id", "text", block)
+    dealt = docs.select(*docs.columns, block)
 
     def offer(key, left: pa.Table, right: pa.Table) -> pa.Table:
         tokens, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -326,8 +353,6 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         docs_, places = ranges_of(doc[every][known], at[known], sub[every][known])
         return _table({"doc_id": np.r_[docs_, doc[done]], "place": np.r_[places, place[done]]}, COVER)
 
-    schema = RESULT if keep_text else RESULT.remove(6).remove(5)
-
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         whole: set[tuple[int, bytes]] = set()
@@ -339,18 +364,25 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             else:
                 whole.add((d, digest))
         order = {(d, t): s for d, s, t in _rows(left)}
-        out, ids = [], {d for d, _ in whole}
+        out, texts_, ids = [], [], {d for d, _ in whole}
         for d, text in zip(left["doc_id"].to_pylist(), left["text"].to_pylist(), strict=True):
             raw = text.encode()
-            kept, n_spans = raw, 0
+            kept, n_spans, left_ = raw, 0, text
             if _copied(d, raw, whole, ids):
-                kept, n_spans = b"", 1
+                kept, n_spans, left_ = b"", 1, ""
             elif d is not None and (found := spans.get((d, order[(d, raw)]))):
                 begin, end = removed_spans(*np.array(found, np.int64).T)
                 edges = [0, *np.column_stack([begin, end]).ravel().tolist(), len(raw)]
-                kept, n_spans = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), len(begin)
-            out.append((d, len(raw), len(raw) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept, hashlib.md5(raw).digest())[: len(schema)])
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema) if out else schema.empty_table()
+                parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                kept, n_spans = b"".join(parts), len(begin)
+                left_ = "".join(p.decode("utf-8", "ignore") for p in parts) if carry else ""
+            out.append((d, len(raw), len(raw) - len(kept), n_spans, hashlib.sha256(kept).hexdigest()))
+            texts_.append(left_)
+        table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), RESULT, strict=True)], schema=RESULT) if out else RESULT.empty_table()
+        if not carry:
+            return table
+        given = left["given"].to_pylist()
+        return table.append_column("kept", pa.array([t if g else None for t, g in zip(texts_, given, strict=True)], pa.string())).append_column("row", left["row"])
 
     by_block = dealt.groupBy("block")
     offers = by_block.cogroup(copies.select("block", "doc_id", "digest").groupBy("block")).applyInArrow(offer, "part long, block long, tokens binary")
@@ -368,5 +400,7 @@ def dedup_suffixes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tied = by_block.cogroup(wanted.groupBy("block")).applyInArrow(ties, TIE_DDL)
     shared = tied.groupBy("part").applyInArrow(resolve, "doc_id long, place long")
     found = covered.unionByName(shared).withColumn("digest", none("binary")).unionByName(copies.select("doc_id", none("long").alias("place"), "digest")).withColumn("block", block)
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, digest binary" * keep_text
-    return by_block.cogroup(found.groupBy("block")).applyInArrow(finish, ddl)
+    schema = StructType.fromDDL(RESULT_DDL)
+    if carry:
+        schema = schema.add("kept", "string").add("row", docs.schema["row"].dataType)
+    return by_block.cogroup(found.groupBy("block")).applyInArrow(finish, schema)

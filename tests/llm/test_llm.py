@@ -250,6 +250,22 @@ def test_suffix_dedup_of_ids_with_two_texts(spark):
     assert sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.repeated_passages(spark, df, "").collect()) == [(1, a), (2, b)]
 
 
+def test_shortened_rows(spark):
+    """Repeated ids of different texts, null and empty texts, null ids, clashing columns, cut characters, an empty table."""
+    rng = random.Random(10)
+    a, b, tail = words(rng, 40), words(rng, 40), words(rng, 12)
+    rows = [
+        (1, a, 5, "p", 0.5, "r1"), (7, a + " " + tail, 9, "q", None, "r2"), (7, b, 9, None, 1.5, "r3"), (7, b, 9, "again", 1.5, "r3"), (8, b, 1, "copy", 0.0, "r4"),
+        (9, None, None, "null", 0.0, "r5"), (10, "", 0, "empty", 0.0, "r6"), (None, a, 4, "no id", 0.0, "r7"), (11, "ä" * 60, 60, "x", 0.0, "r8"), (12, "ö" + "ä" * 60 + "ö", 62, "y", 0.0, "r9"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, block string, kept double, `row.x` string")
+    got = suffix_dedup.shortened(df, length_col="n_chars")
+    assert got.schema == df.schema
+    want = [r for r in rows if r[5] not in ("r2", "r4", "r9")] + [(7, " " + tail, len(tail) + 1, "q", None, "r2"), (12, "ö", 1, "y", 0.0, "r9")]  # the last one shares its first byte
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want)
+    assert suffix_dedup.shortened(df.limit(0)).count() == 0
+
+
 def test_simhash(spark, docs, none):
     got = by_id(simhash.edited_fingerprints(docs, partitions=3))
     order = sorted(sample(), key=lambda r: (r[0], r[1] or ""))
