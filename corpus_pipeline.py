@@ -33,13 +33,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     ``n_chars`` is counted again; documents of which nothing is left go.
     """
-    found = suffix_dedup.dedup_suffixes(docs, keep_text=True).filter("n_removed > 0")
-    left = F.try_validate_utf8(F.col("kept").cast("string"))
-    cut = materialize(found.select("doc_id", F.col("digest").alias("_digest"), F.coalesce(left, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), chr(0xFFFD), "")).alias("_kept")), "cut").dropDuplicates(["doc_id", "_digest"])
-    joined = docs.withColumn("_digest", F.unhex(F.md5("text"))).join(cut, ["doc_id", "_digest"], "left")
-    text = F.coalesce("_kept", "text")
-    out = joined.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.char_length("_kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).withColumn("text", text)
-    return out.filter(F.col("_kept").isNull() | (F.col("_kept") != "")).select(*docs.columns)
+    return suffix_dedup.shortened(docs, length_col="n_chars")
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
