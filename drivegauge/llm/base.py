@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +62,7 @@ def claim(name: str, clear: Callable[[], None]) -> None:
         _OWNER[:] = [(name, clear)]
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: int = 1, limit: int = 4 << 20) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, column: int = 1, limit: int = 4 << 20) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` slices of bounded text size."""
 
     def run(batches):

@@ -1,6 +1,6 @@
 """Near-duplicate classes by a grouped prefix join on sets of word shingles.
 
-1. *Classes.* Documents with equal sets are one class, named by its least id.
+1. *Classes.* Documents with equal sets are one class, numbered by its least id.
 2. *Filter.* In any order of the tokens, two sets of Jaccard likeness t agree in ``k`` of their first tokens, where
    each list is longer than the usual prefix by ``k``. With hashes as order, a document stays only if enough of the
    start of its sorted set occurs in other documents too. Each task counts its own repeats first, so a token goes to
@@ -13,9 +13,9 @@
    it. Every link is verified on whole sets.
 
 No step caps candidates or frequent tokens. Cases: null and empty texts have no shingles and are alone; texts of fewer
-than five words have one; repeated rows and copies share a class; where rows of one id differ, the least text stands
-for the id in comparisons with other classes; rows without id are classed with their copies only; an empty table gives an empty result; other columns
-are ignored.
+than five words have one; repeated rows and copies share a class; where rows of one id differ, each text is classed and
+linked by itself, so one id can stand in several components; rows without id are classed with their copies only; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,14 +66,15 @@ def pruned_joins(spark: SparkSession):
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, d1, d2``: the set's size and a 128-bit digest of it."""
+    """``doc_id, n_shingles, d1, d2, text_md5``: the set's size, a 128-bit digest of it, and the text's own."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets([t.encode() for t in batch.column(1).to_pylist()])
+        rows = [t.encode() for t in batch.column(1).to_pylist()]
+        sets = shingle_sets(rows)
         digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
-        return pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1])], ["doc_id", "n_shingles", "d1", "d2"])
+        return pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array([hashlib.md5(t).digest() for t in rows], pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "text_md5"])
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return map_batches(docs, run, "doc_id long, n_shingles long, d1 long, d2 long, text_md5 binary")
 
 
 def survivors(docs: DataFrame) -> DataFrame:
@@ -216,21 +217,53 @@ def class_links(docs: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row; the component's id is its least ``doc_id``."""
     with pruned_joins(df.sparkSession):
-        return _classed(texts(df, id_col, text_col))
+        return _classed(texts(df, id_col, text_col)).drop("text_md5")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns as they are, that stand for their component: those of its least id.
+
+    A row is judged by its own text: of an id with several texts each goes or stays by itself, and of those in one
+    component the text of least MD5 stays. Equal rows are one document, so all but one of them go. Rows without id and
+    rows without words stay, repeated ones too.
+    """
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    with pruned_joins(df.sparkSession):
+        found = _classed(texts(df, id_col, text_col)).filter("doc_id is not null and n_shingles > 0").groupBy("doc_id", "component_id", "text_md5").agg(F.count("*").alias("n"))
+        found = materialize(found, "classed")
+    lead = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("text_md5").alias("text_md5"), F.count("*").alias("texts"))
+    other = found.filter("doc_id != component_id").select("doc_id", "text_md5")
+    several = lead.filter("texts > 1").join(found.filter("doc_id = component_id").withColumnRenamed("text_md5", "own"), "doc_id").filter("own != text_md5").select("doc_id", F.col("own").alias("text_md5"))
+    key = {"_near_id": named(id_col).cast("long"), "_near_md5": F.unhex(F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")))}
+    as_key = lambda d: d.select(F.col("doc_id").alias("_near_id"), F.col("text_md5").alias("_near_md5"))
+    gone = materialize(as_key(other.union(several)), "duplicates")
+    kept = df.withColumns(key).join(gone, list(key), "left_anti")
+    again = materialize(as_key(found.filter("n > 1 and doc_id = component_id")), "again")
+    if not again.isEmpty():
+        kept = kept.join(again, list(key), "left_anti").unionByName(kept.join(again, list(key), "left_semi").dropDuplicates(list(key)))
+    return kept.select(*[named(c) for c in df.columns])
 
 
 def _classed(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, text_md5`` per row.
+
+    A class is a node of its own, numbered in the order of its least (id, MD5), so that ids with several texts take part
+    with each of them and the least node of a component is the class of its least id.
+    """
     sig = materialize(signatures(docs), "signatures")
-    classes = sig.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
-    classes = materialize(classes, "classes")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_md5"))).alias("first")
+    classes = sig.filter("n_shingles > 0").groupBy("d1", "d2").agg(first, F.first("n_shingles").alias("n"))
+    classes = classes.select("d1", "d2", "n", F.col("first.doc_id").alias("rep"), F.col("first.text_md5").alias("rep_md5")).orderBy("rep", "rep_md5", "d1")
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     k = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(1), F.floor(F.col("n") / EXTRA)) * NUM / DEN))
     named = docs.filter("doc_id is not null")  # rows without id stay in ``sig`` and are classed by digest alone
-    chosen = materialize(survivors(named).join(classes.select(F.col("rep").alias("doc_id"), "n"), "doc_id").filter(F.col("live") >= k).select("doc_id", "live"), "survivors")
-    kept = named.join(chosen.filter("live > 0").select("doc_id"), "doc_id", "left_semi")
+    chosen = survivors(named).join(classes.select(F.col("rep").alias("doc_id"), "n", "node", "rep_md5"), "doc_id").filter(F.col("live") >= k)
+    chosen = materialize(chosen.select("doc_id", "rep_md5", "node", "live"), "survivors")
+    kept = named.join(chosen.filter("live > 0").select("doc_id", "rep_md5", "node"), "doc_id").filter(F.unhex(F.md5("text")) == F.col("rep_md5")).select(F.col("node").alias("doc_id"), "text")
     if not sig.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.groupBy("doc_id").agg(F.min("text").alias("text"))
-    kept = materialize(kept, "kept")
-    part = class_links(kept)
-    placed = classes.join(part, classes["rep"] == part["node"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+        kept = kept.groupBy("doc_id").agg(F.first("text").alias("text"))  # repeated rows of a class's first id
+    part = class_links(materialize(kept, "kept"))
+    rooted = classes.join(part, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("root"))
+    placed = rooted.join(classes.select(F.col("node").alias("root"), F.col("rep").alias("component_id")), "root").drop("root")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return sig.join(placed, ["d1", "d2"], "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return sig.join(placed, ["d1", "d2"], "left").select("doc_id", "n_shingles", own.alias("component_id"), "text_md5")

@@ -6,8 +6,8 @@ by its exact gradient (forward-backward). A document's score is the mean of its
 weighted by the line's length, on the logit scale shifted so that the training documents part best at one half.
 
 Training reads at most ``TRAIN_DOCS`` labelled documents, chosen by the hash of their id among the rows given as
-training rows, so the sample is the same at every run and its size does not grow with the corpus. Scoring covers all
-rows and whole texts.
+training rows, one text per id, ``TRAIN_LINES`` neighbouring lines of each and ``TRAIN_TOTAL`` lines in all, so the sample
+is the same at every run and its size does not grow with the corpus. Scoring covers all rows and whole texts.
 
 Cases: null and empty texts are one empty line; without any training rows of both labels every score is 0.5; repeated
 rows each get a row; an empty table gives an empty result; labels other than 0 and 1 and null labels are not used.
@@ -15,6 +15,7 @@ rows each get a row; an empty table gives an empty result; labels other than 0 a
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from .base import claim, map_batches, materialize, texts
 
 TRAIN_DOCS = 4000  # bound of the training sample, in documents
-TRAIN_LINES = 400  # of a training document's lines, so many contiguous ones at most are learned from
+TRAIN_LINES = 400  # of a training document's lines, so many contiguous ones at most are learned from, wherever its id says
+TRAIN_TOTAL = 400_000  # bound of the training sample, in lines; longer documents' runs are cut until it holds
 BINS, STEPS, RATE, DECAY = 8, 150, 0.1, 1e-3
 #: Character classes by byte: upper, lower, digit, space, stop, "!" and "?", other marks, beyond ASCII, "|".
 CLASSES = 9
@@ -197,12 +199,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     """A field from ``labels`` (``doc_id, quality``) outside the held-out fold; None without rows of both labels."""
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = materialize(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS), "crf-labels")  # bounded by TRAIN_DOCS rows
-    found = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    found = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))  # an id once
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
         features, sizes, counts = line_features([t.encode() for t in batch.column(1).to_pylist()])
         stops = np.cumsum(counts)
-        keep = [slice(b - n, b - n + min(n, TRAIN_LINES)) for b, n in zip(stops.tolist(), counts.tolist(), strict=True)]
+        keep = []
+        for d, b, n in zip(batch.column(0).to_pylist(), stops.tolist(), counts.tolist(), strict=True):
+            first = b - n + zlib.crc32(str(d).encode()) % max(1, n - TRAIN_LINES + 1)
+            keep.append(slice(first, first + min(n, TRAIN_LINES)))
         return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([features[k].astype(np.float32).tobytes() for k in keep], pa.binary()), pa.array([sizes[k].tobytes() for k in keep], pa.binary())], ["doc_id", "quality", "features", "sizes"])
 
     rows = map_batches(found, lines, "doc_id long, quality int, features binary, sizes binary").collect()  # bounded: TRAIN_DOCS documents of TRAIN_LINES lines
@@ -211,25 +216,48 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     if len(np.unique(label)) < 2:
         return None
     sizes = [np.frombuffer(r["sizes"], np.int64) for r in rows]
-    features = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES) for r in rows]).astype(np.float64)
+    longest = TRAIN_LINES
+    while sum(min(len(s), longest) for s in sizes) > TRAIN_TOTAL:
+        longest -= 1
+    sizes = [s[:longest] for s in sizes]
+    features = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES)[:longest] for r in rows]).astype(np.float64)
     return fit(features, np.concatenate(sizes), np.array([len(s) for s in sizes]), label)
 
 
+def scores_of(rows: list[str | None], field: Field | None) -> np.ndarray:
+    """Scores of whole texts, inside a task."""
+    claim("line_crf", lambda: None)
+    if field is None or not rows:
+        return np.full(len(rows), 0.5)
+    features, sizes, counts = line_features([(t or "").encode() for t in rows])
+    return document_scores(field, features.astype(np.float32).astype(np.float64), sizes, counts)
+
+
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
     """``doc_id, score`` per row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        claim("line_crf", lambda: None)
-        if field is None:
-            found = np.full(batch.num_rows, 0.5)
-        else:
-            features, sizes, counts = line_features([t.encode() for t in batch.column(1).to_pylist()])
-            found = document_scores(field, features.astype(np.float32).astype(np.float64), sizes, counts)
-        return pa.record_batch([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
+        return pa.record_batch([batch.column(0), pa.array(scores_of(batch.column(1).to_pylist(), field), pa.float64())], ["doc_id", "score"])
 
     return map_batches(docs, run, "doc_id long, score double")
 
 
+def good_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text the field trained on ``labels`` calls good.
+
+    Every row is judged by its own text where it is read: no join, and no exchange at any size.
+    """
+    field = train(texts(df, id_col, text_col), labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")))
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    packed = df.select(F.struct(*[named(c) for c in df.columns if c != text_col]).alias("row"), named(text_col).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(scores_of(batch.column(1).to_pylist(), field) >= 0.5, pa.bool_()))
+
+    kept = map_batches(packed, run, packed.schema)
+    return kept.select(*[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns])
+
+
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``df``."""
     docs = texts(df, id_col, text_col)

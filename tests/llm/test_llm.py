@@ -189,6 +189,25 @@ def test_near_duplicates(docs, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def test_one_of_each(spark):
+    """Repeated ids and rows, null ids, texts without words, clashing columns, an empty table."""
+    rng = random.Random(12)
+    a, b, c = words(rng, 60), words(rng, 60), words(rng, 60)
+    near = lambda t, w: " ".join(t.split(" ")[:-1] + [w])
+    rows = [
+        (1, a, "r1", 1), (2, near(a, "x"), "r2", 1), (2, b, "r3", 1), (3, b, "r4", 1), (4, c, "r5", 1), (4, near(c, "y"), "r6", 1), (5, c, "r7", 1), (6, c[::-1], "r8", 1), (6, c[::-1], "r8", 2),
+        (None, a, "r9", 1), (None, None, "r10", 1), (7, None, "r11", 1), (7, "", "r12", 1), (8, " ", "r13", 1), (8, " ", "r13", 1),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_md5 string, n long")
+    before = {k: spark.conf.get(k, None) for k in jaccard_join.PRUNING}
+    kept = jaccard_join.one_of_each(df)
+    assert kept.schema == df.schema and before == {k: spark.conf.get(k, None) for k in jaccard_join.PRUNING}
+    got = collections.Counter(r["text_md5"] for r in kept.collect())
+    least = "r5" if hashlib.md5(c.encode()).digest() < hashlib.md5(near(c, "y").encode()).digest() else "r6"
+    assert got == collections.Counter(["r1", "r3", least, "r8", "r9", "r10", "r11", "r12", "r13", "r13"])
+    assert jaccard_join.one_of_each(df.limit(0)).count() == 0
+
+
 def test_near_duplicates_without_ids(spark):
     rng = random.Random(8)
     a, b, c = words(rng, 60), words(rng, 60), words(rng, 60)
@@ -423,3 +442,22 @@ def test_pipeline_stages(spark):
     assert cut.columns == docs.columns
     out = pipeline.best_fit(spark, cut, d)
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r["doc_id"] for r in cut.select("doc_id").collect()}
+
+
+def test_pipeline_quality_rows(spark, tmp_path):
+    """Null, empty, repeated and clashing rows go by their own text; two texts of one id are judged apart."""
+    import corpus_pipeline as pipeline
+
+    d = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{d}/documents.parquet")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    some = given.join(labels, "doc_id")
+    good, bad = (some.filter(f"quality = {q}").orderBy("doc_id").first()["text"] for q in (1, 0))
+    extra = spark.createDataFrame([(5, good, "r1"), (5, bad, "r2"), (5, good, "r1"), (None, bad, "r3"), (None, good, "r4"), (6, None, "r5"), (7, "", "r6")], "doc_id long, text string, row string")
+    docs = given.select("doc_id", "text", F.lit("given").alias("row")).unionByName(extra)
+    kept = pipeline.quality(spark, docs, d)
+    assert kept.schema == docs.schema
+    empty = line_crf.classify(docs, labels).filter("doc_id = 6").first()["predicted"]
+    got = collections.Counter(r["row"] for r in kept.filter("row != 'given'").collect())
+    assert got == collections.Counter({"r1": 2, "r4": 1} | ({"r5": 1, "r6": 1} if empty else {}))
+    assert pipeline.quality(spark, docs.limit(0), d).count() == 0
