@@ -4,28 +4,19 @@ from __future__ import annotations
 
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from drivegauge.llm import jaccard_join, line_crf, packing, suffix_dedup
 from drivegauge.llm.base import materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line field calls good; the others go. Rows without id are scored by their text alike."""
-    docs = docs.withColumn("_key", F.xxhash64("text"))
-    found = line_crf.score(
-        docs.select(F.col("_key").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")),
-        line_crf.train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), table(spark, sf_dir, "labels").select("doc_id", "quality")),
-    )
-    bad = materialize(found.filter("score < 0.5").select(F.col("doc_id").alias("_key")).distinct(), "rejected")
-    return docs.join(bad, "_key", "left_anti").drop("_key")
+    """Documents that the line field calls good; the others go. Each row is judged by its own text, whatever its id."""
+    return line_crf.good_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the least id stays; rows of one id and text count once."""
-    found = jaccard_join.near_duplicates(docs)
-    gone = materialize(found.filter("component_id is not null and doc_id != component_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti")
+    """Of each group of near duplicates the document of the least id stays; rows without id stay."""
+    return jaccard_join.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
