@@ -5,15 +5,22 @@ all to the nearest, half to the next, a third to the one after, discounted by th
 links. The container with the most points after discounting by its own link density wins; an article or main element
 around it is taken instead. Siblings with a fifth of its points, or that are paragraphs of plain prose, are kept too.
 
-Blocks inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments never
-count and are never kept.
+Blocks inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments do not
+count and are not kept, be they known by their element, their role or their class and id. Names alone never empty a
+page: an element whose names also call it the post or article counts, and where hardly any text is left outside
+elements with doubtful names, the best of those is taken.
+
+A page takes time in proportion to its length and elements, however deep or broken it is: a tag without end, an end
+tag without start and an open quote are passed over once. ``option``, ``select`` and ``button`` without end tag last
+to the next block.
 
 Cases: null and empty html give the empty text; broken markup (unclosed tags, unknown tags, truncated pages) is read
-as far as it goes; rows repeat as given; other columns are ignored.
+as far as it goes; rows repeat as given; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import collections
 import html as _html
 import re
 
@@ -23,53 +30,141 @@ from pyspark.sql import functions as F
 
 from .base import map_batches
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>""", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+VALUE = re.compile(r"""[^>"'=]*""")
 #: Elements by their role in HTML.
-RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "object", "select", "option", "button"}
+RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "object", "audio", "video", "canvas"}
+CONTROL = {"select", "datalist", "option", "optgroup", "button"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 PARAGRAPH = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption", "summary"}
 CLOSES_P = BLOCK - {"html", "body", "head"}
 LEFT_OUT = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
-NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|masthead|menu|nav\w*|newsletter|notices?|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|comments?|cookies?|disqus|newsletter|notices?|popup|promo\w*|sponsor\w*|subscribe)(?:$|[\s_-])", re.I)
+DOUBT = re.compile(r"(?:^|[\s_-])(?:banner|footer|header|masthead|menu|nav\w*|related|share|sharing|sidebar|social|toolbar|widget)(?:$|[\s_-])", re.I)
+CONTENT = re.compile(r"(?:^|\s)(?:(?:post|article|entry|story|page|main)(?:[_-](?:content|body|text))?|content|body)(?:$|\s)", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+CLEAN, DOUBTFUL, OUT = 0, 1, 2
+LITTLE = 200  # characters: less clean text than this may lose to ten times as much under doubtful names
 
 
 class Node:
     """A block element: what it gathered, and whether its text can be main text."""
 
-    __slots__ = ("tag", "parent", "out", "points", "chars", "linked", "prose")
+    __slots__ = ("tag", "parent", "state", "points", "chars", "linked", "prose")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, state: int):
+        self.tag, self.parent, self.state = tag, parent, state
         self.points, self.chars, self.linked, self.prose = 0.0, 0, 0, False
 
+    @property
+    def value(self) -> float:
+        return self.points * (1 - self.linked / max(1, self.chars))
+
 
-def left_out(tag: str, attributes: str) -> bool:
+def state_of(tag: str, attributes: str) -> int:
+    """Whether an element is left out by what it is, doubtful by its names only, or neither."""
     if tag in LEFT_OUT:
-        return True
-    if not attributes:
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
+        return OUT
+    state, names = CLEAN, ""
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            if tag not in ("body", "html", "article", "main") and NOISE.search(value):
-                return True
+            names += f" {value}"
         elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return OUT
         elif name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return OUT
+    if names and tag not in ("body", "html", "article", "main") and not CONTENT.search(names):
+        state = OUT if NOISE.search(names) else DOUBTFUL if DOUBT.search(names) else CLEAN
+    return state
+
+
+class Scanner:
+    """Tags of a page from left to right, in one pass."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+        self.no_end: set[str] = set()
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``; -1 if there is none.
+
+        A quote counts behind ``=`` only. After a quote that swallows all that follows, quotes no longer count.
+        """
+        page, start = self.page, at
+        while self.quotes:
+            at = VALUE.match(page, at).end()
+            if at >= len(page):
+                break
+            if page[at] == ">":
+                return at
+            if page[at] == "=":
+                at += 1
+                while at < len(page) and page[at].isspace():
+                    at += 1
+                if at < len(page) and page[at] in "\"'":
+                    stop = page.find(page[at], at + 1)
+                    if stop < 0:
+                        break
+                    at = stop + 1
+            else:
+                at += 1
+        self.quotes = self.quotes and page.find(">", start) < 0
+        return page.find(">", start)
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """End of the raw element's end tag; -1 if there is none."""
+        if tag in self.no_end:
+            return -1
+        stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(self.page, at)
+        if not stop:
+            self.no_end.add(tag)
+        return stop.end() if stop else -1
+
+    def __iter__(self):
+        """``(text before, tag, closing, attributes)``; comments and declarations have an empty tag."""
+        page, at, size = self.page, 0, len(self.page)
+        text = 0
+        while at < size:
+            start = page.find("<", at)
+            if start < 0:
+                break
+            follow = page[start + 1 : start + 2]
+            if follow in ("!", "?"):
+                comment = page.startswith("<!--", start)
+                stop = page.find("-->" if comment else ">", start + (4 if comment else 2))
+                at = (stop + (3 if comment else 1)) if stop >= 0 else size
+                yield page[text:start], "", False, ""
+            else:
+                closing = follow == "/"
+                name = NAME.match(page, start + 1 + closing)
+                if not name:
+                    at = start + 1
+                    continue
+                stop = self.tag_end(name.end())
+                at = stop + 1 if stop >= 0 else size
+                tag = name[0].lower()
+                attributes = page[name.end() : at - 1]
+                yield page[text:start], tag, closing, attributes
+                if tag in RAW and not closing and not attributes.endswith("/") and (end := self.raw_end(tag, at)) >= 0:
+                    at = end
+                elif tag in ("script", "style") and not closing and not attributes.endswith("/"):
+                    at = size
+            text = at
+        yield page[text:], "", False, ""
 
 
-def blocks_of(page: str) -> list[tuple[Node, str, int]]:
-    """The page's blocks in order: the element each stands in, its text, and how many of its characters are links'."""
-    root = Node("html", None, False)
-    node, out = root, []
+def blocks_of(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
+    """The page's block elements, parents first, and its blocks in order: the element each stands in, its text, and how
+    many of its characters are links'."""
+    node = Node("html", None, CLEAN)
+    nodes, out = [node], []
+    open_: collections.Counter[str] = collections.Counter()
     parts: list[str] = []
     links: list[str] = []
-    in_link = 0
+    in_link, control = False, ""
 
     def flush() -> None:
         text = " ".join(_html.unescape("".join(parts)).split())
@@ -79,93 +174,85 @@ def blocks_of(page: str) -> list[tuple[Node, str, int]]:
         parts.clear()
         links.clear()
 
-    def add(text: str) -> None:
-        if text:
+    for text, tag, closing, attributes in Scanner(page):
+        if text and not control:
             parts.append(text)
             if in_link:
                 links.append(text)
-
-    at, size = 0, len(page)
-    while at < size:
-        found = TOKEN.search(page, at)
-        if not found:
-            add(page[at:])
-            break
-        add(page[at : found.start()])
-        at = found.end()
-        if not found[2]:
+        if not tag:
             continue
-        tag, closing = found[2].lower(), found[1]
         if tag in RAW:
-            if not closing and not found[3].endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else size
             parts.append(" ")
+        elif tag in CONTROL:
+            parts.append(" ")
+            if not closing:
+                control = control or tag
+            elif tag == control or tag in ("select", "datalist", "button"):
+                control = ""
         elif tag == "a":
-            in_link = 0 if closing else 1
+            in_link = not closing
         elif tag in VOID:
             parts.append(" " if tag in ("br", "wbr") else "")
             if tag == "hr":
                 flush()
         elif tag in BLOCK:
+            control = ""
             flush()
             if closing:
-                above = node
-                while above.parent and above.tag != tag:
-                    above = above.parent
-                if above.parent:
-                    node = above.parent
+                while open_[tag] and node.parent:
+                    open_[node.tag] -= 1
+                    node, found = node.parent, node.tag
+                    if found == tag:
+                        break
             else:
                 if tag in CLOSES_P and node.tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th") and node.tag == tag:
+                    open_[node.tag] -= 1
                     node = node.parent
-                node = Node(tag, node, node.out or left_out(tag, found[3]))
-            in_link = in_link if closing else 0
+                node = Node(tag, node, max(node.state, state_of(tag, attributes)))
+                open_[tag] += 1
+                nodes.append(node)
+                in_link = False
     flush()
-    return out
+    return nodes, out
 
 
 def main_text(page: str | None) -> str:
     """Text of the best container and its kept siblings, one block per line."""
-    blocks = blocks_of(page or "")
-    scored: dict[int, Node] = {}
+    nodes, blocks = blocks_of(page or "")
     for node, text, linked in blocks:
-        above: Node | None = node
-        while above:
-            above.chars += len(text)
-            above.linked += linked
-            above = above.parent
-        if node.out:
+        node.chars += len(text)
+        node.linked += linked
+        if node.state == OUT:
             continue
         node.prose = len(text) > 80 and linked * 4 < len(text) or not linked and text[-1] in ".!?"
         points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
         holder = node.parent if node.tag in PARAGRAPH and node.parent else node
         for share in (1, 2, 3):
-            if holder:
+            if holder and (node.state == CLEAN or holder.state == DOUBTFUL):  # doubtful text speaks for doubtful elements only
                 holder.points += points / share
-                scored[id(holder)] = holder
-                holder = holder.parent
-    value = lambda n: n.points * (1 - n.linked / max(1, n.chars))
-    usable = [n for n in scored.values() if not n.out]
+            holder = holder and holder.parent
+    mass = {s: sum(len(t) for n, t, _ in blocks if n.state == s) for s in (CLEAN, DOUBTFUL)}
+    for node in reversed(nodes):
+        if node.parent:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+    allowed = DOUBTFUL if mass[CLEAN] < LITTLE and mass[DOUBTFUL] > max(LITTLE, 10 * mass[CLEAN]) else CLEAN
+    usable = [n for n in nodes if n.state == allowed and n.points > 0]
     if not usable:
         return ""
-    best = max(usable, key=value)
-    above = best
+    best = max(usable, key=lambda n: n.value)
+    above: Node | None = best
     while above:
         if above.tag in ("article", "main"):
             best = above
         above = above.parent
-    least = value(best) / 5
-    keep: dict[int, bool] = {id(best): True}
-
-    def kept(node: Node | None) -> bool:
-        if node is None:
-            return False
-        if id(node) not in keep:
-            sibling = node.parent is not None and node.parent is best.parent and (node.prose and node.tag == "p" or node.points > 0 and value(node) >= least)
-            keep[id(node)] = sibling or kept(node.parent)
-        return keep[id(node)]
-
-    return "\n".join(text for node, text, _ in blocks if not node.out and kept(node))
+    least = best.value / 5
+    kept: set[int] = set()
+    for node in nodes:  # parents come first
+        beside = node.parent is not None and node.parent is best.parent and (node.prose and node.tag == "p" or node.points > 0 and node.value >= least)
+        if node is best or node.state <= allowed and (beside or id(node.parent) in kept):
+            kept.add(id(node))
+    return "\n".join(text for node, text, _ in blocks if node.state <= allowed and id(node) in kept)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -388,6 +388,29 @@ def test_html(spark):
     assert got[2] == got[3] == ("", 0) and got[4] == ("plain <text>", 12) and got[5] == ("open", 4)
 
 
+def test_html_of_broken_pages(spark):
+    import time
+
+    prose = "A first sentence, with a comma, and a good many words behind it. Another one follows, as long as that."
+    took = time.perf_counter()
+    deep = "<article>" + "<div>" * 5000 + f"<p>{prose}" + "</div>" * 5000 + "</article>"
+    assert html_text.main_text(deep) == prose
+    assert html_text.main_text("<p>" + prose + "</p>" + "<a " * 100_000) == prose
+    for broken in ('<a "' * 20_000, '<a x="' * 20_000, "<a x='>" * 20_000, "<!--" * 20_000, "<" * 100_000, "</div>" * 50_000, "<div>" * 50_000, "<title>" * 20_000, "<svg>" * 20_000, "<a x=" * 20_000 + "'"):
+        html_text.main_text(broken)
+    assert time.perf_counter() - took < 10
+    for page in (f"<form><select><option>one<option>two</select></form><p>{prose}</p>", f"<div><option>one<p>{prose}</div>", f"<div><button>press<p>{prose}</p></div>", f'<div class="post social-science"><p>{prose}</p></div>',
+                 f'<div class="related-research article"><p>{prose}</p></div>', f'<div class="sidebar-layout"><p>{prose} {prose} {prose}</p></div><p>', f"<title>t<p>{prose}</p>", f"<noscript><p>{prose}</p>", f'<p title="a > b">{prose}</p>', f"<p>{prose}<p class=x'>"):
+        assert prose in html_text.main_text(page).replace(f"{prose} {prose} {prose}", prose).split("\n"), page
+    assert html_text.main_text('<div class="ad">buy</div><div class="comments"><p>' + prose * 9 + "</p></div>") == ""
+    assert html_text.main_text(f"<p>1 < 2 & 3 &lt; 4</p><p>{prose}") == f"1 < 2 & 3 < 4\n{prose}"
+    assert html_text.main_text("<article><p>Text <button>share</button> goes on.</p></article>") == "Text goes on."
+    rows = [(1, "u", f"<p>{prose}", "t", 1), (1, "u", f"<p>{prose}", "t", 1), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(0, "", 0)] + [(1, prose, len(prose))] * 2
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(3)
     unary, stay = rng.normal(size=9), rng.normal(size=(2, 2))
