@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import math
+import functools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .matching import assign
 
@@ -16,81 +19,154 @@ def line_class(kind: Column, position: Column) -> Column:
     return F.when(kind == 2, "fence").when((kind == 1) & position.isin(1, 8), "main_lane").when((kind == 1) & position.isin(2, 3, 9, 10), "secondary_lane")
 
 
-def smooth(values: np.ndarray, window: int = 15, order: int = 3) -> np.ndarray:
-    """Local least-squares polynomials of ``order`` over an odd window (Savitzky-Golay); the ends take the outermost fits."""
-    n = len(values)
+@functools.lru_cache(maxsize=64)
+def smoothing(n: int, window: int = 15, order: int = 3) -> np.ndarray:
+    """Matrix of local least-squares polynomials over an odd window (Savitzky-Golay); the ends take the outermost fits."""
     window = min(window, n if n % 2 else n - 1)
     if window <= order:
-        return values
+        return np.eye(n)
     half = window // 2
-    x = np.arange(-half, half + 1)
-    weights = np.linalg.pinv(np.vander(x, order + 1, increasing=True))
-    out = np.convolve(values, weights[0][::-1], "same")
-    for i in range(half):
-        out[i] = np.polyval(np.polyfit(x, values[:window], order), i - half)
-        out[n - 1 - i] = np.polyval(np.polyfit(x, values[-window:], order), half - i)
+    powers = np.vander(np.arange(-half, half + 1), order + 1, increasing=True)
+    fits = powers @ np.linalg.pinv(powers)  # row i: the fit's value at the window's place i
+    out = np.zeros((n, n))
+    for i in range(n):
+        first = min(max(i - half, 0), n - window)
+        out[i, first : first + window] = fits[i - first]
     return out
 
 
 def spline(t: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural cubic spline through (t, y)."""
-    n, h = len(t), np.diff(t)
-    a = np.zeros((n, n))
-    r = np.zeros(n)
-    a[0, 0] = a[-1, -1] = 1
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        r[i] = 6 * ((y[i + 1] - y[i]) / h[i] - (y[i] - y[i - 1]) / h[i - 1])
-    m = np.linalg.solve(a, r)
-    k = np.clip(np.searchsorted(t, at, side="right") - 1, 0, n - 2)
-    u, w = at - t[k], t[k + 1] - at
-    return (m[k] * w**3 + m[k + 1] * u**3) / (6 * h[k]) + (y[k] / h[k] - m[k] * h[k] / 6) * w + (y[k + 1] / h[k] - m[k + 1] * h[k] / 6) * u
+    """Cubic splines (not-a-knot) through the rows of (t, y), at the rows of ``at``; four points a row at least."""
+    h = np.diff(t, axis=1)
+    r = 6 * np.diff(np.diff(y, axis=1) / h, axis=1)
+    low, mid, up = h[:, :-1].copy(), 2 * (h[:, :-1] + h[:, 1:]), h[:, 1:].copy()
+    mid[:, 0] += h[:, 0] + h[:, 0] ** 2 / h[:, 1]
+    up[:, 0] -= h[:, 0] ** 2 / h[:, 1]
+    mid[:, -1] += h[:, -1] + h[:, -1] ** 2 / h[:, -2]
+    low[:, -1] -= h[:, -1] ** 2 / h[:, -2]
+    inner = mid.shape[1]
+    for i in range(1, inner):  # elimination, all rows in step
+        w = low[:, i] / mid[:, i - 1]
+        mid[:, i] -= w * up[:, i - 1]
+        r[:, i] -= w * r[:, i - 1]
+    m = np.zeros_like(y)
+    m[:, inner] = r[:, -1] / mid[:, -1]
+    for i in range(inner - 2, -1, -1):
+        m[:, i + 1] = (r[:, i] - up[:, i] * m[:, i + 2]) / mid[:, i]
+    m[:, 0] = m[:, 1] - h[:, 0] / h[:, 1] * (m[:, 2] - m[:, 1])
+    m[:, -1] = m[:, -2] + h[:, -1] / h[:, -2] * (m[:, -2] - m[:, -3])
+    k = np.clip((t[:, None, :] <= at[:, :, None]).sum(axis=2) - 1, 0, t.shape[1] - 2)
+    pick = lambda v, j: np.take_along_axis(v, j, axis=1)
+    u, w, g = at - pick(t, k), pick(t, k + 1) - at, pick(h, k)
+    return (pick(m, k) * w**3 + pick(m, k + 1) * u**3) / (6 * g) + (pick(y, k) / g - pick(m, k) * g / 6) * w + (pick(y, k + 1) / g - pick(m, k + 1) * g / 6) * u
 
 
 def curvature_radius(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """1 / |curvature| along the line, resampled by chord length and smoothed; infinite where straight."""
-    t = np.r_[0, np.cumsum(np.hypot(np.diff(x), np.diff(y)))]
-    keep = np.r_[True, np.diff(t) > 0]
-    t, x, y = t[keep], x[keep], y[keep]
-    at = np.linspace(0, t[-1], max(2 * len(t), 50))
-    px, py = smooth(spline(t, x, at)), smooth(spline(t, y, at))
-    dx, dy = np.gradient(px, at), np.gradient(py, at)
-    k = np.abs(dx * np.gradient(dy, at) - dy * np.gradient(dx, at)) / np.maximum((dx * dx + dy * dy) ** 1.5, 1e-12)
+    """1 / |curvature| along each row's line, resampled by chord length and smoothed; infinite where straight."""
+    t = np.pad(np.cumsum(np.hypot(np.diff(x, axis=1), np.diff(y, axis=1)), axis=1), ((0, 0), (1, 0)))
+    n = max(2 * x.shape[1], 50)
+    at = t[:, -1:] * np.linspace(0, 1, n)
+    smooth = smoothing(n).T
+    step = t[:, -1:] / (n - 1)
+    slope = lambda v: np.gradient(v, axis=1) / step
+    dx, dy = slope(spline(t, x, at) @ smooth), slope(spline(t, y, at) @ smooth)
+    k = np.abs(dx * slope(dy) - dy * slope(dx)) / np.maximum((dx * dx + dy * dy) ** 1.5, 1e-6)
     with np.errstate(divide="ignore"):
         return np.where(k > 0, 1 / k, np.inf)
 
 
-def features(x: np.ndarray, y: np.ndarray) -> tuple:
-    """Cubic coefficients over 0 to 80 m, headings at the start and at 50 m, arc length, median radius up to 9999."""
-    order = np.argsort(x, kind="stable")
+def cubic_fits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least-squares c0 to c3 of each row, of a lower degree where a row has fewer than four places."""
+    mid, half = (x.max(axis=1) + x.min(axis=1)) / 2, (x.max(axis=1) - x.min(axis=1)) / 2
+    half = np.where(half > 0, half, 1.0)
+    u = (x - mid[:, None]) / half[:, None]
+    places = 1 + (np.diff(np.sort(x, axis=1), axis=1) > 0).sum(axis=1)
+    a = np.zeros((len(x), 4))
+    for degree in range(4):
+        use = np.minimum(places, 4) == degree + 1
+        if use.any():
+            v = u[use][:, :, None] ** np.arange(degree + 1)
+            vt = v.transpose(0, 2, 1)
+            a[use, : degree + 1] = np.linalg.solve(vt @ v, vt @ y[use][:, :, None])[:, :, 0]
+    a /= half[:, None] ** np.arange(4)  # powers of (x - mid); then of x
+    a0, a1, a2, a3 = a.T
+    return np.column_stack([a0 - a1 * mid + a2 * mid**2 - a3 * mid**3, a1 - 2 * a2 * mid + 3 * a3 * mid**2, a2 - 3 * a3 * mid, a3])
+
+
+NODES, WEIGHTS = np.polynomial.legendre.leggauss(16)
+
+
+def arc_lengths(c: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Length of each row's cubic between two places."""
+    mid, half = (high + low)[:, None] / 2, (high - low)[:, None] / 2
+    x = mid + half * NODES
+    slope = c[:, 1:2] + x * (2 * c[:, 2:3] + x * 3 * c[:, 3:4])
+    return (half * WEIGHTS * np.sqrt(1 + slope**2)).sum(axis=1)
+
+
+FEATURES = ["c0", "c1", "c2", "c3", "heading_0", "heading_50", "length", "radius"]
+
+
+def by_count(counts: np.ndarray):
+    """Rows of equal numbers of points, in chunks of bounded size: ``(number, rows, the places of their points)``."""
+    starts = np.cumsum(counts) - counts
+    for n in np.unique(counts[counts > 0]).tolist():
+        own = np.flatnonzero(counts == n)
+        size = max(1, 4_000_000 // (n * max(2 * n, 50)))
+        for part in (own[i : i + size] for i in range(0, len(own), size)):
+            yield n, part, starts[part][:, None] + np.arange(n)
+
+
+def features(x: np.ndarray, y: np.ndarray, counts: np.ndarray, radii: bool = True) -> np.ndarray:
+    """``FEATURES`` of lines whose points follow each other in ``x`` and ``y``; NaN where a line has none.
+
+    Cubic over 0 to 80 m, headings at 5 m (if it begins by 8 m) and 50 m (if it reaches from 48 to 52 m), arc length of the
+    cubic over the whole line, and the median radius over 0 to 80 m, 9999 at most, if the cubic there is longer than 10 m.
+    """
+    out = np.full((len(counts), len(FEATURES)), np.nan)
+    line = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((x, line))
     x, y = x[order], y[order]
-    nodes, weights = np.polynomial.legendre.leggauss(16)
-    whole = np.polyfit(x, y, min(3, len(x) - 1)) if len(x) > 1 else np.zeros(1)
-    mid, half = (x[-1] + x[0]) / 2, (x[-1] - x[0]) / 2
-    length = float(half * (weights * np.sqrt(1 + np.polyval(np.polyder(whole), mid + half * nodes) ** 2)).sum()) if len(x) > 1 else 0.0
+    for _, rows, at in by_count(counts):
+        out[rows, 6] = arc_lengths(cubic_fits(x[at], y[at]), x[at[:, 0]], x[at[:, -1]])
     near = (x >= 0) & (x <= 80)
-    c3 = c2 = c1 = c0 = start = fifty = radius = None
-    if near.sum() > 2:
-        fit = np.polyfit(x[near], y[near], min(3, int(near.sum()) - 1))
-        c3, c2, c1, c0 = (float(v) for v in np.r_[np.zeros(4 - len(fit)), fit])
-        start = math.degrees(math.atan(25 * c3 + 5 * c2 + c1)) if x[0] <= 8 else None
-        fifty = math.degrees(math.atan(7500 * c3 + 100 * c2 + c1)) if x[0] <= 48 and x[-1] >= 52 else None
-    if len(x) >= 5 and length > 10:
-        radius = float(min(9999, round(float(np.median(curvature_radius(x, y))))))if np.isfinite(np.median(curvature_radius(x, y))) else 9999.0
-    return c0, c1, c2, c3, start, fifty, length, radius
-
-
-def line_features(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and the features of ``points`` (array of x, y structs) of each line."""
-    names = ["c0", "c1", "c2", "c3", "heading_0", "heading_50", "length", "radius"]
-    schema = ", ".join([f"{k} {df.schema[k].dataType.simpleString()}" for k in keys] + [f"{n} double" for n in names])
+    x, y, counts = x[near], y[near], np.bincount(line[near], minlength=len(counts))
+    for n, rows, at in by_count(counts):
+        if n < 3:
+            continue
+        px, py = x[at], y[at]
+        c = cubic_fits(px, py)
+        first, last = px[:, 0], px[:, -1]
+        out[rows, :4] = c
+        out[rows, 4] = np.where(first <= 8, np.degrees(np.arctan(25 * c[:, 3] + 5 * c[:, 2] + c[:, 1])), np.nan)
+        out[rows, 5] = np.where((first <= 48) & (last >= 52), np.degrees(np.arctan(7500 * c[:, 3] + 100 * c[:, 2] + c[:, 1])), np.nan)
+        if radii and n >= 5:
+            use = (arc_lengths(c, first, last) > 10) & ((np.diff(px, axis=1) != 0) | (np.diff(py, axis=1) != 0)).all(axis=1)
+            if use.any():
+                out[rows[use], 7] = np.minimum(9999, np.rint(np.median(curvature_radius(px[use], py[use]), axis=1)))
+    return out
 
-    def run(batches):
-        for pdf in batches:
-            rows = [features(np.array([p["x"] for p in ps], float), np.array([p["y"] for p in ps], float)) for ps in pdf["points"]]
-            yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=names).astype(float)], axis=1)
 
-    return df.select(*keys, "points").mapInPandas(run, schema)
+def line_features(df: DataFrame, keys: list[str], radii: bool = True) -> DataFrame:
+    """``keys`` and the features of ``points`` (array of x, y structs) of each line, computed for all lines of a batch at
+    once. Points without x or y are not used; a line without points has no feature; a line with a repeated point has no
+    radius. Without ``radii`` the last column is null."""
+    schema = StructType([df.schema[k] for k in keys] + [StructField(n, DoubleType()) for n in FEATURES])
+
+    def run(batches):
+        for batch in batches:
+            points = batch.column(len(keys))
+            sizes = pc.fill_null(pc.list_value_length(points), 0).to_numpy(zero_copy_only=False)
+            flat = points.flatten()
+            x, y = (pc.struct_field(flat, n).to_numpy(zero_copy_only=False).astype(float) for n in ("x", "y"))
+            given = ~(np.isnan(x) | np.isnan(y))
+            counts = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[given], minlength=len(sizes))
+            found = features(x[given], y[given], counts, radii)
+            columns = [pa.array(c, pa.float64(), mask=np.isnan(c)) for c in found.T]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *FEATURES])
+
+    points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    return df.select(*keys, points.alias("points")).mapInArrow(run, schema)
 
 
 def chain(pieces: list[tuple[str, np.ndarray]], reach: float) -> list[tuple[str, np.ndarray]]:

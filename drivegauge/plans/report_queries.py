@@ -120,10 +120,10 @@ def a06_slot_stats(spark, sf_dir):
 LINE = "WITH o AS (SELECT o_orderkey AS id, (o_totalprice % 7) - 3.5E0 AS c0, (o_totalprice % 11 - 5.5E0) / 100 AS c1, (o_totalprice % 13 - 6.5E0) / 10000 AS c2 FROM orders) "
 
 
-def lines(spark, sf_dir) -> DataFrame:
+def lines(spark, sf_dir, reach: int = 80) -> DataFrame:
     p = c("o_totalprice")
     o = table(spark, sf_dir, "orders").select(c("o_orderkey").alias("id"), (p % 7 - 3.5).alias("k0"), ((p % 11 - 5.5) / 100).alias("k1"), ((p % 13 - 6.5) / 10000).alias("k2"))
-    points = F.transform(F.sequence(F.lit(0), F.lit(80), F.lit(5)), lambda i: F.struct(i.cast("double").alias("x"), (c("k0") + c("k1") * i + c("k2") * i * i).alias("y")))
+    points = F.transform(F.sequence(F.lit(0), F.lit(reach), F.lit(5)), lambda i: F.struct(i.cast("double").alias("x"), (c("k0") + c("k1") * i + c("k2") * i * i).alias("y")))
     return o.select("id", F.floor(c("id") / 750).alias("scenario_no"), (c("id") * 100000).alias("frame_ts_us"), (c("id") % 3).cast("int").alias("type"), points.alias("points"))
 
 
@@ -134,13 +134,13 @@ def p07_line_class(spark, sf_dir):
 
 @query(LINE + "SELECT id, round(c0, 4) + 0.0E0 AS c0, round(c1, 4) + 0.0E0 AS c1, round(degrees(atan(5 * c2 + c1)), 3) + 0.0E0 AS heading_0, round(degrees(atan(100 * c2 + c1)), 3) + 0.0E0 AS heading_50 FROM o")
 def p08_line_features(spark, sf_dir):
-    f = ln.line_features(lines(spark, sf_dir), ["id"])
+    f = ln.line_features(lines(spark, sf_dir), ["id"], radii=False)
     return f.select("id", *[(F.round(k, n) + 0.0).alias(k) for k, n in (("c0", 4), ("c1", 4), ("heading_0", 3), ("heading_50", 3))])
 
 
 @query()
 def p09_curvature_radius(spark, sf_dir):
-    return ln.line_features(lines(spark, sf_dir), ["id"]).select("id", F.round("length", 3).alias("length"), "radius")
+    return ln.line_features(lines(spark, sf_dir, 120), ["id"]).select("id", F.round("length", 3).alias("length"), "radius")
 
 
 @query()

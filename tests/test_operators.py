@@ -57,7 +57,7 @@ def test_strip_overlap():
 
 def test_radius_of_circle():
     t = np.linspace(0, 0.8, 60)
-    assert abs(np.median(lines.curvature_radius(50 * np.sin(t), 50 * (1 - np.cos(t)))) - 50) < 1
+    assert abs(np.median(lines.curvature_radius(50 * np.sin(t)[None], 50 * (1 - np.cos(t))[None])) - 50) < 1
 
 
 def test_id_carry():
@@ -229,3 +229,44 @@ def test_clock_repair(spark):
     assert [(r["n"], round(r["x"] - want, 3)) for r in fixed] == [(5, 5.0), (6, 6.0)]
     calm = timeline.clock_offsets(spark.createDataFrame(rows[-2:], "i string, f string, n int, x double"), ["i"], ["f"], "x", ["n"])
     assert [r["offset"] for r in calm.collect()] == [0.0]
+
+
+def test_line_features_of_long_and_short_lines(spark):
+    """Lines beyond 80 m, of few points, unsorted, with nulls, repeated points, and none, against a fit one by one."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(40):
+        x = np.sort(rng.uniform(-20, 150, rng.integers(1, 60))) if i % 4 else np.arange(0, 150, 5.0)
+        y = 1 + 0.1 * x - 2e-3 * x * x + 1e-5 * x**3 + rng.normal(0, 0.01, len(x))
+        rows.append((i, [{"x": float(a), "y": float(b)} for a, b in rng.permutation(np.column_stack([x, y]))]))
+    bend = [{"x": 100 * math.sin(t), "y": 100 - 100 * math.cos(t)} for t in np.linspace(0, 0.8, 30)] + [{"x": float(x), "y": 70.0} for x in range(81, 300, 3)]
+    rows += [(100, bend), (101, []), (102, None), (103, [{"x": None, "y": 1.0}, {"x": 1.0, "y": 2.0}]), (104, [{"x": 1.0, "y": 2.0}] * 9)]
+    df = spark.createDataFrame(rows, "id long, points array<struct<x:double,y:double>>")
+    got = {r["id"]: r for r in lines.line_features(df, ["id"]).collect()}
+    assert len(got) == len(rows)
+    for i, points in rows[:40]:
+        x, y = np.array(sorted((p["x"], p["y"]) for p in points)).T
+        near = (x >= 0) & (x <= 80)
+        if near.sum() < 3:
+            assert got[i]["c0"] is None and got[i]["radius"] is None
+            continue
+        want = np.polyfit(x[near], y[near], min(3, near.sum() - 1))
+        if near.sum() >= 8:
+            assert np.allclose([got[i][f"c{k}"] for k in range(4)], want[::-1], rtol=1e-4, atol=1e-6)
+        if x[near][0] <= 8 and near.sum() > 3:
+            assert np.isclose(got[i]["heading_0"], np.degrees(np.arctan(25 * want[0] + 5 * want[1] + want[2])))
+        fine = np.linspace(x[0], x[-1], 20001)
+        if len(x) > 3:
+            z = np.polyval(np.polyfit(x, y, 3), fine)
+            assert np.isclose(got[i]["length"], np.hypot(np.diff(fine), np.diff(z)).sum(), rtol=1e-4)
+    assert abs(got[100]["radius"] - 100) <= 1  # the bend up to 80 m only
+    assert [got[101][k] for k in lines.FEATURES] == [got[102][k] for k in lines.FEATURES] == [None] * 8
+    assert got[103]["length"] == 0 and got[104]["radius"] is None
+    assert lines.line_features(df.limit(0), ["id"]).count() == 0
+
+
+def test_spline_passes_cubics():
+    t = np.sort(np.random.default_rng(1).uniform(0, 9, (5, 11)), axis=1)
+    at = np.linspace(t[:, 0], t[:, -1], 30, axis=1)
+    cubic = lambda v: 2 - v + 0.5 * v**2 - 0.1 * v**3
+    assert np.allclose(lines.spline(t, cubic(t), at), cubic(at))
