@@ -17,8 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the cluster's shared checkpoint folder (a test folder where none is set)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.drivegauge.scratch", "/tmp/checkpoints/drivegauge")
+    """A new path below the cluster's shared checkpoint folder.
+
+    Where none is set, a local session takes a folder of this machine; on a cluster, whose executors would each write to
+    their own disk, that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.drivegauge.scratch", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that all executors share")
+        root = "/tmp/checkpoints/drivegauge"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import byte_bpe, flac, html_text, jaccard_join, line_crf, packing, simhash, suffix_dedup, token_counts, warc
-from .base import scratch_dir, table
+from .base import materialize, scratch_dir, table
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents; ``n_near`` for every document whose id is divisible by 50, searched among all."""
+    return simhash.count_near(materialize(simhash.edited_fingerprints(table(spark, sf_dir, "documents")), "fingerprints"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

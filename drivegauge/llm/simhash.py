@@ -122,6 +122,24 @@ def near_fingerprints(prints: DataFrame, radius: int = 3, blocks: int = 6, queri
     return pairs.filter(distance <= radius).select("a", "b", distance.cast("int").alias("distance")).distinct()
 
 
+def count_near(rows: DataFrame, radius: int = 3, every: int = 50) -> DataFrame:
+    """``rows`` (``doc_id, fingerprint`` in hexadecimal, and more) with ``n_near``: for the stated queries, whose id is
+    divisible by ``every``, how many rows, the query itself included, have a fingerprint within ``radius``; else null.
+
+    The search runs over all distinct fingerprints by the permuted tables; rows of one fingerprint are counted, not listed.
+    Null ids are not queries.
+    """
+    number = F.conv(F.col("fingerprint"), 16, -10).cast("long")
+    counts = materialize(rows.groupBy(number.alias("fingerprint")).agg(F.count("*").alias("n"), F.max(F.col("doc_id") % every == 0).alias("query")), "prints")
+    queries = counts.filter("query")
+    found = near_fingerprints(counts.select("fingerprint"), radius, queries=queries.select("fingerprint"))
+    others = found.join(counts.select(F.col("fingerprint").alias("b"), "n"), "b").select(F.col("a").alias("fingerprint"), "n")
+    near = others.unionByName(queries.select("fingerprint", "n")).groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
+    near = materialize(near, "near").select(F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "n_near")
+    joined = rows.join(near, "fingerprint", "left")
+    return joined.select(*rows.columns, F.when(F.col("doc_id") % every == 0, F.col("n_near")).alias("n_near"))
+
+
 ROWS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 

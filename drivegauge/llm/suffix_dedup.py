@@ -14,11 +14,13 @@ at 7 % of all positions. Consecutive windows with the same sample are one run.
    named where they are and sent window by window, so that no task gets an unbounded bucket.
 
 All four visits to the texts (samples, ranks, ties, result) read one exchange by block. A block settles what repeats
-inside it, so no key of the later exchanges has more rows than there are blocks. Names have 64 bits, ranks 128.
+inside it, so no key of the later exchanges has more rows than there are blocks. Windows are compared by 128 bits: a
+run's bucket and rank, a tied window's bucket and name, or its name and second name.
 
 Cases: null and empty texts, and texts shorter than a window, lose nothing; of equal texts all but those of the least
 id lose everything; rows of one id never count as earlier than each other; rows without id are kept whole and make no
-other row lose anything; an empty table gives an empty result; other columns are ignored.
+other row lose anything; an id with more than 65,536 different texts is an error; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,6 +63,11 @@ def window_names(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mix(grams[at] * ODD[2] + grams[at + GRAM])
 
 
+def second_names(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Another 64 bits of the same windows: names and second names agree together only if both halves' hashes do."""
+    return _mix(grams[at + GRAM] * ODD[0] + (grams[at] ^ ODD[1]))
+
+
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
     """Least of every ``width`` neighbours, by doubling."""
     span, out = 1, keys
@@ -106,6 +113,8 @@ def _rows(block: pa.Table) -> list[tuple[int, int, bytes]]:
     out: list[tuple[int, int, bytes]] = []
     for d, t in found:
         out.append((d, out[-1][1] + 1 if out and out[-1][0] == d else 0, t.encode()))
+        if out[-1][1] > 0xFFFF:
+            raise ValueError(f"id {d} has more than 65,536 different texts")
     return out
 
 
@@ -305,13 +314,15 @@ def _dedup(docs: DataFrame, carry: bool = False) -> DataFrame:
         for d, sub, begin, end, bucket, large in zip(right["doc_id"].to_pylist(), s.tolist(), b.tolist(), e.tolist(), right["bucket"].to_pylist(), right["large"].to_pylist(), strict=True):
             wanted.setdefault((d, sub), []).append((begin, end, bucket, large))
         small: list[tuple] = []
-        names, docs_, subs, ats = [], [], [], []
+        names, more, docs_, subs, ats = [], [], [], [], []
         for d, sub, t in _rows(left):
             runs = wanted.get((d, sub), ())
             small += [(bucket, d, (begin << 32) | ((end - begin) << 16) | sub, t[begin : end + LENGTH]) for begin, end, bucket, large in runs if not large]
             if big := [(begin, end) for begin, end, _, large in runs if large]:
                 at = np.concatenate([np.arange(begin, end + 1) for begin, end in big])
-                names.append(window_names(gram_names(np.frombuffer(t + bytes(LENGTH + 8), np.uint8)), at).view(np.int64))
+                grams = gram_names(np.frombuffer(t + bytes(LENGTH + 8), np.uint8))
+                names.append(window_names(grams, at).view(np.int64))
+                more.append(second_names(grams, at).view(np.int64))
                 docs_.append(np.full(len(at), d))
                 subs.append(np.full(len(at), sub))
                 ats.append(at)
@@ -321,12 +332,13 @@ def _dedup(docs: DataFrame, carry: bool = False) -> DataFrame:
             keys = np.array(keys, np.int64)
             out.append(pa.table([pa.array((_mix(keys.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)), pa.array(keys), pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(data, pa.binary())], schema=TIE))
         if names:
-            name, doc, sub, at = (np.concatenate(x) for x in (names, docs_, subs, ats))
-            known, _ = _settle([name], doc, name)
+            name, second, doc, sub, at = (np.concatenate(x) for x in (names, more, docs_, subs, ats))
+            known, _ = _settle([second, name], doc, name)
             done, places = ranges_of(doc[known], at[known], sub[known])  # settled in the block; they travel as ranges
             keys = np.r_[name[~known], _mix(done.view(np.uint64) + places.view(np.uint64)).view(np.int64)]
             ids, at_ = np.r_[doc[~known], done], np.r_[place_of(at[~known], at[~known], sub[~known]), places]
-            marks = pa.array([None] * int((~known).sum()) + [b""] * len(done), pa.binary())
+            seconds = second[~known].tobytes()
+            marks = pa.array([seconds[k : k + 8] for k in range(0, len(seconds), 8)] + [b""] * len(done), pa.binary())
             out.append(pa.table([pa.array((_mix(keys.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)), pa.array(keys), pa.array(ids), pa.array(at_), marks], schema=TIE))
         return pa.concat_tables(out)
 
@@ -334,10 +346,9 @@ def _dedup(docs: DataFrame, carry: bool = False) -> DataFrame:
         doc, place = group["doc_id"].to_numpy(), group["place"].to_numpy()
         key = group["key"].to_numpy()
         data = group["run"].combine_chunks()
-        single = np.asarray(data.is_null())
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(data), 0)).astype(np.int64)
-        done = ~single & (sizes == 0)
-        runs = np.flatnonzero(sizes)
+        sizes = np.asarray(pa.compute.binary_length(data)).astype(np.int64)
+        done, single = sizes == 0, sizes == 8  # a run has as many bytes as a window at least
+        runs = np.flatnonzero(sizes >= LENGTH)
         raw = np.frombuffer(b"".join(data.take(pa.array(runs)).to_pylist()) + bytes(LENGTH + 8), np.uint8)
         grams, lengths = gram_names(raw), sizes[runs]
         windows = lengths - LENGTH + 1
@@ -347,9 +358,10 @@ def _dedup(docs: DataFrame, carry: bool = False) -> DataFrame:
         one = np.flatnonzero(single)
         begin, _, sub = unplace(place)
         every = np.r_[own, one]
-        name = np.r_[_mix(name + key[own].view(np.uint64)), key[one].view(np.uint64)]
+        name = np.r_[name, key[one].view(np.uint64)]
+        second = np.r_[key[own], np.frombuffer(b"".join(data.take(pa.array(one)).to_pylist()), np.int64)]  # a run's bucket, a window's second name
         at = np.r_[begin[own] + inside, begin[one]]
-        known, _ = _settle([name], doc[every], name)
+        known, _ = _settle([np.r_[np.zeros(len(own), bool), np.ones(len(one), bool)], second, name], doc[every], name)
         docs_, places = ranges_of(doc[every][known], at[known], sub[every][known])
         return _table({"doc_id": np.r_[docs_, doc[done]], "place": np.r_[places, place[done]]}, COVER)
 

@@ -313,6 +313,32 @@ def test_hamming_search(spark):
     assert found == {(a, b) for a in queries for b in set(prints) if a != b and (a ^ b).bit_count() <= 3}
 
 
+def test_count_near(spark):
+    """Against all pairs, with repeated fingerprints, null ids and the highest bit; an empty table."""
+    rng = random.Random(6)
+    some = [rng.getrandbits(64) for _ in range(20)] + [(1 << 64) - 1, 0]
+    prints = [b ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for b in some for _ in range(5)] + some
+    rows = [(k if k % 7 else None, f"{p:016x}", "x") for k, p in enumerate(prints)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string, n string")
+    got = collections.Counter(map(tuple, simhash.count_near(df, every=5).collect()))
+    near = lambda p: sum((int(p, 16) ^ q).bit_count() <= 3 for q in prints)
+    assert got == collections.Counter((i, p, n, near(p) if i is not None and i % 5 == 0 else None) for i, p, n in rows)
+    assert simhash.count_near(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("small", [0, 64])
+def test_suffix_dedup_with_colliding_names(spark, docs, monkeypatch, small):
+    """Windows that share their 64-bit name only are kept."""
+    want = sorted(map(tuple, suffix_dedup.dedup_suffixes(docs).collect()), key=str)
+    plain = suffix_dedup.window_names
+    if small:
+        monkeypatch.setattr(suffix_dedup, "SMALL", small)
+    else:
+        monkeypatch.setattr(suffix_dedup, "SMALL", 0)
+        monkeypatch.setattr(suffix_dedup, "window_names", lambda grams, at: plain(grams, at) & np.uint64(0xFFFF))
+    assert sorted(map(tuple, suffix_dedup.dedup_suffixes(docs).collect()), key=str) == want
+
+
 def test_flac(docs, none):
     got = by_id(flac.media_features(docs))
     for i, t in TEXTS.items():
