@@ -28,6 +28,7 @@ from .base import claim, map_batches, materialize, texts
 TRAIN_DOCS = 4000  # bound of the training sample, in documents
 TRAIN_LINES = 400  # of a training document's lines, so many contiguous ones at most are learned from, wherever its id says
 TRAIN_TOTAL = 400_000  # bound of the training sample, in lines; longer documents' runs are cut until it holds
+SLICE = 1 << 20  # bytes of text at a time in a task, whose arrays take a hundred times as much
 BINS, STEPS, RATE, DECAY = 8, 150, 0.1, 1e-3
 #: Character classes by byte: upper, lower, digit, space, stop, "!" and "?", other marks, beyond ASCII, "|".
 CLASSES = 9
@@ -210,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
             keep.append(slice(first, first + min(n, TRAIN_LINES)))
         return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([features[k].astype(np.float32).tobytes() for k in keep], pa.binary()), pa.array([sizes[k].tobytes() for k in keep], pa.binary())], ["doc_id", "quality", "features", "sizes"])
 
-    rows = map_batches(found, lines, "doc_id long, quality int, features binary, sizes binary").collect()  # bounded: TRAIN_DOCS documents of TRAIN_LINES lines
+    rows = map_batches(found, lines, "doc_id long, quality int, features binary, sizes binary", limit=SLICE).collect()  # bounded: TRAIN_DOCS documents of TRAIN_LINES lines
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
     label = np.array([r["quality"] for r in rows], np.int64)
     if len(np.unique(label)) < 2:
@@ -239,7 +240,7 @@ def score(docs: DataFrame, field: Field | None) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column(0), pa.array(scores_of(batch.column(1).to_pylist(), field), pa.float64())], ["doc_id", "score"])
 
-    return map_batches(docs, run, "doc_id long, score double")
+    return map_batches(docs, run, "doc_id long, score double", limit=SLICE)
 
 
 def good_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,7 +255,7 @@ def good_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(scores_of(batch.column(1).to_pylist(), field) >= 0.5, pa.bool_()))
 
-    kept = map_batches(packed, run, packed.schema)
+    kept = map_batches(packed, run, packed.schema, limit=SLICE)
     return kept.select(*[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns])
 
 
