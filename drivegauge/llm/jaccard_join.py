@@ -236,7 +236,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     several = lead.filter("texts > 1").join(found.filter("doc_id = component_id").withColumnRenamed("text_md5", "own"), "doc_id").filter("own != text_md5").select("doc_id", F.col("own").alias("text_md5"))
     key = {"_near_id": named(id_col).cast("long"), "_near_md5": F.unhex(F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")))}
     as_key = lambda d: d.select(F.col("doc_id").alias("_near_id"), F.col("text_md5").alias("_near_md5"))
-    gone = materialize(as_key(other.union(several)), "duplicates")
+    # grows with the input, so it is never broadcast: the same plan at every size
+    gone = materialize(as_key(other.union(several)), "duplicates").hint("merge")
     kept = df.withColumns(key).join(gone, list(key), "left_anti")
     again = materialize(as_key(found.filter("n > 1 and doc_id = component_id")), "again")
     if not again.isEmpty():
