@@ -25,7 +25,8 @@ def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    """What the archives tell of each page; the operator also gives archive and offset, which SQL cannot know."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,5 +58,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing)}
 
 
+#: Equal payloads by themselves instead of by digest.
+WARC_SQL = """WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT page_id, payload_bytes, sha1(encode(payload)) AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to FROM f"""
+
+#: All windows of fifty bytes as hexadecimal text, cut from pieces of 200 starts; the first document of each; their union as runs.
+SUFFIX_SQL = """WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT doc_id, o, substr(h, 2 * o + 1, 498) AS c FROM (SELECT doc_id, h, unnest(range(0, n - 49, 200)) AS o FROM d)),
+w AS (SELECT doc_id, o + q AS p, substr(c, 2 * q + 1, 100) AS s FROM (SELECT doc_id, o, c, unnest(range(0, least(200, len(c) // 2 - 49))) AS q FROM k)),
+f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING count(*) > 1),
+t AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh FROM w JOIN f USING (s) WHERE first_id < doc_id),
+r AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM t) GROUP BY doc_id, k),
+g AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM r),
+x AS (SELECT doc_id, sum(b - a) AS cut, count(*) AS spans, max(b) AS tail, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(cut, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN x USING (doc_id)"""
+
+#: All pairs that share a shingle, counted; the least id within reach by recursion.
+JACCARD_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, least(len(words), 1) + 1))) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY 1),
+l AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both_have >= 80 * (p.size + q.size - both_have)),
+r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT d.doc_id, CAST(coalesce(max(n.size), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the operators without a trained model, a codec, a tokenizer or hashes of their own."""
+    return {"op4_warc": WARC_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op8_jaccard_join": JACCARD_SQL}
