@@ -123,3 +123,16 @@ def pixel_to_ego(u: Column, v: Column, variant: str = "model") -> tuple[Column,
     none = ((u == -1) & (v == -1)) | ((u == 0) & (v == 0))
     x, y = (width / 2 + arc - v) * scale, (height / 2 - u) * scale
     return F.when(none, 0.0).otherwise(x), F.when(none, 0.0).otherwise(y)
+
+
+def day_part(scenario_id: Column) -> Column:
+    """Light at the start of a clip named ``yyyyMMdd_HHmmss...nnn``, clips being 300 s long. Sunrise and sunset move
+    linearly over the two halves of the year; half an hour around them is dawn and dusk."""
+    part = lambda a, n: F.substring(F.split_part(scenario_id, F.lit("_"), F.lit(2)), a, n).try_cast("int")
+    clip = F.substring(scenario_id, -3, 3).try_cast("int")
+    at = part(1, 2) * 3600 + part(3, 2) * 60 + part(5, 2) + 300 * (clip - 1)
+    day = F.dayofyear(F.try_to_date(F.split_part(scenario_id, F.lit("_"), F.lit(1)), "yyyyMMdd"))
+    rise = F.when(day <= 183, (638 - day) / 91).otherwise((day + 272) / 91) * 3600
+    down = F.when(day <= 183, (day + 1546) / 91).otherwise((1912 - day) / 91) * 3600
+    known = at.isNotNull() & day.isNotNull()
+    return F.when(known & at.between(rise - 1800, rise + 1800), "dawn").when(known & at.between(down - 1800, down + 1800), "dusk").when(known & (at > rise) & (at <= 43200), "morning").when(known & (at > 43200) & (at < down), "afternoon").when(known, "night")

@@ -92,3 +92,16 @@ def manifest_diff(a: DataFrame, b: DataFrame, path: str, size: str) -> DataFrame
 def new_rows(df: DataFrame, store: DataFrame, key: str) -> DataFrame:
     """Rows whose key the store lacks, one per key."""
     return df.dropDuplicates([key]).join(store.select(key), key, "left_anti")
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """Rows with their place (from 1) in the global order. Ranges are sorted each on its own and stored; only their
+    sizes, one small row for each range, are summed up in one task."""
+    from drivegauge.sources.scratch import stored
+
+    place = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(*[F.col(k) for k in order]).sortWithinPartitions(*order)
+    rows = stored(ranged.withColumns({"_range": F.shiftright(place, 33), "_nth": place.bitwiseAND(F.lit((1 << 33) - 1)) + 1}), "ranges")
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
+    return rows.join(F.broadcast(sizes), "_range").withColumn(name, F.col("_before") + F.col("_nth")).drop("_range", "_nth", "_before")

@@ -59,6 +59,13 @@ def geometry(df: DataFrame) -> DataFrame:
     return df.withColumns({"in_border_distance": F.sqrt(mx * mx + my * my), "in_border_length": far(0, 1), "slot_length": (far(0, 2) + far(1, 3)) / 2, "slot_heading": F.acos(cosine)})
 
 
+def pipeline(df: DataFrame, regions: list[tuple[int, float, float, float, float]], truth: bool) -> DataFrame:
+    """All derived columns of slots: centre, its distance and region, class by angles (truth) or by code, geometry."""
+    placed = with_region(with_center(df), regions).withColumn("slot_distance", F.sqrt(c("center_x") ** 2 + c("center_y") ** 2))
+    classed = truth_class(placed) if truth else placed.withColumn("type_classification", slot_class(c("type")))
+    return geometry(classed).withColumn("is_detectedValid", F.when(c("region") != 0, 1).otherwise(0))
+
+
 def match_slots(gt: DataFrame, pred: DataFrame, tol: float = 0.5) -> DataFrame:
     """Least-cost pairs of slots whose centres are within ``tol`` on both axes, with the order of the truth's corners
     that lies nearest to the prediction's: ``frame_ts_us, gt_id, pred_id, order``."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from drivegauge.functions import expressions as ex
 from drivegauge.sources import flatten as fl
 from drivegauge.sources import readers as rd
+from drivegauge.sources.scratch import scratch_dir
 
 from .fixtures import table
 from .registry import query
@@ -329,7 +330,7 @@ def s10_calibration(spark, sf_dir):
 @query("SELECT event_type AS topic, user_id % 4 AS scenario_no, count(*) AS n FROM events GROUP BY 1, 2")
 def s13_topic_parts(spark, sf_dir):
     """Written by topic and scenario to the shared folder and read back."""
-    path = _scratch(spark, "topics")
+    path = scratch_dir(spark, "topics")
     rd.write_parts(table(spark, sf_dir, "events").select(c("event_type").alias("topic"), (c("user_id") % 4).alias("scenario_no"), "event_id"), path, 1000)
     return spark.read.schema("event_id long, topic string, scenario_no long").parquet(path).groupBy("topic", "scenario_no").agg(F.count("*").alias("n"))
 
@@ -337,7 +338,7 @@ def s13_topic_parts(spark, sf_dir):
 @query("SELECT o_orderstatus AS division, count(*) AS sample_count, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1")
 def s14_stat_records(spark, sf_dir):
     """JSON documents, one per statistic."""
-    path = _scratch(spark, "records")
+    path = scratch_dir(spark, "records")
     rd.write_records(table(spark, sf_dir, "orders").groupBy(c("o_orderstatus").alias("division")).agg(F.count("*").alias("sample_count"), F.round(F.avg("o_totalprice"), 4).alias("mean")), path)
     return spark.read.schema("division string, sample_count long, mean double").json(path)
 
@@ -345,7 +346,7 @@ def s14_stat_records(spark, sf_dir):
 @query("SELECT event_id, user_id, value FROM events WHERE event_id % 3 = 0")
 def s01_read_topic(spark, sf_dir):
     """CSV parts of a topic with an explicit schema."""
-    path = _scratch(spark, "csv")
+    path = scratch_dir(spark, "csv")
     table(spark, sf_dir, "events").filter("event_id % 3 = 0").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
     return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
 
@@ -353,13 +354,6 @@ def s01_read_topic(spark, sf_dir):
 @query("SELECT event_id, user_id, value FROM events")
 def s01_read_topic_all(spark, sf_dir):
     """``s01_read_topic`` over all events."""
-    path = _scratch(spark, "csv")
+    path = scratch_dir(spark, "csv")
     table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
     return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
-
-
-def _scratch(spark, label: str) -> str:
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/drivegauge"
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -102,3 +102,21 @@ def write_parts(df: DataFrame, path: str, rows: int = 100_000) -> None:
 def write_records(df: DataFrame, path: str) -> None:
     """One JSON document per statistic."""
     df.write.mode("append").json(path)
+
+
+def write_report_table(df: DataFrame, path: str, tag: str, rows: list[str], cell: str, columns: list[str], value: str) -> None:
+    """A table per tag: a row per cell group, a column per given name, rows in order within the tag's one file."""
+    wide = df.groupBy(tag, *rows).pivot(cell, columns).agg(F.first(value))
+    wide.repartition(tag).sortWithinPartitions(tag, *rows).write.mode("append").partitionBy(tag).parquet(path)
+
+
+def append_new(df: DataFrame, path: str, key: str) -> None:
+    """Appends the rows whose key the store lacks, one per key. A run that is repeated adds nothing."""
+    store = df.sparkSession.read.schema(df.schema).parquet(path)
+    df.dropDuplicates([key]).join(store.select(key), key, "left_anti").select(*df.columns).write.mode("append").parquet(path)
+
+
+def topic_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry of topics: package, message type, counts of publishers and subscribers, whether there is a header."""
+    df = spark.read.option("header", True).csv(path)
+    return df.select("topic", "package", "msg_type", *[F.col(k).try_cast("long").alias(k) for k in ("pub_count", "sub_count")], F.col("topic_header_flag").try_cast("boolean").alias("topic_header_flag"))

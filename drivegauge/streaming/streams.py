@@ -52,3 +52,18 @@ def match_frames(gt: DataFrame, pred: DataFrame, tolerance: str = "50 millisecon
     b = pred.withWatermark("pred_time", delay).withColumnRenamed("scenario_no", "pred_scenario")
     near = F.expr(f"pred_scenario = scenario_no AND pred_time > gt_time - INTERVAL {tolerance} AND pred_time < gt_time + INTERVAL {tolerance}")
     return a.join(b, near).drop("pred_scenario")
+
+
+def nearest_frames(gt: DataFrame, pred: DataFrame, tolerance: str = "50 milliseconds", delay: str = "5 seconds") -> DataFrame:
+    """Of the stamps that ``match_frames`` finds for a truth frame the nearest, the earlier of two equally near."""
+    pairs = match_frames(gt, pred, tolerance, delay)
+    at = F.unix_micros("pred_time")
+    near = F.min(F.struct(F.abs(at - F.unix_micros("gt_time")).alias("gap"), at.alias("pred_us")))
+    return pairs.groupBy("scenario_no", "gt_time").agg(near.alias("n")).select("scenario_no", "gt_time", "n.pred_us", "n.gap")
+
+
+def drain(stream: DataFrame, path: str) -> DataFrame:
+    """Runs an append stream over all that its source holds, into files below ``path``, and reads these."""
+    out = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
+    out.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
