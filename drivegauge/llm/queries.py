@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, flac, html_text, jaccard_join, line_crf, packing, simhash, suffix_dedup, token_counts, warc
+from . import byte_bpe, filter_audit, flac, html_text, jaccard_join, line_crf, packing, simhash, suffix_dedup, token_counts, warc
 from .base import materialize, scratch_dir, table
 
 
@@ -54,8 +54,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing)}
+    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing, op12_filter_audit)}
 
 
 #: Equal payloads by themselves instead of by digest.
@@ -83,6 +87,19 @@ r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM r JO
 SELECT d.doc_id, CAST(coalesce(max(n.size), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1"""
 
 
+#: The masks of each part against all orders, as a cross product; the step of the first filter that a mask fails.
+AUDIT_SQL = r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+x AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, doc_id > min(doc_id) OVER (PARTITION BY t) AS fe FROM d),
+m AS (SELECT part, len(ws) < 50 AS fa, 100 * len(list_distinct(ws)) < 65 * len(ws) AS fb, 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(t) AS fc, regexp_matches(t, '[#$%&*|]') AS fd, fe, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad FROM x LEFT JOIN labels USING (doc_id)),
+g AS (SELECT part, fa, fb, fc, fd, fe, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad, CAST(fa AS INT) + CAST(fb AS INT) + CAST(fc AS INT) + CAST(fd AS INT) + CAST(fe AS INT) AS k FROM m GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+p AS (SELECT a.f || b.f || c.f || e.f || h.f AS filter_order FROM l a, l b, l c, l e, l h WHERE len(list_distinct([a.f, b.f, c.f, e.f, h.f])) = 5),
+s AS (SELECT g.*, filter_order, least(CASE WHEN fa THEN instr(filter_order, 'A') ELSE 9 END, CASE WHEN fb THEN instr(filter_order, 'B') ELSE 9 END, CASE WHEN fc THEN instr(filter_order, 'C') ELSE 9 END, CASE WHEN fd THEN instr(filter_order, 'D') ELSE 9 END, CASE WHEN fe THEN instr(filter_order, 'E') ELSE 9 END) AS gone FROM g, p),
+t AS (SELECT s.*, step, substr(filter_order, step, 1) AS f, CASE substr(filter_order, step, 1) WHEN 'A' THEN fa WHEN 'B' THEN fb WHEN 'C' THEN fc WHEN 'D' THEN fd ELSE fe END AS fails FROM s, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, f, sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed, sum(CASE WHEN fails AND gone < step THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails AND k = 1 THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step THEN bad ELSE 0 END) AS toxic_lost FROM t GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators without a trained model, a codec, a tokenizer or hashes of their own."""
-    return {"op4_warc": WARC_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op8_jaccard_join": JACCARD_SQL}
+    return {"op4_warc": WARC_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op8_jaccard_join": JACCARD_SQL, "op12_filter_audit": AUDIT_SQL}
