@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, filter_audit, flac, html_text, jaccard_join, line_crf, packing, simhash, suffix_dedup, token_counts, warc
+from . import ball_tree, byte_bpe, filter_audit, flac, html_text, jaccard_join, line_crf, ngram_lm, packing, simhash, suffix_dedup, token_counts, warc
 from .base import materialize, scratch_dir, table
 
 
@@ -54,12 +54,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing, op12_filter_audit)}
+    return {f.__name__: f for f in (op1_line_crf, op2_token_counts, op3_flac, op4_warc, op5_byte_bpe, op6_suffix_dedup, op7_simhash, op8_jaccard_join, op9_html_text, op10_packing, op11_ngram_lm, op12_filter_audit, op13_ball_tree)}
 
 
 #: Equal payloads by themselves instead of by digest.
@@ -100,6 +108,17 @@ r AS (SELECT part, filter_order, step, f, sum(CASE WHEN gone > step THEN n ELSE
 SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
 
 
+#: All pairs of an item and a document that share a term.
+SEARCH_SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(ws)) AS BIGINT) AS big_l FROM d WHERE len(ws) > 0),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term),
+x AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)) AS x FROM t, s WHERE term IN (SELECT term FROM q)),
+r AS (SELECT item_id, doc_id, CAST(sum(times * w * x) AS BIGINT) AS score FROM q JOIN f USING (term) JOIN x USING (term) GROUP BY ALL HAVING sum(times * w * x) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM r QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators without a trained model, a codec, a tokenizer or hashes of their own."""
-    return {"op4_warc": WARC_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op8_jaccard_join": JACCARD_SQL, "op12_filter_audit": AUDIT_SQL}
+    return {"op4_warc": WARC_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op8_jaccard_join": JACCARD_SQL, "op12_filter_audit": AUDIT_SQL, "op13_ball_tree": SEARCH_SQL}
