@@ -9,8 +9,8 @@ of its documents and a radius around it that holds them all; no document below i
 documents of a leaf are scored in integers. Bounds and radii are in doubles and widened by more than their rounding, so
 pruning loses nothing; a bound equal to the k-th score isn't pruned, since a smaller id may decide.
 
-The radius is the smaller the fewer terms a tree knows, so items are taken some at a time (``ITEMS``) and each such set
-has trees of its own over the documents that hold one of its terms.
+The radius is the smaller the fewer terms a tree knows, so items are taken some at a time (``TERMS``) and each such set
+has trees of its own over the documents that hold one of its terms. Items of very many terms have flatter trees.
 
 **Spark.** One pass over the texts keeps, per document, its number of terms and the counts of the items' terms; these
 are stored, and give N, L and the document frequencies. Each task then builds trees over ``CHUNK`` documents at a time
@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 
 from .base import map_batches, materialize
 
-#: Items of one tree, documents of one tree and of a leaf, bytes of items' text for one pass, bytes of text split at once.
-ITEMS, CHUNK, LEAF, ITEM_BYTES, CUT = 8, 20_000, 16, 4 << 20, 4 << 20
+#: Terms of the items of one tree, documents of one tree and of a leaf, cells of a level's centroids, bytes of items' text
+#: for one pass, bytes of text split at once. No result depends on them.
+TERMS, CHUNK, LEAF, CELLS, ITEM_BYTES, CUT = 128, 20_000, 32, 1 << 22, 4 << 20, 4 << 20
 #: What widens radii and bounds: far above the rounding of sums of a million doubles.
 SLACK = 1e-9
 #: Digits, letters in lower case and all bytes above 127 belong to terms.
@@ -95,70 +96,66 @@ class Rows:
 
 
 class Tree:
-    """Nodes over a set of rows in the order ``order``: spans of rows, children (-1 in leaves), centroids, radii."""
-
-    def __init__(self, rows: Rows, n_terms: int, leaf: int = LEAF):
-        self.order = np.arange(len(rows.edges) - 1)
-        self.norms = np.add.reduceat(rows.values.astype(float) ** 2, rows.edges[:-1])
-        self.spans, self.children, self.centroids, self.radii = [], [], [], []
-        self._dense = np.zeros(n_terms)
-        self._grow(rows, leaf)
-        self.rows = rows.take(self.order)
-
-    def _grow(self, rows: Rows, leaf: int) -> None:
-        waiting = [(0, len(self.order), -1, 0)]
+    """A balanced tree over rows, one level after the other: node i of a level has the nodes 2 i and 2 i + 1 below it.
+
+    ``bounds`` of item j at a node is at least the score of each row below it. All nodes of a level are made at once.
+    """
+
+    def __init__(self, rows: Rows, items: np.ndarray, leaf: int = LEAF):
+        n_terms, n = items.shape[0], len(rows.edges) - 1
+        norms = np.add.reduceat(rows.values.astype(float) ** 2, rows.edges[:-1])
+        self.depth = int(math.log2(n / leaf)) if n > leaf else 0
+        while self.depth and n_terms << self.depth > CELLS:
+            self.depth -= 1
+        lengths = np.sqrt((items**2).sum(0)) * (1 + SLACK)
+        self.order, edges, self.bounds = np.arange(n), np.array([0, n]), []
+        for level in range(self.depth + 1):
+            own, norm, sizes = rows.take(self.order), norms[self.order], np.diff(edges)
+            node = np.repeat(np.arange(len(sizes)), sizes)
+            cell = np.repeat(node, np.diff(own.edges)) * n_terms + own.terms
+            centroids = np.bincount(cell, own.values, len(sizes) * n_terms).reshape(-1, n_terms) / sizes[:, None]
+            squares = self._distances(own, norm, cell, node, centroids.ravel(), (centroids**2).sum(1))
+            radii = np.sqrt(np.maximum(np.maximum.reduceat(squares, edges[:-1]), 0) + SLACK * np.maximum.reduceat(norm, edges[:-1])) * (1 + SLACK)
+            self.bounds.append((centroids @ items + radii[:, None] * lengths) * (1 + SLACK) + 1)
+            if level < self.depth:
+                away = squares
+                for _ in range(2):
+                    pivots = self._largest(away, node, edges)
+                    dense, rim = np.zeros(centroids.size), own.take(pivots)
+                    dense[np.repeat(np.arange(len(sizes)), np.diff(rim.edges)) * n_terms + rim.terms] = rim.values
+                    before, away = away, self._distances(own, norm, cell, node, dense, norm[pivots])
+                self.order = self.order[np.lexsort((away - before, node))]
+                edges = np.sort(np.concatenate([edges, edges[:-1] + sizes // 2]))
+        self.edges, self.rows = edges, rows.take(self.order)
+
+    @staticmethod
+    def _distances(own: Rows, norm: np.ndarray, cell: np.ndarray, node: np.ndarray, dense: np.ndarray, squares: np.ndarray) -> np.ndarray:
+        """Squared distances of rows to the points of their nodes."""
+        return norm - 2 * np.add.reduceat(dense[cell] * own.values, own.edges[:-1]) + squares[node]
+
+    @staticmethod
+    def _largest(values: np.ndarray, node: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """The first row of each node that has its largest value."""
+        at = np.flatnonzero(values == np.maximum.reduceat(values, edges[:-1])[node])
+        return at[np.searchsorted(node[at], np.arange(len(edges) - 1))]
+
+    def search(self, j: int, item: np.ndarray, ids: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
+        """Put the best rows for item j into the heap ``best`` of (score, - id); the number of rows that were scored."""
+        scored, waiting = 0, [(-self.bounds[0][0, j], 0, 0)]
         while waiting:
-            a, b, parent, side = waiting.pop()
-            node, which = len(self.spans), self.order[a:b]
-            if parent >= 0:
-                self.children[parent][side] = node
-            own, norms = rows.take(which), self.norms[which]
-            self.spans.append((a, b))
-            self.children.append([-1, -1])
-            known, place = np.unique(own.terms, return_inverse=True)
-            centroid = np.bincount(place, own.values, minlength=len(known)) / (b - a)
-            squares = norms - 2 * np.add.reduceat(centroid[place] * own.values, own.edges[:-1]) + centroid @ centroid
-            top = float(norms.max())
-            self.centroids.append((known, centroid))
-            self.radii.append(math.sqrt(max(0.0, float(squares.max())) + SLACK * top) * (1 + SLACK))
-            if b - a > leaf and squares.max() > SLACK * top:
-                far = self._distances(own, norms, int(squares.argmax()))
-                other = self._distances(own, norms, int(far.argmax()))
-                parted = np.argsort(other - far, kind="stable")
-                self.order[a:b] = which[parted]
-                middle = a + (b - a) // 2
-                waiting += [(middle, b, node, 1), (a, middle, node, 0)]
-
-    def _distances(self, own: Rows, norms: np.ndarray, pivot: int) -> np.ndarray:
-        """Squared distances of rows to one of them."""
-        lo, hi = own.edges[pivot], own.edges[pivot + 1]
-        self._dense[own.terms[lo:hi]] = own.values[lo:hi]
-        out = norms - 2 * np.add.reduceat(self._dense[own.terms] * own.values, own.edges[:-1]) + norms[pivot]
-        self._dense[own.terms[lo:hi]] = 0
-        return out
-
-    def bound(self, node: int, item: np.ndarray, norm: float) -> float:
-        known, centroid = self.centroids[node]
-        return (float(item[known] @ centroid) + norm * self.radii[node]) * (1 + SLACK) + 1
-
-    def search(self, item: np.ndarray, ids: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
-        """Put the best rows into the heap ``best`` of (score, - id); the number of rows that were scored."""
-        norm, whole, scored = float(np.sqrt(item @ item)) * (1 + SLACK), item.astype(np.int64), 0
-        waiting = [(-self.bound(0, item, norm), 0)]
-        while waiting:
-            bound, node = heapq.heappop(waiting)
-            if len(best) == k and -bound < best[0][0]:
+            bound, level, node = heapq.heappop(waiting)
+            least = best[0][0] if len(best) == k else 1
+            if -bound < least:
                 break
-            left, right = self.children[node]
-            if left >= 0:
-                for child in (left, right):
-                    if (limit := self.bound(child, item, norm)) >= (best[0][0] if len(best) == k else 0):
-                        heapq.heappush(waiting, (-limit, child))
+            if level < self.depth:
+                for child in (2 * node, 2 * node + 1):
+                    if (limit := self.bounds[level + 1][child, j]) >= least:
+                        heapq.heappush(waiting, (-limit, level + 1, child))
                 continue
-            a, b = self.spans[node]
+            a, b = int(self.edges[node]), int(self.edges[node + 1])
             scored += b - a
-            scores = self.rows.dot(whole, a, b)
-            good = np.flatnonzero(scores >= (best[0][0] if len(best) == k else 1))
+            scores = self.rows.dot(item, a, b)
+            good = np.flatnonzero(scores >= least)
             for score, i in zip(scores[good].tolist(), ids[self.order[a + good]].tolist(), strict=True):
                 if len(best) < k:
                     heapq.heappush(best, (score, -i))
@@ -167,28 +164,37 @@ class Tree:
         return scored
 
 
-def search_chunk(chunk: tuple[np.ndarray, Rows], queries: list[dict[int, int]], best: list[list[tuple[int, int]]], k: int, n_items: int = ITEMS) -> int:
+def item_sets(queries: list[dict[int, int]], limit: int) -> Iterator[range]:
+    """Runs of items with at most ``limit`` terms in all, one item at least."""
+    begin, held = 0, 0
+    for i, query in enumerate(queries):
+        if i > begin and held + len(query) > limit:
+            yield range(begin, i)
+            begin, held = i, 0
+        held += len(query)
+    if begin < len(queries):
+        yield range(begin, len(queries))
+
+
+def search_chunk(ids: np.ndarray, rows: Rows, queries: list[dict[int, int]], best: list[list[tuple[int, int]]], k: int, limit: int = TERMS) -> int:
     """Search a chunk of documents (ids; rows of w * x by term) for all items; the number of pairs that were scored."""
-    ids, rows = chunk
     owner, scored = np.repeat(np.arange(len(ids)), np.diff(rows.edges)), 0
     n_all = int(rows.terms.max(initial=-1)) + 1
-    for begin in range(0, len(queries), n_items):
-        some = queries[begin : begin + n_items]
-        known = np.array(sorted({t for q in some for t in q}), np.int64)
-        known = known[known < n_all]
+    for some in item_sets(queries, limit):
+        known = np.array(sorted({t for i in some for t in queries[i] if t < n_all}), np.int64)
         number = np.full(n_all, -1)
         number[known] = np.arange(len(known))
         own = number[rows.terms] >= 0
         if not own.any():
             continue
         held, sizes = np.unique(owner[own], return_counts=True)
-        tree = Tree(Rows(np.concatenate([[0], np.cumsum(sizes)]), number[rows.terms[own]], rows.values[own]), len(known))
-        for i, query in enumerate(some):
-            item = np.zeros(len(known))
-            for term, count in query.items():
+        items = np.zeros((len(known), len(some)), np.int64)
+        for j, i in enumerate(some):
+            for term, count in queries[i].items():
                 if term < n_all:
-                    item[number[term]] = count
-            scored += tree.search(item, ids[held], k, best[begin + i])
+                    items[number[term], j] = count
+        tree = Tree(Rows(np.concatenate([[0], np.cumsum(sizes)]), number[rows.terms[own]], rows.values[own]), items)
+        scored += sum(tree.search(j, items[:, j], ids[held], k, best[i]) for j, i in enumerate(some))
     return scored
 
 
@@ -210,7 +216,7 @@ def search_vectors(vectors: DataFrame, queries: list[dict[int, int]], weights: n
                 m = np.array([75 + 25 * n * n_docs // n_all for n in part.column(1).to_pylist()], np.int64)
                 values = weights[terms] * ((1_000_000_000 * counts) // (1000 * counts + 12 * np.repeat(m, sizes)))
                 ids = part.column(0).fill_null(NO_ID).to_numpy()
-                search_chunk((ids, Rows(np.concatenate([[0], np.cumsum(sizes)]), terms, values)), queries, best, k)
+                search_chunk(ids, Rows(np.concatenate([[0], np.cumsum(sizes)]), terms, values), queries, best, k)
         rows = [(i, -minus, score) for i, heap in enumerate(best) for score, minus in heap]
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         names, docs, scores = (pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()), strict=True))

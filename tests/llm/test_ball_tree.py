@@ -43,6 +43,7 @@ def test_search(spark, monkeypatch):
     docs, items = rows()
     frame = spark.createDataFrame([(i, t, 1, 1, 1, [1]) for i, t in docs], SCHEMA).repartition(3)
     asked = spark.createDataFrame([(i, t, 3) for i, t in items], "item_id long, text string, set int")
+    monkeypatch.setattr(ball_tree.Tree.__init__, "__defaults__", (4,))
     for k in (20, 3):
         assert collections.Counter(map(tuple, ball_tree.ranked_search(frame, asked, k).collect())) == brute(docs, items, k)
     small = ball_tree.ranked_search(frame, asked, 4, item_bytes=1500)
@@ -55,20 +56,21 @@ def test_bounds_hold_and_prune():
     sizes = rng.integers(1, 12, 3000)
     terms = np.concatenate([np.sort(rng.choice(60, s, replace=False)) for s in sizes])
     rows = ball_tree.Rows(np.r_[0, np.cumsum(sizes)], terms, rng.integers(0, 10**10, len(terms)))
-    tree = ball_tree.Tree(rows, 60)
-    assert sorted(tree.order.tolist()) == list(range(3000))
-    less = 0
-    for _ in range(20):
-        item = np.zeros(60)
-        item[rng.choice(60, 4, replace=False)] = rng.integers(1, 3, 4)
-        exact = tree.rows.dot(item.astype(np.int64), 0, 3000)
-        for node, (a, b) in enumerate(tree.spans):
-            assert tree.bound(node, item, float(np.sqrt(item @ item))) >= exact[a:b].max()
+    items = np.zeros((60, 20), np.int64)
+    for j in range(20):
+        items[rng.choice(60, 4, replace=False), j] = rng.integers(1, 3, 4)
+    tree, less = ball_tree.Tree(rows, items, 8), 0
+    assert sorted(tree.order.tolist()) == list(range(3000)) and tree.depth == 8
+    for j in range(20):
+        exact = tree.rows.dot(items[:, j], 0, 3000)
+        for level, bounds in enumerate(tree.bounds):
+            wide = 1 << tree.depth - level
+            assert all(bounds[i, j] >= exact[tree.edges[i * wide] : tree.edges[(i + 1) * wide]].max() for i in range(1 << level))
         best = []
-        less += tree.search(item, np.arange(3000), 5, best) < 3000
+        less += tree.search(j, items[:, j], np.arange(3000), 5, best) < 3000
         want = sorted(((int(s), -int(i)) for s, i in zip(exact, tree.order, strict=True) if s > 0), reverse=True)[:5]
         assert sorted(best, reverse=True) == want
-    assert less
+    assert less > 15
 
 
 def test_terms_across_cuts(monkeypatch):
