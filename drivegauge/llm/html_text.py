@@ -5,10 +5,11 @@ all to the nearest, half to the next, a third to the one after, discounted by th
 links. The container with the most points after discounting by its own link density wins; an article or main element
 around it is taken instead. Siblings with a fifth of its points, or that are paragraphs of plain prose, are kept too.
 
-Blocks inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments do not
-count and are not kept, be they known by their element, their role or their class and id. Names alone never empty a
-page: an element whose names also call it the post or article counts, and where hardly any text is left outside
-elements with doubtful names, the best of those is taken.
+Blocks inside menus, headers, footers, sidebars, scripts, styles and reader comments do not count and are not kept, be
+they known by their element, their role or, comments, by their class and id. Forms, and what its class or id calls an
+advert, notice, menu or sidebar, weigh less: points under such a name count a tenth (menus and the like) or a thirtieth
+(forms, adverts, notices; prose only) when the best container is chosen, and are kept only where that is one of them. So
+names alone never empty a page of prose; an element whose names also call it the post or article weighs in full.
 
 A page takes time in proportion to its length and elements, however deep or broken it is: a tag without end, an end
 tag without start and an open quote are passed over once. ``option``, ``select`` and ``button`` without end tag last
@@ -39,14 +40,18 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 PARAGRAPH = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption", "summary"}
 CLOSES_P = BLOCK - {"html", "body", "head"}
-LEFT_OUT = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
+LEFT_OUT = {"nav", "header", "footer", "aside", "menu", "dialog", "head"}
+FORMS = {"form", "fieldset"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
-NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|comments?|cookies?|disqus|newsletter|notices?|popup|promo\w*|sponsor\w*|subscribe)(?:$|[\s_-])", re.I)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus)(?:$|[\s_-])", re.I)
+NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|cookies?|newsletter|notices?|popup|promo\w*|sponsor\w*|subscribe)(?:$|[\s_-])", re.I)
 DOUBT = re.compile(r"(?:^|[\s_-])(?:banner|footer|header|masthead|menu|nav\w*|related|share|sharing|sidebar|social|toolbar|widget)(?:$|[\s_-])", re.I)
 CONTENT = re.compile(r"(?:^|\s)(?:(?:post|article|entry|story|page|main)(?:[_-](?:content|body|text))?|content|body)(?:$|\s)", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-CLEAN, DOUBTFUL, OUT = 0, 1, 2
-LITTLE = 200  # characters: less clean text than this may lose to ten times as much under doubtful names
+COMMENT_END = re.compile(r"--!?>")
+CLEAN, DOUBTFUL, NOISY, OUT = 0, 1, 2, 3
+#: What a point counts for under each kind of name when the best container is chosen.
+WEIGHT = {CLEAN: 1.0, DOUBTFUL: 0.1, NOISY: 1 / 30, OUT: 0.0}
 
 
 class Node:
@@ -64,10 +69,10 @@ class Node:
 
 
 def state_of(tag: str, attributes: str) -> int:
-    """Whether an element is left out by what it is, doubtful by its names only, or neither."""
+    """Whether an element is left out by what it is, noisy (a form, or by its names), doubtful by its names, or clean."""
     if tag in LEFT_OUT:
         return OUT
-    state, names = CLEAN, ""
+    state, names = NOISY if tag in FORMS else CLEAN, ""
     for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
@@ -77,7 +82,7 @@ def state_of(tag: str, attributes: str) -> int:
         elif name == "style" and re.search(r"display\s*:\s*none", value):
             return OUT
     if names and tag not in ("body", "html", "article", "main") and not CONTENT.search(names):
-        state = OUT if NOISE.search(names) else DOUBTFUL if DOUBT.search(names) else CLEAN
+        state = max(state, OUT if COMMENTS.search(names) else NOISY if NOISE.search(names) else DOUBTFUL if DOUBT.search(names) else CLEAN)
     return state
 
 
@@ -133,9 +138,13 @@ class Scanner:
                 break
             follow = page[start + 1 : start + 2]
             if follow in ("!", "?"):
-                comment = page.startswith("<!--", start)
-                stop = page.find("-->" if comment else ">", start + (4 if comment else 2))
-                at = (stop + (3 if comment else 1)) if stop >= 0 else size
+                if page.startswith("<!--", start):
+                    empty = 5 if page.startswith(">", start + 4) else 6 if page.startswith("->", start + 4) else 0
+                    stop = None if empty else COMMENT_END.search(page, start + 4)
+                    at = start + empty if empty else stop.end() if stop else size
+                else:
+                    stop = page.find(">", start + 2)
+                    at = stop + 1 if stop >= 0 else size
                 yield page[text:start], "", False, ""
             else:
                 closing = follow == "/"
@@ -228,19 +237,18 @@ def main_text(page: str | None) -> str:
         points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
         holder = node.parent if node.tag in PARAGRAPH and node.parent else node
         for share in (1, 2, 3):
-            if holder and (node.state == CLEAN or holder.state == DOUBTFUL):  # doubtful text speaks for doubtful elements only
+            if holder and holder.state == node.state and (node.state != NOISY or node.prose):  # noisy text counts if it is prose
                 holder.points += points / share
             holder = holder and holder.parent
-    mass = {s: sum(len(t) for n, t, _ in blocks if n.state == s) for s in (CLEAN, DOUBTFUL)}
     for node in reversed(nodes):
         if node.parent:
             node.parent.chars += node.chars
             node.parent.linked += node.linked
-    allowed = DOUBTFUL if mass[CLEAN] < LITTLE and mass[DOUBTFUL] > max(LITTLE, 10 * mass[CLEAN]) else CLEAN
-    usable = [n for n in nodes if n.state == allowed and n.points > 0]
+    usable = [n for n in nodes if n.points > 0]
     if not usable:
         return ""
-    best = max(usable, key=lambda n: n.value)
+    best = max(usable, key=lambda n: n.value * WEIGHT[n.state])
+    allowed = best.state
     above: Node | None = best
     while above:
         if above.tag in ("article", "main"):

@@ -234,15 +234,17 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     lead = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("text_md5").alias("text_md5"), F.count("*").alias("texts"))
     other = found.filter("doc_id != component_id").select("doc_id", "text_md5")
     several = lead.filter("texts > 1").join(found.filter("doc_id = component_id").withColumnRenamed("text_md5", "own"), "doc_id").filter("own != text_md5").select("doc_id", F.col("own").alias("text_md5"))
-    key = {"_near_id": named(id_col).cast("long"), "_near_md5": F.unhex(F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")))}
-    as_key = lambda d: d.select(F.col("doc_id").alias("_near_id"), F.col("text_md5").alias("_near_md5"))
+    # The row travels as one struct, so that no name of its columns can meet those of the key.
+    md5 = F.unhex(F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")))
+    packed = df.select(F.struct(*[named(c) for c in df.columns]).alias("row"), named(id_col).cast("long").alias("doc_id"), md5.alias("text_md5"))
+    key = ["doc_id", "text_md5"]
     # grows with the input, so it is never broadcast: the same plan at every size
-    gone = materialize(as_key(other.union(several)), "duplicates").hint("merge")
-    kept = df.withColumns(key).join(gone, list(key), "left_anti")
-    again = materialize(as_key(found.filter("n > 1 and doc_id = component_id")), "again")
+    gone = materialize(other.union(several), "duplicates").hint("merge")
+    kept = packed.join(gone, key, "left_anti")
+    again = materialize(found.filter("n > 1 and doc_id = component_id").select(*key), "again")
     if not again.isEmpty():
-        kept = kept.join(again, list(key), "left_anti").unionByName(kept.join(again, list(key), "left_semi").dropDuplicates(list(key)))
-    return kept.select(*[named(c) for c in df.columns])
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def _classed(docs: DataFrame) -> DataFrame:

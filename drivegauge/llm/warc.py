@@ -5,12 +5,13 @@ folder, so a lost executor's files are written again by Spark's own commit proto
 decided on digests alone; the decisions are stored first, so Spark broadcasts them only where their measured size
 allows, and otherwise joins by sorting.
 
-Reading: each task looks for the magic and emits, for what parses as a record header there, the record's offset and
-its successor's. A payload may hold the magic too. Pointer jumping from offset 0 marks what the chain of successors
-reaches, in as many rounds as the logarithm of the number of candidates; only those are records. A chain that ends
-elsewhere than at the end of its file raises an error: nothing is dropped silently.
+Reading: each task lists, for every magic of an archive behind an empty line that parses as a record header, the record's
+offset and its successor's. A payload may hold such a header too. Pointer jumping from offset 0 marks what the chain of
+successors reaches, in as many rounds as the logarithm of the number of candidates; only those are records, and only
+their payloads are hashed. A chain that ends elsewhere than at the end of its file raises an error: nothing is dropped
+silently. An archive is one row of Spark's binary file source, so a page is limited to 2 GB with its headers.
 
-Cases: null html is the empty payload; null ids and urls are allowed; rows that repeat the largest page_id of a
+Cases: lengths and ids beyond 64 bits in a payload are no records' and no error; null html is the empty payload; null ids and urls are allowed; rows that repeat the largest page_id of a
 payload all stay responses; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,9 +28,14 @@ from pyspark.sql import functions as F
 from .base import materialize, scratch_dir
 
 END = "\r\n\r\n"
-MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
+MAGIC = re.compile(rb"(?:\A|(?<=\r\n\r\n))WARC/1\.[01]\r\n")
+LENGTH = re.compile(rb"\r\nContent-Length: (\d+)(?=\r\n)")
+KIND = re.compile(rb"\r\nWARC-Type: ")
+DIGITS = 18  # more digits than a file can have bytes; ids of more are none of a 64-bit column
 DATE = "2024-01-01T00:00:00Z"
-CANDIDATES = "archive string, size long, start long, successor long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, record_offset long"
+#: Bytes of payload in an archive, at most (a larger page has one of its own), and of a page in the archives of many.
+ARCHIVE, PAGE = 128 << 20, 64 << 10
 
 
 def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
@@ -40,8 +46,12 @@ def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     return materialize(found.select("page_id", "digest", "refers_to").distinct(), "warc-revisits")
 
 
-def write_archives(df: DataFrame, path: str, least: int = 1000, per_file: int = 20_000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """One record per row, in files of at most ``per_file`` records."""
+def write_archives(df: DataFrame, path: str, least: int = 1000, archive: int = ARCHIVE, page: int = PAGE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+    """One record per row, in files of at most ``archive`` bytes of payload or one record.
+
+    Pages of up to ``page`` bytes share files of a fixed number of records; larger ones are written apart, by the size
+    of the largest.
+    """
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     known = revisits(pages, least).select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
     keyed = pages.withColumn("sha1", F.sha1("html")).withColumn("size", F.octet_length("html"))
@@ -59,38 +69,49 @@ def write_archives(df: DataFrame, path: str, least: int = 1000, per_file: int =
         F.when(again, F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to"), F.lit(">"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: "), F.octet_length(block), F.lit(END),
     )
-    joined.select(F.concat(header, block).alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    for name, part, size in (("pages", F.col("size") <= page, page), ("large", F.col("size") > page, largest)):
+        if name == "pages" or largest > page:
+            joined.filter(part).select(F.concat(header, block).alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", max(1, archive // size)).text(f"{path}/{name}")
 
 
 def _number(value: bytes | None) -> int | None:
-    found = re.search(rb"(-?\d+)>?$", value) if value else None
-    return int(found[1]) if found else None
+    found = re.search(rb"(-?\d{1,19})>?$", value) if value else None
+    number = int(found[1]) if found else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
 
+def candidates_in(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and successor of all that reads as a record's header behind a record's end, within the file.
 
-def candidates_in(archive: str, content: bytes) -> list[tuple]:
-    """A row for each place in a file that reads as a record's header."""
-    out = []
+    A header reaches to the next empty line, and none of two can begin within the other, so this takes time in
+    proportion to the file whatever its payloads hold. Payloads are not looked at.
+    """
+    starts, successors = [], []
     for found in MAGIC.finditer(content):
-        start = found.start()
-        stop = content.find(b"\r\n\r\n", start)
-        if stop < 0:
-            continue
-        fields = dict(line.split(b": ", 1) for line in content[found.end() : stop].split(b"\r\n") if b": " in line)
-        length = fields.get(b"Content-Length", b"")
-        if not length.isdigit() or b"WARC-Type" not in fields:
-            continue
-        body = stop + 4
-        end = body + int(length)
-        kind = fields[b"WARC-Type"].decode("utf-8", "replace")
-        if kind == "response":
-            cut = content.find(b"\r\n\r\n", body, end)
-            payload = content[cut + 4 : end] if cut >= 0 else b""
-            size, digest = len(payload), hashlib.sha1(payload).hexdigest()
-        else:
-            size = _number(fields.get(b"WARC-Payload-Length"))
-            digest = fields.get(b"WARC-Payload-Digest", b"").decode("utf-8", "replace").removeprefix("sha1:")
-        out.append((archive, len(content), start, end + 4, _number(fields.get(b"WARC-Record-ID")), size, digest, kind, _number(fields.get(b"WARC-Refers-To"))))
-    return out
+        stop = content.find(b"\r\n\r\n", found.end() - 2)
+        length = LENGTH.search(content, found.end() - 2, stop + 2) if stop >= 0 else None
+        if length and KIND.search(content, found.end() - 2, stop + 2) and len(length[1]) <= DIGITS:
+            successor = stop + 4 + int(length[1]) + 4
+            if successor <= len(content):
+                starts.append(found.start())
+                successors.append(successor)
+    return np.array(starts, np.int64), np.array(successors, np.int64)
+
+
+def record(content: bytes, start: int, successor: int) -> tuple:
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of a record of the chain."""
+    body = content.find(b"\r\n\r\n", start) + 4
+    fields = dict(line.split(b": ", 1) for line in content[start : body - 4].split(b"\r\n") if b": " in line)
+    kind = fields[b"WARC-Type"].decode("utf-8", "replace")
+    if kind == "response":
+        cut = content.find(b"\r\n\r\n", body, successor - 4)
+        payload = memoryview(content)[cut + 4 : successor - 4] if cut >= 0 else b""
+        size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+    else:
+        size = _number(fields.get(b"WARC-Payload-Length"))
+        digest = fields.get(b"WARC-Payload-Digest", b"").decode("utf-8", "replace").removeprefix("sha1:")
+    return _number(fields.get(b"WARC-Record-ID")), size, digest, kind, _number(fields.get(b"WARC-Refers-To"))
 
 
 def reachable(starts: np.ndarray, successors: np.ndarray) -> np.ndarray:
@@ -107,32 +128,28 @@ def reachable(starts: np.ndarray, successors: np.ndarray) -> np.ndarray:
     return seen[:n]
 
 
-def _chain(group: pa.Table) -> pa.Table:
-    group = group.sort_by("start")
-    starts, successors = group["start"].to_numpy(), group["successor"].to_numpy()
-    kept = group.filter(pa.array(reachable(starts, successors)))
-    last = kept["successor"][-1].as_py() if kept.num_rows else 0
-    if last != group["size"][0].as_py():
-        raise ValueError(f"{group['archive'][0]}: the chain of records breaks at offset {last}")
-    return kept
+def records_in(archive: str, content: bytes) -> pa.RecordBatch:
+    """The records that the chain from the file's start reaches; it has to end where the file ends."""
+    starts, successors = candidates_in(content)
+    kept = reachable(starts, successors)
+    starts, successors = starts[kept].tolist(), successors[kept].tolist()
+    if (successors[-1] if successors else 0) != len(content):
+        raise ValueError(f"{archive}: the chain of records breaks at offset {successors[-1] if successors else 0}")
+    rows = [(*record(content, a, z), archive, a) for a, z in zip(starts, successors, strict=True)]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [c.split()[0] for c in RECORDS.split(", ")])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of each record, with its archive and offset."""
 
     def scan(batches):
-        names = [f.split()[0] for f in CANDIDATES.split(", ")]
-        types = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.string(), pa.int64()]
         for batch in batches:
             for archive, content in zip(*batch.columns, strict=True):
-                if rows := candidates_in(archive.as_py(), content.as_py()):
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                elif len(content.as_py()):
-                    raise ValueError(f"{archive}: no record found")
-
-    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
-    chained = files.mapInArrow(scan, CANDIDATES).groupBy("archive").applyInArrow(_chain, CANDIDATES)
-    return chained.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", F.col("start").alias("record_offset"))
+                yield records_in(archive.as_py(), content.as_py())
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0").select("path", "content")
+    return files.mapInArrow(scan, RECORDS)
 
 
 def round_trip(df: DataFrame, least: int = 1000, **columns: str) -> DataFrame:
