@@ -119,9 +119,9 @@ def wrap_lines(text: Column, width: int) -> Column:
 
 def pixel_to_ego(u: Column, v: Column, variant: str = "model") -> tuple[Column, Column]:
     """Bird-view pixel to metres before and left of the car; the two marks for "no point" give the origin."""
-    height, width, scale, arc = (704, 800, 0.03, 47.19) if variant == "model" else (1088, 1216, 0.02, 70.785)
+    height, width, scale, arc, rear = (704, 800, 0.03, 47.19, 0.0) if variant == "model" else (1088, 1216, 0.02, 0.0, 1.39698315)
     none = ((u == -1) & (v == -1)) | ((u == 0) & (v == 0))
-    x, y = (width / 2 + arc - v) * scale, (height / 2 - u) * scale
+    x, y = (width / 2 + arc - v) * scale + rear, (height / 2 - u) * scale
     return F.when(none, 0.0).otherwise(x), F.when(none, 0.0).otherwise(y)
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,41 +122,33 @@ def key_objects(df: DataFrame, lane: float = 3.5, coverage: str | None = None) -
     return out.withColumns({"is_cipv": F.when(cipv, 1).otherwise(0), "is_keyObj": F.when(cipv | (first & (F.col("_zone") == "rear")) | near, 1).otherwise(0)}).drop("_zone", "_rn")
 
 
-def _covered(lo: np.ndarray, hi: np.ndarray, near: np.ndarray, i: int) -> float:
-    """Share of interval i that the union of nearer intervals covers; 1 for an empty interval."""
-    width = hi[i] - lo[i]
-    if width <= 0:
-        return 1.0
-    a, b = np.maximum(lo[near], lo[i]), np.minimum(hi[near], hi[i])
-    spans = sorted((s, e) for s, e in zip(a, b, strict=True) if e > s)
-    total, end = 0.0, -math.inf
-    for s, e in spans:
-        total += max(0.0, e - max(s, end))
-        end = max(end, e)
-    return total / width
+def _union(spans: Column) -> Column:
+    """Length of the union of intervals (``a``, ``b``), as a fold over them in order."""
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(-math.inf).alias("end"))
+    step = lambda acc, s: F.struct((acc["total"] + F.greatest(F.lit(0.0), s["b"] - F.greatest(s["a"], acc["end"]))).alias("total"), F.greatest(acc["end"], s["b"]).alias("end"))
+    return F.aggregate(F.array_sort(spans), start, step, lambda acc: acc["total"])
 
 
-def occlusion(df: DataFrame, threshold: float = 0.6, frames_per_group: int = 256) -> DataFrame:
+def _covered(near: Column, low: str, high: str, own: Column, turn: float = 0.0) -> Column:
+    """Share of an object's interval that nearer ones cover, their intervals being turned; 1 for an empty interval."""
+    width = own[high] - own[low]
+    cut = F.transform(near, lambda n: F.struct(F.greatest(n[low] + turn, own[low]).alias("a"), F.least(n[high] + turn, own[high]).alias("b")))
+    return F.when(width <= 0, 1.0).otherwise(_union(F.filter(cut, lambda s: s["b"] > s["a"])) / width)
+
+
+def occlusion(df: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``coverage`` by nearer objects (azimuth share times elevation share) and whether it stays within the threshold.
 
-    Frames are handed to Arrow groups in runs, so a group is neither one tiny frame nor a whole scenario.
+    A frame's objects come together once, as an array with all their columns, and leave it as rows: no join back. A
+    direction may be told as another turn, so nearer objects are tried a turn to either side too.
     """
-    columns = ["scenario_no", "frame_ts_us", "id", "distance", "azimuth_min", "azimuth_max", "elevation_min", "elevation_max"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, f in pdf.groupby(["scenario_no", "frame_ts_us"], sort=False):
-            d, lo, hi, el, eh = (f[c].to_numpy() for c in columns[3:])
-            cover = []
-            for i in range(len(f)):
-                near = np.flatnonzero(d < d[i])
-                share = 0.0
-                for turn in (0.0, 2 * math.pi, -2 * math.pi):  # the same direction may be told as another turn
-                    share = max(share, _covered(np.r_[lo[near] + turn, lo[i]], np.r_[hi[near] + turn, hi[i]], np.arange(len(near)), len(near)))
-                cover.append(share * _covered(el, eh, near, i) if share and len(near) else 0.0)
-            out.append(f[["scenario_no", "frame_ts_us", "id"]].assign(coverage=cover))
-        return pd.concat(out)
-
-    group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000))
-    found = df.select(*columns).withColumn("_g", group).groupBy("scenario_no", "_g").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, id long, coverage double")
-    return df.join(found, ["scenario_no", "frame_ts_us", "id"]).withColumn("is_coverageValid", F.when(F.col("coverage") <= threshold, 1).otherwise(0))
+
+    def coverage(own: Column, all_: Column) -> Column:
+        near = F.filter(all_, lambda n: n["distance"] < own["distance"])
+        share = F.greatest(*[_covered(near, "azimuth_min", "azimuth_max", own, t) for t in (0.0, 2 * math.pi, -2 * math.pi)])
+        return F.when((share > 0) & (F.size(near) > 0), share * _covered(near, "elevation_min", "elevation_max", own)).otherwise(0.0)
+
+    rest = [k for k in df.columns if k not in FRAME]
+    frames = df.groupBy(*FRAME).agg(F.collect_list(F.struct(*rest)).alias("_all"))
+    seen = frames.select(*FRAME, F.inline(F.transform("_all", lambda o: F.struct(*[o[k].alias(k) for k in rest], coverage(o, F.col("_all")).alias("coverage")))))
+    return seen.select(*df.columns, "coverage").withColumn("is_coverageValid", F.when(F.col("coverage") <= threshold, 1).otherwise(0))

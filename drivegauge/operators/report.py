@@ -83,6 +83,27 @@ def ledger(old: DataFrame, failures: DataFrame, key: str) -> DataFrame:
     return both.groupBy(key).agg(F.sum("failures").alias("failures")).withColumn("state", F.when(F.col("failures") > 1, "BAD").otherwise("GOOD"))
 
 
+def nested_rollup(df: DataFrame, levels: list[str], name: str = "value") -> DataFrame:
+    """A row per value of the first level: ``value``, ``n`` rows, and ``children``, an array of the same for the next level.
+
+    Counts of the full combinations come first; then each level is folded into the one above, in the order of its
+    values, with one shuffle of a row per node. A node holds as many children as its level has values below it.
+    """
+    out = df.groupBy(*levels).agg(F.count("*").alias("n")).withColumn("children", F.lit(None))
+    for depth in range(len(levels) - 1, -1, -1):
+        fields = [F.col(levels[depth]).alias(name), F.col("n"), *([F.col("children")] if depth < len(levels) - 1 else [])]
+        if depth == 0:
+            return out.select(*fields)
+        out = out.groupBy(*levels[:depth]).agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct(*fields))).alias("children")).withColumnRenamed("total", "n")
+    raise ValueError("no levels")
+
+
+def distinct_values(df: DataFrame, levels: list[str]) -> DataFrame:
+    """``level, value, n``: the values of each level and how many rows have them, in one pass."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.col(k).cast("string").alias("value")) for k in levels])).alias("_e"))
+    return long.groupBy(F.col("_e.level").alias("level"), F.col("_e.value").alias("value")).agg(F.count("*").alias("n"))
+
+
 def manifest_diff(a: DataFrame, b: DataFrame, path: str, size: str) -> DataFrame:
     """Files that only one side has, or whose sizes differ."""
     joined = a.select(path, F.col(size).alias("size_a")).join(b.select(path, F.col(size).alias("size_b")), path, "full")

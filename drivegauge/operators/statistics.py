@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drivegauge.sources.scratch import stored
+
 from .metrics import deciding
+from .quantiles import cube_quantiles
 
 REGIONS = [("DRU", "near", 0.0, 50.0, -8.0, 8.0), ("DRU", "far", 50.0, 150.0, -8.0, 8.0), ("DRU", "rear", -100.0, 0.0, -8.0, 8.0), ("VRU", "near_vru", -30.0, 50.0, -10.0, 10.0), ("VRU", "wide_vru", -100.0, 100.0, -20.0, 20.0)]
 
@@ -33,10 +36,14 @@ def recall_precision_stats() -> list[Column]:
     return [tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), ctp.alias("ctp"), F.round(ratio(tp, tp + fn), 6).alias("recall"), F.round(ratio(tp, tp + fp), 6).alias("precision"), F.round(ratio(ctp, tp), 6).alias("type_accuracy"), F.greatest(tp + fp, tp + fn).alias("sample_count")]
 
 
-def error_stats(name: str, signed: bool = True, abnormal: str | None = None) -> list[Column]:
-    """Mean and the 68 and 95 % quantiles of the absolute values, mean and deviation of the signed ones, count, pass ratio."""
+#: Quantiles of the absolute errors, by the end of their column's name.
+QUANTILES = {"abs_q68": 0.68, "abs_q95": 0.95}
+
+
+def error_moments(name: str, signed: bool = True, abnormal: str | None = None) -> list[Column]:
+    """Mean of the absolute values, mean and deviation of the signed ones, count, pass ratio."""
     value, size = F.col(name), F.abs(F.col(name))
-    out = [F.round(F.avg(size), 6).alias(f"{name}_abs_mean"), F.round(F.percentile(size, 0.68), 6).alias(f"{name}_abs_q68"), F.round(F.percentile(size, 0.95), 6).alias(f"{name}_abs_q95")]
+    out = [F.round(F.avg(size), 6).alias(f"{name}_abs_mean")]
     if signed:
         out += [(F.round(F.avg(value), 6) + F.lit(0.0)).alias(f"{name}_mean"), F.round(F.stddev_samp(value), 6).alias(f"{name}_std")]
     out.append(F.count(value).alias(f"{name}_count"))
@@ -45,6 +52,17 @@ def error_stats(name: str, signed: bool = True, abnormal: str | None = None) ->
     return out
 
 
+def error_stats(df: DataFrame, keys: list[str], names: list[str], signed: bool = True, abnormal: str | None = None, **sizes: int) -> DataFrame:
+    """Moments of some errors per cell, and the exact 68 and 95 % quantiles of their absolute values, whatever a cell's size."""
+    rows = stored(df.select(*keys, *names, *([abnormal] if abnormal else [])), "errors")
+    cells = cube(rows, keys, [m for n in names for m in error_moments(n, signed, abnormal)])
+    found = cube_quantiles(rows, keys, {n: F.abs(n) for n in names}, QUANTILES, **sizes)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    return cells.alias("l").join(found.alias("r"), on, "left").select("l.*", *[F.round(f"r.{n}_{q}", 6).alias(f"{n}_{q}") for n in names for q in QUANTILES])
+
+
 def cube(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
     """One pass for all cells; empty cells do not exist."""
     return df.groupBy(*keys).agg(*aggregates)

@@ -146,7 +146,19 @@ def q03_key_objects(spark, sf_dir):
     return ob.key_objects(gt_obj(spark, sf_dir)).select("frame_ts_us", "id", "is_cipv", "is_keyObj")
 
 
-@query()
+_SEEN = f""", v AS (SELECT frame_ts_us, id, distance, height, {', '.join(_AZ)}, {', '.join(f'sqrt((pt_{i}_x - 2) * (pt_{i}_x - 2) + pt_{i}_y * pt_{i}_y) AS reach{i}' for i in range(4))} FROM gt_d), w AS (SELECT *, greatest(a0, a1, a2, a3) - least(a0, a1, a2, a3) > pi() AS wr FROM v),
+u AS (SELECT *, {', '.join(f'CASE WHEN wr AND a{i} >= pi() THEN a{i} - 2 * pi() ELSE a{i} END AS b{i}' for i in range(4))} FROM w),
+s AS (SELECT frame_ts_us, id, distance, least(b0, b1, b2, b3) AS az0, greatest(b0, b1, b2, b3) AS az1, least({', '.join(f'atan2(-1, reach{i}), atan2(height - 1, reach{i})' for i in range(4))}) AS el0, greatest({', '.join(f'atan2(-1, reach{i}), atan2(height - 1, reach{i})' for i in range(4))}) AS el1 FROM u)"""
+#: Nearer intervals cut to the object's, and their union as the pieces that reach beyond all before them.
+_COVERED = _SEEN + """, n AS (SELECT o.frame_ts_us, o.id, o.az0, o.az1, o.el0, o.el1, x.az0 AS xa, x.az1 AS xb, x.el0 AS ya, x.el1 AS yb FROM s o JOIN s x ON o.frame_ts_us = x.frame_ts_us AND x.distance < o.distance),
+k AS (SELECT frame_ts_us, id, turn AS what, greatest(xa + turn * 2 * pi(), az0) AS a, least(xb + turn * 2 * pi(), az1) AS b FROM n, (VALUES (0), (1), (-1)) AS t(turn) UNION ALL SELECT frame_ts_us, id, 9, greatest(ya, el0), least(yb, el1) FROM n),
+p AS (SELECT *, greatest(0, b - greatest(a, coalesce(max(b) OVER (PARTITION BY frame_ts_us, id, what ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a))) AS piece FROM k WHERE b > a),
+c AS (SELECT frame_ts_us, id, what, sum(piece) AS len FROM p GROUP BY 1, 2, 3), m AS (SELECT frame_ts_us, id, max(CASE WHEN what < 9 THEN len END) AS az, max(CASE WHEN what = 9 THEN len END) AS el FROM c GROUP BY 1, 2),
+h AS (SELECT DISTINCT frame_ts_us, id FROM n), z AS (SELECT s.frame_ts_us, s.id, CASE WHEN h.id IS NULL THEN 0 ELSE (CASE WHEN az1 - az0 <= 0 THEN 1 ELSE coalesce(az, 0) / (az1 - az0) END) * (CASE WHEN el1 - el0 <= 0 THEN 1 ELSE coalesce(el, 0) / (el1 - el0) END) END AS cover FROM s LEFT JOIN h USING (frame_ts_us, id) LEFT JOIN m USING (frame_ts_us, id))
+SELECT frame_ts_us, id, round(cover, 6) AS coverage, CASE WHEN cover <= 0.6E0 THEN 1 ELSE 0 END AS is_coverageValid FROM z"""
+
+
+@query(BOTH + _COVERED)
 def q02_occlusion(spark, sf_dir):
     return ob.occlusion(ob.vision_range(derived(spark, sf_dir, "gt"))).select("frame_ts_us", "id", F.round("coverage", 6).alias("coverage"), "is_coverageValid")
 
@@ -285,12 +297,12 @@ def _errors(spark, sf_dir):
 
 @query(MATCH + PLACED + _ERR + f" SELECT class, division, {_stats_sql('ex')}, {_stats_sql('ey')} FROM z GROUP BY 1, 2")
 def a02_error_stats(spark, sf_dir):
-    return st.cube(_errors(spark, sf_dir), ["class", "division"], [*st.error_stats("ex"), *st.error_stats("ey")])
+    return st.error_stats(_errors(spark, sf_dir), ["class", "division"], ["ex", "ey"])
 
 
 @query(MATCH + PLACED + _ERR + f" SELECT class, division, {_stats_sql('el')} FROM z WHERE gt_cls = pred_cls GROUP BY 1, 2")
 def a04_size_stats(spark, sf_dir):
-    return st.cube(_errors(spark, sf_dir).filter("gt_type_classification = pred_type_classification"), ["class", "division"], st.error_stats("el"))
+    return st.error_stats(_errors(spark, sf_dir).filter("gt_type_classification = pred_type_classification"), ["class", "division"], ["el"])
 
 
 @query(TPS + """, e AS (SELECT gt_cls AS class, ((pred_yaw - gt_yaw + pi()) % (2 * pi()) + 2 * pi()) % (2 * pi()) - pi() AS r FROM t)

@@ -112,7 +112,7 @@ def a06_slot_stats(spark, sf_dir):
     from drivegauge.operators.statistics import error_stats
 
     p = table(spark, sf_dir, "part").select((c("p_partkey") % 4).alias("type"), (c("p_retailprice") % 3 - 1.5).alias("d"))
-    return p.groupBy("type").agg(*error_stats("d", signed=False))
+    return error_stats(p, ["type"], ["d"], signed=False)
 
 
 # lines: an order is a frame with one line of 17 points
@@ -195,7 +195,7 @@ def a05_line_stats(spark, sf_dir):
 
     p = c("o_totalprice")
     o = table(spark, sf_dir, "orders").select(F.floor(F.abs((p % 13 - 6.5) / 10000) * 5000).alias("division"), ((p % 11 - 5.5) / 100).alias("c1"))
-    return o.groupBy("division").agg(*error_stats("c1", signed=False))
+    return error_stats(o, ["division"], ["c1"], signed=False)
 
 
 @query("WITH d(name, lo, hi) AS (VALUES ('sharp', 0, 100000), ('bend', 100000, 200000), ('straight', 200000, 1000000)) SELECT o_orderkey AS id, name AS division FROM orders JOIN d ON o_totalprice > lo AND o_totalprice <= hi")

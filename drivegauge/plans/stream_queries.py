@@ -61,7 +61,7 @@ def w02_stream_alerts(spark, sf_dir):
 @query()
 def w03_stream_carry(spark, sf_dir):
     """Track numbers over a stream of lines; tests compare them with the batch form."""
-    rows = lines(spark, sf_dir).select("scenario_no", "frame_ts_us", (c("id") % 5).cast("string").alias("origin_id"))
+    rows = lines(spark, sf_dir).select("scenario_no", "frame_ts_us", (c("id") % 5).cast("string").alias("origin_id"), F.timestamp_micros(c("frame_ts_us") + DAY).alias("event_time"))
     return sm.drain(sm.carry_track_ids(as_stream(rows, "lines")), scratch_dir(spark, "w03"))
 
 

@@ -60,8 +60,7 @@ def q11_gap_outliers(spark, sf_dir):
 @query(EV + """, d AS (SELECT user_id, us, local_us, local_us - lag(local_us) OVER (PARTITION BY user_id ORDER BY value, event_id) AS d, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS n, event_id FROM e),
 k AS (SELECT *, coalesce(max(CASE WHEN d <= 0 THEN n END) OVER (PARTITION BY user_id), 1) AS cut FROM d) SELECT user_id, event_id FROM k WHERE n >= cut""")
 def f14_last_monotone_run(spark, sf_dir):
-    m = messages(spark, sf_dir).withColumn("ord", F.struct("value", "event_id"))
-    return tl.last_monotone_run(m, ["user_id"], "local_us", "ord").select("user_id", "event_id")
+    return tl.last_monotone_run(messages(spark, sf_dir), ["user_id"], "local_us", ["value", "event_id"]).select("user_id", "event_id")
 
 
 @query(EV + "SELECT event_id FROM e WHERE us > 1704500000000000 AND event_type IN ('view', 'click') AND us > 1704100000000000 AND us <= 1706000000000000")

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from drivegauge.operators.lines import carry_ids
 
@@ -30,20 +31,55 @@ def rate_alerts(stream: DataFrame, targets: dict[str, float], width_s: int = 10,
     return rated.filter(F.abs(F.col("hz") - F.element_at(known, F.col("topic"))) > slack)
 
 
-def carry_track_ids(stream: DataFrame) -> DataFrame:
-    """Track numbers of lines across frames; state is the last frame's ids and the next number, per scenario."""
+class TrackCarry(StatefulProcessor):
+    """Track numbers of one scenario's lines. State: a row per line of the last frame (its raw ids, its number), the next
+    number, and the last frame's stamp. A timer clears all of it where no frame comes for ``silence_ms`` of event time;
+    a scenario that comes back begins at 1."""
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, following, at = state.get if state.exists else ("", 1, -1)
-        known = [(set(ids.split(",")), int(n)) for ids, n in (e.split("=") for e in last.split(";") if e)]
-        pdf = pd.concat(list(frames)).sort_values(["frame_ts_us", "origin_id"])
-        pdf = pdf[pdf.frame_ts_us > at]  # a frame behind the last one can no longer be placed
-        if len(pdf):
-            numbers, known, following = carry_ids([list(f.origin_id) for _, f in pdf.groupby("frame_ts_us")], known, following)
-            state.update((";".join(f"{','.join(sorted(ids))}={n}" for ids, n in known), following, int(pdf.frame_ts_us.max())))
-            yield pdf.assign(scenario_no=key[0], id=[n for f in numbers for n in f])[["scenario_no", "frame_ts_us", "origin_id", "id"]]
+    def __init__(self, silence_ms: int):
+        self.silence_ms = silence_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.tracks = handle.getListState("tracks", "raw array<string>, number long")
+        self.place = handle.getValueState("place", "following long, at long")
 
-    return stream.groupBy("scenario_no").applyInPandasWithState(run, "scenario_no long, frame_ts_us long, origin_id string, id long", "last string, following long, at long", "append", GroupStateTimeout.NoTimeout)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+        following, at = self.place.get() if self.place.exists() else (1, -1)
+        known = [(set(raw), int(number)) for raw, number in self.tracks.get()] if self.place.exists() else []
+        pdf = pd.concat(list(rows)).sort_values(["frame_ts_us", "origin_id"])
+        pdf = pdf[pdf.frame_ts_us > at]  # a frame behind the last one can no longer be placed
+        if not len(pdf):
+            return
+        numbers, known, following = carry_ids([list(f.origin_id) for _, f in pdf.groupby("frame_ts_us")], known, following)
+        self.tracks.put([(sorted(raw), int(number)) for raw, number in known])
+        self.place.update((following, int(pdf.frame_ts_us.max())))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(pdf.event_time.max().timestamp() * 1000) + self.silence_ms)
+        yield pdf.assign(scenario_no=key[0], id=[n for f in numbers for n in f])[["scenario_no", "frame_ts_us", "origin_id", "id"]]
+
+    def handleExpiredTimer(self, key, timers: TimerValues, expired: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.tracks.clear()
+        self.place.clear()
+        yield pd.DataFrame({k: pd.Series(dtype=t) for k, t in (("scenario_no", "int64"), ("frame_ts_us", "int64"), ("origin_id", "object"), ("id", "int64"))})
+
+    def close(self) -> None:
+        pass
+
+
+def carry_track_ids(stream: DataFrame, silence: int = 60_000, delay: str = "10 seconds") -> DataFrame:
+    """Track numbers of lines (scenario_no, frame_ts_us, origin_id) across frames; the state of a scenario that is silent
+    for ``silence`` milliseconds of event time (``event_time``, or else the frame's stamp) goes.
+
+    Typed state needs a state store with column families, so the session is set to the one that comes with Spark;
+    streams that began with another keep theirs, which their checkpoint names.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    timed = stream if "event_time" in stream.columns else stream.withColumn("event_time", F.timestamp_micros("frame_ts_us"))
+    lines = timed.withWatermark("event_time", delay).select("scenario_no", "frame_ts_us", "origin_id", "event_time")
+    return lines.groupBy("scenario_no").transformWithStateInPandas(TrackCarry(silence), "scenario_no long, frame_ts_us long, origin_id string, id long", "append", "EventTime")
 
 
 def match_frames(gt: DataFrame, pred: DataFrame, tolerance: str = "50 milliseconds", delay: str = "5 seconds") -> DataFrame:
