@@ -17,7 +17,7 @@ of another name sees nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,7 +25,8 @@ def project(points: DataFrame, cameras: DataFrame, key: str, x: str = "x", y: st
     """``points`` with ``u``, ``v`` (whole pixels, halves to even) in the camera of their ``key``; those nearer to the
     image's edge than ``margin`` pixels, or without camera, go. Spark chooses the join by the cameras' measured size.
 
-    Each step is a projection of its own, so that no step's arithmetic is repeated in the next.
+    A point is an array of one element that each step maps or drops, and the last one leaves as a row: no step's
+    arithmetic is repeated in the next, and no filter is moved in front of what it tests.
     """
     c = F.struct("model", "width", "height", "intrinsic", "extrinsic", "distort", "xi").alias("_camera")
     joined = points.join(cameras.select(key, c), key)
@@ -34,19 +35,33 @@ def project(points: DataFrame, cameras: DataFrame, key: str, x: str = "x", y: st
     k = lambda i: at("distort", i)
     pinhole, fisheye, omni = (part("model") == m for m in ("pinhole", "fisheye", "omni"))
     row = lambda i: at("extrinsic", 4 * i) * F.col(x) + at("extrinsic", 4 * i + 1) * F.col(y) + at("extrinsic", 4 * i + 2) * F.col(z) + at("extrinsic", 4 * i + 3)
-    px, py, pz, a, b, r2, t, g = (F.col(f"_{n}") for n in ("px", "py", "pz", "a", "b", "r2", "t", "g"))
-    seen = joined.withColumns({"_px": row(0), "_py": row(1), "_pz": row(2)})
-    depth = F.when(omni, pz + F.coalesce(part("xi"), F.lit(0.0)) * F.sqrt(px * px + py * py + pz * pz)).otherwise(pz)
-    seen = seen.withColumn("_depth", depth).filter("_depth > 0").withColumns({"_a": px / F.col("_depth"), "_b": py / F.col("_depth")})
-    seen = seen.withColumn("_r2", a * a + b * b).withColumn("_t", F.when(fisheye, F.atan(F.sqrt(r2))))
-    t2 = t * t
-    bend = F.when(pinhole, (1 + r2 * (k(0) + r2 * (k(1) + r2 * k(4)))) / (1 + r2 * (k(5) + r2 * (k(6) + r2 * k(7)))))
-    bend = bend.when(fisheye & (r2 < 1e-24), 1.0).when(fisheye, t * (1 + t2 * (k(0) + t2 * (k(1) + t2 * (k(2) + t2 * k(3))))) / F.sqrt(r2))
-    seen = seen.withColumn("_g", bend.when(omni, 1 + r2 * (k(0) + r2 * k(1))))
     p1, p2 = F.when(fisheye, 0.0).otherwise(k(2)), F.when(fisheye, 0.0).otherwise(k(3))
-    seen = seen.withColumns({"_da": a * g + 2 * p1 * a * b + p2 * (r2 + 2 * a * a), "_db": b * g + p1 * (r2 + 2 * b * b) + 2 * p2 * a * b})
     skew = F.when(omni, at("intrinsic", 1)).otherwise(0.0)
-    u = at("intrinsic", 0) * F.col("_da") + skew * F.col("_db") + at("intrinsic", 2)
-    placed = seen.withColumns({"u": F.bround(u).cast("long"), "v": F.bround(at("intrinsic", 4) * F.col("_db") + at("intrinsic", 5)).cast("long")})
-    inside = lambda p, size: (F.col(p) > margin) & (F.col(p) < part(size) - margin)
-    return placed.filter(inside("u", "width") & inside("v", "height")).select(*points.columns, "u", "v")
+
+    def depth(p: Column) -> Column:
+        return F.when(omni, p["z"] + F.coalesce(part("xi"), F.lit(0.0)) * F.sqrt(p["x"] * p["x"] + p["y"] * p["y"] + p["z"] * p["z"])).when(pinhole | fisheye, p["z"])
+
+    def bend(p: Column) -> Column:
+        r2, t = p["r2"], p["t"]
+        t2 = t * t
+        lens = F.try_divide(1 + r2 * (k(0) + r2 * (k(1) + r2 * k(4))), 1 + r2 * (k(5) + r2 * (k(6) + r2 * k(7))))
+        turned = t * (1 + t2 * (k(0) + t2 * (k(1) + t2 * (k(2) + t2 * k(3)))))
+        return F.when(pinhole, lens).when(omni, 1 + r2 * (k(0) + r2 * k(1))).when(r2 < 1e-24, 1.0).otherwise(F.try_divide(turned, F.sqrt(r2)))
+
+    steps = [
+        lambda p: {"x": p["x"], "y": p["y"], "z": p["z"], "depth": depth(p)},
+        lambda p: p["depth"] > 0,
+        lambda p: {"a": p["x"] / p["depth"], "b": p["y"] / p["depth"]},
+        lambda p: {"a": p["a"], "b": p["b"], "r2": p["a"] * p["a"] + p["b"] * p["b"]},
+        lambda p: {"a": p["a"], "b": p["b"], "r2": p["r2"], "t": F.atan(F.sqrt(p["r2"]))},
+        lambda p: {"a": p["a"], "b": p["b"], "r2": p["r2"], "g": bend(p)},
+        lambda p: {"a": p["a"] * p["g"] + 2 * p1 * p["a"] * p["b"] + p2 * (p["r2"] + 2 * p["a"] * p["a"]), "b": p["b"] * p["g"] + p1 * (p["r2"] + 2 * p["b"] * p["b"]) + 2 * p2 * p["a"] * p["b"]},
+        lambda p: {"u": F.bround(at("intrinsic", 0) * p["a"] + skew * p["b"] + at("intrinsic", 2)), "v": F.bround(at("intrinsic", 4) * p["b"] + at("intrinsic", 5))},
+        lambda p: (p["u"] > margin) & (p["u"] < part("width") - margin) & (p["v"] > margin) & (p["v"] < part("height") - margin),
+        lambda p: {"u": p["u"].cast("long"), "v": p["v"].cast("long")},
+    ]
+    place = F.array(F.struct(row(0).alias("x"), row(1).alias("y"), row(2).alias("z")))
+    fields = lambda step: lambda p: F.struct(*[v.alias(n) for n, v in step(p).items()])
+    for i, step in enumerate(steps):
+        place = F.filter(place, step) if i in (1, len(steps) - 2) else F.transform(place, fields(step))
+    return joined.select(*points.columns, F.inline(place))

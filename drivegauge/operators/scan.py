@@ -84,7 +84,7 @@ def next_kept(ends: np.ndarray, least: float) -> np.ndarray:
         after = after - back
         on = (after < n) & (ends[np.minimum(after, n - 1)] - ends < least)
         after = after + on
-    return after
+    return np.maximum(after, np.arange(n) + 1)
 
 
 def chain_exits(ends: np.ndarray, least: float) -> np.ndarray:

@@ -44,7 +44,7 @@ class TrackCarry(StatefulProcessor):
         self.tracks = handle.getListState("tracks", "raw array<string>, number long")
         self.place = handle.getValueState("place", "following long, at long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         following, at = self.place.get() if self.place.exists() else (1, -1)
         known = [(set(raw), int(number)) for raw, number in self.tracks.get()] if self.place.exists() else []
         pdf = pd.concat(list(rows)).sort_values(["frame_ts_us", "origin_id"])
@@ -59,7 +59,7 @@ class TrackCarry(StatefulProcessor):
         self.handle.registerTimer(int(pdf.event_time.max().timestamp() * 1000) + self.silence_ms)
         yield pdf.assign(scenario_no=key[0], id=[n for f in numbers for n in f])[["scenario_no", "frame_ts_us", "origin_id", "id"]]
 
-    def handleExpiredTimer(self, key, timers: TimerValues, expired: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.tracks.clear()
         self.place.clear()
         yield pd.DataFrame({k: pd.Series(dtype=t) for k, t in (("scenario_no", "int64"), ("frame_ts_us", "int64"), ("origin_id", "object"), ("id", "int64"))})
