@@ -129,38 +129,56 @@ def iou(p: np.ndarray, q: np.ndarray) -> float:
     return common / max(area(p) + area(q) - common, 1e-12)
 
 
-def match_objects(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: float = 1.0, relative: float = 0.1, frames_per_group: int = 256) -> DataFrame:
+def candidate_pairs(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: float = 1.0, relative: float = 0.1, overlap: float | None = 0.05) -> DataFrame:
+    """``scenario_no, frame_ts_us, gt_id, pred_id, cost`` of all pairs of a frame that may be matched (``match_objects``)."""
+    corners = [f"pt_{i}_{a}" for i in range(4) for a in "xy"] if overlap is not None else []
+    side = lambda d, n: d.select("scenario_no", "frame_ts_us", *[F.col(k).alias(f"{n}_{k}") for k in ("id", "type", "x", "y", *corners)])
+    pairs = side(gt, "gt").join(side(pred, "pred"), ["scenario_no", "frame_ts_us"])
+    dx, dy = F.abs(F.col("gt_x") - F.col("pred_x")), F.abs(F.col("gt_y") - F.col("pred_y"))
+    share = lambda d, k: d / F.greatest(F.lit(20.0), F.abs(f"gt_{k}"), F.abs(f"pred_{k}")) <= relative
+    clash = ((F.col("gt_type") == 1) & (F.col("pred_type") == 2)) | ((F.col("gt_type") == 2) & (F.col("pred_type") == 1))
+    near = ((dx <= x_tol) & (dy <= y_tol)) | (share(dx, "x") & share(dy, "y"))
+    cost = F.sqrt(dx * dx + dy * dy) * F.when(F.col("gt_type") == F.col("pred_type"), 1.0).otherwise(1.5)
+    found = pairs.filter(~clash).withColumns({"_near": near, "cost": cost})
+    edge = ["scenario_no", "frame_ts_us", "gt_id", "pred_id", "cost"]
+    sure = found.filter("_near").select(*edge)
+    if overlap is None:
+        return sure
+
+    def boxes(batches):
+        for pdf in batches:
+            box = lambda n, pdf=pdf: pdf[[f"{n}_{k}" for k in corners]].to_numpy().reshape(-1, 4, 2)
+            yield pdf[[bool(iou(p, q) >= overlap) for p, q in zip(box("gt"), box("pred"), strict=True)]][edge]
+
+    second = found.filter(~F.col("_near") & (dx <= 1.5 * x_tol) & (dy <= 1.5 * y_tol))
+    return sure.unionByName(second.mapInPandas(boxes, sure.schema))
+
+
+def match_objects(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: float = 1.0, relative: float = 0.1, overlap: float | None = 0.05, frames_per_group: int = 256) -> DataFrame:
     """Least-cost assignment of each frame's objects: ``scenario_no, frame_ts_us, gt_id, pred_id``.
 
     Both sides carry the truth frame's stamp. A pair is a candidate unless the one is a vehicle and the other a
     pedestrian, if its offsets are within the absolute or the relative tolerance, or within one and a half absolute
-    tolerances with boxes that overlap by 0.05; the cost is the centres' distance, half as much again for other types.
+    tolerances with boxes that overlap by ``overlap`` (None: not looked at); the cost is the centres' distance, half as
+    much again for other types. As many pairs as can be are made, at the least total cost.
+
+    Pairs that are each other's only candidate are matched as they are; only the rest is assigned, a frame at a time.
     """
-    corners = [f"pt_{i}_{a}" for i in range(4) for a in "xy"]
-    need = ["scenario_no", "frame_ts_us", "id", "type", "x", "y", *corners]
-
-    def costs(g: pd.DataFrame, p: pd.DataFrame) -> np.ndarray:
-        gx, gy, px, py = g.x.to_numpy()[:, None], g.y.to_numpy()[:, None], p.x.to_numpy()[None], p.y.to_numpy()[None]
-        gt_, pt = g.type.to_numpy()[:, None], p.type.to_numpy()[None]
-        dx, dy = np.abs(gx - px), np.abs(gy - py)
-        rel = (dx / np.maximum(20, np.maximum(np.abs(gx), np.abs(px))) <= relative) & (dy / np.maximum(20, np.maximum(np.abs(gy), np.abs(py))) <= relative)
-        ok = ((dx <= x_tol) & (dy <= y_tol)) | rel
-        second = ~ok & (dx <= 1.5 * x_tol) & (dy <= 1.5 * y_tol)
-        for i, j in zip(*np.nonzero(second), strict=True):
-            ok[i, j] = iou(g[corners].to_numpy()[i].reshape(4, 2), p[corners].to_numpy()[j].reshape(4, 2)) >= 0.05
-        clash = ((gt_ == 1) & (pt == 2)) | ((gt_ == 2) & (pt == 1))
-        return np.where(ok & ~clash, np.hypot(dx, dy) * np.where(gt_ == pt, 1.0, 1.5), 500.0)
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        other = dict(list(right.groupby(["scenario_no", "frame_ts_us"]))) if len(right) else {}
+    edges = candidate_pairs(gt, pred, x_tol, y_tol, relative, overlap)
+    frame = ["scenario_no", "frame_ts_us"]
+    alone = lambda k: F.count("*").over(Window.partitionBy(*frame, k))
+    edges = edges.withColumn("_sole", (alone("gt_id") == 1) & (alone("pred_id") == 1))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for key, g in left.groupby(["scenario_no", "frame_ts_us"]) if other and len(left) else ():
-            if (p := other.get(key)) is not None:
-                g, p = g.sort_values("id"), p.sort_values("id")
-                cost = costs(g, p)
-                out += [(*key, int(g.id.iloc[i]), int(p.id.iloc[j])) for i, j in assign(cost) if cost[i, j] < 100]
-        return pd.DataFrame(out, columns=["scenario_no", "frame_ts_us", "gt_id", "pred_id"]).astype("int64")
+        for key, e in pdf.groupby(frame, sort=False):
+            g, p = np.unique(e.gt_id), np.unique(e.pred_id)
+            cost = np.full((len(g), len(p)), 500.0)
+            cost[np.searchsorted(g, e.gt_id), np.searchsorted(p, e.pred_id)] = e.cost
+            rows = [(*key, int(g[i]), int(p[j])) for i, j in assign(cost) if cost[i, j] < 500]
+            out.append(pd.DataFrame(rows, columns=[*frame, "gt_id", "pred_id"]))
+        return pd.concat(out).astype("int64")
 
     group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
-    right = pred.select(*need, group).select(*[F.col(k).alias(k) for k in (*need, "_g")])  # new attributes, in case both sides stem from one table
-    return gt.select(*need, group).groupBy("scenario_no", "_g").cogroup(right.groupBy("scenario_no", "_g")).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id long, pred_id long")
+    rest = edges.filter("NOT _sole").select("*", group).groupBy("scenario_no", "_g").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, gt_id long, pred_id long")
+    return edges.filter("_sole").select(*frame, "gt_id", "pred_id").unionByName(rest)

@@ -36,9 +36,18 @@ def _side(name: str) -> str:
 
 BOTH = SQL + _side("gt") + ", " + _side("pred")
 SIDE = ["id", "type", "cls", "usr", "x", "y", "vx", "vy", "yaw", "length", "width", "height", "closest_pt_x", "closest_pt_y"]
-MATCH = BOTH + f""", m AS (SELECT coalesce(g.scenario_no, p.scenario_no) AS scenario_no, coalesce(g.frame_ts_us, p.frame_ts_us - 13000) AS frame_ts_us,
+#: Candidates by position; pairs without another candidate on either side; of the others all ways to pair a frame's objects.
+PAIRS = """, cand AS (SELECT g.frame_ts_us AS f, g.id AS gi, p.id AS pi, sqrt((g.x - p.x) * (g.x - p.x) + (g.y - p.y) * (g.y - p.y)) * CASE WHEN g.type = p.type THEN 1 ELSE 1.5E0 END AS cost FROM gt_d g JOIN pred_d p ON g.frame_ts_us = p.frame_ts_us - 13000
+ WHERE NOT (g.type = 1 AND p.type = 2) AND NOT (g.type = 2 AND p.type = 1) AND ((abs(g.x - p.x) <= 2 AND abs(g.y - p.y) <= 1) OR (abs(g.x - p.x) / greatest(20, abs(g.x), abs(p.x)) <= 0.1E0 AND abs(g.y - p.y) / greatest(20, abs(g.y), abs(p.y)) <= 0.1E0))),
+deg AS (SELECT *, count(*) OVER (PARTITION BY f, gi) = 1 AND count(*) OVER (PARTITION BY f, pi) = 1 AS sole FROM cand),
+opt AS (SELECT f, gi, pi, cost - 500 AS cost, dense_rank() OVER (PARTITION BY f ORDER BY gi) AS k FROM deg WHERE NOT sole),
+opts AS (SELECT f, k, pi, cost FROM opt UNION ALL SELECT DISTINCT f, k, -1, 0 FROM opt),
+walk(f, k, used, total) AS (SELECT DISTINCT f, 0::BIGINT, []::BIGINT[], 0.0E0 FROM opt UNION ALL SELECT w.f, w.k + 1, list_append(used, o.pi), total + o.cost FROM walk w JOIN opts o ON o.f = w.f AND o.k = w.k + 1 AND (o.pi = -1 OR NOT list_contains(used, o.pi))),
+best AS (SELECT f, arg_min(used, total) AS used FROM walk WHERE (f, k) IN (SELECT f, max(k) FROM opt GROUP BY 1) GROUP BY 1),
+pair AS (SELECT f, gi, pi FROM deg WHERE sole UNION ALL SELECT DISTINCT o.f, o.gi, o.pi FROM opt o JOIN best b ON b.f = o.f AND b.used[o.k] = o.pi)"""
+MATCH = BOTH.replace("WITH base", "WITH RECURSIVE base", 1) + PAIRS + f""", m AS (SELECT coalesce(g.scenario_no, p.scenario_no) AS scenario_no, coalesce(g.frame_ts_us, p.frame_ts_us - 13000) AS frame_ts_us,
   {', '.join(f'g.{k} AS gt_{k}, p.{k} AS pred_{k}' for k in SIDE)}, CASE WHEN g.id IS NULL THEN 0 ELSE 1 END AS gt_flag, CASE WHEN p.id IS NULL THEN 0 ELSE 1 END AS pred_flag
-  FROM gt_d g FULL JOIN pred_d p ON g.frame_ts_us = p.frame_ts_us - 13000 AND g.id = p.id - 100)"""
+  FROM (SELECT gt_d.*, pair.pi FROM gt_d LEFT JOIN pair ON pair.f = gt_d.frame_ts_us AND pair.gi = gt_d.id) g FULL JOIN pred_d p ON g.frame_ts_us = p.frame_ts_us - 13000 AND g.pi = p.id)"""
 TPS = MATCH + ", t AS (SELECT * FROM m WHERE gt_flag = 1 AND pred_flag = 1)"
 
 
@@ -47,14 +56,21 @@ def derived(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
 
 
 def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full outer match on the shifted stamp and the shifted id."""
+    """Truth and predictions of a frame, matched by position, and what has no partner."""
     keep = ["id", "type", "type_classification", "road_user", "x", "y", "vx", "vy", "yaw", "length", "width", "height", "closest_pt_x", "closest_pt_y"]
     g = derived(spark, sf_dir, "gt").select("scenario_no", "frame_ts_us", *keep)
     p = derived(spark, sf_dir, "pred").withColumn("frame_ts_us", c("frame_ts_us") - 13000).select("scenario_no", "frame_ts_us", *keep)
-    pairs = g.select("scenario_no", "frame_ts_us", c("id").alias("gt_id")).withColumn("pred_id", c("gt_id") + 100)
+    pairs = mt.match_objects(g, p, overlap=None)
     return mt.reassemble(pairs, g, p, ["scenario_no", "frame_ts_us"])
 
 
+@query(MATCH + " SELECT scenario_no, f AS frame_ts_us, gi AS gt_id, pi AS pred_id FROM pair JOIN (SELECT DISTINCT scenario_no, frame_ts_us FROM gt) ON f = frame_ts_us")
+def j02_match_positions(spark, sf_dir):
+    """Assignment by position alone; ``j02_match_objects`` also looks at the overlap of boxes."""
+    g = derived(spark, sf_dir, "gt")
+    return mt.match_objects(g, derived(spark, sf_dir, "pred").withColumn("frame_ts_us", c("frame_ts_us") - 13000), overlap=None)
+
+
 @query(BOTH + "SELECT frame_ts_us, id, cls AS type_classification, usr AS road_user FROM gt_d")
 def p01_classify(spark, sf_dir):
     return ob.with_class(gt_obj(spark, sf_dir)).select("frame_ts_us", "id", "type_classification", "road_user")
