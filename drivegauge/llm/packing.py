@@ -251,7 +251,7 @@ def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a stored table of pieces."""
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
-    buckets = min(4096, sum(histogram.values()) // 2000 + 1)
+    buckets = sum(histogram.values()) // 2000 + 1
     dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("n")).select("length", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))

@@ -69,8 +69,7 @@ def token_counts(df: DataFrame, tokenizer_path: str, cache_path: str, limit: int
     stored = spark.read.schema(schema).parquet(cache_path).filter(F.col("tokenizer") == tag)
     misses = keys.join(stored.select("digest"), "digest", "left_anti")
     chosen = materialize(misses.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "token-misses")
-    # a share of the rows, the same at every size: where most texts are known, Spark may broadcast the few missing by their size
-    side = chosen if chosen.count() * 20 < keys.count() else chosen.hint("merge")
+    side = chosen.hint("merge")  # grows with the input, so it is never broadcast: the same plan at every size
     keyed = docs.withColumn("digest", F.unhex(F.sha2("text", 256)))
     on = keyed["doc_id"].eqNullSafe(side["doc_id"]) & (keyed["digest"] == side["digest"])
     todo = keyed.join(side, on, "left_semi")
