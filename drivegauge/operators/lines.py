@@ -8,10 +8,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from drivegauge.sources.scratch import stored
+
 from .matching import assign
 
 
@@ -270,6 +272,29 @@ def carry_track_id(df: DataFrame) -> DataFrame:
     return df.select("scenario_no", "frame_ts_us", F.col("id").cast("string").alias("origin_id")).groupBy("scenario_no").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, origin_id string, id long")
 
 
+def pipeline(df: DataFrame, truth: bool, least: float = 2.0) -> DataFrame:
+    """All steps over lines (scenario_no, frame_ts_us, id, type, points, and the prediction's own position), in order: age,
+    one line per id and frame, joined pieces, the truth's positions and track ids, coefficients, classes, ``least`` length.
+
+    A joined line has the type, age and position of its first piece, and the ids of all of them in ``origin_id``.
+    """
+    frame = ["scenario_no", "frame_ts_us"]
+    aged = df.withColumn("age", F.count("*").over(Window.partitionBy("scenario_no", "id")))
+    one = aged.withColumn("_k", F.row_number().over(Window.partitionBy(*frame, "id").orderBy("type", F.size("points").desc()))).filter("_k = 1").drop("_k")
+    keep = ["type", "age", *([] if truth else ["position"])]
+    first = one.select(*frame, F.col("id").cast("string").alias("_first"), *keep)
+    whole = connect_lines(one).withColumn("_first", F.split_part("id", F.lit(","), F.lit(1))).join(first, [*frame, "_first"]).drop("_first")
+    whole = stored(whole, "lines")  # read by three steps
+    if truth:
+        whole = whole.join(lane_position(whole), [*frame, "id"]).withColumnRenamed("id", "origin_id")
+        whole = whole.join(carry_track_id(whole.withColumnRenamed("origin_id", "id")), [*frame, "origin_id"])
+    else:
+        whole = whole.withColumn("origin_id", F.col("id"))
+    keys = [*frame, "id", "origin_id", "type", "age", "position"]
+    found = line_features(whole.select(*keys, "points"), keys)
+    return found.withColumn("type_classification", line_class(F.col("type"), F.col("position"))).filter(F.col("length") >= least)
+
+
 def strip_iou(p: np.ndarray, q: np.ndarray, half: float = 1.0, step: float = 0.1) -> float:
     """Overlap of two polylines widened by ``half`` on each side, by integration over strips in x."""
     low, high = min(p[0, 0], q[0, 0]), max(p[-1, 0], q[-1, 0])

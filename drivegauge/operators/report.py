@@ -64,6 +64,42 @@ def worst_offenders(df: DataFrame, error: str, k: int, least: int, by: str = "cl
     return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def failure_samples(m: DataFrame, k: int, half_width: float = 8.0) -> DataFrame:
+    """``kind, class, scenario_no, id, frame_ts_us`` of the failures worth a look: of each kind and class all rows of the ids
+    with most rows. ``m`` has both sides of the matched rows.
+
+    False positives and wrong classes: ``k`` ids. Misses: 2 ``k`` ids up to 100 m, and as many from there to 150 m. Only
+    what lies within ``half_width`` to the side counts, and of vulnerable road users what is near.
+    """
+    vru = lambda side: F.col(f"{side}_type_classification").isin("pedestrian", "cyclist")
+    gx, px = F.col("gt_x"), F.col("pred_x")
+    beside = lambda side: F.abs(f"{side}_y") <= half_width
+    missed = (F.col("gt_flag") == 1) & (F.col("pred_flag") == 0) & beside("gt") & ~(vru("gt") & (F.abs(gx) > 50))
+    both = (F.col("gt_flag") == 1) & (F.col("pred_flag") == 1)
+    kinds = [
+        ("false_positive", "pred", (F.col("gt_flag") == 0) & (F.col("pred_flag") == 1) & px.between(-100, 150) & beside("pred") & ~(vru("pred") & (px > 50)), k),
+        ("false_negative_near", "gt", missed & gx.between(-100, 100), 2 * k),
+        ("false_negative_far", "gt", missed & (gx > 100) & (gx <= 150), 2 * k),
+        ("false_type", "gt", both & ~F.col("gt_type_classification").eqNullSafe(F.col("pred_type_classification")) & gx.between(-50, 100) & beside("gt") & ~(vru("gt") & (gx > 50)), k),
+    ]
+    cases = F.filter(F.array(*[F.when(when, F.struct(F.lit(name).alias("kind"), F.lit(n).alias("_most"), F.col(f"{side}_type_classification").alias("class"), F.col(f"{side}_id").alias("id"))) for name, side, when, n in kinds]), lambda x: x.isNotNull())
+    rows = m.select("scenario_no", "frame_ts_us", F.explode(cases).alias("e")).select("e.*", "scenario_no", "frame_ts_us")
+    counts = rows.groupBy("kind", "_most", "class", "scenario_no", "id").agg(F.count("*").alias("_n"))
+    rank = F.row_number().over(Window.partitionBy("kind", "class").orderBy(F.col("_n").desc(), "scenario_no", "id"))
+    chosen = counts.withColumn("_r", rank).filter("_r <= _most").select("kind", "class", "scenario_no", "id")
+    return rows.drop("_most").join(chosen, ["kind", "class", "scenario_no", "id"], "left_semi")
+
+
+def worst_by_distance(df: DataFrame, error: str, share: str, k: int, least: int, near: float = 50.0) -> DataFrame:
+    """``zone, class, scenario_no, id, n, mean_error, rank``: the ``k`` ids of each class with the largest mean error, by the
+    error itself up to ``near`` metres and by the relative one beyond; ids need ``least`` rows in the zone."""
+    close = F.abs("gt_x") <= near
+    rows = df.withColumns({"zone": F.when(close, "near").otherwise("far"), "_e": F.when(close, F.abs(error)).otherwise(F.abs(share))})
+    counts = rows.groupBy("zone", "class", "scenario_no", "id").agg(F.count("*").alias("n"), F.round(F.avg("_e"), 6).alias("mean_error")).filter(F.col("n") >= least)
+    rank = F.row_number().over(Window.partitionBy("zone", "class").orderBy(F.col("mean_error").desc(), "scenario_no", "id"))
+    return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def median_frame(df: DataFrame, keys: list[str], stamp: str, least: int) -> DataFrame:
     """The middle row by time of each id with enough rows."""
     w = Window.partitionBy(*keys)
@@ -77,6 +113,28 @@ def running_budget(df: DataFrame, size: str, order: list[str], budget: float, fa
     return df.withColumn("_sum", F.sum(size).over(w)).filter(F.col("_sum") * factor < budget).drop("_sum")
 
 
+def package_sizes(objects: DataFrame, key: str, size: str) -> DataFrame:
+    """``package, size`` of the packages, the paths before ``/install/``, that also hold a bag, with all their objects."""
+    root = F.coalesce(F.when(F.col(key).contains("/install/"), F.substring_index(key, "/install/", 1)), F.when(F.col(key).contains("/rosbag"), F.substring_index(key, "/rosbag", 1)))
+    marked = objects.select(root.alias("package"), F.col(size).alias("size"), F.col(key).contains("/install/").alias("_install"), (~F.col(key).contains("/install/") & F.col(key).contains("/rosbag")).alias("_bag"))
+    sums = marked.filter("package IS NOT NULL").groupBy("package").agg(F.sum("size").alias("size"), F.max("_install").alias("_i"), F.max("_bag").alias("_b"))
+    return sums.filter("_i AND _b").select("package", "size")
+
+
+def downloads(packages: DataFrame, free: float, factor: float = 1.5, reserve: float = 20 * 1024**3) -> DataFrame:
+    """The smallest packages while their running sum times ``factor`` and the ``reserve`` stay below the free space."""
+    return running_budget(packages, "size", ["size", "package"], free - reserve, factor)
+
+
+def exposure(clips: DataFrame, ego: DataFrame, tag: str) -> DataFrame:
+    """``tag, frames, distance_km, scenarios``, with a row of totals under the tag null, from clips (scenario_no, tag, duration,
+    fps) and the ego speed (scenario_no, time_stamp, ego_vx)."""
+    spans = ego.groupBy("scenario_no").agg(F.ceil((F.max("time_stamp") - F.min("time_stamp")) * F.avg("ego_vx") / 1000).cast("long").alias("_km"))
+    frames = F.bround(F.col("duration") * F.col("fps") * 291 / 300).cast("long")
+    rows = clips.join(spans, "scenario_no", "left").select(tag, frames.alias("_f"), F.coalesce("_km", F.lit(0)).alias("_km"))
+    return rows.rollup(tag).agg(F.sum("_f").alias("frames"), F.sum("_km").alias("distance_km"), F.count("*").alias("scenarios"))
+
+
 def ledger(old: DataFrame, failures: DataFrame, key: str) -> DataFrame:
     """Failure counts after one more round, and whether an entry is still good."""
     both = old.select(key, "failures").unionByName(failures.select(key, F.lit(1).cast("long").alias("failures")))

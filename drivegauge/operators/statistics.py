@@ -66,3 +66,18 @@ def error_stats(df: DataFrame, keys: list[str], names: list[str], signed: bool =
 def cube(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
     """One pass for all cells; empty cells do not exist."""
     return df.groupBy(*keys).agg(*aggregates)
+
+
+def traffic_flow(objects: DataFrame, frames: DataFrame, ahead: float = 30.0, aside: float = 8.0, fastest: float = 80.0) -> DataFrame:
+    """Labels of a scenario: mean speed, flow (speeds / 60) and share of the area taken, each a mean over its frames; frames
+    without objects nearby count as 0. Speeds above ``fastest`` are replaced by the mean of the others in the scenario.
+
+    ``objects`` has scenario_no, frame_ts_us, x, y, vx, vy, length, width; ``frames`` scenario_no and frame_ts_us.
+    """
+    near = objects.filter((F.abs("x") <= ahead) & (F.abs("y") <= aside)).withColumn("_v", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
+    usual = near.groupBy("scenario_no").agg(F.avg(F.when(F.col("_v") <= fastest, F.col("_v"))).alias("_usual"))
+    one = near.groupBy("scenario_no", "frame_ts_us").agg(F.count("*").alias("_n"), F.sum(F.when(F.col("_v") <= fastest, F.col("_v"))).alias("_sum"), F.count(F.when(F.col("_v") > fastest, 1)).alias("_fast"), F.sum(F.col("length") * F.col("width")).alias("_area"))
+    per = one.join(usual, "scenario_no").withColumn("_all", F.coalesce("_sum", F.lit(0.0)) + F.when(F.col("_fast") > 0, F.col("_fast") * F.col("_usual")).otherwise(0.0))
+    sums = per.groupBy("scenario_no").agg(F.sum(F.col("_all") / F.col("_n")).alias("_speed"), F.sum(F.col("_all") / 60).alias("_flow"), F.sum(F.col("_area") / (4 * ahead * aside)).alias("_share"))
+    total = frames.select("scenario_no", "frame_ts_us").distinct().groupBy("scenario_no").agg(F.count("*").alias("_f"))
+    return total.join(sums, "scenario_no", "left").select("scenario_no", *[(F.coalesce(a, F.lit(0.0)) / F.col("_f")).alias(b) for a, b in (("_speed", "average_velocity"), ("_flow", "flow"), ("_share", "area_share"))])

@@ -21,7 +21,7 @@ def query(sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from . import depth_queries, evaluation_queries, object_queries, report_queries, source_queries, stream_queries, time_queries  # noqa: F401
+    from . import depth_queries, evaluation_queries, object_queries, report_queries, semantics_queries, source_queries, stream_queries, time_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:

@@ -143,21 +143,29 @@ def p09_curvature_radius(spark, sf_dir):
     return ln.line_features(lines(spark, sf_dir, 120), ["id"]).select("id", F.round("length", 3).alias("length"), "radius")
 
 
-@query()
+@query("SELECT o_orderkey * 100000 AS frame_ts_us, (2 * o_orderkey) || ',' || (2 * o_orderkey + 1) AS id, 18 AS n FROM orders")
 def q04_connect_lines(spark, sf_dir):
     whole = lines(spark, sf_dir)
     half = lambda k, a, b: whole.withColumn("points", F.slice("points", a, b)).withColumn("id", c("id") * 2 + k)
     return ln.connect_lines(half(0, 1, 9).unionByName(half(1, 9, 9))).select("frame_ts_us", "id", F.size("points").alias("n"))
 
 
-@query()
+#: Lines of a side from the nearest outward; each takes the first lane from its predecessor's next on that it isn't beyond.
+@query(LINE.replace("WITH o", "WITH RECURSIVE o", 1) + """, h AS (SELECT id, (3 * c0 + c1 * 15 + c2 * 125) / 3 AS y FROM o), a AS (SELECT id, id * 4 + k AS line, (y + (k - 2) * 3.5E0 + y + (k - 2) * 3.5E0 + y + (k - 2) * 3.5E0) / 3 AS y FROM h, (SELECT unnest(range(4)) AS k)),
+s AS (SELECT *, abs(y) AS d, y >= 0 AS side, row_number() OVER (PARTITION BY id, y >= 0 ORDER BY abs(y), line) AS r FROM a WHERE abs(y) <= 12.25E0), t AS (SELECT *, CASE WHEN d < 4.2E0 THEN 0 WHEN d < 7.7E0 THEN 1 WHEN d < 11.2E0 THEN 2 WHEN d < 14.7E0 THEN 3 ELSE 4 END AS least FROM s),
+w(id, side, r, line, lane) AS (SELECT id, side, r, line, least FROM t WHERE r = 1 UNION ALL SELECT t.id, t.side, t.r, t.line, greatest(w.lane + 1, t.least) FROM w JOIN t ON t.id = w.id AND t.side = w.side AND t.r = w.r + 1)
+SELECT CAST(floor(a.id / 750) AS BIGINT) AS scenario_no, a.id * 100000 AS frame_ts_us, a.line AS id, CAST(coalesce(CASE WHEN w.side THEN 1 ELSE 8 END + w.lane, 0) AS INTEGER) AS position FROM a LEFT JOIN w USING (line)""")
 def q05_lane_position(spark, sf_dir):
     four = lines(spark, sf_dir).withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(4)])))
     moved = four.withColumn("points", F.transform("points", lambda p: F.struct(p["x"].alias("x"), (p["y"] + (c("k") - 2) * 3.5).alias("y")))).withColumn("id", c("id") * 4 + c("k"))
     return ln.lane_position(moved)
 
 
-@query()
+#: One line a frame: its number goes on while the raw id stays.
+CARRIED = "WITH f AS (SELECT CAST(floor(o_orderkey / 750) AS BIGINT) AS scenario_no, o_orderkey * 100000 AS frame_ts_us, CAST(o_orderkey % 5 AS VARCHAR) AS origin_id FROM orders), g AS (SELECT *, CASE WHEN lag(origin_id) OVER (PARTITION BY scenario_no ORDER BY frame_ts_us) = origin_id THEN 0 ELSE 1 END AS fresh FROM f) SELECT scenario_no, frame_ts_us, origin_id, CAST(sum(fresh) OVER (PARTITION BY scenario_no ORDER BY frame_ts_us) AS BIGINT) AS id FROM g"
+
+
+@query(CARRIED)
 def q06_carry_track_id(spark, sf_dir):
     return ln.carry_track_id(lines(spark, sf_dir).withColumn("id", c("id") % 5))
 

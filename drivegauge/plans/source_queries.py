@@ -29,14 +29,9 @@ def t01_tracked_obstacles(spark, sf_dir):
     return fl.tracked_obstacles(messages(spark, sf_dir)).select("frame_id", "id", "type", F.round("confidence", 6).alias("confidence"), "x")
 
 
-@query(L + "SELECT l_orderkey AS frame_id, (l_orderkey * 64) % 200000 + pos - 1 AS id, l_extendedprice AS x FROM l WHERE pos <= 3")
-def t02_bev_detections(spark, sf_dir):
-    return fl.synthetic_ids(messages(spark, sf_dir), [("obstacles", "n")], 3).select("frame_id", "id", c("o.x").alias("x"))
-
-
 @query(L + "SELECT l_orderkey AS frame_id, (l_orderkey * 64) % 200000 + pos - 1 AS id, l_extendedprice AS x FROM l")
 def t02_bev_detections_all(spark, sf_dir):
-    """``t02_bev_detections`` with all objects that the count field tells."""
+    """All objects that the count field tells."""
     return fl.synthetic_ids(messages(spark, sf_dir), [("obstacles", "n")]).select("frame_id", "id", c("o.x").alias("x"))
 
 
@@ -112,29 +107,16 @@ def t14_parking_slots(spark, sf_dir):
     return fl.parking_slots(m).select("id", F.round(c("time_stamp") * 10).cast("long").alias("frame_id"), F.round("center_x", 4).alias("center_x"), "stopper_valid")
 
 
-@query("WITH b AS (SELECT doc_id, i - 1 AS cell, ord(substr(text, i, 1)) AS b FROM (SELECT doc_id, text, unnest(generate_series(1, 8)) AS i FROM documents WHERE lang = 'en' AND length(text) > 8) WHERE ord(substr(text, i, 1)) < 128) SELECT doc_id, CAST(cell AS INTEGER) AS cell, CAST(b // 16 AS INTEGER) AS class, CAST(23 - b % 16 AS INTEGER) AS free FROM b WHERE b >= 16")
-def t15_occupancy(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").filter("lang = 'en' AND length(text) > 8").select(c("doc_id").alias("scenario_no"), F.lit(0).alias("time_stamp"), F.substring(c("text"), 1, 8).cast("binary").alias("grid"))
-    o = fl.occupancy(d).filter("class < 8")
-    return o.select(c("scenario_no").alias("doc_id"), "cell", "class", F.aggregate("free", F.lit(0), lambda a, x: a + x).alias("free"))
-
-
 @query("WITH h AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS l FROM documents), b AS (SELECT doc_id, unnest(range(len(l))) AS cell, ('0x' || unnest(l))::INTEGER AS b FROM h) SELECT doc_id, CAST(cell AS INTEGER) AS cell, CAST(b // 16 AS INTEGER) AS class, CAST(23 - b % 16 AS INTEGER) AS free FROM b WHERE b >= 16")
 def t15_occupancy_all(spark, sf_dir):
-    """``t15_occupancy`` over all bytes of all documents."""
+    """All cells of all messages."""
     d = table(spark, sf_dir, "documents").select(c("doc_id").alias("scenario_no"), F.lit(0).alias("time_stamp"), c("text").cast("binary").alias("grid"))
     return fl.occupancy(d).select(c("scenario_no").alias("doc_id"), "cell", "class", F.aggregate("free", F.lit(0), lambda a, x: a + x).alias("free"))
 
 
-@query("SELECT event_id AS time_stamp, user_id, event_type, value FROM events WHERE event_id % 2 = 0")
-def t16_status_tables(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id % 2 = 0").select(F.lit(0).alias("scenario_no"), c("event_id").alias("time_stamp"), F.struct("user_id", "event_type", "value").alias("s"))
-    return fl.scalars(e, {k: f"s.{k}" for k in ("user_id", "event_type", "value")}).drop("scenario_no")
-
-
 @query("SELECT event_id AS time_stamp, user_id, event_type, value FROM events")
 def t16_status_tables_all(spark, sf_dir):
-    """``t16_status_tables`` over all events."""
+    """All events as status rows."""
     e = table(spark, sf_dir, "events").select(F.lit(0).alias("scenario_no"), c("event_id").alias("time_stamp"), F.struct("user_id", "event_type", "value").alias("s"))
     return fl.scalars(e, {k: f"s.{k}" for k in ("user_id", "event_type", "value")}).drop("scenario_no")
 
@@ -212,11 +194,6 @@ def s11_scenario_inventory(spark, sf_dir):
     return rd.scenario_inventory(e.select(F.concat(F.lit("/d/"), clip, F.lit("/"), "event_type", F.lit("."), "event_id").alias("path")), ["view", "click"])
 
 
-@query("SELECT p_brand AS topic, p_type AS msg_type, count(*) AS n FROM part WHERE p_brand = 'Brand#2' GROUP BY 1, 2")
-def s18_topic_registry(spark, sf_dir):
-    return table(spark, sf_dir, "part").filter("p_brand = 'Brand#2'").groupBy(c("p_brand").alias("topic"), c("p_type").alias("msg_type")).agg(F.count("*").alias("n"))
-
-
 # scalar functions
 
 
@@ -252,15 +229,9 @@ def p30_remap_paths(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", ex.remap_path(c("source"), "src1", "/new/").alias("path"))
 
 
-@query("SELECT p_partkey AS id, length(p_name) AS width, false AS cjk, regexp_replace(p_name, '(.{4})(.)', '\\1' || chr(10) || '\\2') AS head FROM part WHERE length(p_name) BETWEEN 5 AND 8")
-def p31_display_width(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("length(p_name) BETWEEN 5 AND 8")
-    return p.select(c("p_partkey").alias("id"), ex.display_width(c("p_name")).cast("long").alias("width"), ex.has_cjk(c("p_name")).alias("cjk"), ex.wrap_lines(c("p_name"), 4).alias("head"))
-
-
 @query("SELECT p_partkey AS id, length(p_name) AS width, false AS cjk, rtrim(regexp_replace(p_name, '(.{4})', '\\1' || chr(10), 'g'), chr(10)) AS head FROM part")
 def p31_display_width_all(spark, sf_dir):
-    """``p31_display_width`` over names of any length."""
+    """Names of any length."""
     p = table(spark, sf_dir, "part")
     return p.select(c("p_partkey").alias("id"), ex.display_width(c("p_name")).cast("long").alias("width"), ex.has_cjk(c("p_name")).alias("cjk"), ex.wrap_lines(c("p_name"), 4).alias("head"))
 
@@ -270,12 +241,6 @@ def p32_camel_to_snake(spark, sf_dir):
     return table(spark, sf_dir, "part").select(c("p_partkey").alias("id"), ex.camel_to_snake(F.concat(F.lit("camera_"), c("p_size"), F.lit("_FocalLength"))).alias("name"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN h < 6 THEN 'night' WHEN h < 12 THEN 'morning' WHEN h < 18 THEN 'afternoon' ELSE 'night' END AS part, d AS day FROM (SELECT o_orderkey, o_orderkey % 24 AS h, dayofyear(o_orderdate) AS d FROM orders)")
-def p19_time_of_day(spark, sf_dir):
-    h = c("o_orderkey") % 24
-    return table(spark, sf_dir, "orders").select(c("o_orderkey").alias("id"), F.when(h < 6, "night").when(h < 12, "morning").when(h < 18, "afternoon").otherwise("night").alias("part"), F.dayofyear("o_orderdate").cast("long").alias("day"))
-
-
 @query("SELECT o_orderkey AS id, epoch(date_trunc('day', o_orderdate))::BIGINT + 300 * (o_orderkey % 10) AS start FROM orders")
 def p20_clip_start(spark, sf_dir):
     name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("_n"), F.lpad((c("o_orderkey") % 10 + 1).cast("string"), 6, "0"))
@@ -343,17 +308,9 @@ def s14_stat_records(spark, sf_dir):
     return spark.read.schema("division string, sample_count long, mean double").json(path)
 
 
-@query("SELECT event_id, user_id, value FROM events WHERE event_id % 3 = 0")
-def s01_read_topic(spark, sf_dir):
-    """CSV parts of a topic with an explicit schema."""
-    path = scratch_dir(spark, "csv")
-    table(spark, sf_dir, "events").filter("event_id % 3 = 0").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
-    return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])
-
-
 @query("SELECT event_id, user_id, value FROM events")
 def s01_read_topic_all(spark, sf_dir):
-    """``s01_read_topic`` over all events."""
+    """All events, written as CSV parts and read back."""
     path = scratch_dir(spark, "csv")
     table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type").write.option("header", True).csv(path)
     return rd.read_topic(spark, path, "event_id long, user_id long, value double, event_type string", ["event_id", "user_id", "value"])

@@ -13,7 +13,7 @@ from drivegauge.streaming import streams as sm
 
 from .fixtures import SQL, gt_obj, pred_obj, table
 from .registry import query
-from .report_queries import lines
+from .report_queries import CARRIED, lines
 
 c = F.col
 #: The first frame is at 0, which a watermark that begins there would call late.
@@ -58,7 +58,7 @@ def w02_stream_alerts(spark, sf_dir):
     return out.select(F.unix_micros("start").alias("start_us"), "topic", "n")
 
 
-@query()
+@query(CARRIED)
 def w03_stream_carry(spark, sf_dir):
     """Track numbers over a stream of lines; tests compare them with the batch form."""
     rows = lines(spark, sf_dir).select("scenario_no", "frame_ts_us", (c("id") % 5).cast("string").alias("origin_id"), F.timestamp_micros(c("frame_ts_us") + DAY).alias("event_time"))

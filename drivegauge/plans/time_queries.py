@@ -111,32 +111,18 @@ def _segments(spark, sf_dir, types, where="true") -> DataFrame:
     return m.groupBy(c("user_id").alias("id"), F.floor(c("us") / 86400000000).alias("d")).agg(F.min("us").alias("start_time"), F.max("us").alias("end_time"))
 
 
-@query(SEG + "SELECT a.id AS a_id, b.id AS b_id, greatest(a.s, b.s) AS start_time, least(a.e, b.e) AS end_time FROM a JOIN b ON a.s < b.e AND b.s < a.e WHERE least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000")
-def j12_overlaps(spark, sf_dir):
-    return tl.overlaps(_segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"], "user_id % 10 = 0"), 30000000000, 21600000000)
-
-
-@query(SEG + "SELECT DISTINCT id, s AS start_time FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.s < b.e AND b.s < a.e AND least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000 AND a.id = b.id)")
-def j12_without_overlap(spark, sf_dir):
-    a = _segments(spark, sf_dir, ["view", "click"])
-    b = _segments(spark, sf_dir, ["error", "signup"], "user_id % 10 = 0").select("id", c("start_time").alias("s2"), c("end_time").alias("e2"))
-    near = (F.least("end_time", "e2") - F.greatest("start_time", "s2") >= 30000000000) & (c("start_time") < c("e2")) & (c("s2") < c("end_time"))
-    hit = a.join(b, "id").filter(near).select("id", "start_time").distinct()
-    return a.select("id", "start_time").join(hit, ["id", "start_time"], "left_anti").distinct()
-
-
 SEG_ALL = SEG.replace(" AND user_id % 10 = 0", "")
 
 
 @query(SEG_ALL + "SELECT a.id AS a_id, b.id AS b_id, greatest(a.s, b.s) AS start_time, least(a.e, b.e) AS end_time FROM a JOIN b ON a.s < b.e AND b.s < a.e WHERE least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000")
 def j12_overlaps_all(spark, sf_dir):
-    """``j12_overlaps`` with the segments of all users on both sides."""
+    """Common times of the segments of all users."""
     return tl.overlaps(_segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"]), 30000000000, 21600000000)
 
 
 @query(SEG_ALL + "SELECT DISTINCT id, s AS start_time FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.s < b.e AND b.s < a.e AND least(a.e, b.e) - greatest(a.s, b.s) >= 30000000000 AND a.id = b.id)")
 def j12_without_overlap_all(spark, sf_dir):
-    """``j12_without_overlap`` against the segments of all users."""
+    """Segments that none of the user's others overlaps."""
     a, b = _segments(spark, sf_dir, ["view", "click"]), _segments(spark, sf_dir, ["error", "signup"])
     return tl.without_overlap(a, b, 30000000000).select("id", "start_time").distinct()
 
@@ -170,17 +156,13 @@ def q09_clock_gap(spark, sf_dir):
     return tl.clock_gap(m, ["user_id"]).select("user_id", ex.r6(c("gap")).alias("gap"))
 
 
-_GRID = EV + ", s AS (SELECT user_id, us // 21600000000 AS k, avg(value) AS v FROM e WHERE user_id < 20 GROUP BY 1, 2)"
-
-
-@query(_GRID + """, x AS (SELECT a.user_id, sh AS shift, sqrt(avg((a.v - b.v) * (a.v - b.v))) AS rmse, count(*) AS n FROM s a JOIN s b USING (user_id) JOIN (SELECT unnest(generate_series(1, 8)) AS sh) ON a.k = b.k + sh GROUP BY 1, 2)
-SELECT user_id, shift, round(rmse, 6) AS rmse, n FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(rmse, 9), abs(shift), shift) AS r FROM x) WHERE r = 1""")
-def q08_time_gap(spark, sf_dir):
-    s = messages(spark, sf_dir).filter("user_id < 20").groupBy("user_id", F.floor(c("us") / 21600000000).alias("k")).agg(F.avg("value").alias("v"))
-    return tl.shift_search(s, s, ["user_id"], list(range(1, 9))).select("user_id", c("shift").cast("long").alias("shift"), F.round("rmse", 6).alias("rmse"), "n")
-
-
-@query()
+@query(EV + """, s AS (SELECT user_id, event_type AS k, us, avg(value) AS v FROM e WHERE event_type IN ('view', 'click') AND value IS NOT NULL GROUP BY ALL),
+r AS (SELECT user_id, k, CAST(round_even((min(us) + 20000000) / 10000.0E0, 0) AS BIGINT) * 10000 AS lo, CAST(round_even((max(us) - 20000000) / 10000.0E0, 0) AS BIGINT) * 10000 AS hi FROM s GROUP BY ALL),
+g AS (SELECT user_id, k, lo, i, lo + i * 21600000000 AS pt FROM (SELECT *, unnest(range(0, CAST(greatest(0, ceil((hi - lo) / 21600000000.0E0)) AS BIGINT))) AS i FROM r)),
+a AS (SELECT g.user_id, g.k, lo, i, pt, s.us AS t0, s.v AS v0 FROM g ASOF JOIN s ON g.user_id = s.user_id AND g.k = s.k AND g.pt >= s.us),
+b AS (SELECT a.*, s.us AS t1, s.v AS v1 FROM a ASOF JOIN s ON a.user_id = s.user_id AND a.k = s.k AND a.pt < s.us), p AS (SELECT user_id, k, lo, i, (v1 - v0) / (t1 - t0) * (pt - t0) + v0 AS v FROM b),
+x AS (SELECT x.user_id, x.i - y.i AS shift, x.lo - y.lo + (x.i - y.i) * 21600000000 AS gap, sqrt(avg((x.v - y.v) * (x.v - y.v))) AS rmse, count(*) AS n FROM p x JOIN p y ON x.user_id = y.user_id AND x.k = 'view' AND y.k = 'click' GROUP BY ALL HAVING count(*) >= 20),
+w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(rmse, 9), shift) AS nth FROM x) SELECT user_id, gap, shift, round(rmse, 6) AS rmse, n FROM (SELECT DISTINCT user_id FROM s) LEFT JOIN (SELECT * FROM w WHERE nth = 1) USING (user_id)""")
 def q08_time_gap_all(spark, sf_dir):
     """The clock offset between two signals of every user: interpolated, trimmed, over all shifts."""
     m = messages(spark, sf_dir)
@@ -188,14 +170,6 @@ def q08_time_gap_all(spark, sf_dir):
     return gap.withColumn("rmse", F.round("rmse", 6))
 
 
-@query(EV + ", d AS (SELECT user_id, us, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS g FROM e), m AS (SELECT user_id, min(g) AS least, max(g) AS most, round(avg(g), 3) AS mean FROM d WHERE g IS NOT NULL GROUP BY 1) SELECT user_id, least, most, mean FROM m")
-def q12_clock_steps(spark, sf_dir):
-    from pyspark.sql import Window
-
-    d = messages(spark, sf_dir).withColumn("g", c("us") - F.lag("us").over(Window.partitionBy("user_id").orderBy("us"))).filter("g IS NOT NULL")
-    return d.groupBy("user_id").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.round(F.avg("g"), 3).alias("mean"))
-
-
 @query()
 def q12_repair_clock(spark, sf_dir):
     """Purchases on their user's clock; two of three users' clocks fall back to zero in mid-month."""
@@ -213,12 +187,6 @@ def a12_topic_statistics(spark, sf_dir):
     return g.select("user_id", "event_type", "frames", F.round(c("d") / 1e6, 6).alias("duration"), F.when(c("d") <= 2500000000000, 1).otherwise(0).alias("valid"))
 
 
-@query("WITH t AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE user_id % 4 <> 0 OR event_type <> 'error' GROUP BY 1, 2), s AS (SELECT user_id, 5 - count(*) AS empty FROM t GROUP BY 1) SELECT user_id % 10 AS grp, sum(empty)::BIGINT AS empty_cells, count(*) FILTER (empty > 0) AS invalid FROM s GROUP BY 1")
-def a13_abnormality(spark, sf_dir):
-    t = table(spark, sf_dir, "events").filter("user_id % 4 <> 0 OR event_type <> 'error'").groupBy("user_id").agg((5 - F.countDistinct("event_type")).alias("empty"))
-    return t.groupBy((c("user_id") % 10).alias("grp")).agg(F.sum("empty").alias("empty_cells"), F.count(F.when(c("empty") > 0, 1)).alias("invalid"))
-
-
 @query(EV + ", x AS (SELECT user_id, (max(us) - min(us)) / 1e6 AS d, avg(value) AS v FROM e GROUP BY 1) SELECT user_id, CAST(round(d * 30 * 291 / 300) AS BIGINT) AS frames, CAST(ceil(d * v / 1000) AS BIGINT) AS distance FROM x")
 def a14_exposure(spark, sf_dir):
     x = messages(spark, sf_dir).groupBy("user_id").agg(((F.max("us") - F.min("us")) / 1e6).alias("d"), F.avg("value").alias("v"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,3 +115,41 @@ def collapse_runs(array: Column) -> Column:
 def to_json(messages: DataFrame, private: str = "_") -> DataFrame:
     kept = [k for k in messages.columns if not k.startswith(private)]
     return messages.select("scenario_no", "time_stamp", F.to_json(F.struct(*kept)).alias("message"))
+
+
+#: Where a position type lies along and across the box, in halves; headings of a pedestrian's categories.
+ALONG, ACROSS = {0: 0, 1: -1, 2: -1, 3: -1, 4: 1, 5: 1, 6: 1, 7: 0, 8: 0, 9: 0}, {0: 0, 1: 1, 2: 0, 3: -1, 4: 1, 5: 0, 6: -1, 7: 1, 8: -1, 9: 0}
+PEDESTRIAN_YAW = {0: math.pi, 1: 0.0, 2: math.pi / 2, 3: math.pi / 4, 4: math.pi * 3 / 4, 5: -math.pi / 2, 6: -math.pi * 3 / 4, 7: -math.pi / 4}
+DETECTION_SUB_TYPES = {0: 1, 1: 4, 2: 5, 3: 9}
+
+
+def _known(table: dict, key: Column, otherwise: Column) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key), otherwise)
+
+
+def placed_obstacles(messages: DataFrame) -> DataFrame:
+    """``tracked_obstacles`` with the box: a place told for an edge or corner (``position_type``) is moved to the centre, and
+    a pedestrian's heading is that of the first category (``property``, ``kind``, ``conf``) of kind 0 with a confidence."""
+    o = messages.select("scenario_no", "time_stamp", "frame_id", F.explode("obstacles").alias("o")).filter("o.id != 0")
+    told = F.get(F.filter("o.categories", lambda k: (k["conf"] != 0) & (k["kind"] == 0)), F.lit(0))["property"]
+    kind = F.when(c("o.type").isin(0, 1), 1).when(c("o.type") == 2, 2).otherwise(18)
+    o = o.withColumn("yaw", F.when(c("o.type") == 2, _known(PEDESTRIAN_YAW, told, c("o.yaw"))).otherwise(c("o.yaw")))
+    o = o.withColumns({"_a": _known(ALONG, c("o.position_type"), F.lit(-1)) / 2 * c("o.length"), "_b": _known(ACROSS, c("o.position_type"), F.lit(-1)) / 2 * c("o.width")})
+    x = c("o.x") - c("_a") * F.cos("yaw") + c("_b") * F.sin("yaw")
+    y = c("o.y") - c("_a") * F.sin("yaw") - c("_b") * F.cos("yaw")
+    conf = c("o.confidence")
+    return o.select("scenario_no", "time_stamp", "frame_id", c("o.id").alias("id"), kind.alias("type"), F.when(conf > 1, conf / 100).otherwise(conf).alias("confidence"), x.alias("x"), y.alias("y"), "yaw", c("o.length").alias("length"), c("o.width").alias("width"))
+
+
+def image_detections(messages: DataFrame, arrays: list[tuple[str, str]], limit: int = 32) -> DataFrame:
+    """Detections in the image, at most ``limit`` of each array, without those whose centre has a zero; a dropped one keeps its
+    number. Sub types in the common code."""
+    rows = synthetic_ids(messages, arrays, limit).filter((c("o.center_x") != 0) & (c("o.center_y") != 0))
+    return rows.select("scenario_no", "time_stamp", "frame_id", "id", c("o.center_x").alias("center_x"), c("o.center_y").alias("center_y"), _known(DETECTION_SUB_TYPES, c("o.sub_type"), F.lit(-1)).alias("sub_type"))
+
+
+def vendor_lines(messages: DataFrame) -> DataFrame:
+    """The second vendor's lines with id and confidence: points without those at the origin, lane types without repeats."""
+    rows = messages.select("scenario_no", "time_stamp", F.explode("lines").alias("l")).filter("l.id != 0 AND l.confidence != 0")
+    points = F.filter("l.points", lambda p: (p["x"] != 0) | (p["y"] != 0))
+    return rows.select("scenario_no", "time_stamp", c("l.id").alias("id"), points.alias("points"), collapse_runs(c("l.types")).alias("types"))
