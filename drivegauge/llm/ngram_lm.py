@@ -21,7 +21,9 @@ the word before it leads to, so cuts change nothing.
 4. The answers meet the blocks again, which build their automata and run.
 
 Only the list of words with more than a share 1 / (2 K) of the tokens (at most 2 K for K buckets; 16 bytes each), six
-sums, and no counts reach the driver. A bucket holds about ``BUCKET`` tokens' pairs, whatever the size of the corpus.
+sums, and no counts reach the driver. A bucket holds about ``BUCKET`` tokens' pairs, whatever the size of the corpus. The
+lists of one block and bucket get short as buckets get many: a hundred pairs at some terabyte of text, where larger
+blocks and buckets (more memory) or an exchange in two levels would be due.
 
 Words and pairs are told apart by 64-bit hashes. Cases: a null or empty text has one token, its end; rows without id are
 training rows; repeated rows each count and each get a row; without training rows all words are unknown and have
@@ -45,7 +47,7 @@ from .shingles import LOWER
 from .words import Words
 
 #: Bytes of text in a block and in a piece of a text, tokens in a bucket, words that a lane of the automaton reads.
-BLOCK, PIECE, BUCKET, LANE = 16 << 20, 8 << 20, 6_000_000, 2048
+BLOCK, PIECE, BUCKET, LANE = 16 << 20, 8 << 20, 3_000_000, 2048
 #: Hashes of begin and end, which are no words.
 MARKS = np.array([0x9D3F5A1C77E2B481, 0x3C6EF372FE94F82A], np.uint64)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
