@@ -1,6 +1,5 @@
 """Hostile archives and pages, and columns named like the operators' own."""
 
-import collections
 import hashlib
 import html.parser
 import random
@@ -9,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from drivegauge.llm import html_text, jaccard_join, suffix_dedup, warc
+from drivegauge.llm import html_text, warc
 
 PROSE = "A first sentence, with a comma, and a good many words behind it. Another one follows, as long as that."
 
@@ -175,10 +174,8 @@ def test_stages_keep_columns_of_any_name(spark):
     docs = docs.withColumn("_near_id", F.lit(77).cast("long"))
     for stage in (pipeline.quality, pipeline.near_duplicates, pipeline.repeated_passages):
         kept = stage(spark, docs, d)
-        assert kept.schema == docs.schema, stage
+        assert kept.dtypes == docs.dtypes, stage
         own = kept.filter("doc_id < 1000 or doc_id is null").collect()
         assert len(own) > 5
         for r in own:
             assert r["_near_id"] == 77 and all(r[k] == "-".join([k, *([str(r["doc_id"])] if r["doc_id"] is not None else [])]) for k in names[1:]), (stage, r)
-    assert collections.Counter(type(v) for v in pipeline.best_fit(spark, docs, d).first()) is not None
-    assert jaccard_join and suffix_dedup
