@@ -170,7 +170,11 @@ def q08_time_gap_all(spark, sf_dir):
     return gap.withColumn("rmse", F.round("rmse", 6))
 
 
-@query()
+@query(EV + """, m AS (SELECT event_id, user_id, event_type, us, us / 1e6 - CASE WHEN user_id % 3 > 0 AND us > 1705300000000000 THEN 1704500000.0E0 ELSE 0 END AS t FROM e),
+d AS (SELECT user_id, event_type, coalesce(t - lag(t) OVER w, 0) AS d, row_number() OVER w AS n FROM m WHERE event_type <> 'purchase' WINDOW w AS (PARTITION BY user_id, event_type ORDER BY us, event_id)),
+g AS (SELECT user_id, event_type, round(d, 4) AS r, count(*) AS c, min(n) AS first, min(d) AS least FROM d GROUP BY 1, 2, 3), p AS (SELECT user_id, event_type, arg_max(r, c * 1000000000 - first) AS mode, min(least) AS least FROM g GROUP BY 1, 2),
+o AS (SELECT user_id, CASE WHEN least < -1.7e9 THEN mode - least END AS o FROM p), s AS (SELECT user_id, round(coalesce(avg(o), (SELECT avg(o) FROM o), 0), 3) AS moved FROM o GROUP BY 1),
+f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n FROM m WHERE event_type = 'purchase') SELECT event_id, user_id, round(t + moved, 3) AS time_stamp FROM f JOIN s USING (user_id) WHERE n > 5""")
 def q12_repair_clock(spark, sf_dir):
     """Purchases on their user's clock; two of three users' clocks fall back to zero in mid-month."""
     back = (c("user_id") % 3 > 0) & (c("us") > 1705300000000000)
