@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from drivegauge.sources.scratch import stored
+
 
 def candidate_stamps(gt: DataFrame, pred: DataFrame, tolerance_us: int) -> DataFrame:
     """Range join by time buckets: every pair of stamps of one scenario less than the tolerance apart.
@@ -141,16 +143,18 @@ def candidate_pairs(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: f
     cost = F.sqrt(dx * dx + dy * dy) * F.when(F.col("gt_type") == F.col("pred_type"), 1.0).otherwise(1.5)
     found = pairs.filter(~clash).withColumns({"_near": near, "cost": cost})
     edge = ["scenario_no", "frame_ts_us", "gt_id", "pred_id", "cost"]
-    sure = found.filter("_near").select(*edge)
     if overlap is None:
-        return sure
+        return found.filter("_near").select(*edge)
+    # few of a frame's pairs are left: they are stored, so that the join runs once
+    found = stored(found.filter(F.col("_near") | ((dx <= 1.5 * x_tol) & (dy <= 1.5 * y_tol))), "near-pairs")
+    sure = found.filter("_near").select(*edge)
 
     def boxes(batches):
         for pdf in batches:
             box = lambda n, pdf=pdf: pdf[[f"{n}_{k}" for k in corners]].to_numpy().reshape(-1, 4, 2)
             yield pdf[[bool(iou(p, q) >= overlap) for p, q in zip(box("gt"), box("pred"), strict=True)]][edge]
 
-    second = found.filter(~F.col("_near") & (dx <= 1.5 * x_tol) & (dy <= 1.5 * y_tol))
+    second = found.filter("NOT _near")
     return sure.unionByName(second.mapInPandas(boxes, sure.schema))
 
 
@@ -167,7 +171,7 @@ def match_objects(gt: DataFrame, pred: DataFrame, x_tol: float = 2.0, y_tol: flo
     edges = candidate_pairs(gt, pred, x_tol, y_tol, relative, overlap)
     frame = ["scenario_no", "frame_ts_us"]
     alone = lambda k: F.count("*").over(Window.partitionBy(*frame, k))
-    edges = edges.withColumn("_sole", (alone("gt_id") == 1) & (alone("pred_id") == 1))
+    edges = stored(edges.withColumn("_sole", (alone("gt_id") == 1) & (alone("pred_id") == 1)), "edges")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
