@@ -38,7 +38,7 @@ UNION ALL """ + " UNION ALL ".join([
     _long("vy_error", "pred_vy - gt_vy", "(pred_vy - gt_vy) / greatest(2, abs(gt_vy))", "abs(pred_vy - gt_vy) > 1"),
     _long("yaw_error", "degrees(CASE WHEN abs(turn) > 2 * pi() / 3 THEN ((turn + 2 * pi()) % (2 * pi()) + 2 * pi()) % (2 * pi()) - pi() ELSE turn END)", None, "abs(turn) > 2 * pi() / 3 OR abs(degrees(turn)) > 3.0001E0", 4),
     _long("length_error", "pred_length - gt_length", "(pred_length - gt_length) / gt_length", "abs(pred_length - gt_length) > 0.2001E0 AND abs((pred_length - gt_length) / gt_length) > 0.0401E0"),
-    _long("width_error", "pred_width - gt_width", "(pred_width - gt_width) / gt_width"), _long("height_error", "pred_height - gt_height", "(pred_height - gt_height) / gt_height"),
+    _long("width_error", "pred_width - gt_width", "(pred_width - gt_width) / gt_width", "abs(pred_width - gt_width) > 0.5E0 AND abs((pred_width - gt_width) / gt_width) > 0.2E0"), _long("height_error", "pred_height - gt_height", "(pred_height - gt_height) / gt_height", "abs(pred_height - gt_height) > 0.5E0 AND abs((pred_height - gt_height) / gt_height) > 0.2E0"),
 ])
 
 
