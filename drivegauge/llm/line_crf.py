@@ -10,7 +10,7 @@ training rows, one text per id, ``TRAIN_LINES`` neighbouring lines of each and `
 is the same at every run and its size does not grow with the corpus. Scoring covers all rows and whole texts.
 
 Cases: null and empty texts are one empty line; without any training rows of both labels every score is 0.5; repeated
-rows each get a row; an empty table gives an empty result; labels other than 0 and 1 and null labels are not used.
+rows each get a row; a text of any length, in one line or many, takes about 350 bytes a line beside four copies of it; an empty table gives an empty result; labels other than 0 and 1 and null labels are not used.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ from .base import claim, map_batches, materialize, texts
 TRAIN_DOCS = 4000  # bound of the training sample, in documents
 TRAIN_LINES = 400  # of a training document's lines, so many contiguous ones at most are learned from, wherever its id says
 TRAIN_TOTAL = 400_000  # bound of the training sample, in lines; longer documents' runs are cut until it holds
-SLICE = 1 << 20  # bytes of text at a time in a task, whose arrays take a hundred times as much
+SLICE = 1 << 20  # bytes of text at a time in a task; a longer text is a slice of its own
+CHUNK = 1 << 19  # bytes whose features are made at a time, by arrays of a hundred times as much
+RUN = 1 << 15  # lines whose weights are summed at a time
 BINS, STEPS, RATE, DECAY = 8, 150, 0.1, 1e-3
 #: Character classes by byte: upper, lower, digit, space, stop, "!" and "?", other marks, beyond ASCII, "|".
 CLASSES = 9
@@ -48,40 +50,65 @@ LOOKUP = _classes()
 
 
 def line_features(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all lines of a batch, the lines' lengths in bytes, and the number of lines of each text."""
+    """Features of all lines of a batch, the lines' lengths in bytes, and the number of lines of each text.
+
+    Every feature is made of sums over a line's bytes, so the bytes are read ``CHUNK`` at a time whatever the texts', lines'
+    and words' lengths; the last word of a chunk stays open until the next one.
+    """
     data = np.frombuffer(b"\n".join(rows) + b"\n", np.uint8)
     ends = np.flatnonzero(data == 10)
     starts = np.r_[0, ends[:-1] + 1]
     sizes = ends - starts
     counts = np.array([r.count(b"\n") + 1 for r in rows], np.int64)
-    line = np.repeat(np.arange(len(ends)), sizes + 1)
-    klass = LOOKUP[data]
-    shares = np.bincount(line * CLASSES + klass, minlength=len(ends) * CLASSES).reshape(-1, CLASSES).astype(np.float64)
+    n = len(ends)
+    shares, changes, code = np.zeros((n, CLASSES), np.int32), np.zeros(n, np.int32), np.zeros(n, np.uint64)
+    words, same, capital = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
+    before = 3  # class of the byte before the chunk
+    done, open_, open_at = (np.uint64(0), -1), (np.uint64(0), -1), 0  # sum and line of the last whole and of the open word
+    for lo in range(0, len(data), CHUNK):
+        d = data[lo : lo + CHUNK]
+        at = np.arange(lo, lo + len(d))
+        klass = LOOKUP[d]
+        stop = d == 10
+        base = int(np.searchsorted(ends, lo))
+        line = np.r_[0, np.cumsum(stop)[:-1]]
+        here = slice(base, base + int(line[-1]) + 1)
+        span = here.stop - base
+        shares[here] += np.bincount(line * CLASSES + klass, minlength=span * CLASSES).reshape(-1, CLASSES).astype(np.int32)
+        previous = np.r_[before, klass[:-1]]
+        place = at - starts[base + line]
+        changes[here] += np.bincount(line[(klass != previous) & (place > 0)], minlength=span).astype(np.int32)
+        letters = d.astype(np.uint64) + np.uint64(1)
+        heads = np.flatnonzero(np.r_[True, stop[:-1]])
+        code[here] += np.add.reduceat(letters * (place.astype(np.uint64) + np.uint64(7)) ** np.uint64(3), heads)
+        # words: how often the same one comes twice in a row, and how often one begins with a capital
+        first = (klass != 3) & (previous == 3)
+        begin = np.flatnonzero(first)
+        offset = (at - np.r_[open_at, lo + begin][np.cumsum(first)]).astype(np.uint64)
+        sums = np.r_[np.uint64(0), np.cumsum(np.where(klass == 3, np.uint64(0), letters) * (offset + np.uint64(3)) ** np.uint64(5), dtype=np.uint64)]
+        edges = np.r_[0, begin, len(d)]
+        total = sums[edges[1:]] - sums[edges[:-1]]
+        total[:1] += open_[0]
+        total, owner = np.r_[done[0], total], np.r_[done[1], open_[1], base + line[begin]]
+        again = owner[1:-1][(total[1:-1] == total[:-2]) & (owner[1:-1] == owner[:-2]) & (owner[1:-1] >= 0)]
+        np.add.at(same, again, 1)
+        words[here] += np.bincount(line[begin], minlength=span).astype(np.int32)
+        capital[here] += np.bincount(line[begin], klass[begin] == 0, span).astype(np.int32)
+        done, open_ = (total[-2], int(owner[-2])), (total[-1], int(owner[-1]))
+        open_at, before = (lo + int(begin[-1]) if begin.size else open_at), int(klass[-1])
+    if done == open_ and open_[1] >= 0:
+        same[open_[1]] += 1
     shares[:, 3] -= 1  # the line's own end
-    spaces = shares[:, 3].copy()
-    changes = np.r_[0, np.cumsum(klass[1:] != klass[:-1])]
-    switching = (changes[ends] - changes[starts]) / np.maximum(sizes, 1)
     # a line counts as repeated if its bytes' sums under two weightings occur again in the same text
-    code = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * (np.arange(len(data), dtype=np.uint64) - np.repeat(starts, sizes + 1).astype(np.uint64) + np.uint64(7)) ** np.uint64(3), starts)
     owner = np.repeat(np.arange(len(rows)), counts).astype(np.uint64)
     _, inverse, times = np.unique(code * np.uint64(0x9E3779B97F4A7C15) + owner * np.uint64(0xD6E8FEB86659FD93), return_inverse=True, return_counts=True)
-    # words: how often the same one comes twice in a row, and how often one begins with a capital
-    begin = np.flatnonzero((klass != 3) & np.r_[True, klass[:-1] == 3])
-    same, capital = np.zeros(len(ends)), np.zeros(len(ends))
-    if begin.size:
-        letters = np.where(klass == 3, np.uint64(0), data.astype(np.uint64) + np.uint64(1))
-        place = np.arange(len(data), dtype=np.uint64) - np.repeat(begin, np.diff(np.r_[begin, len(data)])).astype(np.uint64) if begin[0] == 0 else None
-        if place is None:
-            runs = np.diff(np.r_[0, begin, len(data)])
-            place = np.arange(len(data), dtype=np.uint64) - np.repeat(np.r_[0, begin], runs).astype(np.uint64)
-        word = np.add.reduceat(letters * (place + np.uint64(3)) ** np.uint64(5), begin)
-        at = line[begin]
-        again = np.r_[False, (word[1:] == word[:-1]) & (at[1:] == at[:-1])]
-        words = np.maximum(np.bincount(at, minlength=len(ends)), 1)
-        same = np.bincount(at, again, len(ends)) / words
-        capital = np.bincount(at, klass[begin] == 0, len(ends)) / words
-    shares /= np.maximum(sizes, 1)[:, None]
-    return np.column_stack([shares, np.log1p(sizes), sizes / (spaces + 1), switching, np.minimum(times[inverse], 9), same, capital]), sizes, counts
+    long, several = np.maximum(sizes, 1), np.maximum(words, 1)
+    out = np.empty((n, N_FEATURES), np.float32)
+    for j in range(CLASSES):
+        out[:, j] = shares[:, j] / long
+    for j, column in enumerate((np.log1p(sizes), sizes / (shares[:, 3] + 1), changes / long, np.minimum(times[inverse], 9), same / several, capital / several)):
+        out[:, CLASSES + j] = column
+    return out, sizes, counts
 
 
 @dataclass
@@ -96,24 +123,29 @@ class Field:
 
 
 def _bins(edges: np.ndarray, features: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.searchsorted(edges[j], features[:, j], side="right") for j in range(features.shape[1])])
+    out = np.empty(features.shape, np.uint8)
+    for j in range(features.shape[1]):
+        out[:, j] = np.searchsorted(edges[j], features[:, j].astype(np.float64), side="right")
+    return out
 
 
-def _cells(bins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Indices of a line's weights: its own bins, the line's before and the line's behind (or "none")."""
+def _cells(bins: np.ndarray, counts: np.ndarray, lines: slice = slice(None)) -> np.ndarray:
+    """Indices of some lines' weights: a line's own bins, the line's before and the line's behind (or "none")."""
     n, width = bins.shape
-    first, last = np.zeros(n, bool), np.zeros(n, bool)
+    at = np.arange(*lines.indices(n))
     stop = np.cumsum(counts)
-    first[stop - counts], last[stop - 1] = True, True
-    before, behind = np.r_[bins[:1], bins[:-1]].copy(), np.r_[bins[1:], bins[-1:]].copy()
-    before[first], behind[last] = BINS, BINS
+    text = np.searchsorted(stop, at, side="right")
+    before, behind = bins[np.maximum(at - 1, 0)], bins[np.minimum(at + 1, n - 1)]
+    before[at == (stop - counts)[text]], behind[at == stop[text] - 1] = BINS, BINS
+    bins = bins[at]
     return np.concatenate([b + (BINS + 1) * (np.arange(width) + width * k) for k, b in enumerate((bins, before, behind))], axis=1)
 
 
-def marginals(unary: np.ndarray, stay: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def marginals(unary: np.ndarray, stay: np.ndarray, counts: np.ndarray, joint: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Each line's probability of being good, and of each (label, next label), by forward-backward over all texts in step.
 
     ``unary`` is the log-odds of good. Texts are sorted by their number of lines, so the texts still running are a prefix.
+    Pairs are left at zero rows without ``joint``.
     """
     order = np.argsort(-counts, kind="stable")
     sizes = counts[order]
@@ -127,13 +159,14 @@ def marginals(unary: np.ndarray, stay: np.ndarray, counts: np.ndarray) -> tuple[
         at = starts[: alive[t]] + t
         a = emit[at] * (alpha[at - 1] @ move if t else 1.0)
         alpha[at] = a / a.sum(axis=1, keepdims=True)
-    pairs = np.zeros((len(unary), 2, 2))
+    pairs = np.zeros((len(unary) if joint else 0, 2, 2))
     for t in range(longest - 2, -1, -1):
         at = starts[: alive[t + 1]] + t
         ahead = emit[at + 1] * beta[at + 1]
         b = ahead @ move.T
-        pair = alpha[at][:, :, None] * move[None] * ahead[:, None, :]
-        pairs[at] = pair / pair.sum(axis=(1, 2), keepdims=True)
+        if joint:
+            pair = alpha[at][:, :, None] * move[None] * ahead[:, None, :]
+            pairs[at] = pair / pair.sum(axis=(1, 2), keepdims=True)
         beta[at] = b / b.sum(axis=1, keepdims=True)
     both = alpha * beta
     return both[:, 1] / both.sum(axis=1), pairs
@@ -145,8 +178,9 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def document_scores(field: Field, features: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    cells = _cells(_bins(field.edges, features), counts)
-    good, _ = marginals(field.weights[cells].sum(axis=1) + field.bias, field.stay, counts)
+    bins = _bins(field.edges, features)
+    unary = np.concatenate([field.weights[_cells(bins, counts, slice(a, a + RUN))].sum(axis=1) for a in range(0, len(bins), RUN)]) + field.bias
+    good, _ = marginals(unary, field.stay, counts, joint=False)
     starts = np.cumsum(counts) - counts
     weight = sizes + 1.0
     mean = np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
@@ -209,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
         for d, b, n in zip(batch.column(0).to_pylist(), stops.tolist(), counts.tolist(), strict=True):
             first = b - n + zlib.crc32(str(d).encode()) % max(1, n - TRAIN_LINES + 1)
             keep.append(slice(first, first + min(n, TRAIN_LINES)))
-        return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([features[k].astype(np.float32).tobytes() for k in keep], pa.binary()), pa.array([sizes[k].tobytes() for k in keep], pa.binary())], ["doc_id", "quality", "features", "sizes"])
+        return pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([features[k].tobytes() for k in keep], pa.binary()), pa.array([sizes[k].tobytes() for k in keep], pa.binary())], ["doc_id", "quality", "features", "sizes"])
 
     rows = map_batches(found, lines, "doc_id long, quality int, features binary, sizes binary", limit=SLICE).collect()  # bounded: TRAIN_DOCS documents of TRAIN_LINES lines
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
@@ -231,7 +265,7 @@ def scores_of(rows: list[str | None], field: Field | None) -> np.ndarray:
     if field is None or not rows:
         return np.full(len(rows), 0.5)
     features, sizes, counts = line_features([(t or "").encode() for t in rows])
-    return document_scores(field, features.astype(np.float32).astype(np.float64), sizes, counts)
+    return document_scores(field, features, sizes, counts)
 
 
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
