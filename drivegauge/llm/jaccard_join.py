@@ -6,7 +6,7 @@
    start of its sorted set occurs in other documents too. Each task counts its own repeats first, so a token goes to
    the exchange once per task, however many documents hold it.
 3. *Prefixes.* The remaining sets' tokens are ordered by exact document frequency, rare ones first. Sets with the same
-   prefix and size collapse into one group.
+   prefix and size collapse into one group, which is one row; its members stay rows of their own.
 4. *Joins.* Groups that share a prefix token and pass the length and position filters are compared, first each with
    the one that stands nearest to its start (a star per token, linear in the postings), then, across the components
    so found, all with all, expanded to their members. Pairs inside a known component need no check: they cannot change
@@ -183,12 +183,13 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame) -> DataFrame:
     """``node, component`` over the representatives of classes that have a link; ``docs`` holds representatives only."""
-    found = materialize(prefixes(docs), "prefixes")
-    key = F.struct("n", F.transform("prefix", lambda x: x["token"]), F.when(F.col("alone"), F.col("doc_id")))
-    groups = found.groupBy(key.alias("key")).agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.collect_set("doc_id").alias("members"), F.count("*").alias("size"))
-    groups = materialize(groups.drop("key"), "groups")
+    tokens = F.array_join(F.transform("prefix", lambda x: x["token"].cast("string")), ",")
+    key = F.unhex(F.md5(F.concat_ws(";", F.col("n"), tokens, F.when(F.col("alone"), F.col("doc_id")))))
+    found = materialize(prefixes(docs).withColumn("key", key), "prefixes")
+    groups = materialize(found.groupBy("key").agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "groups")
+    members = materialize(found.select("key", "doc_id").join(groups.select("key", "gid"), "key").select("gid", "doc_id"), "members")  # a row each: no row holds a group
     postings = groups.select("gid", "n", F.explode("prefix").alias("x")).select(F.col("x.token").alias("token"), "gid", "n", F.col("x.pos").alias("pos"))
-    inner = groups.filter("size > 1").select(F.col("gid").alias("a"), F.explode("members").alias("b")).filter("a != b")
+    inner = members.filter("gid != doc_id").select(F.col("gid").alias("a"), F.col("doc_id").alias("b"))
     pivots = postings.groupBy("token").agg(F.min(F.struct("pos", "n", "gid")).alias("p"), F.count("*").alias("df")).filter("df > 1")
     star = postings.join(pivots, "token").filter(F.col("gid") != F.col("p.gid")).filter(may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos")))
     first = materialize(star.select(F.col("p.gid").alias("a"), F.col("gid").alias("b")).union(inner).distinct(), "star")
@@ -196,8 +197,8 @@ def class_links(docs: DataFrame) -> DataFrame:
     part = materialize(components(links), "components")
 
     # across components: postings of members, and per token every pair of different components
-    members = groups.select("gid", F.explode("members").alias("doc_id")).join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    named = materialize(postings.join(members, "gid").select("token", "component", "doc_id", "n", "pos"), "postings")
+    placed = members.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    named = materialize(postings.join(placed, "gid").select("token", "component", "doc_id", "n", "pos"), "postings")
     rest_after = F.col("n") - F.col("pos") - 1
     sides = named.groupBy("token", "component").agg(F.min("n").alias("m"), F.max("n").alias("x"), F.max(rest_after).alias("r"))
     several = sides.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
