@@ -32,7 +32,12 @@ SLOTS: dict[str, Metric] = {
     "slot_heading_error": _metric(partial(me.slot_error, name="slot_heading", factor=57.3, limit=5.0), "slot_heading_error", False),
     "stopper_error": _metric(me.stopper_error, "stopper_error", False),
 }
-LINES: dict[str, Metric] = {f"heading_{at}_error": _metric(partial(me.line_heading_error, at=at), f"heading_{at}_error", False) for at in ("0", "50")}
+LINES: dict[str, Metric] = {
+    **{f"lateral_{a}_{b}": _metric(partial(me.lateral_band, low=a, high=b), f"lateral_{a}_{b}", False) for a, b in ((0, 30), (30, 60), (60, 120))},
+    "lateral_over": _metric(me.lateral_over, "lateral_over", False),
+    **{f"heading_{at}_error": _metric(partial(me.line_heading_error, at=at), f"heading_{at}_error", False) for at in ("0", "50")},
+    "heading_over": _metric(me.heading_over, "heading_over", False),
+}
 
 
 def known_lines(df: DataFrame) -> DataFrame:

@@ -122,6 +122,29 @@ def lateral_error(df: DataFrame, bands: tuple[tuple[int, int], ...] = ((0, 30),
     return df
 
 
+def lateral_band(df: DataFrame, low: int, high: int, limit: float = 0.2) -> DataFrame:
+    """``lateral_error`` of one band, judged by a limit."""
+    name = f"lateral_{low}_{high}"
+    return with_error(lateral_error(df, ((low, high),)), name, c(name), None, limit, judge_all=False)
+
+
+def over_limit(df: DataFrame, name: str, errors: list[str], limit: float) -> DataFrame:
+    """Mean of what a line's known errors have beyond the limit; null where none is known."""
+    known = F.array_compact(F.array(*[F.when(c(e).isNotNull(), F.greatest(c(e) - limit, F.lit(0.0))) for e in errors]))
+    mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, v: a + v) / F.size(known))
+    return with_error(df, name, mean, None, 0.0, judge_all=False)
+
+
+def lateral_over(df: DataFrame, limit: float = 0.2, bands: tuple[tuple[int, int], ...] = ((0, 30), (30, 60), (60, 120))) -> DataFrame:
+    return over_limit(lateral_error(df, bands), "lateral_over", [f"lateral_{a}_{b}" for a, b in bands], limit)
+
+
+def heading_over(df: DataFrame, limit: float = 3.0, at: tuple[str, ...] = ("0", "50")) -> DataFrame:
+    for a in at:
+        df = line_heading_error(df, a, limit)
+    return over_limit(df, "heading_over", [f"heading_{a}_error" for a in at], limit)
+
+
 # slots
 
 

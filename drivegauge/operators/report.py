@@ -184,3 +184,31 @@ def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
     return rows.join(F.broadcast(sizes), "_range").withColumn(name, F.col("_before") + F.col("_nth")).drop("_range", "_nth", "_before")
+
+
+def camera_plan(failures: DataFrame, cameras: DataFrame, start: float, rate: int) -> DataFrame:
+    """``camera, frame_ts_us, frame_index, fn_ids, fp_ids``: the frames to draw for each camera, and whom to mark there.
+
+    ``failures`` holds ``frame_ts_us, side (fn or fp), id, x, y``; ``cameras`` a few rows ``camera, lo, hi`` in degrees. A
+    failure goes to every camera whose angles hold it, one beyond 180 degrees too; what no camera sees is not drawn. A row
+    per camera and frame, so no camera's list grows with the recording.
+    """
+    seen = failures.withColumn("angle", F.degrees(F.atan2("y", "x"))).join(F.broadcast(cameras), F.col("angle").between(F.col("lo"), F.col("hi")) | (F.col("angle") + 360).between(F.col("lo"), F.col("hi")))
+    ids = lambda side: F.array_join(F.transform(F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("id")))), lambda x: x.cast("string")), ",").alias(f"{side}_ids")
+    frames = seen.groupBy("camera", "frame_ts_us").agg(ids("fn"), ids("fp"))
+    return frames.withColumn("frame_index", F.round((F.col("frame_ts_us") / 1e6 - start) * rate).cast("long"))
+
+
+def merge_tests(history: DataFrame, tests: DataFrame, failures: DataFrame) -> DataFrame:
+    """``scenario, n_tests, tests, excluded``: tests added to a history, each once, and the ids not to be drawn again.
+
+    ``history`` and ``tests`` hold ``scenario, date, topic, source, version``; of ``failures`` (``scenario, id, side,
+    mark``) those marked 2 or 3 that are no false positives join the excluded ids. A scenario of either kind gets a row;
+    lists are ordered by date, then by the other columns, and grow with a scenario's tests only.
+    """
+    test = F.struct("date", "topic", "source", "version")
+    runs = history.unionByName(tests).groupBy("scenario").agg(F.array_sort(F.collect_set(test)).alias("tests"))
+    marked = failures.filter(F.col("mark").isin(2, 3) & (F.col("side") != "fp")).groupBy("scenario").agg(F.array_sort(F.collect_set("id")).alias("excluded"))
+    text = F.array_join(F.transform("tests", lambda t: F.concat_ws("/", t["date"], t["topic"], t["source"], t["version"])), ";")
+    both = runs.join(marked, "scenario", "full")
+    return both.select("scenario", F.when(F.col("tests").isNotNull(), F.size("tests")).otherwise(0).cast("long").alias("n_tests"), F.coalesce(text, F.lit("")).alias("tests"), F.coalesce(F.array_join(F.transform("excluded", lambda x: x.cast("string")), ","), F.lit("")).alias("excluded"))

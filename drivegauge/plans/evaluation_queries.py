@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from drivegauge.functions import expressions as ex
 from drivegauge.operators import evaluate as ev
+from drivegauge.operators import lines as ln
 from drivegauge.operators import report as rp
 from drivegauge.operators import slots as sl
 from drivegauge.operators import timeline as tl
@@ -16,7 +17,7 @@ from drivegauge.sources.scratch import scratch_dir
 from .fixtures import table
 from .object_queries import MATCH, matched
 from .registry import query
-from .report_queries import _CELLS, _FN, SLOT, SLOT_REGIONS, _misses, cells, slots
+from .report_queries import _CELLS, _FN, LINE, SLOT, SLOT_REGIONS, _misses, cells, slots
 
 c, r6 = F.col, ex.r6
 
@@ -86,6 +87,35 @@ def m13_evaluate_slots(spark, sf_dir):
     return ev.evaluate(rows, "slots", ["id"], names, {k: {"limit": 0.3001} for k in names}).select("id", "metric", (F.round("value", 5) + 0.0).alias("value"), "abnormal")
 
 
+_CLASS = "CASE WHEN id % 3 = 2 THEN 'fence' WHEN id % 3 = 1 AND {0} IN (1, 8) THEN 'main_lane' WHEN id % 3 = 1 AND {0} IN (2, 3, 9, 10) THEN 'secondary_lane' END"
+_M13_LINES = LINE + f""", k AS (SELECT *, {_CLASS.format("id % 12")} AS gcls, {_CLASS.format("(id + id % 2) % 12")} AS pcls, id % 10 <> 5 AS g, id % 10 <> 9 AS p FROM o),
+e AS (SELECT * FROM k WHERE CASE WHEN g THEN gcls ELSE pcls END IS NOT NULL AND id % 7 <> 0),
+x AS (SELECT id, unnest([2.5, 12.5, 22.5, 32.5, 42.5, 52.5, 62.5, 72.5]::DOUBLE[]) AS x, c0, c1, c2 FROM e WHERE g AND p),
+y AS (SELECT id, x, abs(c0 + c1 * x + c2 * x * x + 0.2E0 - (c0 + c1 * (x - 2.5E0) + c2 * (x - 2.5E0) * (x - 2.5E0) + c0 + c1 * (x + 2.5E0) + c2 * (x + 2.5E0) * (x + 2.5E0)) / 2) AS d FROM x),
+z AS (SELECT id, avg(d) FILTER (x < 30) AS a, avg(d) FILTER (x >= 30 AND x < 60) AS b FROM y GROUP BY 1),
+t AS (SELECT id, a, b, abs(degrees(atan(c1 + 0.02E0)) - degrees(atan(c1))) AS h0, abs(degrees(atan(c1 + 100 * c2)) - degrees(atan(c1))) AS h50 FROM e JOIN z USING (id)),
+v AS (SELECT id, 'lateral_0_30' AS metric, a AS value, 0.20123E0 AS most FROM t UNION ALL SELECT id, 'lateral_30_60', b, 0.20123E0 FROM t UNION ALL SELECT id, 'lateral_60_120', NULL, 0.20123E0 FROM t
+UNION ALL SELECT id, 'lateral_over', (greatest(a - 0.20123E0, 0) + greatest(b - 0.20123E0, 0)) / 2, 0 FROM t
+UNION ALL SELECT id, 'heading_0_error', h0, 1.0001E0 FROM t UNION ALL SELECT id, 'heading_50_error', h50, 1.0001E0 FROM t UNION ALL SELECT id, 'heading_over', (greatest(h0 - 1.0001E0, 0) + greatest(h50 - 1.0001E0, 0)) / 2, 0 FROM t)
+SELECT id, 'recall_precision' AS metric, CASE WHEN g AND p THEN 'TP' WHEN g THEN 'FN' ELSE 'FP' END AS outcome, NULL::DOUBLE AS value, CASE WHEN g AND p AND gcls = pcls THEN 0 ELSE 1 END::INTEGER AS abnormal FROM e
+UNION ALL SELECT id, metric, NULL, round(value + 1e-7, 4), CASE WHEN value > most THEN 1 ELSE 0 END::INTEGER FROM v"""
+
+
+@query(_M13_LINES)
+def m13_evaluate_lines(spark, sf_dir):
+    """All metrics of lines by name: lateral offsets by band, headings at 0 and 50 m, means beyond the limits."""
+    p, i = c("o_totalprice"), c("id")
+    o = table(spark, sf_dir, "orders").select(c("o_orderkey").alias("id"), (p % 7 - 3.5).alias("k0"), ((p % 11 - 5.5) / 100).alias("k1"), ((p % 13 - 6.5) / 10000).alias("k2"))
+    pts = lambda xs, d: F.transform(F.array(*[F.lit(float(v)) for v in xs]), lambda x: F.struct(x.alias("x"), (c("k0") + c("k1") * x + c("k2") * x * x + d).alias("y")))
+    angle = lambda slope: F.degrees(F.atan(slope))
+    radius = F.when(i % 7 != 0, F.coalesce(F.try_divide(F.lit(1.0), F.abs(2 * c("k2"))), F.lit(float("inf"))))
+    truth = {"gt_flag": F.when(i % 10 != 5, 1).otherwise(0), "gt_type_classification": ln.line_class(i % 3, i % 12), "gt_radius": radius, "gt_points": pts(range(0, 85, 5), 0.0), "gt_heading_0": angle(c("k1")), "gt_heading_50": angle(c("k1"))}
+    found = {"pred_flag": F.when(i % 10 != 9, 1).otherwise(0), "pred_type_classification": ln.line_class(i % 3, (i + i % 2) % 12), "pred_radius": radius, "pred_points": pts([2.5 + 10 * k for k in range(8)], 0.2), "pred_heading_0": angle(c("k1") + 0.02), "pred_heading_50": angle(c("k1") + 100 * c("k2"))}
+    limits = {**{f"lateral_{k}": {"limit": 0.20123} for k in ("0_30", "30_60", "60_120", "over")}, **{f"heading_{k}": {"limit": 1.0001} for k in ("0_error", "50_error", "over")}}
+    rows = ev.evaluate(o.select("id", *[v.alias(k) for k, v in {**truth, **found}.items()]), "lines", ["id"], None, limits)
+    return rows.select("id", "metric", "outcome", F.round(c("value") + 1e-7, 4).alias("value"), "abnormal")
+
+
 @query(SLOT + ", d AS (SELECT id, type, (pt_0_x + pt_1_x + pt_2_x + pt_3_x) / 4 AS x, (pt_0_y + pt_1_y + pt_2_y + pt_3_y) / 4 AS y, " + ", ".join(f"{v.format('')} AS {k}" for k, v in _LENGTHS.items()) + """ FROM g)
 SELECT id, CASE type WHEN 1 THEN 'vertical' WHEN 2 THEN 'parallel' WHEN 3 THEN 'oblique' ELSE 'unknown' END AS type_classification, round(x, 5) + 0.0E0 AS center_x, round(y, 5) + 0.0E0 AS center_y, round(sqrt(x * x + y * y), 5) AS slot_distance, round(in_border_distance, 5) AS in_border_distance, round(slot_length, 5) AS slot_length FROM d""")
 def q07_slot_pipeline(spark, sf_dir):

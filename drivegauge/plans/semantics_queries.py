@@ -13,7 +13,7 @@ from drivegauge.operators import timeline as tl
 from drivegauge.sources import flatten as fl
 
 from .fixtures import SQL, gt_obj, table
-from .object_queries import _COVERED, BOTH, MATCH, derived, matched
+from .object_queries import _COVERED, BOTH, CAMERAS, MATCH, derived, matched
 from .registry import query
 from .report_queries import LINE, lines
 from .source_queries import L
@@ -141,3 +141,25 @@ def k02_worst_near_far(spark, sf_dir):
 
     e = me.y_error(me.true_positives(matched(spark, sf_dir))).select(c("gt_type_classification").alias("class"), "scenario_no", c("gt_id").alias("id"), "gt_x", "y_error", "y_error_pct")
     return rp.worst_by_distance(e, "y_error", "y_error_pct", 5, 3)
+
+
+@query(MATCH + """, cam(camera, lo, hi) AS (VALUES ('front', -60.0E0, 60.0E0), ('left', 45.0E0, 135.0E0), ('right', -135.0E0, -45.0E0), ('rear', 135.0E0, 225.0E0)),
+b AS (SELECT frame_ts_us, 'fn' AS side, gt_id AS id, degrees(atan2(gt_y, gt_x)) AS d FROM m WHERE gt_flag = 1 AND pred_flag = 0 UNION ALL SELECT frame_ts_us, 'fp', pred_id, degrees(atan2(pred_y, pred_x)) FROM m WHERE gt_flag = 0 AND pred_flag = 1)
+SELECT camera, frame_ts_us, CAST(round((frame_ts_us / 1e6 - 0.5E0) * 30) AS BIGINT) AS frame_index, coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (side = 'fn'), '') AS fn_ids, coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (side = 'fp'), '') AS fp_ids
+FROM b JOIN cam ON d BETWEEN lo AND hi OR d + 360 BETWEEN lo AND hi GROUP BY 1, 2""")
+def r08_camera_plan(spark, sf_dir):
+    """Frames to draw for each camera, with the misses and the false positives that it sees."""
+    side = lambda name, s: F.when((c(f"{s}_flag") == 1) & (c(f"{'pred' if s == 'gt' else 'gt'}_flag") == 0), F.struct(F.lit(name).alias("side"), c(f"{s}_id").alias("id"), c(f"{s}_x").alias("x"), c(f"{s}_y").alias("y")))
+    failures = matched(spark, sf_dir).select("frame_ts_us", F.explode(F.array_compact(F.array(side("fn", "gt"), side("fp", "pred")))).alias("f")).select("frame_ts_us", "f.*")
+    return rp.camera_plan(failures, spark.createDataFrame(CAMERAS, "camera string, lo double, hi double"), 0.5, 30)
+
+
+@query("""WITH r AS (SELECT DISTINCT o_custkey AS scenario, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderpriority AS t, o_orderstatus AS s, 'v' || o_orderkey % 4 AS v FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0),
+a AS (SELECT scenario, count(*) AS n, string_agg(d || '/' || t || '/' || s || '/' || v, ';' ORDER BY d, t, s, v) AS tests FROM r GROUP BY 1), f AS (SELECT DISTINCT o_custkey AS scenario, o_orderkey % 1000 AS id FROM orders WHERE o_orderkey % 5 IN (2, 3) AND o_orderkey % 2 = 0),
+x AS (SELECT scenario, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS excluded FROM f GROUP BY 1) SELECT scenario, coalesce(n, 0) AS n_tests, coalesce(tests, '') AS tests, coalesce(excluded, '') AS excluded FROM a FULL JOIN x USING (scenario)""")
+def r09_merged_history(spark, sf_dir):
+    """Tests added to a history, each once, with the failures that are not to be drawn again."""
+    o, key = table(spark, sf_dir, "orders"), c("o_orderkey")
+    tests = o.select(c("o_custkey").alias("scenario"), key.alias("k"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), c("o_orderpriority").alias("topic"), c("o_orderstatus").alias("source"), F.concat(F.lit("v"), (key % 4).cast("string")).alias("version"))
+    failures = o.select(c("o_custkey").alias("scenario"), (key % 1000).alias("id"), F.when(key % 2 == 0, "fn").otherwise("fp").alias("side"), (key % 5).alias("mark"))
+    return rp.merge_tests(tests.filter("k % 2 = 1").drop("k"), tests.filter("k % 3 = 0").drop("k"), failures)

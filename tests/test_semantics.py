@@ -114,3 +114,31 @@ def test_line_pipeline(spark):
     assert got == [(f, o, i, p, k, n, c) for f in (100_000, 200_000) for o, i, p, k, n, c in (("1,2", 1, 1, "main_lane", 4, 1.5), ("3", 2, 8, "fence", 2, -1.5))]
     told = lines.pipeline(df.selectExpr("*", "3 AS position"), False)
     assert {(r["origin_id"], r["type_classification"]) for r in told.collect()} == {("1,2", "secondary_lane"), ("3", "fence")}
+
+
+def test_camera_plan_angles_and_sides(spark):
+    from drivegauge.operators import report as rp
+
+    cameras = spark.createDataFrame([("front", -60.0, 60.0), ("rear", 135.0, 225.0)], "camera string, lo double, hi double")
+    failures = spark.createDataFrame([(1_000_000, "fn", 7, 5.0, 0.0), (1_000_000, "fp", 3, 5.0, 1.0), (1_000_000, "fn", 9, -5.0, -0.1), (2_000_000, "fp", 2, -5.0, 0.1), (2_000_000, "fn", 4, 0.0, 9.0)], "frame_ts_us long, side string, id long, x double, y double")
+    got = {(r["camera"], r["frame_ts_us"]): (r["frame_index"], r["fn_ids"], r["fp_ids"]) for r in rp.camera_plan(failures, cameras, 0.5, 30).collect()}
+    assert got == {("front", 1_000_000): (15, "7", "3"), ("rear", 1_000_000): (15, "9", ""), ("rear", 2_000_000): (45, "", "2")}
+
+
+def test_merged_history_counts_a_test_once_and_keeps_failures_alone(spark):
+    from drivegauge.operators import report as rp
+
+    ddl = "scenario string, date string, topic string, source string, version string"
+    history = spark.createDataFrame([("a", "2024-02-01", "t", "s", "1"), ("a", "2024-01-01", "t", "s", "1")], ddl)
+    tests = spark.createDataFrame([("a", "2024-02-01", "t", "s", "1"), ("b", "2024-03-01", "t", "s", "2")], ddl)
+    failures = spark.createDataFrame([("a", 5, "fn", 2), ("a", 4, "fn", 3), ("a", 6, "fp", 2), ("a", 8, "fn", 1), ("c", 1, "fn", 3)], "scenario string, id long, side string, mark int")
+    got = {r["scenario"]: (r["n_tests"], r["tests"], r["excluded"]) for r in rp.merge_tests(history, tests, failures).collect()}
+    assert got == {"a": (2, "2024-01-01/t/s/1;2024-02-01/t/s/1", "4,5"), "b": (1, "2024-03-01/t/s/2", ""), "c": (0, "", "1")}
+
+
+def test_mean_beyond_the_limit_takes_known_errors(spark):
+    from drivegauge.operators import metrics as me
+
+    df = spark.createDataFrame([(1, 0.5, 0.1), (2, 0.5, None), (3, None, None), (4, 0.1, 0.2)], "id int, a double, b double")
+    got = {r["id"]: (r["over"], r["over_abnormal"]) for r in me.over_limit(df, "over", ["a", "b"], 0.25).collect()}
+    assert got == {1: (0.125, 1), 2: (0.25, 1), 3: (None, 0), 4: (0.0, 0)}
