@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -157,12 +159,9 @@ def line_features(df: DataFrame, keys: list[str], radii: bool = True) -> DataFra
 
     def run(batches):
         for batch in batches:
-            points = batch.column(len(keys))
-            sizes = pc.fill_null(pc.list_value_length(points), 0).to_numpy(zero_copy_only=False)
-            flat = points.flatten()
-            x, y = (pc.struct_field(flat, n).to_numpy(zero_copy_only=False).astype(float) for n in ("x", "y"))
+            line, x, y = flat_points(batch.column(len(keys)))
             given = ~(np.isnan(x) | np.isnan(y))
-            counts = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[given], minlength=len(sizes))
+            counts = np.bincount(line[given], minlength=batch.num_rows)
             found = features(x[given], y[given], counts, radii)
             columns = [pa.array(c, pa.float64(), mask=np.isnan(c)) for c in found.T]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *FEATURES])
@@ -171,75 +170,149 @@ def line_features(df: DataFrame, keys: list[str], radii: bool = True) -> DataFra
     return df.select(*keys, points.alias("points")).mapInArrow(run, schema)
 
 
-def chain(pieces: list[tuple[str, np.ndarray]], reach: float) -> list[tuple[str, np.ndarray]]:
-    """Joins pieces (id, points by x) while one begins within ``reach`` of another's end; ids are joined by commas."""
+def flat_points(points: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line number, x and y of the points of a column of lines; NaN where a point has none."""
+    sizes = pc.fill_null(pc.list_value_length(points), 0).to_numpy(zero_copy_only=False)
+    flat = points.flatten()
+    x, y = (pc.struct_field(flat, n).to_numpy(zero_copy_only=False).astype(float) for n in ("x", "y"))
+    return np.repeat(np.arange(len(sizes)), sizes), x, y
+
+
+def column(table: pa.Table, name: str) -> pa.Array:
+    """A group's column as one array."""
+    chunks = table.column(name).combine_chunks()
+    return pa.concat_arrays(chunks.chunks) if isinstance(chunks, pa.ChunkedArray) else chunks
+
+
+def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of all spans of a start and a length, one span after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def linked(first: list[tuple[float, float]], last: list[tuple[float, float]], reach: float) -> list[list[int]]:
+    """Pieces by their first and last points, joined while one begins within ``reach`` of another's end: lists of places."""
+    out = [[i] for i in range(len(first))]
     found = True
     while found:
         found = False
-        for i, (a, p) in enumerate(pieces):
-            for j, (b, q) in enumerate(pieces):
-                if i != j and np.hypot(*(p[-1] - q[0])) < reach:
-                    pieces[i] = (f"{a},{b}", np.vstack([p, q]))
-                    del pieces[j]
+        for i, p in enumerate(out):
+            x, y = last[p[-1]]
+            for j, q in enumerate(out):
+                if i != j and math.hypot(x - first[q[0]][0], y - first[q[0]][1]) < reach:
+                    out[i] = p + q
+                    del out[j]
                     found = True
                     break
             if found:
                 break
-    return pieces
+    return out
+
+
+def chain(pieces: list[tuple[str, np.ndarray]], reach: float) -> list[tuple[str, np.ndarray]]:
+    """Joins pieces (id, points by x) while one begins within ``reach`` of another's end; ids are joined by commas."""
+    own = linked([tuple(p[0]) for _, p in pieces], [tuple(p[-1]) for _, p in pieces], reach)
+    return [(",".join(pieces[k][0] for k in c), np.vstack([pieces[k][1] for k in c])) for c in own]
+
+
+def frame_starts(*keys: np.ndarray) -> np.ndarray:
+    """Where another frame begins in sorted rows, and their number at the end."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.append(np.flatnonzero(new), n)
 
 
 def connect_lines(df: DataFrame, reach: float = 0.1, frames_per_group: int = 256) -> DataFrame:
-    """``scenario_no, frame_ts_us, id, points`` of the frame's joined lines; points ahead up to 150 m and 20 m aside."""
+    """``scenario_no, frame_ts_us, id, points`` of the frame's joined lines; points ahead up to 150 m and 20 m aside.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (s, t), f in pdf.groupby(["scenario_no", "frame_ts_us"]):
-            pieces = []
-            for i, ps in zip(f.id, f.points, strict=True):
-                p = np.array(sorted((q["x"], q["y"]) for q in ps if -0.1 <= q["x"] <= 150 and abs(q["y"]) <= 20)).reshape(-1, 2)
-                if len(p):
-                    p = p[np.r_[True, (np.diff(p[:, 0]) != 0)]]
-                    pieces.append((str(i), p))
-            pieces.sort(key=lambda piece: (-float(np.abs(piece[1][:, 1]).max()), piece[0]))
-            out += [(s, t, i, [{"x": float(x), "y": float(y)} for x, y in p]) for i, p in chain(pieces, reach)]
-        return pd.DataFrame(out, columns=["scenario_no", "frame_ts_us", "id", "points"])
+    All points of a group are cut and sorted at once; Python sees only the ends of lines that share a frame.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        frame, names = column(table, "frame_ts_us").to_numpy(), column(table, "id")
+        line, x, y = flat_points(column(table, "points"))
+        ahead = (x >= -0.1) & (x <= 150) & (np.abs(y) <= 20)
+        line, x, y = line[ahead], x[ahead], y[ahead]
+        order = np.lexsort((y, x, line))
+        line, x, y = line[order], x[order], y[order]
+        new = np.ones(len(x), bool)
+        new[1:] = (line[1:] != line[:-1]) | (x[1:] != x[:-1])
+        wide = np.zeros(len(frame))
+        np.maximum.at(wide, line, np.abs(y))
+        line, x, y = line[new], x[new], y[new]
+        counts = np.bincount(line, minlength=len(frame))
+        starts = np.cumsum(counts) - counts
+        rank = pc.rank(names, sort_keys="ascending", tiebreaker="dense").to_numpy()
+        order = np.lexsort((rank, -wide, frame))
+        order = order[counts[order] > 0]
+        edges = frame_starts(frame[order])
+        chains: list[list[int]] = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = order[a:b]
+            if b - a == 1:
+                chains.append(own.tolist())
+                continue
+            ends = starts[own] + counts[own] - 1
+            first, last = (list(zip(x[at].tolist(), y[at].tolist(), strict=True)) for at in (starts[own], ends))
+            chains += [[int(own[k]) for k in c] for c in linked(first, last, reach)]
+        members = np.array([k for c in chains for k in c], dtype=np.int64)
+        lead = np.array([c[0] for c in chains], dtype=np.int64)
+        sizes = np.array([len(c) for c in chains], dtype=np.int64)
+        at = spans(starts[members], counts[members])
+        points = pa.StructArray.from_arrays([pa.array(x[at]), pa.array(y[at])], names=["x", "y"])
+        total = np.add.reduceat(counts[members], np.cumsum(sizes) - sizes) if len(sizes) else sizes
+        text = names.to_pylist()
+        ids = [text[c[0]] if len(c) == 1 else ",".join(text[k] for k in c) for c in chains]
+        return pa.table({
+            "scenario_no": column(table, "scenario_no").take(pa.array(lead)), "frame_ts_us": pa.array(frame[lead]), "id": pa.array(ids, pa.string()),
+            "points": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(total)), pa.int32()), points),
+        })
 
     group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
-    return df.select("scenario_no", "frame_ts_us", "id", "points", group).groupBy("scenario_no", "_g").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, id string, points array<struct<x:double,y:double>>")
-
-
-def positions(heads: list[tuple[float, float]], width: float = 3.5) -> list[int]:
-    """Lane position of each line of a frame by its head point: 1, 2, ... outward on the left, 8, 9, ... on the right."""
-    out = [0] * len(heads)
-    for base, side in ((1, 1), (8, -1)):
-        own = sorted((abs(y), k) for k, (x, y) in enumerate(heads) if x <= 15 and abs(y) <= 3.5 * width and (y >= 0) == (side > 0))
-        lane = carry = 0
-        for distance, k in own:
-            while distance >= (0.2 + lane + 1) * width and lane < 4:
-                lane += 1
-                carry += 1
-            out[k] = base + lane
-            lane += 1
-    return out
+    points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    rows = df.select(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("frame_ts_us").cast("long").alias("frame_ts_us"), F.col("id").cast("string").alias("id"), points.alias("points"), group)
+    return rows.groupBy("scenario_no", "_g").applyInArrow(lambda t: run(t), "scenario_no long, frame_ts_us long, id string, points array<struct<x:double,y:double>>")
 
 
-def lane_position(df: DataFrame, width: float = 3.5, frames_per_group: int = 256) -> DataFrame:
-    """``scenario_no, frame_ts_us, id, position`` by the mean of the three points nearest to x = 0."""
+def heads(df: DataFrame) -> DataFrame:
+    """``scenario_no, frame_ts_us, id, head_x, head_y``: the mean of a line's three points nearest to x = 0; null without."""
+    schema = StructType([df.schema[k] for k in ("scenario_no", "frame_ts_us", "id")] + [StructField(k, DoubleType()) for k in ("head_x", "head_y")])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (s, t), f in pdf.groupby(["scenario_no", "frame_ts_us"]):
-            f = f.sort_values("id")
-            heads = []
-            for ps in f.points:
-                near = sorted(ps, key=lambda q: abs(q["x"]))[:3]
-                heads.append((sum(q["x"] for q in near) / len(near), sum(q["y"] for q in near) / len(near)) if near else (99.0, 99.0))
-            out += [(s, t, i, p) for i, p in zip(f.id, positions(heads, width), strict=True)]
-        return pd.DataFrame(out, columns=["scenario_no", "frame_ts_us", "id", "position"])
+    def run(batches):
+        for batch in batches:
+            line, x, y = flat_points(batch.column(3))
+            order = np.lexsort((np.abs(x), line))
+            counts = np.bincount(line, minlength=batch.num_rows)
+            starts, used = np.cumsum(counts) - counts, np.minimum(counts, 3)
+            sums = np.zeros((2, len(counts)))
+            for k in range(3):
+                own = used > k
+                at = order[starts[own] + k]
+                sums[0, own] += x[at]
+                sums[1, own] += y[at]
+            means = [pa.array(v / np.maximum(used, 1), pa.float64(), mask=used == 0) for v in sums]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *means], names=schema.names)
 
-    group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
-    kind = df.schema["id"].dataType.simpleString()
-    return df.select("scenario_no", "frame_ts_us", "id", "points", group).groupBy("scenario_no", "_g").applyInPandas(lambda p: run(p), f"scenario_no long, frame_ts_us long, id {kind}, position int")
+    points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    return df.select("scenario_no", "frame_ts_us", "id", points.alias("points")).mapInArrow(run, schema)
+
+
+def lane_position(df: DataFrame, width: float = 3.5) -> DataFrame:
+    """``scenario_no, frame_ts_us, id, position`` by the mean of the three points nearest to x = 0: 1, 2, ... outward on the
+    left, 8, 9, ... on the right, 0 where a line begins too far ahead or aside.
+
+    From the nearest outward each line takes the first lane after its predecessor's that it isn't beyond: the lane of the
+    r-th line is r plus the largest of what its predecessors and itself are ahead of their rank.
+    """
+    c = F.col
+    inside = (c("head_x") <= 15) & (F.abs("head_y") <= 3.5 * width)
+    side = F.when(F.coalesce(inside, F.lit(False)), F.when(c("head_y") >= 0, 1).otherwise(8)).otherwise(0)
+    least = sum((F.when(F.abs("head_y") >= (0.2 + lane + 1) * width, 1).otherwise(0) for lane in range(4)), F.lit(0))
+    outward = Window.partitionBy("scenario_no", "frame_ts_us", "_side").orderBy(F.abs("head_y"), "id")
+    near = heads(df).withColumn("_side", side).withColumn("_r", F.when(c("_side") > 0, F.row_number().over(outward)))
+    lane = c("_r") + F.max(least - c("_r")).over(outward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return near.select("scenario_no", "frame_ts_us", "id", F.when(c("_side") > 0, c("_side") + lane).otherwise(0).cast("int").alias("position"))
 
 
 def carry_ids(frames: list[list[str]], last: list[tuple[set[str], int]] | None = None, following: int = 1) -> tuple[list[list[int]], list[tuple[set[str], int]], int]:
@@ -265,8 +338,8 @@ def carry_track_id(df: DataFrame) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["frame_ts_us", "origin_id"])
-        frames = [list(f.origin_id) for _, f in pdf.groupby("frame_ts_us")]
-        numbers, _, _ = carry_ids(frames)
+        ids, edges = pdf.origin_id.tolist(), frame_starts(pdf.frame_ts_us.to_numpy()).tolist()
+        numbers, _, _ = carry_ids([ids[a:b] for a, b in itertools.pairwise(edges)])
         return pdf.assign(id=[n for f in numbers for n in f])[["scenario_no", "frame_ts_us", "origin_id", "id"]]
 
     return df.select("scenario_no", "frame_ts_us", F.col("id").cast("string").alias("origin_id")).groupBy("scenario_no").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, origin_id string, id long")

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from drivegauge.operators import metrics
+from drivegauge.operators import lines, metrics
 
 
 def test_lateral_error_sorts_a_line_once(spark):
@@ -23,3 +23,68 @@ def test_lateral_error_sorts_a_line_once(spark):
             d = [v for x, v in own if low <= x < high]
             value = got[i][f"lateral_{low}_{high}"]
             assert value == pytest.approx(np.mean(d)) if len(d) >= 3 else value is None
+
+
+def frames_of_lines(spark, seed, frames=60):
+    """Pieces of lines in random frames of one scenario, and the same as a DataFrame."""
+    rng, rows = np.random.default_rng(seed), []
+    for f in range(frames):
+        for i in range(rng.integers(1, 7)):
+            x = np.sort(rng.choice(np.arange(-5.0, 160.0, 2.5), rng.integers(1, 12), replace=False))
+            rows.append((1, f * 100000, 10 * f + i, int(rng.integers(0, 2)), [(float(v), round(float(rng.normal() * 6), 1)) for v in x]))
+        if f % 2:  # the next piece begins where the last one ends
+            x, y = rows[-1][4][-1]
+            rows.append((1, f * 100000, 10 * f + 9, 1, [(x + 0.05, y), (x + 5, y + 1)]))
+    return rows, spark.createDataFrame(rows, "scenario_no long, frame_ts_us long, id long, type int, points array<struct<x:double,y:double>>")
+
+
+def by_frame(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r[1], []).append(r)
+    return out
+
+
+def test_connected_lines_are_those_of_a_loop(spark):
+    rows, df = frames_of_lines(spark, 1)
+    want = set()
+    for t, f in by_frame(rows).items():
+        pieces = []
+        for r in f:
+            p = np.array(sorted(q for q in r[4] if -0.1 <= q[0] <= 150 and abs(q[1]) <= 20)).reshape(-1, 2)
+            if len(p):
+                pieces.append((str(r[2]), p[np.r_[True, np.diff(p[:, 0]) != 0]]))
+        pieces.sort(key=lambda piece: (-float(np.abs(piece[1][:, 1]).max()), piece[0]))
+        found = True
+        while found:
+            ends = ((i, j) for i in range(len(pieces)) for j in range(len(pieces)) if i != j and np.hypot(*(pieces[i][1][-1] - pieces[j][1][0])) < 0.1)
+            if found := next(ends, None):
+                i, j = found
+                pieces[i] = (f"{pieces[i][0]},{pieces[j][0]}", np.vstack([pieces[i][1], pieces[j][1]]))
+                del pieces[j]
+        want |= {(t, i, tuple(map(tuple, p))) for i, p in pieces}
+    out = lines.connect_lines(df)
+    assert "InPandas" not in out._jdf.queryExecution().executedPlan().toString()  # no point becomes a Python object
+    got = {(r["frame_ts_us"], r["id"], tuple(map(tuple, r["points"]))) for r in out.collect()}
+    assert got == want and any("," in i for _, i, _ in got)
+
+
+def test_lane_positions_need_no_group_in_python(spark):
+    rows, df = frames_of_lines(spark, 2)
+    out = lines.lane_position(df)
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for f in by_frame(rows).values():
+        heads = []
+        for r in f:
+            near = sorted(r[4], key=lambda q: abs(q[0]))[:3]
+            heads.append((sum(q[0] for q in near) / len(near), sum(q[1] for q in near) / len(near), r[2]))
+            want[r[2]] = 0
+        for base, side in ((1, 1), (8, -1)):
+            lane = 0
+            for distance, k in sorted((abs(y), k) for x, y, k in heads if x <= 15 and abs(y) <= 12.25 and (y >= 0) == (side > 0)):
+                while distance >= (0.2 + lane + 1) * 3.5 and lane < 4:
+                    lane += 1
+                want[k] = base + lane
+                lane += 1
+    assert {r["id"]: r["position"] for r in out.collect()} == want
