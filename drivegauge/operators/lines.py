@@ -368,40 +368,100 @@ def pipeline(df: DataFrame, truth: bool, least: float = 2.0) -> DataFrame:
     return found.withColumn("type_classification", line_class(F.col("type"), F.col("position"))).filter(F.col("length") >= least)
 
 
-def strip_iou(p: np.ndarray, q: np.ndarray, half: float = 1.0, step: float = 0.1) -> float:
-    """Overlap of two polylines widened by ``half`` on each side, by integration over strips in x."""
-    low, high = min(p[0, 0], q[0, 0]), max(p[-1, 0], q[-1, 0])
-    x = np.arange(low + step / 2, high, step)
+def segment_sums(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(counts))
+    if counts.any():
+        out[counts > 0] = np.add.reduceat(values, starts[counts > 0])
+    return out
+
 
-    def band(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        y = np.interp(x, line[:, 0], line[:, 1], left=np.nan, right=np.nan)
-        slope = np.gradient(y, step) if len(x) > 1 else np.zeros_like(y)
+def strip_ious(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray], half: float = 1.0, step: float = 0.1) -> np.ndarray:
+    """Overlap of the i-th line of ``a`` and the i-th of ``b`` (x, y, numbers of points; points by x), both widened by
+    ``half`` on each side, by integration over strips in x; 0 where a line has no points."""
+    ends = lambda x, n: (x[np.minimum(np.cumsum(n) - n, len(x) - 1)], x[np.cumsum(n) - 1]) if len(x) else (np.zeros(len(n)), np.zeros(len(n)))
+    (a0, a1), (b0, b1) = ends(a[0], a[2]), ends(b[0], b[2])
+    start, high = np.minimum(a0, b0) + step / 2, np.maximum(a1, b1)
+    n = np.where((a[2] > 0) & (b[2] > 0), np.maximum(np.ceil((high - start) / step), 0), 0).astype(np.int64)
+    pair, first = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+    x = start[pair] + (np.arange(len(pair)) - first[pair]) * ((start + step) - start)[pair]
+
+    def band(line: tuple[np.ndarray, np.ndarray, np.ndarray], low: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lx, ly, counts = line
+        of = np.repeat(np.arange(len(counts)), counts)
+        # the strips are evenly spaced, so each point tells from which strip on it lies behind
+        strip = np.ceil((lx - start[of]) / step - 1e-9).astype(np.int64)
+        use = strip < n[of]
+        passed = np.cumsum(np.bincount(first[of[use]] + np.maximum(strip[use], 0), minlength=len(x)))
+        before = np.cumsum(np.bincount(of[use], minlength=len(n))) - np.bincount(of[use], minlength=len(n))
+        k = np.clip(passed - before[pair] - 1, 0, np.maximum(counts[pair] - 2, 0)) + (np.cumsum(counts) - counts)[pair]
+        after = np.minimum(k + 1, (np.cumsum(counts) - 1)[pair])
+        gap = lx[after] - lx[k]
+        y = ly[k] + np.where(gap > 0, (ly[after] - ly[k]) / np.where(gap > 0, gap, 1), 0) * (x - lx[k])
+        y[(x < low[pair]) | (x > top[pair])] = np.nan
+        slope = np.zeros_like(y)
+        slope[1:-1] = (y[2:] - y[:-2]) / (2 * step)
+        many = n > 1
+        i, j = first[many], first[many] + n[many] - 1
+        slope[i], slope[j] = (y[i + 1] - y[i]) / step, (y[j] - y[j - 1]) / step
+        slope[first[n == 1]] = 0
         reach = half * np.sqrt(1 + np.nan_to_num(slope) ** 2)
         return y - reach, y + reach
 
-    (a0, a1), (b0, b1) = band(p), band(q)
-    common = np.nan_to_num(np.maximum(0, np.minimum(a1, b1) - np.maximum(a0, b0))).sum()
-    total = np.nan_to_num(a1 - a0).sum() + np.nan_to_num(b1 - b0).sum() - common
-    return float(common / total) if total > 0 else 0.0
+    if not len(x):
+        return np.zeros(len(n))
+    (l0, l1), (r0, r1) = band(a, a0, a1), band(b, b0, b1)
+    common = segment_sums(np.nan_to_num(np.maximum(0, np.minimum(l1, r1) - np.maximum(l0, r0))), first, n)
+    total = segment_sums(np.nan_to_num(l1 - l0) + np.nan_to_num(r1 - r0), first, n) - common
+    return np.where(total > 0, common / np.where(total > 0, total, 1), 0.0)
+
+
+def strip_iou(p: np.ndarray, q: np.ndarray, half: float = 1.0, step: float = 0.1) -> float:
+    """``strip_ious`` of one pair."""
+    return float(strip_ious((p[:, 0], p[:, 1], np.array([len(p)])), (q[:, 0], q[:, 1], np.array([len(q)])), half, step)[0])
+
+
+PAIRS_AT_ONCE = 64
 
 
 def match_lines(gt: DataFrame, pred: DataFrame, half: float = 1.0) -> DataFrame:
     """``scenario_no, frame_ts_us, gt_id, pred_id, iou`` of the pairs of largest overlap, above 0.1."""
 
-    def run(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        right = dict(list(p.groupby(["scenario_no", "frame_ts_us"]))) if len(p) else {}
-        line = lambda ps: np.array(sorted((q["x"], q["y"]) for q in ps))
-        for key, a in g.groupby(["scenario_no", "frame_ts_us"]) if right and len(g) else ():
-            if (b := right.get(key)) is not None:
-                overlap = np.array([[strip_iou(line(x), line(y), half) for y in b.points] for x in a.points])
-                same = a.type.to_numpy()[:, None] == b.type.to_numpy()[None]
-                for i, j in assign(-np.where(same, overlap, overlap / 1.5)):
-                    if overlap[i, j] > 0.1:
-                        out.append((*key, str(a.id.iloc[i]), str(b.id.iloc[j]), float(overlap[i, j])))
-        return pd.DataFrame(out, columns=["scenario_no", "frame_ts_us", "gt_id", "pred_id", "iou"])
+    def side(table: pa.Table):
+        line, x, y = flat_points(column(table, "points"))
+        order = np.lexsort((y, x, line))
+        order = order[~(np.isnan(x) | np.isnan(y))[order]]
+        counts = np.bincount(line[order], minlength=table.num_rows)
+        return x[order], y[order], counts, np.cumsum(counts) - counts
+
+    def run(g: pa.Table, p: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if g.num_rows and p.num_rows:
+            (fg, tg, ig), (fp, tp, ip) = ((column(t, "frame_ts_us").to_numpy(), column(t, "type").to_numpy(zero_copy_only=False), column(t, "id").to_pylist()) for t in (g, p))
+            gx, gy, gn, gs = side(g)
+            px, py, pn, ps = side(p)
+            og, op = np.argsort(fg, kind="stable"), np.argsort(fp, kind="stable")
+            low, high = np.searchsorted(fp[op], fg[og], "left"), np.searchsorted(fp[op], fg[og], "right")
+            left, right = np.repeat(og, high - low), op[spans(low, high - low)]
+            overlap = np.zeros(len(left))
+            for i in range(0, len(left), PAIRS_AT_ONCE):
+                a, b = left[i : i + PAIRS_AT_ONCE], right[i : i + PAIRS_AT_ONCE]
+                at, bt = spans(gs[a], gn[a]), spans(ps[b], pn[b])
+                overlap[i : i + PAIRS_AT_ONCE] = strip_ious((gx[at], gy[at], gn[a]), (px[bt], py[bt], pn[b]), half)
+            gain = np.where(tg[left] == tp[right], overlap, overlap / 1.5)
+            edges = frame_starts(fg[left]).tolist()
+            for i, j in itertools.pairwise(edges):
+                columns = int(np.count_nonzero(left[i:j] == left[i]))
+                pairs = [(0, 0)] if j - i == 1 else assign(-gain[i:j].reshape(-1, columns))
+                out += [k for k in (i + r * columns + s for r, s in pairs) if overlap[k] > 0.1]
+            kept = np.array(out, dtype=np.int64)
+            a, b = left[kept], right[kept]
+            columns = [column(g, "scenario_no").take(pa.array(a)), pa.array(fg[a]), pa.array([ig[k] for k in a], pa.string()), pa.array([ip[k] for k in b], pa.string()), pa.array(overlap[kept])]
+        else:
+            columns = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())]
+        return pa.table(columns, names=["scenario_no", "frame_ts_us", "gt_id", "pred_id", "iou"])
 
     group = F.floor(F.col("frame_ts_us") / 25_600_000).alias("_g")
-    need = ["scenario_no", "frame_ts_us", "id", "type", "points", group]
-    right = pred.select(*need).select(*[F.col(k).alias(k) for k in (*need[:-1], "_g")])  # new attributes, in case both sides stem from one table
-    return gt.select(*need).groupBy("scenario_no", "_g").cogroup(right.groupBy("scenario_no", "_g")).applyInPandas(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id string, pred_id string, iou double")
+    points = F.transform("points", lambda q: F.struct(q["x"].cast("double").alias("x"), q["y"].cast("double").alias("y"))).alias("points")
+    rows = lambda d: d.select(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("frame_ts_us").cast("long").alias("frame_ts_us"), F.col("id").cast("string").alias("id"), F.col("type").alias("type"), points, group)
+    right = rows(pred).select(*[F.col(k).alias(k) for k in ("scenario_no", "frame_ts_us", "id", "type", "points", "_g")])  # new attributes, in case both sides stem from one table
+    return rows(gt).groupBy("scenario_no", "_g").cogroup(right.groupBy("scenario_no", "_g")).applyInArrow(lambda x, y: run(x, y), "scenario_no long, frame_ts_us long, gt_id string, pred_id string, iou double")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from drivegauge.operators import lines, metrics
+from drivegauge.operators.matching import assign
 
 
 def test_lateral_error_sorts_a_line_once(spark):
@@ -88,3 +89,33 @@ def test_lane_positions_need_no_group_in_python(spark):
                 want[k] = base + lane
                 lane += 1
     assert {r["id"]: r["position"] for r in out.collect()} == want
+
+
+def test_matched_lines_are_the_best_of_all_pairs(spark):
+    rows, df = frames_of_lines(spark, 3)
+    other, pred = frames_of_lines(spark, 4)
+    pred = pred.unionByName(df.filter("id % 3 = 0").selectExpr("scenario_no", "frame_ts_us", "id + 5000 AS id", "type", "points"))
+    other += [(s, t, i + 5000, k, p) for s, t, i, k, p in rows if i % 3 == 0]
+    want, right = {}, by_frame(other)
+    for t, f in by_frame(rows).items():
+        overlap = np.array([[slow_iou(np.array(r[4]), np.array(q[4])) for q in right[t]] for r in f])
+        gain = np.where(np.array([r[3] for r in f])[:, None] == np.array([q[3] for q in right[t]])[None], overlap, overlap / 1.5)
+        want |= {(str(f[i][2]), str(right[t][j][2])): overlap[i, j] for i, j in assign(-gain) if overlap[i, j] > 0.1}
+    out = lines.match_lines(df, pred)
+    assert "InPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r["gt_id"], r["pred_id"]): r["iou"] for r in out.collect()}
+    assert sum(got.values()) == pytest.approx(sum(want.values())) and got == pytest.approx(want)
+
+
+def slow_iou(p, q, step=0.1):
+    x = np.arange(min(p[0, 0], q[0, 0]) + step / 2, max(p[-1, 0], q[-1, 0]), step)
+
+    def band(line):
+        y = np.interp(x, line[:, 0], line[:, 1], left=np.nan, right=np.nan)
+        reach = np.sqrt(1 + np.nan_to_num(np.gradient(y, step) if len(x) > 1 else np.zeros_like(y)) ** 2)
+        return y - reach, y + reach
+
+    (a0, a1), (b0, b1) = band(p), band(q)
+    common = np.nan_to_num(np.maximum(0, np.minimum(a1, b1) - np.maximum(a0, b0))).sum()
+    total = np.nan_to_num(a1 - a0).sum() + np.nan_to_num(b1 - b0).sum() - common
+    return float(common / total) if total > 0 else 0.0
