@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from drivegauge.operators import lines, metrics
+from drivegauge.operators import lines, matching, metrics
 from drivegauge.operators.matching import assign
 
 
@@ -119,3 +119,29 @@ def slow_iou(p, q, step=0.1):
     common = np.nan_to_num(np.maximum(0, np.minimum(a1, b1) - np.maximum(a0, b0))).sum()
     total = np.nan_to_num(a1 - a0).sum() + np.nan_to_num(b1 - b0).sum() - common
     return float(common / total) if total > 0 else 0.0
+
+
+def test_matched_frames_shuffle_each_side_once(spark):
+    rng = np.random.default_rng(6)
+
+    def side(first):
+        rows = [(1, f * 100000, first + i, int(rng.choice([1, 2, 18])), float(rng.integers(0, 8)), float(rng.integers(0, 4)) / 2, f"{f}/{i}") for f in range(60) for i in range(rng.integers(0, 7))]
+        rows.append((1, (90 + first) * 100000, first, 1, 0.0, 0.0, "alone"))
+        rows.append((1, 0, first + 50, None, 1.0, None, "unknown"))
+        return spark.createDataFrame(rows, "scenario_no long, frame_ts_us long, id long, type int, x double, y double, name string")
+
+    g, p, frame = side(0), side(100), ["scenario_no", "frame_ts_us"]
+    out = matching.match_frames(g, p, frame)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
+    got, pairs = out.toPandas(), matching.match_objects(g, p, overlap=None).toPandas()
+    assert sorted(got.gt_name.dropna()) == sorted(g.toPandas().name) and sorted(got.pred_name.dropna()) == sorted(p.toPandas().name)
+    both = got[(got.gt_flag == 1) & (got.pred_flag == 1)]
+    assert len(both) == len(pairs) > 50 and (got.gt_flag + got.pred_flag).min() == 1
+
+    def total(ids):
+        d = ids.merge(g.toPandas(), left_on=[*frame, "gt_id"], right_on=[*frame, "id"]).merge(p.toPandas(), left_on=[*frame, "pred_id"], right_on=[*frame, "id"])
+        d["cost"] = np.hypot(d.x_x - d.x_y, d.y_x - d.y_y) * np.where(d.type_x == d.type_y, 1.0, 1.5)
+        return d.groupby("frame_ts_us").cost.sum().to_dict()
+
+    assert total(both[[*frame, "gt_id", "pred_id"]]) == pytest.approx(total(pairs))
