@@ -11,6 +11,8 @@ null come first, in a part of their own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
@@ -18,14 +20,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from drivegauge.sources.scratch import stored
+
 #: Relative error of the quantiles: a part holds at most (1 / parts + this) of the rows, plus ties.
 ERROR = 0.001
+#: A key with no more rows than this is one part, so groups do not become as many as rows where keys are many and small.
+WHOLE = 100_000
 
 
-def dealt(df: DataFrame, order: str, parts: int | None = None) -> DataFrame:
-    """With ``_part``: the quantile range of ``order`` (a number) that a row lies in; ranges grow with ``order``."""
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _same_keys(keys: list[str]) -> Column:
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    return on
+
+
+def by_size(df: DataFrame, keys: list[str], parts: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of keys with at most ``WHOLE`` rows, and those of larger keys; all count as large if ``parts`` are asked for.
+
+    There is at most one large key for every ``WHOLE`` rows; the list is stored, so Spark knows its size in the joins.
+    """
+    if parts or not keys:
+        return None, df
+    large = stored(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > WHOLE).select(*keys), "large-keys")
+    if large.isEmpty():
+        return df, None
+    of = lambda how: df.alias("l").join(large.alias("r"), _same_keys(keys), how)
+    return of("left_anti"), of("left_semi")
+
+
+def dealt(df: DataFrame, order: str, parts: int | None = None, keys: list[str] | None = None) -> DataFrame:
+    """With ``_part``: the quantile range of ``order`` (a number) that a row lies in; ranges grow with ``order``. With
+    ``keys`` and no ``parts``, only the rows of large keys are cut (``by_size``)."""
     at = F.col(order).cast("double")
+    small, df = by_size(df, keys or [], parts)
+    if small is not None:
+        small = small.withColumn("_part", F.when(at.isNull(), -1).otherwise(0))
+        return small if df is None else small.unionByName(dealt(df, order))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.select(at.alias("v")).approxQuantile("v", [i / parts for i in range(1, parts)], ERROR) if parts > 1 else []
     splits = [-np.inf, *sorted(set(cuts)), np.inf]
     if len(splits) < 3:
@@ -34,15 +66,8 @@ def dealt(df: DataFrame, order: str, parts: int | None = None) -> DataFrame:
     return marked.withColumn("_part", F.when(F.col("_at").isNull(), -1).otherwise(F.col("_p").cast("int"))).drop("_at", "_p")
 
 
-def _same(keys: list[str]) -> Column:
-    on = F.col("l._part") == F.col("r._part")
-    for k in keys:
-        on = on & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
-    return on
-
-
 def _joined(rows: DataFrame, edges: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    return rows.alias("l").join(edges.alias("r"), _same(keys), "left").select("l.*", *[F.col(f"r.{c}") for c in columns])
+    return rows.alias("l").join(edges.alias("r"), (F.col("l._part") == F.col("r._part")) & _same_keys(keys), "left").select("l.*", *[F.col(f"r.{c}") for c in columns])
 
 
 def _previous(rows: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
@@ -56,7 +81,7 @@ def _previous(rows: DataFrame, keys: list[str], order: list[str], value: str, na
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "_last", parts: int | None = None) -> DataFrame:
     """With ``value`` of the row before in ``order``, whose first column is a number; null for a key's first row."""
-    return _previous(dealt(df, order[0], parts), keys, order, value, name).drop("_part")
+    return _previous(dealt(df, order[0], parts, keys), keys, order, value, name).drop("_part")
 
 
 def suppress_repeats(df: DataFrame, keys: list[str], stamp: str, order: list[str], parts: int | None = None) -> DataFrame:
@@ -67,7 +92,7 @@ def suppress_repeats(df: DataFrame, keys: list[str], stamp: str, order: list[str
 def last_monotone_run(df: DataFrame, keys: list[str], stamp: str, order: list[str], parts: int | None = None) -> DataFrame:
     """Rows after the last place, in ``order``, where the stamp did not grow: those with no such place behind them."""
     falls = F.coalesce(F.col(stamp) <= F.col("_last"), F.lit(False))
-    rows = _previous(dealt(df, order[0], parts), keys, order, stamp, "_last").withColumn("_falls", falls)
+    rows = _previous(dealt(df, order[0], parts, keys), keys, order, stamp, "_last").withColumn("_falls", falls)
     later = Window.partitionBy(*keys).orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
     edges = rows.groupBy(*keys, "_part").agg(F.max("_falls").alias("f")).select(*keys, "_part", F.coalesce(F.max("f").over(later), F.lit(False)).alias("_later"))
     behind = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
@@ -105,11 +130,35 @@ def chain_segments(df: DataFrame, keys: list[str], end: str, least: float, parts
     A part doesn't know the end that the part before kept last. Its summary is a step function: for what came before,
     which end it keeps last itself; ends that lead to the same one are one step, so there are at most as many steps as
     ends within ``least`` of the part's last. A key's steps are gone through in order, and each part then walks its
-    chain once from the end it was told. Null ends are left out.
+    chain once from the end it was told. Keys that are not large need none of this: their sorted rows are walked as
+    they come, many keys in one run. Null ends are left out.
     """
-    rows = dealt(df.select(*keys, F.col(end).cast("double").alias("end")).filter("end IS NOT NULL AND NOT isnan(end)"), "end", parts)
-    fields = [rows.schema[k] for k in keys]
+    small, large = by_size(df.select(*keys, F.col(end).cast("double").alias("end")).filter("end IS NOT NULL AND NOT isnan(end)"), keys, parts)
+    fields = [df.schema[k] for k in keys]
     kinds = lambda text: StructType([*fields, *StructType.fromDDL(text).fields])
+    segments = kinds("start_time double, end_time double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = 0.0
+        for batch in batches:
+            starts, at = [], []
+            for i, (e, first) in enumerate(zip(batch.column("end").to_pylist(), batch.column("_first").to_pylist(), strict=True)):
+                if first:
+                    last = e
+                elif not e - last < least:
+                    starts.append(last)
+                    at.append(i)
+                    last = e
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in keys), pa.array(starts, pa.float64()), kept.column("end")], names=segments.names)
+
+    walked = None
+    if small is not None:
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy("end")) == 1
+        walked = small.withColumn("_first", first).mapInArrow(run, segments)
+        if large is None:
+            return walked
+    rows = dealt(large, "end", parts)
 
     def named(table: pa.Table, columns: dict) -> pa.Table:
         n = len(next(iter(columns.values())))
@@ -151,4 +200,5 @@ def chain_segments(df: DataFrame, keys: list[str], end: str, least: float, parts
     groups = [*keys, "_part"]
     steps = rows.groupBy(*groups).applyInArrow(summary, kinds("_part int, upto array<double>, exits array<double>, begin double"))
     told = steps.groupBy(*keys).applyInArrow(carry, kinds("_part int, told double"))
-    return rows.groupBy(*groups).cogroup(told.groupBy(*groups)).applyInArrow(walk, kinds("start_time double, end_time double"))
+    cut = rows.groupBy(*groups).cogroup(told.groupBy(*groups)).applyInArrow(walk, segments)
+    return cut if walked is None else walked.unionByName(cut)

@@ -145,3 +145,33 @@ def test_matched_frames_shuffle_each_side_once(spark):
         return d.groupby("frame_ts_us").cost.sum().to_dict()
 
     assert total(both[[*frame, "gt_id", "pred_id"]]) == pytest.approx(total(pairs))
+
+
+def test_small_keys_are_not_cut(spark, monkeypatch):
+    from drivegauge.operators import scan
+
+    rng = np.random.default_rng(7)
+    rows = [(k, float(t), i) for i, (k, t) in enumerate((k, t) for k in [None, *range(60)] for t in rng.integers(0, 5000, 400 if k == 3 else rng.integers(1, 30)))]
+    rows += [(5, None, len(rows)), (70, None, len(rows) + 1)]
+    df = spark.createDataFrame(rows, "k int, end double, i int")
+    want, kept = [], set()
+    for key in {r[0] for r in rows}:
+        own = sorted(((t, i) for k, t, i in rows if k == key), key=lambda p: (p[0] is not None, p))
+        kept |= {i for n, (t, i) in enumerate(own) if not n or t is None or own[n - 1][0] is None or t // 100 != own[n - 1][0] // 100}
+        ends = [t for t, _ in own if t is not None]
+        last = ends[0] if ends else None
+        for t in ends[1:]:
+            if t - last >= 120:
+                want.append((key, last, t))
+                last = t
+    order = lambda found: sorted(found, key=lambda r: (r[0] is None, r))
+    minutes = df.selectExpr("*", "floor(end / 100) AS v")
+    for whole in (scan.WHOLE, 100, 0):
+        monkeypatch.setattr(scan, "WHOLE", whole)
+        segments = scan.chain_segments(df, ["k"], "end", 120.0)
+        assert order(tuple(r) for r in segments.collect()) == order(want)
+        assert {r["i"] for r in scan.suppress_repeats(minutes, ["k"], "v", ["end", "i"]).collect()} == kept
+        if whole == 100:  # one key is cut, in Python there is no group for each of the others
+            assert {r["k"] for r in scan.dealt(df, "end", None, ["k"]).filter("_part > 0").select("k").distinct().collect()} == {3}
+        if whole > 400:
+            assert "InArrow" in (plan := segments._jdf.queryExecution().executedPlan().toString()) and "FlatMap" not in plan
