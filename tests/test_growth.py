@@ -175,3 +175,15 @@ def test_small_keys_are_not_cut(spark, monkeypatch):
             assert {r["k"] for r in scan.dealt(df, "end", None, ["k"]).filter("_part > 0").select("k").distinct().collect()} == {3}
         if whole > 400:
             assert "InArrow" in (plan := segments._jdf.queryExecution().executedPlan().toString()) and "FlatMap" not in plan
+
+
+def test_no_task_has_all_pairs_of_a_key(spark):
+    from drivegauge.operators import report
+
+    a = spark.range(300).selectExpr("id AS record", "IF(id < 290, 1, id % 4) AS day")
+    b = spark.range(50).selectExpr("id AS vehicle", "IF(id < 45, 1, NULL) AS day").unionByName(spark.createDataFrame([(90, 2), (91, 9)], "vehicle long, day long"))
+    out = report.all_pairs(a, b, ["day"], most=500)
+    want = sorted((r["record"], r["vehicle"]) for r in a.join(b, "day").collect())
+    assert sorted((r["record"], r["vehicle"]) for r in out.select("record", "vehicle").collect()) == want
+    sizes = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes) < len(want) / 4
