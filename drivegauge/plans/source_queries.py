@@ -111,7 +111,7 @@ def t14_parking_slots(spark, sf_dir):
 def t15_occupancy_all(spark, sf_dir):
     """All cells of all messages."""
     d = table(spark, sf_dir, "documents").select(c("doc_id").alias("scenario_no"), F.lit(0).alias("time_stamp"), c("text").cast("binary").alias("grid"))
-    return fl.occupancy(d).select(c("scenario_no").alias("doc_id"), "cell", "class", F.aggregate("free", F.lit(0), lambda a, x: a + x).alias("free"))
+    return fl.occupancy(d).select(c("scenario_no").alias("doc_id"), "cell", "class", c("n_free").alias("free"))
 
 
 @query("SELECT event_id AS time_stamp, user_id, event_type, value FROM events")

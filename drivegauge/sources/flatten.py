@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 c = F.col
 
@@ -95,12 +99,37 @@ def parking_slots(messages: DataFrame) -> DataFrame:
     return rows.select("scenario_no", "time_stamp", "id", mean("x").alias("center_x"), mean("y").alias("center_y"), F.when(c("o.stopper_x") * c("o.stopper_y") != 0, 1).otherwise(0).alias("stopper_valid"))
 
 
+#: Bytes of a grid that go to Python as one row, and cells that come back at once.
+PIECE, CELLS_AT_ONCE = 4096, 1_000_000
+
+
 def occupancy(messages: DataFrame, levels: int = 24) -> DataFrame:
-    """Cells of the byte grid: class in the high four bits; filled cells with the levels that are free."""
-    bytes_ = F.transform(F.sequence(F.lit(1), F.length("grid")), lambda i: F.conv(F.hex(F.substring("grid", i, F.lit(1))), 16, 10).cast("int"))
-    rows = messages.select("scenario_no", "time_stamp", F.posexplode(bytes_).alias("cell", "b"))
-    kind = F.shiftright("b", 4)
-    return rows.select("scenario_no", "time_stamp", "cell", kind.alias("class"), c("b").bitwiseAND(15).alias("low")).filter("class > 0").withColumn("free", F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda k: F.when(k <= c("low"), 0).otherwise(1)))
+    """Cells of the byte grid: class in the high four bits; filled cells with the levels that are free and their number.
+
+    Grids are cut into pieces, whose bytes become cells by arrays; a long grid is never in Python as a whole."""
+    start = F.explode(F.sequence(F.lit(0), F.length("grid") - 1, F.lit(PIECE)))
+    pieces = messages.filter(F.length("grid") > 0).select("scenario_no", "time_stamp", "grid", start.alias("start")).select("scenario_no", "time_stamp", "start", F.substring("grid", c("start") + 1, F.lit(PIECE)).alias("piece"))
+    schema = StructType([messages.schema["scenario_no"], messages.schema["time_stamp"], *StructType.fromDDL("cell int, b int").fields])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("piece").cast(pa.large_binary())
+            ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            values, start = np.frombuffer(column.buffers()[2], np.uint8), batch.column("start").to_numpy()
+            for lo in range(int(ends[0]), int(ends[-1]), CELLS_AT_ONCE):
+                b = values[lo : min(lo + CELLS_AT_ONCE, int(ends[-1]))]
+                filled = np.flatnonzero(b >= 16)
+                first, last = np.searchsorted(ends, lo, "right") - 1, np.searchsorted(ends, lo + len(b), "left")
+                row = np.repeat(np.arange(first, last), np.diff(np.clip(ends[first : last + 1], lo, lo + len(b))))[filled]
+                cell = (start[row] + (filled + lo - ends[row])).astype(np.int32)
+                own = [batch.column(k).take(pa.array(row)) for k in ("scenario_no", "time_stamp")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(cell), pa.array(b[filled].astype(np.int32))], names=schema.names)
+
+    rows = pieces.mapInArrow(cells, schema)
+    low = c("b").bitwiseAND(15)
+    free = [[0 if k <= x else 1 for k in range(levels)] for x in range(16)]
+    table = F.array(*[F.array(*map(F.lit, f)) for f in free])
+    return rows.select("scenario_no", "time_stamp", "cell", F.shiftright("b", 4).alias("class"), low.alias("low"), F.get(table, low).alias("free"), F.get(F.array(*[F.lit(sum(f)) for f in free]), low).alias("n_free"))
 
 
 def image_info(messages: DataFrame) -> DataFrame:

@@ -187,3 +187,18 @@ def test_no_task_has_all_pairs_of_a_key(spark):
     assert sorted((r["record"], r["vehicle"]) for r in out.select("record", "vehicle").collect()) == want
     sizes = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert max(sizes) < len(want) / 4
+
+
+def test_occupancy_is_by_arrays(spark, monkeypatch):
+    from drivegauge.sources import flatten
+
+    monkeypatch.setattr(flatten, "PIECE", 7)
+    monkeypatch.setattr(flatten, "CELLS_AT_ONCE", 5)
+    rng = np.random.default_rng(8)
+    grids = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 6, 7, 8, 40, 100)] + [None, b"\x0f" * 30, b"\xff" * 14]
+    out = flatten.occupancy(spark.createDataFrame([(i, 0.5, g) for i, g in enumerate(grids)], "scenario_no long, time_stamp double, grid binary"))
+    assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()  # nothing is evaluated byte by byte
+    want = {(i, k): (b >> 4, b & 15, [int(x > b & 15) for x in range(24)]) for i, g in enumerate(grids) for k, b in enumerate(g or b"") if b >= 16}
+    rows = out.collect()
+    assert {(r["scenario_no"], r["cell"]): (r["class"], r["low"], r["free"]) for r in rows} == want and len(rows) == len(want)
+    assert all(r["n_free"] == sum(r["free"]) and r["time_stamp"] == 0.5 for r in rows)
