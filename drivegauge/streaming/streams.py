@@ -83,11 +83,18 @@ def carry_track_ids(stream: DataFrame, silence: int = 60_000, delay: str = "10 s
 
 
 def match_frames(gt: DataFrame, pred: DataFrame, tolerance: str = "50 milliseconds", delay: str = "5 seconds") -> DataFrame:
-    """Stream-stream join of stamps of one scenario less than the tolerance apart; state is bounded by both watermarks."""
-    a = gt.withWatermark("gt_time", delay)
+    """Stream-stream join of stamps of one scenario less than the tolerance apart; state is bounded by both watermarks.
+
+    Rows meet in cells of ten tolerances: truth stands in its own, a prediction in one or, near an edge, in two. So a row
+    is compared with the few of its cell, not with all that the state holds of its scenario."""
+    reach = F.expr(f"INTERVAL {tolerance}")
+    width = 10 * F.unix_micros(F.timestamp_micros(F.lit(0)) + reach)
+    cell = lambda t: F.floor(F.unix_micros(t) / width)
+    a = gt.withWatermark("gt_time", delay).withColumn("_cell", cell(F.col("gt_time")))
     b = pred.withWatermark("pred_time", delay).withColumnRenamed("scenario_no", "pred_scenario")
-    near = F.expr(f"pred_scenario = scenario_no AND pred_time > gt_time - INTERVAL {tolerance} AND pred_time < gt_time + INTERVAL {tolerance}")
-    return a.join(b, near).drop("pred_scenario")
+    b = b.withColumn("_pred_cell", F.explode(F.sequence(cell(F.col("pred_time") - reach), cell(F.col("pred_time") + reach))))
+    near = F.expr(f"pred_scenario = scenario_no AND _pred_cell = _cell AND pred_time > gt_time - INTERVAL {tolerance} AND pred_time < gt_time + INTERVAL {tolerance}")
+    return a.join(b, near).drop("pred_scenario", "_cell", "_pred_cell")
 
 
 def nearest_frames(gt: DataFrame, pred: DataFrame, tolerance: str = "50 milliseconds", delay: str = "5 seconds") -> DataFrame:

@@ -202,3 +202,21 @@ def test_occupancy_is_by_arrays(spark, monkeypatch):
     rows = out.collect()
     assert {(r["scenario_no"], r["cell"]): (r["class"], r["low"], r["free"]) for r in rows} == want and len(rows) == len(want)
     assert all(r["n_free"] == sum(r["free"]) and r["time_stamp"] == 0.5 for r in rows)
+
+
+def test_stream_join_compares_rows_of_a_cell(spark, tmp_path):
+    from drivegauge.streaming import streams
+
+    rng, day = np.random.default_rng(9), 86_400_000_000
+    sides = [sorted((int(s), day + int(t) * 5_000) for s, t in set(zip(rng.integers(0, 2, 300), rng.integers(0, 4000, 300), strict=True))) for _ in range(2)]
+    frames = []
+    for n, (rows, name) in enumerate(zip(sides, ("gt_time", "pred_time"), strict=True)):
+        spark.createDataFrame([*rows, (0, 3 * day)], "scenario_no long, us long").selectExpr("scenario_no", f"timestamp_micros(us) AS {name}").coalesce(1).write.parquet(f"{tmp_path}/{n}")
+        frames.append(spark.readStream.schema(f"scenario_no long, {name} timestamp").parquet(f"{tmp_path}/{n}"))
+    pairs = streams.match_frames(*frames)
+    assert pairs.columns == ["scenario_no", "gt_time", "pred_time"]
+    condition = next(line for line in pairs._jdf.queryExecution().analyzed().toString().splitlines() if "Join Inner" in line)
+    assert condition.count(" = ") == 2  # the scenario and a stretch of time
+    out = streams.drain(pairs, f"{tmp_path}/out").selectExpr("scenario_no", "unix_micros(gt_time) AS g", "unix_micros(pred_time) AS p")
+    got = sorted(tuple(r) for r in out.collect() if r["g"] < 2 * day)
+    assert got == sorted((s, g, p) for s, g in sides[0] for z, p in sides[1] if s == z and abs(g - p) < 50_000) and len(got) > 100
