@@ -220,3 +220,11 @@ def test_stream_join_compares_rows_of_a_cell(spark, tmp_path):
     out = streams.drain(pairs, f"{tmp_path}/out").selectExpr("scenario_no", "unix_micros(gt_time) AS g", "unix_micros(pred_time) AS p")
     got = sorted(tuple(r) for r in out.collect() if r["g"] < 2 * day)
     assert got == sorted((s, g, p) for s, g in sides[0] for z, p in sides[1] if s == z and abs(g - p) < 50_000) and len(got) > 100
+
+
+@pytest.mark.parametrize("name", ["j10_kpi_targets", "a03_yaw_stats", "j19_version_delta"])
+def test_match_carries_what_is_used(spark, name):
+    from drivegauge.plans import registry
+
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "closest_pt" not in plan
