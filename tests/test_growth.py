@@ -189,6 +189,19 @@ def test_no_task_has_all_pairs_of_a_key(spark):
     assert max(sizes) < len(want) / 4
 
 
+def test_no_task_has_all_overlaps_of_a_cell(spark):
+    from drivegauge.operators import timeline
+
+    a = spark.range(300).selectExpr("id", "id AS start_time", "id + 1000 AS end_time").unionByName(spark.createDataFrame([(900, 50_000, 50_010)], "id long, start_time long, end_time long"))
+    b = spark.range(200).selectExpr("id", "2 * id AS start_time", "2 * id + 900 AS end_time")
+    out = timeline.overlaps(a, b, 500, 10_000, side=40)
+    rows = lambda d: [tuple(r) for r in d.collect()]
+    want = sorted((i, j, max(s, t), min(e, f)) for i, s, e in rows(a) for j, t, f in rows(b) if min(e, f) - max(s, t) >= 500)
+    assert sorted(rows(out)) == want
+    sizes = out.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert max(sizes) < len(want) / 4
+
+
 def test_occupancy_is_by_arrays(spark, monkeypatch):
     from drivegauge.sources import flatten
 
