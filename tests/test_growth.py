@@ -147,6 +147,43 @@ def test_matched_frames_shuffle_each_side_once(spark):
     assert total(both[[*frame, "gt_id", "pred_id"]]) == pytest.approx(total(pairs))
 
 
+def test_one_shuffle_for_both_sides_of_a_match(spark):
+    from drivegauge.plans import object_queries
+
+    plan = object_queries.matched(spark, "/root/testdata/sf0.001", "type_classification")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "collect_list" not in plan
+
+
+def test_small_tables_are_assigned_as_large_ones(monkeypatch):
+    rng = np.random.default_rng(11)
+    for n, m in ((1, 2), (2, 2), (2, 3), (3, 2), (3, 3), (4, 3), (3, 4)):
+        tables = np.where(rng.random((200, n, m)) < 0.6, rng.integers(0, 4, (200, n, m)) / 2 if n % 2 else rng.random((200, n, m)), 500.0)  # with ties and without
+        want = [[(r, c) for r, c in assign(t) if t[r, c] < 500] for t in tables]
+        asked = []
+        monkeypatch.setattr(matching, "assign", lambda t: asked.append(1) or assign(t))
+        assert [sorted(p) for p in matching.least_pairs(tables)] == [sorted(p) for p in want]
+        assert len(asked) == 0 if n % 2 == 0 else len(asked) < 200  # without ties no table is assigned by itself
+
+
+@pytest.mark.parametrize("at_once", [1, 5, 100_000])
+def test_frames_may_cross_batches(spark, at_once):
+    rng, frame = np.random.default_rng(12), ["scenario_no", "frame_ts_us"]
+    side = lambda first: [(*k, first + i, 1, float(rng.integers(0, 8)), 0.0) for k in [(1, f) for f in range(40)] + [(None, 7), (2, None)] for i in range(rng.integers(1, 7))]
+    schema = "scenario_no long, frame_ts_us long, id long, type int, x double, y double"
+    g, p = (spark.createDataFrame(side(first), schema) for first in (0, 100))
+    both = g.selectExpr("*", "false AS _pred").unionByName(p.selectExpr("*", "true AS _pred")).repartition(*frame).sortWithinPartitions(*frame)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = matching.match_rows(both, frame, ["id", "x"], ["id", "x"], at_once=at_once).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    want = {(r["frame_ts_us"], r["gt_id"], r["pred_id"]) for r in matching.match_objects(g.dropna(), p.dropna(), overlap=None).collect()}
+    found = got[(got.gt_flag == 1) & (got.pred_flag == 1)]
+    assert {(r.frame_ts_us, r.gt_id, r.pred_id) for r in found.itertuples()} == want and len(found) == len(want) > 30
+    assert got.gt_flag.sum() == g.count() and got.pred_flag.sum() == p.count()
+
+
 def test_small_keys_are_not_cut(spark, monkeypatch):
     from drivegauge.operators import scan
 
