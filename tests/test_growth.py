@@ -278,3 +278,16 @@ def test_match_carries_what_is_used(spark, name):
 
     plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "closest_pt" not in plan
+
+
+def test_versions_are_compared_by_one_match(spark):
+    from drivegauge.operators import report
+    from drivegauge.plans import registry
+
+    plan = registry.queries()["j19_version_delta"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    rows = [("a", "v1", 1.0), ("a", "v2", 3.0), ("b", "v2", 2.0), ("c", "v1", 5.0), (None, "v1", 1.0), (None, "v2", 2.0), ("a", "v3", 9.0)]
+    df, cell = spark.createDataFrame(rows, "kind string, version string, value double"), ["kind"]
+    want = report.version_delta(df.filter("version = 'v2'"), df.filter("version = 'v1'"), cell).select("kind", "value", "old_value", "delta")
+    got = report.version_delta_at_once(df, cell, "version", "v2", "v1").select("kind", "value", "old_value", "delta")
+    assert set(map(tuple, got.collect())) == set(map(tuple, want.collect())) == {("a", 3.0, 1.0, 2.0), ("b", 2.0, None, None), (None, 2.0, None, None)}
