@@ -291,3 +291,11 @@ def test_versions_are_compared_by_one_match(spark):
     want = report.version_delta(df.filter("version = 'v2'"), df.filter("version = 'v1'"), cell).select("kind", "value", "old_value", "delta")
     got = report.version_delta_at_once(df, cell, "version", "v2", "v1").select("kind", "value", "old_value", "delta")
     assert set(map(tuple, got.collect())) == set(map(tuple, want.collect())) == {("a", 3.0, 1.0, 2.0), ("b", 2.0, None, None), (None, 2.0, None, None)}
+
+
+@pytest.mark.parametrize("name", ["a18_pass_totals", "j10_kpi_targets", "a07_statistics_cube"])
+def test_lines_are_read_once(spark, name):
+    from drivegauge.plans import registry
+
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("MapInArrow") == 1
