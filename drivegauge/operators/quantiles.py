@@ -3,7 +3,8 @@
 A group's values are counted in ``BINS`` equal ranges between its least and largest; the range that holds a wanted rank
 is cut again in the same way, until a range holds one value only or at most ``LIMIT`` of them, which are then put in
 order. Counts are summed before they are shuffled, so no task ever holds a group's values, and the state of a group is
-its ranges. Each pass divides what is left by about ``BINS`` and reads only ranges that hold a wanted rank.
+its ranges. Each pass divides what is left by about ``BINS``, reads only ranges that hold a wanted rank, and writes only
+the values of the next ones.
 
 A quantile p of n values lies at p (n - 1), linearly between the two values around it, as in ``percentile``.
 """
@@ -25,9 +26,11 @@ def _equal(keys: list[str]) -> Column:
     return on
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], bins: int = BINS, limit: int = LIMIT) -> DataFrame:
-    """``keys`` and a column for each quantile of ``at``; null and NaN values are left out, groups without value too."""
-    rows = stored(df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)"), "values")
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], bins: int = BINS, limit: int = LIMIT, written: bool = False) -> DataFrame:
+    """``keys`` and a column for each quantile of ``at``; null and NaN values are left out, groups without value too.
+    ``written``: ``df`` reads files without much work, so its values are not written once more."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
+    rows = rows if written else stored(rows, "values")
     spans = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     place = lambda p: F.lit(float(p)) * (F.col("_n") - 1)
     ranks = F.array_distinct(F.concat(*[F.array(F.floor(place(p)).cast("long"), F.ceil(place(p)).cast("long")) for p in at.values()]))
@@ -48,15 +51,19 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, fl
         if many.isEmpty():
             break
         bin_ = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1)).cast("int")
-        dealt = stored(rows.alias("l").join(many.alias("r"), _equal(own)).select("l.*", "r._lo", "r._hi", "r._want").withColumn("_bin", bin_), "bins")
-        counts = dealt.groupBy(*own, "_bin").agg(F.count("*").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.first("_want").alias("_want"))
+        dealt = rows.alias("l").join(F.broadcast(many.select(*own, "_lo", "_hi")).alias("r"), _equal(own)).select("l.*", bin_.alias("_bin"))
+        counts = dealt.groupBy(*own, "_bin").agg(F.count("*").alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+        counts = counts.alias("l").join(F.broadcast(many.select(*own, "_want")).alias("r"), _equal(own)).select("l.*", "r._want")
         before = F.coalesce(F.sum("_n").over(Window.partitionBy(*own).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         counts = counts.withColumn("_before", before)
         inside = F.filter("_want", lambda w: (w["within"] >= F.col("_before")) & (w["within"] < F.col("_before") + F.col("_n")))
         wanted = counts.withColumn("_want", F.transform(inside, lambda w: F.struct(w["rank"].alias("rank"), (w["within"] - F.col("_before")).alias("within")))).filter("size(_want) > 0")
+        wanted = stored(wanted.select(*own, "_bin", "_n", F.col("_a").alias("_lo"), F.col("_b").alias("_hi"), "_want"), "ranges")
         path = F.concat_ws(".", "_path", F.col("_bin").cast("string"))
-        open_ = stored(wanted.select(*keys, path.alias("_path"), "_n", F.col("_a").alias("_lo"), F.col("_b").alias("_hi"), "_want"), "ranges")
-        rows = dealt.select(*keys, "_v", path.alias("_path"))
+        open_ = wanted.withColumn("_path", path).drop("_bin")
+        # only the values of these ranges are written, the others are read once more
+        kept = dealt.alias("l").join(F.broadcast(wanted.select(*own, "_bin")).alias("r"), _equal([*own, "_bin"])).select("l.*")
+        rows = stored(kept.select(*keys, "_v", path.alias("_path")), "bins")
     values = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "_v"))).alias("_at"))
     joined = spans.alias("l").join(values.alias("r"), _equal(keys)).select("l.*", "r._at")
 

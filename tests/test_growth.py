@@ -299,3 +299,17 @@ def test_lines_are_read_once(spark, name):
 
     plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == 1 and plan.count("MapInArrow") == 1
+
+
+def test_quantiles_write_no_values_again(spark, monkeypatch):
+    from drivegauge.operators import quantiles, statistics
+
+    written = []
+    for module in (quantiles, statistics):
+        monkeypatch.setattr(module, "stored", lambda df, label, f=module.stored: written.append((label, (out := f(df, label)).count())) or out)
+    values = np.random.default_rng(13).normal(size=4000)
+    df = spark.createDataFrame([("a" if i % 4 else None, float(v)) for i, v in enumerate(values)], "class string, e double")
+    got = {r["class"]: r for r in statistics.error_stats(df, ["class"], ["e"], bins=50, limit=20).collect()}
+    for key, own in (("a", np.delete(values, np.s_[::4])), (None, values[::4])):
+        assert [got[key][f"e_abs_q{q}"] for q in (68, 95)] == pytest.approx([np.quantile(np.abs(own), q / 100) for q in (68, 95)], abs=1e-6)
+    assert dict(written)["errors"] == 4000 and sum(n for label, n in written if label != "errors") < 1000
