@@ -165,6 +165,36 @@ def test_small_tables_are_assigned_as_large_ones(monkeypatch):
         assert len(asked) == 0 if n % 2 == 0 else len(asked) < 200  # without ties no table is assigned by itself
 
 
+def ways(table):
+    """All ways to pair rows and columns by candidates, and the sum of cost - 500 of each in the order of the rows."""
+    out = [([], 0.0)]
+    for r, row in enumerate(table):
+        out = [(w + own, total + add) for w, total in out for own, add in [([], 0.0), *(([(r, c)], v - 500) for c, v in enumerate(row) if v < 500 and c not in [k for _, k in w])]]
+    return out
+
+
+@pytest.mark.parametrize(("n", "m"), [(2, 2), (3, 3), (4, 3), (3, 5), (5, 5), (7, 5)])
+def test_ways_alike_but_for_rounding_are_settled_as_in_sql(n, m):
+    rng, told = np.random.default_rng(14), 0
+    count = 40 if n == 7 else 300
+    tables = np.where(rng.random((count, n, m)) < (0.6 if n == 7 else 0.8), rng.random((count, n, 1)) + rng.choice([0.1, 0.3], (count, 1, m)), 500.0)
+    i, j = np.nonzero(np.ones((n, m)))
+    for table, found in zip(tables, matching.least_pairs(tables) if n < 5 else map(matching.settled, tables), strict=True):
+        sums = {tuple(w): total for w, total in ways(table)}
+        least = min(sums.values())
+        assert sums[tuple(sorted(found))] == least
+        told += sum(least < t <= least + 1e-9 for t in sums.values())
+        use = table[i, j] < 500
+        partner = matching.partners(np.zeros(n, int), i[use], j[use], table[i, j][use], m)
+        assert sums[tuple((r, int(k)) for r, k in enumerate(partner) if k >= 0)] <= least + 1e-9  # sole pairs are not summed
+    assert told > 5
+
+
+def test_many_ways_alike_are_bounded():
+    for n, m in ((40, 40), (40, 60), (60, 40)):
+        assert len(matching.settled(np.ones((n, m)))) == 40
+
+
 @pytest.mark.parametrize("at_once", [1, 5, 100_000])
 def test_frames_may_cross_batches(spark, at_once):
     rng, frame = np.random.default_rng(12), ["scenario_no", "frame_ts_us"]
