@@ -154,6 +154,16 @@ def test_one_shuffle_for_both_sides_of_a_match(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "collect_list" not in plan
 
 
+@pytest.mark.parametrize("name", ["j02_match_objects", "j02_match_positions"])
+def test_pairs_alone_are_found_by_one_shuffle(spark, monkeypatch, name):
+    from drivegauge.plans import registry
+    from drivegauge.sources import scratch
+
+    monkeypatch.setattr(scratch, "scratch_dir", lambda *a: pytest.fail("stores a table"))
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+
+
 def test_small_tables_are_assigned_as_large_ones(monkeypatch):
     rng = np.random.default_rng(11)
     for n, m in ((1, 2), (2, 2), (2, 3), (3, 2), (3, 3), (4, 3), (3, 4)):
