@@ -7,14 +7,11 @@ import itertools
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
-
-from drivegauge.sources.scratch import stored
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from .matching import assign
 
@@ -151,11 +148,12 @@ def features(x: np.ndarray, y: np.ndarray, counts: np.ndarray, radii: bool = Tru
     return out
 
 
-def line_features(df: DataFrame, keys: list[str], radii: bool = True) -> DataFrame:
+def line_features(df: DataFrame, keys: list[str], radii: bool = True, with_heads: bool = False) -> DataFrame:
     """``keys`` and the features of ``points`` (array of x, y structs) of each line, computed for all lines of a batch at
     once. Points without x or y are not used; a line without points has no feature; a line with a repeated point has no
-    radius. Without ``radii`` the last column is null."""
-    schema = StructType([df.schema[k] for k in keys] + [StructField(n, DoubleType()) for n in FEATURES])
+    radius. Without ``radii`` the last column is null. ``with_heads`` adds what ``heads`` gives."""
+    names = [*FEATURES, *(HEADS if with_heads else [])]
+    schema = StructType([df.schema[k] for k in keys] + [StructField(n, DoubleType()) for n in names])
 
     def run(batches):
         for batch in batches:
@@ -164,7 +162,8 @@ def line_features(df: DataFrame, keys: list[str], radii: bool = True) -> DataFra
             counts = np.bincount(line[given], minlength=batch.num_rows)
             found = features(x[given], y[given], counts, radii)
             columns = [pa.array(c, pa.float64(), mask=np.isnan(c)) for c in found.T]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *FEATURES])
+            columns += head_means(line, x, y, batch.num_rows) if with_heads else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *names])
 
     points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
     return df.select(*keys, points.alias("points")).mapInArrow(run, schema)
@@ -223,11 +222,25 @@ def frame_starts(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def frame_groups(df: DataFrame, keep: tuple[str, ...] = (), frames_per_group: int = 256) -> DataFrame:
+    """Lines as ``connected`` takes them; ``_g`` is a run of frames."""
+    group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
+    points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    return df.select(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("frame_ts_us").cast("long").alias("frame_ts_us"), F.col("id").cast("string").alias("id"), points.alias("points"), *keep, group)
+
+
 def connect_lines(df: DataFrame, reach: float = 0.1, frames_per_group: int = 256) -> DataFrame:
-    """``scenario_no, frame_ts_us, id, points`` of the frame's joined lines; points ahead up to 150 m and 20 m aside.
+    """``scenario_no, frame_ts_us, id, points`` of the frame's joined lines; points ahead up to 150 m and 20 m aside."""
+    return connected(frame_groups(df, frames_per_group=frames_per_group), reach)
+
+
+def connected(rows: DataFrame, reach: float = 0.1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``connect_lines`` of ``frame_groups``, with the first piece's ``keep``.
 
     All points of a group are cut and sorted at once; Python sees only the ends of lines that share a frame.
     """
+    points = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
+    schema = StructType([*(rows.schema[k] for k in ("scenario_no", "frame_ts_us", "id")), StructField("points", points), *(StructField(k, rows.schema[k].dataType) for k in keep)])
 
     def run(table: pa.Table) -> pa.Table:
         frame, names = column(table, "frame_ts_us").to_numpy(), column(table, "id")
@@ -267,32 +280,36 @@ def connect_lines(df: DataFrame, reach: float = 0.1, frames_per_group: int = 256
         return pa.table({
             "scenario_no": column(table, "scenario_no").take(pa.array(lead)), "frame_ts_us": pa.array(frame[lead]), "id": pa.array(ids, pa.string()),
             "points": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(total)), pa.int32()), points),
+            **{k: column(table, k).take(pa.array(lead)) for k in keep},
         })
 
-    group = F.floor(F.col("frame_ts_us") / (frames_per_group * 100000)).alias("_g")
-    points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
-    rows = df.select(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("frame_ts_us").cast("long").alias("frame_ts_us"), F.col("id").cast("string").alias("id"), points.alias("points"), group)
-    return rows.groupBy("scenario_no", "_g").applyInArrow(lambda t: run(t), "scenario_no long, frame_ts_us long, id string, points array<struct<x:double,y:double>>")
+    return rows.groupBy("scenario_no", "_g").applyInArrow(lambda t: run(t), schema)
+
+
+HEADS = ["head_x", "head_y"]
+
+
+def head_means(line: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> list[pa.Array]:
+    """``HEADS`` of ``n`` lines by their points (``flat_points``)."""
+    order = np.lexsort((np.abs(x), line))
+    counts = np.bincount(line, minlength=n)
+    starts, used = np.cumsum(counts) - counts, np.minimum(counts, 3)
+    sums = np.zeros((2, n))
+    for k in range(3):
+        own = used > k
+        at = order[starts[own] + k]
+        sums[0, own] += x[at]
+        sums[1, own] += y[at]
+    return [pa.array(v / np.maximum(used, 1), pa.float64(), mask=used == 0) for v in sums]
 
 
 def heads(df: DataFrame) -> DataFrame:
     """``scenario_no, frame_ts_us, id, head_x, head_y``: the mean of a line's three points nearest to x = 0; null without."""
-    schema = StructType([df.schema[k] for k in ("scenario_no", "frame_ts_us", "id")] + [StructField(k, DoubleType()) for k in ("head_x", "head_y")])
+    schema = StructType([df.schema[k] for k in ("scenario_no", "frame_ts_us", "id")] + [StructField(k, DoubleType()) for k in HEADS])
 
     def run(batches):
         for batch in batches:
-            line, x, y = flat_points(batch.column(3))
-            order = np.lexsort((np.abs(x), line))
-            counts = np.bincount(line, minlength=batch.num_rows)
-            starts, used = np.cumsum(counts) - counts, np.minimum(counts, 3)
-            sums = np.zeros((2, len(counts)))
-            for k in range(3):
-                own = used > k
-                at = order[starts[own] + k]
-                sums[0, own] += x[at]
-                sums[1, own] += y[at]
-            means = [pa.array(v / np.maximum(used, 1), pa.float64(), mask=used == 0) for v in sums]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *means], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *head_means(*flat_points(batch.column(3)), batch.num_rows)], names=schema.names)
 
     points = F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
     return df.select("scenario_no", "frame_ts_us", "id", points.alias("points")).mapInArrow(run, schema)
@@ -300,7 +317,12 @@ def heads(df: DataFrame) -> DataFrame:
 
 def lane_position(df: DataFrame, width: float = 3.5) -> DataFrame:
     """``scenario_no, frame_ts_us, id, position`` by the mean of the three points nearest to x = 0: 1, 2, ... outward on the
-    left, 8, 9, ... on the right, 0 where a line begins too far ahead or aside.
+    left, 8, 9, ... on the right, 0 where a line begins too far ahead or aside."""
+    return with_lanes(heads(df), width).select("scenario_no", "frame_ts_us", "id", "position")
+
+
+def with_lanes(df: DataFrame, width: float = 3.5) -> DataFrame:
+    """``position`` (``lane_position``) of lines with ``HEADS``.
 
     From the nearest outward each line takes the first lane after its predecessor's that it isn't beyond: the lane of the
     r-th line is r plus the largest of what its predecessors and itself are ahead of their rank.
@@ -310,9 +332,9 @@ def lane_position(df: DataFrame, width: float = 3.5) -> DataFrame:
     side = F.when(F.coalesce(inside, F.lit(False)), F.when(c("head_y") >= 0, 1).otherwise(8)).otherwise(0)
     least = sum((F.when(F.abs("head_y") >= (0.2 + lane + 1) * width, 1).otherwise(0) for lane in range(4)), F.lit(0))
     outward = Window.partitionBy("scenario_no", "frame_ts_us", "_side").orderBy(F.abs("head_y"), "id")
-    near = heads(df).withColumn("_side", side).withColumn("_r", F.when(c("_side") > 0, F.row_number().over(outward)))
+    near = df.withColumn("_side", side).withColumn("_r", F.when(c("_side") > 0, F.row_number().over(outward)))
     lane = c("_r") + F.max(least - c("_r")).over(outward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return near.select("scenario_no", "frame_ts_us", "id", F.when(c("_side") > 0, c("_side") + lane).otherwise(0).cast("int").alias("position"))
+    return near.withColumn("position", F.when(c("_side") > 0, c("_side") + lane).otherwise(0).cast("int")).drop("_side", "_r")
 
 
 def carry_ids(frames: list[list[str]], last: list[tuple[set[str], int]] | None = None, following: int = 1) -> tuple[list[list[int]], list[tuple[set[str], int]], int]:
@@ -332,17 +354,19 @@ def carry_ids(frames: list[list[str]], last: list[tuple[set[str], int]] | None =
     return out, last, following
 
 
-def carry_track_id(df: DataFrame) -> DataFrame:
-    """``scenario_no, frame_ts_us, origin_id, id``. The carry runs through a scenario's frames, so a scenario (a clip of
-    bounded length) is one group."""
+def carry_track_id(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``scenario_no, frame_ts_us, origin_id, id`` and ``keep``. The carry runs through a scenario's frames, so a scenario
+    (a clip of bounded length) is one group."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_ts_us", "origin_id"])
-        ids, edges = pdf.origin_id.tolist(), frame_starts(pdf.frame_ts_us.to_numpy()).tolist()
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("frame_ts_us", "ascending"), ("origin_id", "ascending")])
+        ids, edges = column(table, "origin_id").to_pylist(), frame_starts(column(table, "frame_ts_us").to_numpy()).tolist()
         numbers, _, _ = carry_ids([ids[a:b] for a, b in itertools.pairwise(edges)])
-        return pdf.assign(id=[n for f in numbers for n in f])[["scenario_no", "frame_ts_us", "origin_id", "id"]]
+        return table.add_column(3, "id", pa.array([n for f in numbers for n in f], pa.int64()))
 
-    return df.select("scenario_no", "frame_ts_us", F.col("id").cast("string").alias("origin_id")).groupBy("scenario_no").applyInPandas(lambda p: run(p), "scenario_no long, frame_ts_us long, origin_id string, id long")
+    rows = df.select(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("frame_ts_us").cast("long").alias("frame_ts_us"), F.col("id").cast("string").alias("origin_id"), *keep)
+    schema = StructType([*rows.schema.fields[:3], StructField("id", LongType()), *rows.schema.fields[3:]])
+    return rows.groupBy("scenario_no").applyInArrow(lambda t: run(t), schema)
 
 
 def pipeline(df: DataFrame, truth: bool, least: float = 2.0) -> DataFrame:
@@ -350,21 +374,21 @@ def pipeline(df: DataFrame, truth: bool, least: float = 2.0) -> DataFrame:
     one line per id and frame, joined pieces, the truth's positions and track ids, coefficients, classes, ``least`` length.
 
     A joined line has the type, age and position of its first piece, and the ids of all of them in ``origin_id``.
+
+    Points are shuffled once, by runs of frames, and end in the lines' features; ages, lanes and track ids need no points.
     """
-    frame = ["scenario_no", "frame_ts_us"]
-    aged = df.withColumn("age", F.count("*").over(Window.partitionBy("scenario_no", "id")))
-    one = aged.withColumn("_k", F.row_number().over(Window.partitionBy(*frame, "id").orderBy("type", F.size("points").desc()))).filter("_k = 1").drop("_k")
-    keep = ["type", "age", *([] if truth else ["position"])]
-    first = one.select(*frame, F.col("id").cast("string").alias("_first"), *keep)
-    whole = connect_lines(one).withColumn("_first", F.split_part("id", F.lit(","), F.lit(1))).join(first, [*frame, "_first"]).drop("_first")
-    whole = stored(whole, "lines")  # read by three steps
-    if truth:
-        whole = whole.join(lane_position(whole), [*frame, "id"]).withColumnRenamed("id", "origin_id")
-        whole = whole.join(carry_track_id(whole.withColumnRenamed("origin_id", "id")), [*frame, "origin_id"])
+    keep = ("type", "first", *(() if truth else ("position",)))
+    rows = frame_groups(df.withColumn("first", F.col("id").cast("string")), keep).repartition("scenario_no", "_g")
+    same = Window.partitionBy("scenario_no", "_g", "frame_ts_us", "id").orderBy("type", F.size("points").desc())
+    one = rows.withColumn("_k", F.row_number().over(same)).filter("_k = 1").drop("_k")
+    found = line_features(connected(one, keep=keep), ["scenario_no", "frame_ts_us", "id", *keep], with_heads=truth)
+    ages = df.groupBy(F.col("scenario_no").cast("long").alias("scenario_no"), F.col("id").cast("string").alias("first")).agg(F.count("*").alias("age"))
+    found = found.join(ages, ["scenario_no", "first"])
+    if truth:  # the lanes of a frame and the track ids of a scenario by one shuffle
+        found = carry_track_id(with_lanes(found.repartition("scenario_no")), ("type", "age", "position", *FEATURES))
     else:
-        whole = whole.withColumn("origin_id", F.col("id"))
-    keys = [*frame, "id", "origin_id", "type", "age", "position"]
-    found = line_features(whole.select(*keys, "points"), keys)
+        found = found.withColumn("origin_id", F.col("id"))
+    found = found.select("scenario_no", "frame_ts_us", "id", "origin_id", "type", "age", "position", *FEATURES)
     return found.withColumn("type_classification", line_class(F.col("type"), F.col("position"))).filter(F.col("length") >= least)
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from drivegauge.operators import lines, matching, metrics
 from drivegauge.operators.matching import assign
@@ -70,6 +71,32 @@ def test_connected_lines_are_those_of_a_loop(spark):
     assert got == want and any("," in i for _, i, _ in got)
 
 
+@pytest.mark.parametrize("truth", [True, False])
+def test_line_pipeline_shuffles_points_once(spark, monkeypatch, truth):
+    from drivegauge.sources import scratch
+
+    rows, df = frames_of_lines(spark, 15)
+    df = df.unionByName(df.filter("id % 4 = 1").selectExpr("scenario_no", "frame_ts_us", "id", "type + 1 AS type", "slice(points, 1, 2) AS points"))  # repeated ids
+    df = df.selectExpr("IF(id % 90 > 50, 2, 1L) AS scenario_no", "frame_ts_us", "id", "type", "points", "CAST(id % 9 AS int) AS position")
+    monkeypatch.setattr(scratch, "scratch_dir", lambda *a: pytest.fail("stores a table"))
+    out = lines.pipeline(df.drop("position") if truth else df, truth)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "points" not in plan[: plan.index("MapInArrow")] and plan.count("RepartitionByExpression [scenario_no") == 1 + truth
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 4 + truth  # points, ages and their match, scenarios
+    one = df.groupBy("scenario_no", "frame_ts_us", "id").agg(F.min(F.struct("type", -F.size("points"), "points", "position")).alias("v"), F.count("*").alias("n")).select("scenario_no", "frame_ts_us", "id", "v.*")
+    whole = lines.connect_lines(one)
+    frame = ["scenario_no", "frame_ts_us"]
+    first = one.select(*frame, F.col("id").cast("string").alias("first"), "type", "position").join(df.groupBy("scenario_no", F.col("id").cast("string").alias("first")).agg(F.count("*").alias("age")), ["scenario_no", "first"])
+    want = whole.withColumn("first", F.split_part("id", F.lit(","), F.lit(1))).join(first, [*frame, "first"]).join(lines.line_features(whole, [*frame, "id"]), [*frame, "id"])
+    if truth:
+        want = want.drop("position").join(lines.lane_position(whole), [*frame, "id"]).withColumnRenamed("id", "origin_id").join(lines.carry_track_id(whole), [*frame, "origin_id"])
+    else:
+        want = want.withColumn("origin_id", F.col("id"))
+    want = want.filter("length >= 2").select(out.columns[:-1])
+    table = lambda d: sorted(map(repr, d.collect()))
+    assert table(out.select(out.columns[:-1])) == table(want) and out.count() > 100 and out.columns[-1] == "type_classification"
+
+
 def test_lane_positions_need_no_group_in_python(spark):
     rows, df = frames_of_lines(spark, 2)
     out = lines.lane_position(df)
